@@ -1,0 +1,159 @@
+"""The conversion plans: raw wiki markup to clean Markdown, page by page.
+
+Every step is a Column expression, so `preprocess`, `postprocess` and the
+Markdown steps are one narrow stage each; only table-driven template expansion
+moves data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.dims import TagPolicy, TemplatePolicy
+from ..functions.links import (
+    drop_switches,
+    external_to_text,
+    nfkc_list,
+    raw_categories,
+    resolve_links,
+)
+from ..functions.markdown import CLEANUPS, blocks_to_markdown, is_corrupt
+from ..functions.sections import drop_sections, finish, join_flat, join_sections, level2
+from ..functions.tags import (
+    apply_markup_policy,
+    apply_tag_policy,
+    hide_opaque,
+    show_opaque,
+    unsupported_tag_names,
+)
+from ..functions.templates import (
+    apply_template_policy,
+    finish_description,
+    has_empty_name,
+    magic_templates,
+    raw_short_description,
+    unsupported_names,
+)
+from ..functions.text import guard, let, nfkc
+from ..operators.expand import expand_by_dictionary
+
+
+def counter(names: Column) -> Column:
+    """Names counted inside the row, as map<string, bigint>; no shuffle."""
+    return let(
+        names,
+        lambda ns: F.map_from_entries(
+            F.transform(
+                F.array_sort(F.array_distinct(ns)),
+                lambda n: F.struct(n, F.size(F.filter(ns, lambda x: x == n)).cast("long")),
+            )
+        ),
+    )
+
+
+def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFrame:
+    """Adds the cleaned `wikitext`, raw categories, description and dropped templates.
+
+    The columns arrive as `pre_*`; the input text stays as it was.
+    """
+    policy = policy or TemplatePolicy.default(pages.sparkSession)
+    out = pages.withColumn("pre_hidden", hide_opaque(guard(F.col("wikitext"))))
+    out = out.withColumn("pre_categories", raw_categories(F.col("pre_hidden")))
+    first = join_flat(drop_switches(magic_templates(resolve_links(F.col("pre_hidden")))))
+    out = out.withColumn("pre_first", first)
+    # Sections are cut before templates go, and dropped templates are counted in kept text only.
+    out = out.withColumn("pre_first", join_sections(level2(F.col("pre_first"))))
+    out = (
+        out.withColumn("pre_error", F.when(has_empty_name(F.col("pre_first")), "empty template name"))
+        .withColumn("pre_description", raw_short_description(F.col("pre_first")))
+        .withColumn("pre_unsupported", unsupported_names(F.col("pre_first"), policy))
+        .withColumn("pre_wikitext", show_opaque(apply_template_policy(F.col("pre_first"), policy)))
+    )
+    return out.drop("pre_hidden", "pre_first")
+
+
+def postprocess_text(c: Column, policy: TagPolicy | None = None) -> Column:
+    """Expanded text to final text. Opaque tags are hidden throughout."""
+    policy = policy or TagPolicy()
+    c = join_sections(level2(drop_sections(hide_opaque(c))))
+    c = apply_markup_policy(apply_tag_policy(c, policy), policy)
+    c = external_to_text(resolve_links(c, after_expansion=True))
+    return finish(show_opaque(c))
+
+
+def postprocess(
+    pages: DataFrame, text: str = "expanded", with_styling: bool = False
+) -> DataFrame:
+    """Adds `final_wikitext` and the names of unknown tags."""
+    policy = TagPolicy(styled=with_styling)
+    out = pages.withColumn("post_cut", drop_sections(hide_opaque(F.col(text))))
+    out = out.withColumn("post_cut", join_sections(level2(F.col("post_cut"))))
+    out = out.withColumn("post_unsupported", unsupported_tag_names(F.col("post_cut"), policy))
+    tagged = apply_markup_policy(apply_tag_policy(F.col("post_cut"), policy), policy)
+    out = out.withColumn("post_tagged", tagged)
+    linked = external_to_text(resolve_links(F.col("post_tagged"), after_expansion=True))
+    out = out.withColumn("final_wikitext", finish(show_opaque(linked)))
+    return out.drop("post_cut", "post_tagged")
+
+
+def to_markdown(pages: DataFrame, text: str = "final_wikitext") -> DataFrame:
+    """Adds `corrupt` and `markdown`, and normalises all text columns in one pass."""
+    out = pages.withColumn("corrupt", is_corrupt(F.col(text)))
+    out = out.withColumn("md_blocks", blocks_to_markdown(F.col(text)))
+    # All four normalisations share one trip to Python.
+    out = out.withColumns(
+        {
+            "md_blocks": nfkc(F.col("md_blocks")),
+            "title": nfkc(F.col("title")),
+            "categories": F.array_sort(nfkc_list(F.col("pre_categories"))),
+            "description": nfkc(F.col("pre_description")),
+        }
+    )
+    clean = F.col("md_blocks")
+    for cleanup in CLEANUPS:
+        clean = cleanup(clean)
+    return out.withColumn("markdown", clean).withColumn(
+        "description", finish_description(F.col("description"))
+    )
+
+
+def convert_pages(
+    raw: DataFrame,
+    expansions: DataFrame | None = None,
+    with_styling: bool = False,
+    policy: TemplatePolicy | None = None,
+    inline: bool = False,
+) -> DataFrame:
+    """All pages with every derived column and a status: ok, corrupt or failed.
+
+    `expansions(invocation, expansion)` replaces the remote expansion service;
+    without it kept templates expand to nothing.
+    """
+    pre = preprocess(raw, policy)
+    expanded = expand_by_dictionary(
+        pre, expansions, text="pre_wikitext", out="expanded", inline=inline
+    )
+    done = to_markdown(postprocess(expanded, with_styling=with_styling))
+    failure = F.when(F.col("wikitext").isNull(), F.lit("missing wikitext")).otherwise(F.col("pre_error"))
+    done = done.withColumn("error", failure)
+    status = (
+        F.when(F.col("error").isNotNull(), "failed")
+        .when(F.col("corrupt"), "corrupt")
+        .otherwise("ok")
+    )
+    return done.select(
+        "pageid",
+        "title",
+        F.lit("en").alias("lang"),
+        "revid",
+        "categories",
+        "description",
+        F.col("wikitext").alias("raw_wikitext"),
+        F.col("final_wikitext").alias("wikitext"),
+        "markdown",
+        counter(F.col("post_unsupported")).alias("unsupported_tags"),
+        counter(F.col("pre_unsupported")).alias("unsupported_templates"),
+        status.alias("status"),
+        "error",
+    )

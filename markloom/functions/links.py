@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import let, nfkc, py_strip, repeat_nested
+from .text import nfkc, py_strip, repeat_nested, where_contains
 
-L1, L2 = "\ufdd2", "\ufdd3"  # a category link that stays in the text
-S1, S2 = "\ufdd4", "\ufdd5"  # single brackets while [[ ]] is at work
+L1, L2 = "\ufdd2", "\ufdd3"  # a link that stays in the text
+O, C = "\ufdd4", "\ufdd5"  # [[ and ]], so that a single bracket is an ordinary character
 
-MEDIA = r"(?i)\[\[(?:File|Image|Media):[^\[\]]*\]\]"
-_TITLE = r"[^\[\]|\n]*"
+_TITLE = rf"[^{O}{C}|\n]*"
 _SCHEME = r"(?:https?|s?ftps?|git|gopher|ircs?|mms|nntp|redis|ssh|svn|telnet|worldwind):"
 
 
@@ -21,16 +20,7 @@ def drop_comments(c: Column) -> Column:
 
 def drop_switches(c: Column) -> Column:
     """Behaviour switches such as __NOTOC__; a bare ____ goes too."""
-    return F.regexp_replace(c, "__[A-Z]*__", "")
-
-
-def _hide_single(c: Column) -> Column:
-    c = F.regexp_replace(c, r"(?<!\[)\[(?!\[)", S1)
-    return F.regexp_replace(c, r"(?<!\])\](?!\])", S2)
-
-
-def _show_single(c: Column) -> Column:
-    return F.translate(c, S1 + S2, "[]")
+    return where_contains(c, "__", lambda t: F.regexp_replace(t, "__[A-Z]*__", ""))
 
 
 def _rounds(c: Column, *rules: tuple[str, str]) -> Column:
@@ -39,28 +29,33 @@ def _rounds(c: Column, *rules: tuple[str, str]) -> Column:
             t = F.regexp_replace(t, pattern, replacement)
         return t
 
-    return _show_single(repeat_nested(_hide_single(c), "[[", "]]", step))
+    def links(t: Column) -> Column:
+        t = F.replace(F.replace(t, F.lit("[["), F.lit(O)), F.lit("]]"), F.lit(C))
+        t = repeat_nested(t, O, C, step)
+        for marker, text in ((O, "[["), (C, "]]"), (L1, "[["), (L2, "]]")):
+            t = F.replace(t, F.lit(marker), F.lit(text))
+        return t
+
+    return where_contains(c, "[[", links)
 
 
-# Any other link is masked in a round of its own, so that outer links become innermost.
-_MASK_OTHERS = (r"\[\[([^\[\]]*)\]\]", f"{L1}$1{L2}")
+_MEDIA = (rf"(?i){O}(?:File|Image|Media):[^{O}{C}]*{C}", "")
+# Any other link is masked in its round, so that the link around it becomes innermost.
+_MASK_OTHERS = (rf"{O}([^{O}{C}]*){C}", f"{L1}$1{L2}")
 _PLAIN_LINKS = (
-    (rf"\[\[{_TITLE}\|([^\[\]]+)\]\]", "$1"),
-    (rf"\[\[({_TITLE})\|?\]\]", "$1"),
+    (rf"{O}{_TITLE}\|([^{O}{C}]+){C}", "$1"),
+    (rf"{O}({_TITLE})\|?{C}", "$1"),
 )
 _CATEGORY_IN_PLACE = (
-    (rf"(?i)\[\[(Category:)({_TITLE})\|?\]\]", f"{L1}$1$2|$2{L2}"),
-    (rf"(?i)\[\[(Category:{_TITLE}\|)(?:Category:)?([^\[\]]+)\]\]", f"{L1}$1$2{L2}"),
+    (rf"(?i){O}(Category:)({_TITLE})\|?{C}", f"{L1}$1$2|$2{L2}"),
+    (rf"(?i){O}(Category:{_TITLE}\|)(?:Category:)?([^{O}{C}]+){C}", f"{L1}$1$2{L2}"),
 )
-
-
-def _unmask(c: Column) -> Column:
-    return F.replace(F.replace(c, F.lit(L1), F.lit("[[")), F.lit(L2), F.lit("]]"))
+_CATEGORY_DROP = (rf"(?i){O}Category:{_TITLE}{C}", "")
 
 
 def drop_media(c: Column) -> Column:
     """File, image and media links, together with the links inside their captions."""
-    return _unmask(_rounds(c, (MEDIA, ""), _MASK_OTHERS))
+    return _rounds(c, _MEDIA, _MASK_OTHERS)
 
 
 def links_to_text(c: Column) -> Column:
@@ -73,25 +68,31 @@ def clean_categories(c: Column, after_expansion: bool = False) -> Column:
 
     After template expansion a category link without text is dropped instead.
     """
-    return _unmask(_rounds(c, *_category_rules(after_expansion), _MASK_OTHERS))
+    return _rounds(c, *_category_rules(after_expansion), _MASK_OTHERS)
 
 
 def _category_rules(after_expansion: bool) -> tuple[tuple[str, str], ...]:
     if after_expansion:
-        return ((rf"(?i)\[\[Category:{_TITLE}\]\]", ""), *_CATEGORY_IN_PLACE)
+        return (_CATEGORY_DROP, *_CATEGORY_IN_PLACE)
     return _CATEGORY_IN_PLACE
 
 
 def resolve_links(c: Column, after_expansion: bool = False) -> Column:
     """All wiki-link rules in one go: media dropped, categories cleaned, the rest as text."""
-    return _unmask(_rounds(c, (MEDIA, ""), *_category_rules(after_expansion), *_PLAIN_LINKS))
+    return _rounds(c, _MEDIA, *_category_rules(after_expansion), *_PLAIN_LINKS)
 
 
 def external_to_text(c: Column) -> Column:
     """External links become their title; links without a title disappear."""
-    c = F.regexp_replace(c, rf"(?i)\[(?:{_SCHEME})?//[^\s\[\]]+[^\S\n]+([^\[\]\n]+)\]", "$1")
-    c = F.regexp_replace(c, rf"(?i)\[(?:{_SCHEME})?//[^\s\[\]]+[^\S\n]*\]", "")
-    return F.regexp_replace(c, rf'(?i)\b{_SCHEME}//[^\s\[\]<>{{}}|"]*[^\s\[\]<>{{}}|",;.:!?)]', "")
+
+    def links(t: Column) -> Column:
+        url = rf"(?:{_SCHEME})?//[^\s\[\]]+"
+        t = F.regexp_replace(t, rf"(?i)\[{url}[^\S\n]+([^\[\]\n]+)\]", "$1")
+        t = F.regexp_replace(t, rf"(?i)\[{url}[^\S\n]*\]", "")
+        bare = rf'(?i)\b{_SCHEME}//[^\s\[\]<>{{}}|"]*[^\s\[\]<>{{}}|",;.:!?)]'
+        return F.regexp_replace(t, bare, "")
+
+    return where_contains(c, "//", links)
 
 
 def raw_categories(c: Column) -> Column:
@@ -110,9 +111,10 @@ def nfkc_list(names: Column) -> Column:
     )
 
 
-def categories(c: Column) -> Column:
-    """NFKC category names of a page, in document order."""
-    return let(raw_categories(c), nfkc_list)
+def with_categories(pages: DataFrame, text: str = "wikitext", out: str = "categories") -> DataFrame:
+    """Adds the NFKC category names of each page, in document order."""
+    named = pages.withColumn(out, raw_categories(F.col(text)))
+    return named.withColumn(out, nfkc_list(F.col(out)))
 
 
 def category_edges(pages: DataFrame, text: str = "wikitext", key: str = "pageid") -> DataFrame:

@@ -8,17 +8,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .tags import hide_opaque
-from .text import PY_WS, let, nfkc, py_strip, repeat_nested, rewrite_matches
+from .text import PY_WS, let, nfkc, py_strip, repeat_nested, rewrite_matches, where_contains
 
 # Classes of a line while blocks are put together.
 PARA, LIST, CODE, BLOCK = "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"
 NUM = "\ufdd5"  # number of an ordered-list item
 Q1, Q2 = "\ufdd6", "\ufdd7"  # a block quote
-LT, GT = "\ufdd8", "\ufdd9"  # a tag that stays in the Markdown
-STAR, TICK, DOLLAR = "\ufdda", "\ufddb", "\ufddc"  # Markdown syntax, not to be escaped
-TILDE = "\ufddd"
-CUT = "\ufdde"
-BREAK = "\ufddf"  # a line break inside a paragraph
+CUT = "\ufdd8"
+BREAK = "\ufdd9"  # a line break inside a paragraph
+
+# Characters that stand for themselves: inside formulas and code, and as Markdown syntax.
+_SHOWN = "<>\n*#_~|\\`$&'[] "
+_COVER = "".join(chr(0xFDE0 + i) for i in range(len(_SHOWN)))
+LT, GT, STAR, TICK, DOLLAR, TILDE = (_COVER[_SHOWN.index(ch)] for ch in "<>*`$~")
 
 PAIRED = "sub|sup|blockquote|math|syntaxhighlight|code|pre|ul|ol|nowiki|u|del"
 
@@ -28,11 +30,11 @@ PAIRED = "sub|sup|blockquote|math|syntaxhighlight|code|pre|ul|ol|nowiki|u|del"
 
 def drop_markdown_comments(c: Column) -> Column:
     """Comments on one line."""
-    return F.regexp_replace(c, "(?d)<!--.*?-->", "")
+    return where_contains(c, "<!--", lambda t: F.regexp_replace(t, "(?d)<!--.*?-->", ""))
 
 
 def drop_table_residue(c: Column) -> Column:
-    return F.regexp_replace(c, r"\\\|\}", "")
+    return F.replace(c, F.lit("\\|}"), F.lit(""))
 
 
 def collapse_blank_lines(c: Column) -> Column:
@@ -40,24 +42,29 @@ def collapse_blank_lines(c: Column) -> Column:
 
 
 def strip_line_ends(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?<! ) ++\n", "\n")
+    return where_contains(c, " \n", lambda t: F.regexp_replace(t, r"(?<! ) ++\n", "\n"))
 
 
 def single_space_markers(c: Column) -> Column:
     """One space behind a list marker at the start of a line."""
-    return F.regexp_replace(c, r"(?md)^([0-9]+\.|-)  +", "$1 ")
+    return where_contains(
+        c, "  ", lambda t: F.regexp_replace(t, r"(?md)^([0-9]+\.|-)  +", "$1 ")
+    )
 
 
 def drop_empty_bullets(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?md)^- *$\n", "")
+    return where_contains(c, "-", lambda t: F.regexp_replace(t, r"(?md)^- *$\n", ""))
 
 
 def unescape_brackets(c: Column) -> Column:
-    return F.regexp_replace(c, r"\\(\[|\])", "$1")
+    for bracket in "[]":
+        c = F.replace(c, F.lit("\\" + bracket), F.lit(bracket))
+    return c
 
 
 def fix_price_errors(c: Column) -> Column:
-    return F.regexp_replace(c, r'(?d)Format price error: cannot parse value "(.*?)"', "$1")
+    pattern = r'(?d)Format price error: cannot parse value "(.*?)"'
+    return where_contains(c, "Format price error", lambda t: F.regexp_replace(t, pattern, "$1"))
 
 
 def drop_update_notes(c: Column) -> Column:
@@ -134,9 +141,7 @@ def decode_entities(c: Column) -> Column:
         )
 
     entity = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-    return let(
-        c, lambda t: F.when(t.contains("&"), rewrite_matches(t, entity, decoded)).otherwise(t)
-    )
+    return where_contains(c, "&", lambda t: rewrite_matches(t, entity, decoded))
 
 
 def _inline_code(tags: str, c: Column, fn) -> Column:
@@ -180,10 +185,6 @@ def _opaque_to_markdown(c: Column) -> Column:
     return _inline_code("math|nowiki|pre|syntaxhighlight|source|code", c, hidden)
 
 
-_SHOWN = "<>\n*#:;_~|\\`$&='"
-_COVER = "".join(chr(0xFDE0 + i) for i in range(16))
-
-
 def _trim_ends(c: Column) -> Column:
     return c.substr(F.lit(3), F.length(c) - 4)
 
@@ -254,47 +255,55 @@ def _number_items(c: Column) -> Column:
 def _escape(c: Column) -> Column:
     """Backslashes before characters that Markdown would read as syntax."""
     c = F.regexp_replace(c, r"[\\`*~|<>#$\[\]]", r"\\$0")
-    return F.regexp_replace(c, r"(?<![\p{L}\p{N}])_|_(?![\p{L}\p{N}])", r"\\_")
+    outer = r"(?<![\p{L}\p{N}])_|_(?![\p{L}\p{N}])"
+    return where_contains(c, "_", lambda t: F.regexp_replace(t, outer, r"\\_"))
+
+
+def _cover(text: Column) -> Column:
+    return F.translate(text, _SHOWN, _COVER)
+
+
+def _wrap(kind: str, *text: Column) -> Column:
+    return F.concat(F.lit(kind), *text, F.lit(kind))
 
 
-def _inline(c: Column) -> Column:
-    c = _escape(F.regexp_replace(decode_entities(c), "[ \t]{2,}", " "))
-    return F.translate(c, LT + GT, "<>")
+def _bullet_line(line: Column) -> Column:
+    shape = f"(?s)\\A([*#:;]+)(?:{NUM}([0-9]+){NUM})?(.*)\\z"
+    item = F.regexp_extract(F.regexp_extract(line, shape, 1), r"[*#]+\z", 0)
+    number = F.regexp_extract(line, shape, 2)
+    content = py_strip(F.regexp_extract(line, shape, 3))
+    outer = item.substr(F.lit(1), F.length(item) - 1)
+    indent = F.replace(F.replace(outer, F.lit("*"), F.lit("  ")), F.lit("#"), F.lit("    "))
+    ordered = F.concat(F.rpad(F.concat(number, F.lit(".")), 3, " "), F.lit(" "))
+    bullet = F.when(item.endswith("#"), ordered).otherwise(F.lit("- "))
+    return F.when(
+        item != "", _wrap(LIST, _cover(F.concat(indent, bullet)), content)
+    ).otherwise(_wrap(BLOCK, content))
+
+
+def _heading_line(line: Column) -> Column:
+    shape = r"\A(={1,6})([^\n]*[^=\n][^\n]*)\1[ \t]*\z"
+    hashes = F.repeat(F.lit("#"), F.length(F.regexp_extract(line, shape, 1)))
+    title = py_strip(F.regexp_extract(line, shape, 2))
+    return F.when(line.rlike(shape), _wrap(BLOCK, _cover(hashes), F.lit(" "), title)).otherwise(
+        _wrap(PARA, line)
+    )
+
+
+def _code_line(line: Column) -> Column:
+    return _wrap(CODE, F.lit(TICK), _cover(decode_entities(line.substr(F.lit(2), F.length(line)))), F.lit(TICK))
 
 
 def _line(line: Column) -> Column:
-    """One line with its class on both sides."""
-    wrap = lambda kind, text: F.concat(F.lit(kind), text, F.lit(kind))
-    heading = r"^(={1,6})([^\n]*[^=\n][^\n]*)\1[ \t]*$"
-    marker = F.regexp_extract(line, rf"^([*#:;]*)(?:{NUM}([0-9]+){NUM})?(.*)$", 1)
-    number = F.regexp_extract(line, rf"^([*#:;]*)(?:{NUM}([0-9]+){NUM})?(.*)$", 2)
-    content = F.regexp_extract(line, rf"^([*#:;]*)(?:{NUM}([0-9]+){NUM})?(.*)$", 3)
-    item = F.regexp_extract(marker, "[*#]+$", 0)
-    indent = F.replace(F.replace(item.substr(F.lit(1), F.length(item) - 1), F.lit("*"), F.lit("  ")), F.lit("#"), F.lit("    "))  # noqa: E501
-    bullet = F.when(
-        item.endswith("#"), F.concat(F.rpad(F.concat(number, F.lit(".")), 3, " "), F.lit(" "))
-    ).otherwise(F.lit("- "))
+    """One line with its kind on both sides. The first character decides."""
+    first = F.substring(line, 1, 1)
     return (
-        F.when(line.rlike(rf"^{PY_WS}*$"), wrap(BLOCK, F.lit("")))
-        .when(line.rlike(f"^[{Q1}{Q2}{BLOCK}]"), line)
-        .when(
-            line.rlike(heading),
-            wrap(
-                BLOCK,
-                F.concat(
-                    F.repeat(F.lit("#"), F.length(F.regexp_extract(line, heading, 1))),
-                    F.lit(" "),
-                    _inline(py_strip(F.regexp_extract(line, heading, 2))),
-                ),
-            ),
-        )
-        .when(
-            line.startswith(" "),
-            wrap(CODE, F.concat(F.lit("`"), decode_entities(line.substr(F.lit(2), F.length(line))), F.lit("`"))),
-        )
-        .when(item != "", wrap(LIST, F.concat(indent, bullet, _inline(py_strip(content)))))
-        .when(marker != "", wrap(BLOCK, _inline(py_strip(content))))
-        .otherwise(wrap(PARA, _inline(line)))
+        F.when(py_strip(line) == "", F.lit(BLOCK * 2))
+        .when(first.isin("*", "#", ":", ";"), _bullet_line(line))
+        .when(first == "=", _heading_line(line))
+        .when(first == " ", _code_line(line))
+        .when(first.isin(Q1, Q2, BLOCK), line)
+        .otherwise(_wrap(PARA, line))
     )
 
 
@@ -302,34 +311,48 @@ def blocks_to_markdown(c: Column) -> Column:
     """Markdown of converted wiki text. Line rules only; no state crosses pages."""
     kinds = PARA + LIST + CODE + BLOCK
 
-    c = _opaque_to_markdown(c)
-    # Emphasis becomes Markdown syntax before anything is escaped.
-    for marks, stars in (("'''''", STAR * 3), ("'''", STAR * 2), ("''", STAR)):
-        c = F.regexp_replace(c, rf"{marks}([^\n]+?){marks}", f"{stars}$1{stars}")
-    c = F.regexp_replace(c, r"(?i)</?del(?:\s[^<>]*)?>", TILDE * 2)
-    c = _lists_from_tags(c)
-    c = F.regexp_replace(c, r"(?i)\s*<blockquote(?:\s[^<>]*)?>[ \t]*\n?", f"\n{Q1}\n")
-    c = F.regexp_replace(c, r"(?i)\s*</blockquote\s*>[ \t]*\n?", f"\n{Q2}\n")
-    c = F.regexp_replace(c, r"(?i)[ \t]*<br(?:\s[^<>]*)?/?>[ \t]*\n?", BREAK)
-    c = F.regexp_replace(c, r"(?i)<(/?[a-z][a-z0-9]*(?:\s[^<>]*)?/?)>", f"{LT}$1{GT}")
+    c = where_contains(c, "<", _tags_to_markdown)
+    c = where_contains(c, "''", _emphasis)  # becomes Markdown syntax before anything is escaped
     c = _number_items(c)
+
+    # Line kinds are settled before entities are decoded: a decoded star is no list marker.
     c = F.array_join(F.transform(F.split(c, "\n"), _line), "\n")
+    c = decode_entities(c)
+    c = where_contains(c, "  ", lambda t: F.regexp_replace(t, "[ \t]{2,}", " "))
+    c = _escape(c)
 
     c = F.replace(c, F.lit(f"{PARA}\n{PARA}"), F.lit(" "))
     for kind in (LIST, CODE):
         c = F.replace(c, F.lit(f"{kind}\n{kind}"), F.lit("\n"))
     c = F.regexp_replace(c, f"[{kinds}{Q2}]\n[{kinds}{Q1}]", "\n\n")
     c = F.regexp_replace(c, f"[{kinds}]", "")
+    c = where_contains(c, Q1, _quote_blocks)
+    c = F.replace(c, F.lit(BREAK), F.lit("\n"))
+    return let(
+        c, lambda t: F.when(t.rlike(f"[{_COVER}]"), F.translate(t, _COVER, _SHOWN)).otherwise(t)
+    )
 
-    def quote(t: Column) -> Column:
-        return rewrite_matches(
-            t,
-            f"{Q1}[^{Q1}{Q2}]*{Q2}",
-            lambda q: F.regexp_replace(
-                F.regexp_replace(q, rf"\A{Q1}\n*|\n*{Q2}\z", ""), "(?dm)^", "> "
-            ),
-        )
 
-    c = F.translate(repeat_nested(c, Q1, Q2, quote), Q1 + Q2, "")
-    c = F.translate(c, STAR + TICK + DOLLAR + TILDE + BREAK, "*`$~\n")
-    return F.translate(c, _COVER, _SHOWN)
+def _tags_to_markdown(c: Column) -> Column:
+    c = _opaque_to_markdown(c)
+    c = F.regexp_replace(c, r"(?i)</?del(?:\s[^<>]*)?>", TILDE * 2)
+    c = where_contains(c, "<li", _lists_from_tags)
+    c = F.regexp_replace(c, r"(?i)\s*<blockquote(?:\s[^<>]*)?>[ \t]*\n?", f"\n{Q1}\n")
+    c = F.regexp_replace(c, r"(?i)\s*</blockquote\s*>[ \t]*\n?", f"\n{Q2}\n")
+    c = F.regexp_replace(c, r"(?i)[ \t]*<br(?:\s[^<>]*)?/?>[ \t]*\n?", BREAK)
+    return F.regexp_replace(c, r"(?i)<(/?[a-z][a-z0-9]*(?:\s[^<>]*)?/?)>", f"{LT}$1{GT}")
+
+
+def _emphasis(c: Column) -> Column:
+    for marks, stars in (("'''''", STAR * 3), ("'''", STAR * 2), ("''", STAR)):
+        c = F.regexp_replace(c, rf"{marks}([^\n]+?){marks}", f"{stars}$1{stars}")
+    return c
+
+
+def _quote_blocks(c: Column) -> Column:
+    def quote(q: Column) -> Column:
+        inner = F.regexp_replace(q, rf"\A{Q1}\n*|\n*{Q2}\z", "")
+        return F.regexp_replace(inner, "(?dm)^", "> ")
+
+    step = lambda t: rewrite_matches(t, f"{Q1}[^{Q1}{Q2}]*{Q2}", quote)
+    return F.translate(repeat_nested(c, Q1, Q2, step), Q1 + Q2, "")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dims import TAGS_OPAQUE, TagPolicy
-from .text import let, nesting, py_strip, repeat_nested, rewrite_matches
+from .text import let, nesting, py_strip, repeat_nested, rewrite_matches, where_contains
 
 D1, D2 = "\ufdd2", "\ufdd3"  # around a tag pair that is about to go
 S1, S2 = "\ufdd4", "\ufdd5"  # around any other span
@@ -32,11 +32,12 @@ def hide_opaque(c: Column, comments: bool = True) -> Column:
         comment = F.lit("") if comments else match
         return F.when(match.startswith("<!--"), comment).otherwise(hidden)
 
-    return rewrite_matches(c, pattern, settle)
+    return where_contains(c, "<", lambda t: rewrite_matches(t, pattern, settle))
 
 
 def show_opaque(c: Column) -> Column:
-    return F.translate(c, _HIDDEN, _PLAIN)
+    # Any hidden stretch starts with a hidden bracket.
+    return where_contains(c, _HIDDEN[0], lambda t: F.translate(t, _HIDDEN, _PLAIN))
 
 
 def _any(names: Iterable[str]) -> str:
@@ -103,14 +104,12 @@ def resolve_spans(c: Column) -> Column:
             return F.regexp_replace(x, f"{S1}([^{D1}{D2}{S1}]*){D2}", "$1")
 
         # Spans of both kinds nest in one another; a step settles one level of either.
-        depth_text = F.translate(t, S1, D1)
-        rounds = F.array_repeat(F.lit(0), nesting(depth_text, D1, D2))
+        rounds = F.array_repeat(F.lit(0), nesting(F.translate(t, S1, D1), D1, D2))
         t = F.aggregate(rounds, t, lambda acc, _: step(acc))
         return F.translate(t, D1 + D2 + S1, "")
 
-    return let(
-        c, lambda t: unwrap_tags(F.when(t.rlike(flag), with_flags(t)).otherwise(t), ("span",))
-    )
+    c = where_contains(c, "flagicon", lambda t: F.when(t.rlike(flag), with_flags(t)).otherwise(t))
+    return unwrap_tags(c, ("span",))
 
 
 def rewrite_tags(c: Column, policy: TagPolicy) -> Column:
@@ -132,11 +131,15 @@ def rewrite_tags(c: Column, policy: TagPolicy) -> Column:
 
 def plain_quotes(c: Column) -> Column:
     """Bold and italic quote marks, in pairs on one line, leave their content."""
-    for marks in ("'''''", "'''", "''"):
-        c = F.regexp_replace(c, rf"(?<!'){marks}(?!')([^\n]*?)(?<!'){marks}(?!')", "$1")
-    for marks in ("'''", "''"):
-        c = F.regexp_replace(c, rf"{marks}([^\n]*?){marks}", "$1")
-    return c
+
+    def quotes(t: Column) -> Column:
+        for marks in ("'''''", "'''", "''"):
+            t = F.regexp_replace(t, rf"(?<!'){marks}(?!')([^\n]*?)(?<!'){marks}(?!')", "$1")
+        for marks in ("'''", "''"):
+            t = F.regexp_replace(t, rf"{marks}([^\n]*?){marks}", "$1")
+        return t
+
+    return where_contains(c, "''", quotes)
 
 
 def space_definitions(c: Column) -> Column:
@@ -150,6 +153,10 @@ def space_definitions(c: Column) -> Column:
 
 def drop_wiki_tables(c: Column) -> Column:
     """Tables in wiki markup, nested ones included."""
+    return where_contains(c, "{|", _drop_tables)
+
+
+def _drop_tables(c: Column) -> Column:
     c = F.regexp_replace(c, r"(?dm)^([ \t:]*)\{\|", f"$1{D1}")
     c = F.regexp_replace(c, r"(?dm)^([ \t]*)\|\}(?!\})", f"$1{D2}")
     c = repeat_nested(c, D1, D2, lambda t: F.regexp_replace(t, f"{D1}[^{D1}{D2}]*{D2}", ""))
@@ -160,17 +167,22 @@ def apply_tag_policy(c: Column, policy: TagPolicy | None = None) -> Column:
     """All tag rules: keep, unwrap, delete with content, rewrite; unknown tags go."""
     policy = policy or TagPolicy()
     actions = policy.actions()
-    c = delete_tags(c, policy.having("delete"))
-    c = delete_unknown(c, list(actions))
-    c = unwrap_tags(c, policy.having("unwrap"))
-    c = resolve_spans(c) if actions.get("span") == "unwrap" else c
-    return rewrite_tags(c, policy)
+
+    def all_rules(t: Column) -> Column:
+        t = delete_tags(t, policy.having("delete"))
+        t = delete_unknown(t, list(actions))
+        t = resolve_spans(t)
+        t = unwrap_tags(t, policy.having("unwrap"))
+        return rewrite_tags(t, policy)
+
+    return where_contains(c, "<", all_rules)
 
 
 def apply_markup_policy(c: Column, policy: TagPolicy | None = None) -> Column:
     """The same policy for wiki markup that stands for tags: tables, rules, lists, quotes."""
     policy = policy or TagPolicy()
-    c = F.regexp_replace(drop_wiki_tables(c), "(?dm)^-{4,}", "")
+    c = drop_wiki_tables(c)
+    c = where_contains(c, "----", lambda t: F.regexp_replace(t, "(?dm)^-{4,}", ""))
     c = space_definitions(c)
     return c if policy.styled else plain_quotes(c)
 

@@ -6,19 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dims import BIG_PREFIXES, PARSER_FUNCTIONS, TemplatePolicy
-from .text import PY_WS, let, nesting, py_strip, repeat_nested, rewrite_matches
+from .sections import drop_sections, level2
+from .text import PY_WS, let, nesting, nfkc, py_strip, repeat_nested, rewrite_matches, where_contains
 
 T1, T2 = "\ufdd2", "\ufdd3"  # a settled template
-B1, B2 = "\ufdd4", "\ufdd5"  # single braces while {{ }} is at work
+O, C = "\ufdd4", "\ufdd5"  # {{ and }}, so that a single brace is an ordinary character
 P1, P2 = "\ufdd6", "\ufdd7"  # parameter references {{{x}}}
 I1, I2 = "\ufdd8", "\ufdd9"  # a settled template inside another one
 BAR, EQ = "\ufdda", "\ufddb"  # | and = inside an inner template
 
-INNERMOST = r"\{\{([^{}]*)\}\}"
+INNERMOST = f"{O}([^{O}{C}]*){C}"
 
 
 def magic_templates(c: Column) -> Column:
     """{{!}} becomes a bar; table-end templates become the end of a table."""
+    return where_contains(c, "{{", _magic)
+
+
+def _magic(c: Column) -> Column:
     tail = rf"{PY_WS}*(?:\|[^{{}}]*)?\}}\}}"
     c = F.regexp_replace(c, rf"\{{\{{{PY_WS}*!{tail}", "|")
     names = rf"(?:[Ee]nd|[Jj]ctbtm|{PY_WS}+(?:end|jctbtm))"
@@ -44,29 +49,39 @@ def is_parser_function(name: Column) -> Column:
 
 
 def _hide(c: Column) -> Column:
-    c = F.regexp_replace(c, r"(?<!\{)\{\{\{([^{}]*)\}\}\}(?!\})", f"{P1}$1{P2}")
-    c = F.regexp_replace(c, r"(?<!\{)\{(?!\{)", B1)
-    return F.regexp_replace(c, r"(?<!\})\}(?!\})", B2)
+    def params(t: Column) -> Column:
+        return F.regexp_replace(t, r"(?<!\{)\{\{\{([^{}]*)\}\}\}(?!\})", f"{P1}$1{P2}")
+
+    c = where_contains(c, "{{{", params)
+    return F.replace(F.replace(c, F.lit("{{"), F.lit(O)), F.lit("}}"), F.lit(C))
+
+
+_MARKERS = ((O, "{{"), (C, "}}"), (T1, "{{"), (T2, "}}"), (I1, "{{"), (I2, "}}"),
+            (P1, "{{{"), (P2, "}}}"), (BAR, "|"), (EQ, "="))
 
 
 def _show(c: Column) -> Column:
-    for marker, text in ((T1, "{{"), (T2, "}}"), (I1, "{{"), (I2, "}}"), (P1, "{{{"), (P2, "}}}")):
+    for marker, text in _MARKERS:
         c = F.replace(c, F.lit(marker), F.lit(text))
-    return F.translate(c, B1 + B2 + BAR + EQ, "{}|=")
+    return c
 
 
 def _rounds(c: Column, step) -> Column:
-    return repeat_nested(_hide(c), "{{", "}}", step)
+    return where_contains(c, "{{", lambda t: _show(repeat_nested(_hide(t), O, C, step)))
 
 
 def mark_templates(c: Column) -> Column:
     """Every matched template, at any depth, between two markers."""
-    return _rounds(c, lambda t: F.regexp_replace(t, INNERMOST, f"{T1}$1{T2}"))
+    return repeat_nested(_hide(c), O, C, lambda t: F.regexp_replace(t, INNERMOST, f"{T1}$1{T2}"))
 
 
-def raw_names(c: Column) -> Column:
+def marked_names(marked: Column) -> Column:
     """Raw names of all matched templates in document order, nested ones included."""
-    return F.regexp_extract_all(mark_templates(c), F.lit(f"{T1}([^{T1}{T2}|]*)"), 1)
+    return F.regexp_extract_all(marked, F.lit(f"{T1}([^{T1}{T2}|]*)"), 1)
+
+
+def raw_names(c: Column) -> Column:
+    return marked_names(mark_templates(c))
 
 
 def census_names(c: Column) -> Column:
@@ -86,12 +101,12 @@ def template_occurrences(
 
 
 def _invocation_name(template: Column) -> Column:
-    """Name of `{{body}}` given with its braces."""
-    return F.regexp_extract(template, r"\A\{\{([^|{}]*)", 1)
+    """Name of a template given with its markers."""
+    return F.substring_index(_inside(template), "|", 1)
 
 
 def _inside(template: Column) -> Column:
-    return template.substr(F.lit(3), F.length(template) - 4)
+    return template.substr(F.lit(2), F.length(template) - 2)
 
 
 def apply_template_policy(c: Column, policy: TemplatePolicy) -> Column:
@@ -107,17 +122,15 @@ def apply_template_policy(c: Column, policy: TemplatePolicy) -> Column:
             F.concat(F.lit(T1), _inside(template), F.lit(T2)),
         ).otherwise(F.lit(""))
 
-    return _show(_rounds(c, lambda t: rewrite_matches(t, r"\{\{[^{}]*\}\}", settle)))
+    return _rounds(c, lambda t: rewrite_matches(t, INNERMOST, settle))
 
 
-def unsupported_names(c: Column, policy: TemplatePolicy) -> Column:
-    """Names of all dropped templates, one entry per use, the short description aside."""
-    return F.filter(policy_names(c), lambda n: ~policy.keeps(n) & (n != "short description"))
-
-
-def has_empty_name(c: Column) -> Column:
-    """A template without any name makes the page fail."""
-    return F.array_contains(raw_names(c), "")
+def unsupported_names(names: Column, policy: TemplatePolicy) -> Column:
+    """The dropped ones among raw names, in policy form, the short description aside."""
+    return F.filter(
+        F.transform(names, template_name),
+        lambda n: ~policy.keeps(n) & (n != "short description"),
+    )
 
 
 def invocations(c: Column) -> Column:
@@ -131,7 +144,7 @@ def invocations(c: Column) -> Column:
         found = F.regexp_extract_all(state["text"], F.lit(INNERMOST), 1)
         settled = rewrite_matches(
             state["text"],
-            r"\{\{[^{}]*\}\}",
+            INNERMOST,
             lambda t: F.concat(F.lit(I1), F.translate(_inside(t), "|=", BAR + EQ), F.lit(I2)),
         )
         return F.struct(settled.alias("text"), F.concat(state["found"], found).alias("found"))
@@ -140,7 +153,7 @@ def invocations(c: Column) -> Column:
     return let(
         _hide(c),
         lambda t: F.aggregate(
-            F.array_repeat(F.lit(0), nesting(t, "{{", "}}")),
+            F.array_repeat(F.lit(0), nesting(t, O, C)),
             F.struct(t.alias("text"), empty.alias("found")),
             gather,
             lambda s: s["found"],
@@ -201,15 +214,13 @@ def template_params(pages: DataFrame, text: str = "wikitext", key: str = "pageid
 _SHORT = rf"(?:[Ss]|{PY_WS}+s)hort[ _]description{PY_WS}*"
 
 
-def raw_short_description(c: Column) -> Column:
+def marked_short_description(marked: Column) -> Column:
     """Parameter 1 of the short description, trimmed; empty string if there is none.
 
     Of several, the first one in the last level-2 section that has any counts.
     """
-    from .sections import level2
-
-    marked = mark_templates(c)
-    carriers = F.filter(level2(marked), lambda s: s.rlike(f"{T1}{_SHORT}[|{T2}]"))
+    carries = f"{T1}{_SHORT}[|{T2}]"
+    carriers = F.filter(level2(marked), lambda s: s.rlike(carries))
 
     def value(section: Column) -> Column:
         body = F.regexp_extract(section, f"{T1}({_SHORT}(?:\\|[^{T1}{T2}]*)?){T2}", 1)
@@ -222,6 +233,15 @@ def raw_short_description(c: Column) -> Column:
     )
 
 
+def with_short_description(
+    pages: DataFrame, text: str = "wikitext", out: str = "description"
+) -> DataFrame:
+    """Adds the NFKC short description; null for none."""
+    raw = pages.withColumn(out, marked_short_description(mark_templates(F.col(text))))
+    normal = raw.withColumn(out, nfkc(F.col(out)))
+    return normal.withColumn(out, finish_description(F.col(out)))
+
+
 def finish_description(normalised: Column) -> Column:
     """Null for the words that stand for no description."""
     return F.when(~normalised.isin("", "none"), py_strip(normalised))
@@ -235,13 +255,12 @@ def drop_big_templates(c: Column, prefixes: tuple[str, ...] = BIG_PREFIXES) -> C
             census_name(_invocation_name(template)).rlike(rf"\A(?:{big})"), F.lit("")
         ).otherwise(F.concat(F.lit(T1), _inside(template), F.lit(T2)))
 
-    return _show(_rounds(c, lambda t: rewrite_matches(t, r"\{\{[^{}]*\}\}", settle)))
+    return _rounds(c, lambda t: rewrite_matches(t, INNERMOST, settle))
 
 
 def streamline(c: Column, extra_prefixes: tuple[str, ...] = ()) -> Column:
     """Text as a census sees it: without the sections, tables, references and
     page-sized templates that never reach the output."""
-    from .sections import drop_sections
     from .tags import delete_tags, drop_wiki_tables, hide_opaque, show_opaque
 
     c = drop_sections(hide_opaque(c, comments=False), nested=False)
@@ -259,9 +278,12 @@ def invocation_segments(c: Column) -> Column:
         inner = F.translate(_inside(template), T1 + T2, I1 + I2)
         return F.concat(F.lit(T1), inner, F.lit(T2))
 
-    marked = _rounds(c, lambda t: rewrite_matches(t, r"\{\{[^{}]*\}\}", settle))
-    cut = F.split(F.regexp_replace(marked, f"{T1}[^{T1}{T2}]*{T2}", f"{BAR}$0{BAR}"), BAR)
-    return F.transform(cut, _show)
+    def cut(t: Column) -> Column:
+        marked = repeat_nested(_hide(t), O, C, lambda x: rewrite_matches(x, INNERMOST, settle))
+        pieces = F.split(F.regexp_replace(marked, f"{T1}[^{T1}{T2}]*{T2}", f"{BAR}$0{BAR}"), BAR)
+        return F.transform(pieces, _show)
+
+    return let(c, lambda t: F.when(t.contains("{{"), cut(t)).otherwise(F.array(t)))
 
 
 def _escape(literal: str) -> str:

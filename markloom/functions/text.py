@@ -16,15 +16,16 @@ never valid in interchanged text, and `guard` removes strays on entry.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every code point Python's str.strip / str.split / re `\s` treats as a space.
 PY_WS = r"[\t-\r\x1c-\x20\x85\xa0\p{Z}]"
+_WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 # Deepest nesting that the wiki parser itself follows; deeper markup is plain text there.
 MAX_NESTING = 40
@@ -43,7 +44,7 @@ def let(c: Column, fn: Callable[[Column], Column]) -> Column:
 
 
 def py_strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{PY_WS}++|(?<!{PY_WS}){PY_WS}++\z", "")
+    return F.btrim(c, F.lit(_WS_CHARS))
 
 
 def py_split(c: Column) -> Column:
@@ -53,11 +54,15 @@ def py_split(c: Column) -> Column:
 
 @F.arrow_udf("string")
 def _nfkc(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFKC")
+    normal = (None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist())
+    return pa.array(normal, type=pa.string())
 
 
 def nfkc(c: Column) -> Column:
-    """NFKC form. Only rows with non-ASCII text travel to Python; ASCII is already normal."""
+    """NFKC form. Only rows with non-ASCII text travel to Python; ASCII is already normal.
+
+    Give it a plain column: an expression with lambdas goes into a column first.
+    """
     return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7f]"), c)), c)
 
 
@@ -83,10 +88,24 @@ def count_of(c: Column, literal: str) -> Column:
     return ((F.length(c) - F.length(F.replace(c, F.lit(literal), F.lit("")))) / len(literal)).cast("long")
 
 
+def where_contains(c: Column, literal: str, fn: Callable[[Column], Column]) -> Column:
+    """Apply `fn` only to texts that contain the literal.
+
+    A byte search is far cheaper than a pass of a regular expression.
+    """
+    return let(c, lambda t: F.when(t.contains(literal), fn(t)).otherwise(t))
+
+
 def rewrite_matches(c: Column, pattern: str, fn: Callable[[Column], Column]) -> Column:
     """Replace each match of `pattern` by `fn(match)`. One linear pass."""
-    parts = F.split(F.regexp_replace(c, pattern, f"{MARK}$0{MARK}"), MARK)
-    return F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, fn(p)).otherwise(p)), "")
+
+    def rewrite(marked: Column) -> Column:
+        parts = F.split(marked, MARK)
+        return F.array_join(
+            F.transform(parts, lambda p, i: F.when(i % 2 == 1, fn(p)).otherwise(p)), ""
+        )
+
+    return where_contains(F.regexp_replace(c, pattern, f"{MARK}$0{MARK}"), MARK, rewrite)
 
 
 def nesting(c: Column, opener: str, closer: str) -> Column:
@@ -109,8 +128,9 @@ def nesting(c: Column, opener: str, closer: str) -> Column:
 
 def repeat_nested(c: Column, opener: str, closer: str, step: Callable[[Column], Column]) -> Column:
     """Run `step`, which settles the innermost pairs, once per nesting level."""
-    return let(
+    return where_contains(
         c,
+        opener,
         lambda t: F.aggregate(
             F.array_repeat(F.lit(0), nesting(t, opener, closer)), t, lambda acc, _: step(acc)
         ),

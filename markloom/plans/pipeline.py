@@ -30,9 +30,10 @@ from ..functions.tags import (
 from ..functions.templates import (
     apply_template_policy,
     finish_description,
-    has_empty_name,
     magic_templates,
-    raw_short_description,
+    mark_templates,
+    marked_names,
+    marked_short_description,
     unsupported_names,
 )
 from ..functions.text import guard, let, nfkc
@@ -64,13 +65,16 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
     out = out.withColumn("pre_first", first)
     # Sections are cut before templates go, and dropped templates are counted in kept text only.
     out = out.withColumn("pre_first", join_sections(level2(F.col("pre_first"))))
+    out = out.withColumn("pre_marked", mark_templates(F.col("pre_first")))
+    out = out.withColumn("pre_names", marked_names(F.col("pre_marked")))
+    empty = F.array_contains("pre_names", "")
     out = (
-        out.withColumn("pre_error", F.when(has_empty_name(F.col("pre_first")), "empty template name"))
-        .withColumn("pre_description", raw_short_description(F.col("pre_first")))
-        .withColumn("pre_unsupported", unsupported_names(F.col("pre_first"), policy))
+        out.withColumn("pre_error", F.when(empty, "empty template name"))
+        .withColumn("pre_description", marked_short_description(F.col("pre_marked")))
+        .withColumn("pre_unsupported", unsupported_names(F.col("pre_names"), policy))
         .withColumn("pre_wikitext", show_opaque(apply_template_policy(F.col("pre_first"), policy)))
     )
-    return out.drop("pre_hidden", "pre_first")
+    return out.drop("pre_hidden", "pre_first", "pre_marked", "pre_names")
 
 
 def postprocess_text(c: Column, policy: TagPolicy | None = None) -> Column:

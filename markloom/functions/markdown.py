@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -125,9 +126,7 @@ def decode_entities(c: Column) -> Column:
     # Frequent names come first: a map literal is searched in order.
     first = ("nbsp", "ndash", "mdash", "amp", "minus", "times", "thinsp", "lt", "gt", "quot", "deg")
     order = [*first, *sorted(set(named) - set(first))]
-    table = F.map_from_arrays(
-        F.array(*[F.lit(k) for k in order]), F.array(*[F.lit(named[k]) for k in order])
-    )
+    table = F.from_json(F.lit(json.dumps({k: named[k] for k in order})), "map<string,string>")
 
     def decoded(e: Column) -> Column:
         name = e.substr(F.lit(2), F.length(e) - 2)
@@ -302,7 +301,8 @@ def _line(line: Column) -> Column:
         .when(first.isin("*", "#", ":", ";"), _bullet_line(line))
         .when(first == "=", _heading_line(line))
         .when(first == " ", _code_line(line))
-        .when(first.isin(Q1, Q2, BLOCK), line)
+        .when(first.isin(Q1, Q2), _wrap(BLOCK, line))
+        .when(first == BLOCK, line)
         .otherwise(_wrap(PARA, line))
     )
 
@@ -324,8 +324,9 @@ def blocks_to_markdown(c: Column) -> Column:
     c = F.replace(c, F.lit(f"{PARA}\n{PARA}"), F.lit(" "))
     for kind in (LIST, CODE):
         c = F.replace(c, F.lit(f"{kind}\n{kind}"), F.lit("\n"))
-    c = F.regexp_replace(c, f"[{kinds}{Q2}]\n[{kinds}{Q1}]", "\n\n")
+    c = F.regexp_replace(c, f"[{kinds}]\n[{kinds}]", "\n\n")
     c = F.regexp_replace(c, f"[{kinds}]", "")
+    c = F.btrim(F.regexp_replace(c, "\n{3,}", "\n\n"), F.lit("\n"))
     c = where_contains(c, Q1, _quote_blocks)
     c = F.replace(c, F.lit(BREAK), F.lit("\n"))
     return let(

@@ -198,20 +198,24 @@ def tag_names(c: Column) -> Column:
 
 def markup_tag_names(c: Column) -> Column:
     """Tag names that wiki markup stands for: list items, rules, tables, bold and italics."""
-    kinds = (
-        ("li", r"(?dm)(?:^|(?<=[*#:;]))([*#])(?<=^[*#:;]{1,40})"),
-        ("dd", r"(?dm)(?:^|(?<=[*#:;]))(:)(?<=^[*#:;]{1,40})"),
-        ("dt", r"(?dm)(?:^|(?<=[*#:;]))(;)(?<=^[*#:;]{1,40})"),
-        ("hr", r"(?dm)^(-{4,})"),
-        ("table", r"(?dm)^[ \t:]*(\{\|)"),
-        ("b", r"(?<!')('''(?:'')?)(?!')[^\n]*?(?<!')\1(?!')"),
-        ("i", r"(?<!')(''(?:''')?)(?!')[^\n]*?(?<!')\1(?!')"),
+    markers = F.split(
+        F.array_join(F.regexp_extract_all(c, F.lit(r"(?dm)^([*#:;]+)"), 1), ""), ""
     )
-    return F.flatten(
-        F.array(
-            *[F.transform(F.regexp_extract_all(c, F.lit(p), 1), lambda _, n=n: F.lit(n)) for n, p in kinds]
-        )
+    items = F.transform(
+        F.filter(markers, lambda m: m != ""),
+        lambda m: F.when(m == ":", "dd").when(m == ";", "dt").otherwise("li"),
+    )
+
+    def named(name: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(c, F.lit(pattern), 1), lambda _: F.lit(name))
+
+    others = (
+        named("hr", r"(?dm)^(-{4,})"),
+        named("table", r"(?dm)^[ \t:]*(\{\|)"),
+        named("b", r"(?<!')('''(?:'')?)(?!')[^\n]*?(?<!')\1(?!')"),
+        named("i", r"(?<!')(''(?:''')?)(?!')[^\n]*?(?<!')\1(?!')"),
     )
+    return F.concat(items, *others)
 
 
 def tag_occurrences(
@@ -221,9 +225,8 @@ def tag_occurrences(
 
     `markup` adds the wiki-markup counterparts of tags.
     """
-    names = tag_names(F.col(text))
-    if markup:
-        names = F.concat(names, markup_tag_names(F.col(text)))
+    found = F.col(text)
+    names = F.concat(tag_names(found), markup_tag_names(found)) if markup else tag_names(found)
     return pages.select(key, F.explode(names).alias("name"))
 
 

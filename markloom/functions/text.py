@@ -22,6 +22,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Every code point Python's str.strip / str.split / re `\s` treats as a space.
 PY_WS = r"[\t-\r\x1c-\x20\x85\xa0\p{Z}]"
@@ -52,7 +53,7 @@ def py_split(c: Column) -> Column:
     return F.filter(F.split(c, f"{PY_WS}+"), lambda x: x != "")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
     normal = (None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist())
     return pa.array(normal, type=pa.string())

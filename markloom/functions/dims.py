@@ -145,6 +145,22 @@ def lower_first(name: str) -> str:
     return name[:1].lower() + name[1:]
 
 
+SEPARATOR = "\x1f"
+
+
+def is_one_of(name: Column, names: Iterable[str]) -> Column:
+    """Membership in a fixed set of names.
+
+    A few hundred names are cheapest as one literal to search in; a literal per
+    name makes the plan slow to build. Larger sets are hashed by Spark.
+    """
+    names = sorted(names)
+    if len(names) > 2_000:
+        return name.isin(*names)
+    joined = F.lit(SEPARATOR + SEPARATOR.join(names) + SEPARATOR)
+    return F.contains(joined, F.concat(F.lit(SEPARATOR), name, F.lit(SEPARATOR)))
+
+
 @dataclass(frozen=True)
 class TemplatePolicy:
     """Which templates survive the clean-up. All names are in first-letter-lowered form."""
@@ -177,7 +193,7 @@ class TemplatePolicy:
     def keeps(self, name: Column) -> Column:
         """True for a normalised template name that stays in the text."""
         return (
-            name.isin(*sorted(self.keep))
+            is_one_of(name, self.keep)
             | name.rlike(f"^(?:{'|'.join(self.families)})$")
             | name.startswith(self.prefix)
             | F.substring_index(name, ":", 1).isin(*self.functions)

@@ -10,7 +10,10 @@ from .text import nfkc, py_strip, repeat_nested, where_contains
 L1, L2 = "\ufdd2", "\ufdd3"  # a link that stays in the text
 O, C = "\ufdd4", "\ufdd5"  # [[ and ]], so that a single bracket is an ordinary character
 
-_TITLE = rf"[^{O}{C}|\n]*"
+NOW, END = "\ufdd6", "\ufdd7"  # a link of the current round
+
+_ANY = f"[^{NOW}{END}]"
+_TITLE = rf"[^{NOW}{END}|\n]*"
 _SCHEME = r"(?:https?|s?ftps?|git|gopher|ircs?|mms|nntp|redis|ssh|svn|telnet|worldwind):"
 
 
@@ -24,10 +27,17 @@ def drop_switches(c: Column) -> Column:
 
 
 def _rounds(c: Column, *rules: tuple[str, str]) -> Column:
+    """Settle links from the innermost outwards.
+
+    Each round first marks the links that are innermost now, and the rules see
+    only those; a link that becomes innermost meanwhile waits for the next round.
+    """
+
     def step(t: Column) -> Column:
+        t = F.regexp_replace(t, f"{O}([^{O}{C}]*){C}", f"{NOW}$1{END}")
         for pattern, replacement in rules:
             t = F.regexp_replace(t, pattern, replacement)
-        return t
+        return F.replace(F.replace(t, F.lit(NOW), F.lit(L1)), F.lit(END), F.lit(L2))
 
     def links(t: Column) -> Column:
         t = F.replace(F.replace(t, F.lit("[["), F.lit(O)), F.lit("]]"), F.lit(C))
@@ -39,23 +49,21 @@ def _rounds(c: Column, *rules: tuple[str, str]) -> Column:
     return where_contains(c, "[[", links)
 
 
-_MEDIA = (rf"(?i){O}(?:File|Image|Media):[^{O}{C}]*{C}", "")
-# Any other link is masked in its round, so that the link around it becomes innermost.
-_MASK_OTHERS = (rf"{O}([^{O}{C}]*){C}", f"{L1}$1{L2}")
+_MEDIA = (rf"(?i){NOW}(?:File|Image|Media):{_ANY}*{END}", "")
 _PLAIN_LINKS = (
-    (rf"{O}{_TITLE}\|([^{O}{C}]+){C}", "$1"),
-    (rf"{O}({_TITLE})\|?{C}", "$1"),
+    (rf"{NOW}{_TITLE}\|({_ANY}+){END}", "$1"),
+    (rf"{NOW}({_TITLE})\|?{END}", "$1"),
 )
 _CATEGORY_IN_PLACE = (
-    (rf"(?i){O}(Category:)({_TITLE})\|?{C}", f"{L1}$1$2|$2{L2}"),
-    (rf"(?i){O}(Category:{_TITLE}\|)(?:Category:)?([^{O}{C}]+){C}", f"{L1}$1$2{L2}"),
+    (rf"(?i){NOW}(Category:)({_TITLE})\|?{END}", f"{L1}$1$2|$2{L2}"),
+    (rf"(?i){NOW}(Category:{_TITLE}\|)(?:Category:)?({_ANY}+){END}", f"{L1}$1$2{L2}"),
 )
-_CATEGORY_DROP = (rf"(?i){O}Category:{_TITLE}{C}", "")
+_CATEGORY_DROP = (rf"(?i){NOW}Category:{_TITLE}{END}", "")
 
 
 def drop_media(c: Column) -> Column:
     """File, image and media links, together with the links inside their captions."""
-    return _rounds(c, _MEDIA, _MASK_OTHERS)
+    return _rounds(c, _MEDIA)
 
 
 def links_to_text(c: Column) -> Column:
@@ -68,7 +76,7 @@ def clean_categories(c: Column, after_expansion: bool = False) -> Column:
 
     After template expansion a category link without text is dropped instead.
     """
-    return _rounds(c, *_category_rules(after_expansion), _MASK_OTHERS)
+    return _rounds(c, *_category_rules(after_expansion))
 
 
 def _category_rules(after_expansion: bool) -> tuple[tuple[str, str], ...]:

@@ -273,7 +273,9 @@ def _bullet_line(line: Column) -> Column:
     content = py_strip(F.regexp_extract(line, shape, 3))
     outer = item.substr(F.lit(1), F.length(item) - 1)
     indent = F.replace(F.replace(outer, F.lit("*"), F.lit("  ")), F.lit("#"), F.lit("    "))
-    ordered = F.concat(F.rpad(F.concat(number, F.lit(".")), 3, " "), F.lit(" "))
+    # Markers are four wide; longer numbers take the room they need.
+    pad = F.repeat(F.lit(" "), F.greatest(F.lit(3) - F.length(number), F.lit(1)))
+    ordered = F.concat(number, F.lit("."), pad)
     bullet = F.when(item.endswith("#"), ordered).otherwise(F.lit("- "))
     return F.when(
         item != "", _wrap(LIST, _cover(F.concat(indent, bullet)), content)

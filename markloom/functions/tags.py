@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dims import TAGS_OPAQUE, TagPolicy
+from .dims import TAGS_OPAQUE, TagPolicy, is_one_of
 from .text import let, nesting, py_strip, repeat_nested, rewrite_matches, where_contains
 
 D1, D2 = "\ufdd2", "\ufdd3"  # around a tag pair that is about to go
@@ -79,7 +79,7 @@ def delete_unknown(c: Column, known: Iterable[str]) -> Column:
     """Remove tags no policy names, if they are closed; an unclosed one is just text."""
     def unknown(t: Column) -> Column:
         ends = F.concat(_found(t, rf"</({NAME})\s*>"), _found(t, rf"<({NAME}){_ATTRS}/>"))
-        return F.filter(F.array_distinct(ends), lambda n: ~n.isin(*known))
+        return F.filter(F.array_distinct(ends), lambda n: ~is_one_of(n, known))
 
     return let(c, lambda t: _delete_each(t, unknown(t)))
 
@@ -232,7 +232,7 @@ def tag_occurrences(
 
 def unsupported_tag_names(c: Column, policy: TagPolicy | None = None) -> Column:
     known = list((policy or TagPolicy()).actions())
-    return F.filter(tag_names(c), lambda n: ~n.isin(*known))
+    return F.filter(tag_names(c), lambda n: ~is_one_of(n, known))
 
 
 def parse_attributes(opening_tag: Column) -> Column:

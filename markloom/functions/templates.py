@@ -50,7 +50,10 @@ def is_parser_function(name: Column) -> Column:
 
 def _hide(c: Column) -> Column:
     def params(t: Column) -> Column:
-        return F.regexp_replace(t, r"(?<!\{)\{\{\{([^{}]*)\}\}\}(?!\})", f"{P1}$1{P2}")
+        value = r"[^{}]*+(?:\{\{[^{}]*+\}\}[^{}]*+)*+"
+        return F.regexp_replace(
+            t, rf"(?<!\{{)\{{\{{\{{({value})\}}\}}\}}(?!\}})", f"{P1}$1{P2}"
+        )
 
     c = where_contains(c, "{{{", params)
     return F.replace(F.replace(c, F.lit("{{"), F.lit(O)), F.lit("}}"), F.lit(C))

@@ -119,7 +119,7 @@ def nesting(c: Column, opener: str, closer: str) -> Column:
         return F.struct(
             F.when(up, s["open"] + 1).otherwise(F.greatest(s["open"] - 1, F.lit(0))).alias("open"),
             F.when(up, F.greatest(s["deepest"], s["open"] + 1)).otherwise(s["deepest"]).alias("deepest"),
-            F.when(up, s["closed"]).otherwise(s["closed"] + 1).alias("closed"),
+            F.when(up | (s["open"] == 0), s["closed"]).otherwise(s["closed"] + 1).alias("closed"),
         )
 
     return F.aggregate(

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 WIKI_SRC = """
 SELECT p_partkey AS pageid, p_name AS title, 'en' AS lang, p_partkey*10+1 AS revid,
  CASE WHEN p_size % 3 = 0 THEN 'f' ELSE 'g' END AS articletype,
@@ -46,16 +48,16 @@ FROM documents
 """
 
 
-def _derive(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def _derive(spark: SparkSession, sf_dir: str, table: str, key: str, sql: str) -> DataFrame:
+    rows = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), key)
     # `SELECT ... FROM table` over a DataFrame, without registering a view.
     columns = sql.strip().removeprefix("SELECT").removesuffix(f"FROM {table}").strip()
     return rows.select(F.expr(f"struct({columns})").alias("row")).select("row.*")
 
 
 def wiki_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, "part", WIKI_SRC)
+    return _derive(spark, sf_dir, "part", "p_partkey", WIKI_SRC)
 
 
 def wiki_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, "documents", WIKI_DOCS)
+    return _derive(spark, sf_dir, "documents", "doc_id", WIKI_DOCS)

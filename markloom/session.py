@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +27,11 @@ def build_session(app: str = "markloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="markloom-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables, below the shared folder of the cluster.
 
@@ -36,6 +42,17 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="markloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a table with too few files for the cores, spread over all of them.
+
+    Text work is heavy per row, and one small file is one task. Tables with
+    enough files stay as they are, so nothing large is ever shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, key)

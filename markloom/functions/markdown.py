@@ -100,20 +100,24 @@ def clean_markdown(c: Column) -> Column:
 
 def is_corrupt(c: Column) -> Column:
     """True where paired tags or link and template brackets do not balance."""
-    opened = F.regexp_extract_all(c, F.lit(rf"(?i)<({PAIRED})(?:\s[^<>]*)?(?<!/)>"), 1)
-    closed = F.regexp_extract_all(c, F.lit(rf"(?i)</({PAIRED})\s*>"), 1)
 
-    def names(tags: Column) -> Column:
-        return F.array_sort(F.transform(tags, F.lower))
+    def names(t: Column, pattern: str) -> Column:
+        found = F.regexp_extract_all(t, F.lit(rf"(?i){pattern}"), 1)
+        return F.array_sort(F.transform(found, F.lower))
 
-    def brackets(t: Column, opener: str, closer: str) -> Column:
-        def length_without(s: str) -> Column:
-            return F.length(F.replace(t, F.lit(s), F.lit("")))
+    def tags_differ(t: Column) -> Column:
+        opened = names(t, rf"<({PAIRED})(?:\s[^<>]*)?(?<!/)>")
+        return opened != names(t, rf"</({PAIRED})\s*>")
 
-        return length_without(opener) != length_without(closer)
+    def brackets_differ(t: Column) -> Column:
+        def without(bracket: str) -> Column:
+            return F.length(F.replace(t, F.lit(bracket), F.lit("")))
 
-    return (names(opened) != names(closed)) | let(
-        hide_opaque(c), lambda t: brackets(t, "[[", "]]") | brackets(t, "{{", "}}")
+        return (without("[[") != without("]]")) | (without("{{") != without("}}"))
+
+    return let(
+        c,
+        lambda t: (t.contains("<") & tags_differ(t)) | let(hide_opaque(t), brackets_differ),
     )
 
 

@@ -20,7 +20,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,16 @@ def let(c: Column, fn: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), fn), F.lit(0))
 
 
+def settle(df: DataFrame, name: str, c: Column) -> DataFrame:
+    """Add a column that is computed once per row, whatever happens above it.
+
+    Spark moves a filter below the projections it depends on and repeats their
+    expressions in it. It does not move one below a generator that makes its
+    column, so a one-element explode keeps long text work from running twice.
+    """
+    return df.select("*", F.explode(F.array(c)).alias(name))
+
+
 def py_strip(c: Column) -> Column:
     return F.btrim(c, F.lit(_WS_CHARS))
 

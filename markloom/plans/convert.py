@@ -36,7 +36,7 @@ from ..functions.templates import (
     marked_short_description,
     unsupported_names,
 )
-from ..functions.text import guard, let, nfkc
+from ..functions.text import guard, let, nfkc, settle
 from ..operators.expand import expand_by_dictionary
 
 
@@ -62,9 +62,8 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
     out = pages.withColumn("pre_hidden", hide_opaque(guard(F.col("wikitext"))))
     out = out.withColumn("pre_categories", raw_categories(F.col("pre_hidden")))
     first = join_flat(drop_switches(magic_templates(resolve_links(F.col("pre_hidden")))))
-    out = out.withColumn("pre_first", first)
     # Sections are cut before templates go, and dropped templates are counted in kept text only.
-    out = out.withColumn("pre_first", join_sections(level2(F.col("pre_first"))))
+    out = settle(out, "pre_first", join_sections(level2(first)))
     out = out.withColumn("pre_marked", mark_templates(F.col("pre_first")))
     out = out.withColumn("pre_names", marked_names(F.col("pre_marked")))
     empty = F.array_contains("pre_names", "")
@@ -97,7 +96,7 @@ def postprocess(
     tagged = apply_markup_policy(apply_tag_policy(F.col("post_cut"), policy), policy)
     out = out.withColumn("post_tagged", tagged)
     linked = external_to_text(resolve_links(F.col("post_tagged"), after_expansion=True))
-    out = out.withColumn("final_wikitext", finish(show_opaque(linked)))
+    out = settle(out, "final_wikitext", finish(show_opaque(linked)))
     return out.drop("post_cut", "post_tagged")
 
 

@@ -18,7 +18,7 @@ _SCHEME = r"(?:https?|s?ftps?|git|gopher|ircs?|mms|nntp|redis|ssh|svn|telnet|wor
 
 
 def drop_comments(c: Column) -> Column:
-    return F.regexp_replace(c, "(?s)<!--.*?-->", "")
+    return where_contains(c, "-->", lambda t: F.regexp_replace(t, "(?s)<!--.*?-->", ""))
 
 
 def drop_switches(c: Column) -> Column:

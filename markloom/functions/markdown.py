@@ -197,11 +197,11 @@ def _lists_from_tags(c: Column) -> Column:
     c = rewrite_matches(
         c,
         r"(?is)<ol(?:\s[^<>]*)?>.*?</ol\s*>",
-        lambda m: F.regexp_replace(m, r"(?i)\s*<li(?:\s[^<>]*)?>\s*", "\n# "),
+        lambda m: F.regexp_replace(m, r"(?i)(?<!\s)\s*+<li(?:\s[^<>]*)?>\s*", "\n# "),
     )
-    c = F.regexp_replace(c, r"(?i)\s*<li(?:\s[^<>]*)?>\s*", "\n* ")
+    c = F.regexp_replace(c, r"(?i)(?<!\s)\s*+<li(?:\s[^<>]*)?>\s*", "\n* ")
     c = F.regexp_replace(c, r"(?i)</li\s*>", "")
-    return F.regexp_replace(c, r"(?i)\s*</?[uo]l(?:\s[^<>]*)?>[ \t]*", "\n")
+    return F.regexp_replace(c, r"(?i)(?<!\s)\s*+</?[uo]l(?:\s[^<>]*)?>[ \t]*", "\n")
 
 
 def _number_items(c: Column) -> Column:
@@ -287,7 +287,7 @@ def _bullet_line(line: Column) -> Column:
 
 
 def _heading_line(line: Column) -> Column:
-    shape = r"\A(={1,6})([^\n]*[^=\n][^\n]*)\1[ \t]*\z"
+    shape = r"\A(={1,6})(=*+[^=\n][^\n]*)\1[ \t]*\z"
     hashes = F.repeat(F.lit("#"), F.length(F.regexp_extract(line, shape, 1)))
     title = py_strip(F.regexp_extract(line, shape, 2))
     return F.when(line.rlike(shape), _wrap(BLOCK, _cover(hashes), F.lit(" "), title)).otherwise(
@@ -323,9 +323,9 @@ def blocks_to_markdown(c: Column) -> Column:
 
     # Line kinds are settled before entities are decoded: a decoded star is no list marker.
     c = F.array_join(F.transform(F.split(c, "\n"), _line), "\n")
-    c = decode_entities(c)
+    # Runs of spaces collapse before entities are decoded: a written &#32; stays a space.
     c = where_contains(c, "  ", lambda t: F.regexp_replace(t, "[ \t]{2,}", " "))
-    c = _escape(c)
+    c = _escape(decode_entities(c))
 
     c = F.replace(c, F.lit(f"{PARA}\n{PARA}"), F.lit(" "))
     for kind in (LIST, CODE):
@@ -344,9 +344,9 @@ def _tags_to_markdown(c: Column) -> Column:
     c = _opaque_to_markdown(c)
     c = F.regexp_replace(c, r"(?i)</?del(?:\s[^<>]*)?>", TILDE * 2)
     c = where_contains(c, "<li", _lists_from_tags)
-    c = F.regexp_replace(c, r"(?i)\s*<blockquote(?:\s[^<>]*)?>[ \t]*\n?", f"\n{Q1}\n")
-    c = F.regexp_replace(c, r"(?i)\s*</blockquote\s*>[ \t]*\n?", f"\n{Q2}\n")
-    c = F.regexp_replace(c, r"(?i)[ \t]*<br(?:\s[^<>]*)?/?>[ \t]*\n?", BREAK)
+    c = F.regexp_replace(c, r"(?i)(?<!\s)\s*+<blockquote(?:\s[^<>]*)?>[ \t]*\n?", f"\n{Q1}\n")
+    c = F.regexp_replace(c, r"(?i)(?<!\s)\s*+</blockquote\s*>[ \t]*\n?", f"\n{Q2}\n")
+    c = F.regexp_replace(c, r"(?i)(?<![ \t])[ \t]*+<br(?:\s[^<>]*)?/?>[ \t]*(?:\n(?!\n))?", BREAK)
     return F.regexp_replace(c, r"(?i)<(/?[a-z][a-z0-9]*(?:\s[^<>]*)?/?)>", f"{LT}$1{GT}")
 
 

@@ -11,14 +11,15 @@ from .dims import REMOVED_SECTIONS
 from .text import PY_WS, let, py_strip
 
 # A heading line: equal signs on both sides of a title; the shorter side gives the level.
-HEADING = r"^(={1,6})[^\n]*[^=\n][^\n]*\1[ \t]*$"
+# Written so that a failing line is given up in linear time.
+HEADING = r"^(={1,6})=*+[^=\n][^\n]*\1[ \t]*$"
 
 
 def _heading_at_most(level: int) -> str:
     if level >= 6:
         return HEADING
     deeper = f"={{{level + 1}}}"
-    return rf"^(?!{deeper}[^\n]*[^=\n][^\n]*{deeper}[ \t]*$)(={{1,{level}}})[^\n]*[^=\n][^\n]*\1[ \t]*$"
+    return rf"^(?!{deeper}=*+[^=\n][^\n]*{deeper}[ \t]*$)(={{1,{level}}})=*+[^=\n][^\n]*\1[ \t]*$"
 
 
 def split_at(c: Column, level: int = 6) -> Column:
@@ -28,12 +29,12 @@ def split_at(c: Column, level: int = 6) -> Column:
 
 def piece_level(piece: Column) -> Column:
     """Heading level of a piece, 0 for the lead."""
-    return F.length(F.regexp_extract(piece, rf"(?d)\A(={{1,6}})[^\n]*[^=\n][^\n]*\1[ \t]*(?:\n|\z)", 1))
+    return F.length(F.regexp_extract(piece, rf"(?d)\A(={{1,6}})=*+[^=\n][^\n]*\1[ \t]*(?:\n|\z)", 1))
 
 
 def piece_heading(piece: Column) -> Column:
     """Heading of a piece, trimmed and lower-cased; null for the lead."""
-    title = F.regexp_extract(piece, r"(?d)\A(={1,6})([^\n]*[^=\n][^\n]*)\1[ \t]*(?:\n|\z)", 2)
+    title = F.regexp_extract(piece, r"(?d)\A(={1,6})(=*+[^=\n][^\n]*)\1[ \t]*(?:\n|\z)", 2)
     return F.when(title != "", F.lower(py_strip(title)))
 
 

@@ -165,42 +165,40 @@ def invocations(c: Column) -> Column:
 
 
 def params_of(body: Column) -> Column:
-    """Parameters of a body as array<struct<param, value>>.
+    """Parameters of a body as array<struct<param, value>>, by name.
 
     Names are trimmed, values raw, empty values left out, and of two equal names
     the later one wins. Unnamed parameters are numbered from 1.
     """
 
-    def numbered(parts: Column) -> Column:
-        return F.transform(
-            parts,
-            lambda p, i: F.when(
-                p.contains("="),
-                F.struct(
-                    py_strip(F.substring_index(p, "=", 1)).alias("param"),
-                    _show(p.substr(F.instr(p, "=") + 1, F.length(p))).alias("value"),
-                ),
-            ).otherwise(
-                F.struct(
-                    F.size(
-                        F.filter(F.slice(parts, F.lit(1), i + 1), lambda q: ~q.contains("="))
-                    ).cast("string").alias("param"),
-                    _show(p).alias("value"),
-                )
+    def entry(param: Column, at: Column, value: Column) -> Column:
+        return F.struct(param.alias("param"), (-at).alias("at"), _show(value).alias("value"))
+
+    def entries(parts: Column) -> Column:
+        placed = F.transform(parts, lambda p, i: F.struct(i.alias("at"), p.alias("text")))
+        plain = F.transform(
+            F.filter(placed, lambda e: ~e["text"].contains("=")),
+            lambda e, i: entry((i + 1).cast("string"), e["at"], e["text"]),
+        )
+        named = F.transform(
+            F.filter(placed, lambda e: e["text"].contains("=")),
+            lambda e: entry(
+                py_strip(F.substring_index(e["text"], "=", 1)),
+                e["at"],
+                e["text"].substr(F.instr(e["text"], "=") + 1, F.length(e["text"])),
             ),
         )
+        return F.array_sort(F.filter(F.concat(plain, named), lambda e: e["value"] != ""))
+
+    def last_ones(ordered: Column) -> Column:
+        # Sorted by name, later ones first: the first of each name stays.
+        first = F.filter(
+            ordered, lambda e, i: (i == 0) | (F.get(ordered, i - 1)["param"] != e["param"])
+        )
+        return F.transform(first, lambda e: e.dropFields("at"))
 
     parts = let(F.split(body, r"\|"), lambda b: F.slice(b, F.lit(2), F.size(b)))
-    given = F.filter(let(parts, numbered), lambda e: e["value"] != "")
-    return let(
-        given,
-        lambda es: F.filter(
-            es,
-            lambda e, i: ~F.exists(
-                F.slice(es, i + 2, F.size(es)), lambda later: later["param"] == e["param"]
-            ),
-        ),
-    )
+    return let(let(parts, entries), last_ones)
 
 
 def template_params(pages: DataFrame, text: str = "wikitext", key: str = "pageid") -> DataFrame:

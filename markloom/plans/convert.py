@@ -41,16 +41,27 @@ from ..operators.expand import expand_by_dictionary
 
 
 def counter(names: Column) -> Column:
-    """Names counted inside the row, as map<string, bigint>; no shuffle."""
-    return let(
-        names,
-        lambda ns: F.map_from_entries(
-            F.transform(
-                F.array_sort(F.array_distinct(ns)),
-                lambda n: F.struct(n, F.size(F.filter(ns, lambda x: x == n)).cast("long")),
-            )
-        ),
-    )
+    """Names counted inside the row, as map<string, bigint>; no shuffle.
+
+    Counts are the distances between the starts of runs in the sorted names.
+    """
+
+    def runs(ns: Column) -> Column:
+        changes = lambda n, i: (i == 0) | (F.get(ns, i - 1) != n)
+        starts = F.filter(
+            F.transform(ns, lambda n, i: F.when(changes(n, i), i)), lambda i: i.isNotNull()
+        )
+        return let(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda s, j: F.struct(
+                    F.get(ns, s), (F.coalesce(F.get(at, j + 1), F.size(ns)) - s).cast("long")
+                ),
+            ),
+        )
+
+    return F.map_from_entries(let(F.array_sort(names), runs))
 
 
 def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFrame:

@@ -56,11 +56,20 @@ def flatten_expand_response(responses: DataFrame, col: str = "response") -> Data
     return responses.withColumn("wikitext", text).drop(col)
 
 
-def read_goldens(spark: SparkSession, directory: str) -> DataFrame:
-    """Expected pages from folders with `markdown.md` and `props.json`."""
+def read_goldens(
+    spark: SparkSession,
+    directory: str,
+    texts: str = "*/markdown.md",
+    props: str = "*/props.json",
+) -> DataFrame:
+    """Expected pages: one folder each, with a Markdown text and its properties.
+
+    `texts` and `props` say where both lie below `directory`; the name of the
+    folder they are in is the page.
+    """
     page = F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+\z", 1)
-    props = spark.read.schema(PROPS_SCHEMA).json(f"{directory}/*/props.json", multiLine=True)
-    texts = spark.read.text(f"{directory}/*/markdown.md", wholetext=True)
-    return props.withColumn("page", page).join(
-        texts.select(page.alias("page"), F.col("value").alias("markdown")), "page"
+    described = spark.read.schema(PROPS_SCHEMA).json(f"{directory}/{props}", multiLine=True)
+    written = spark.read.text(f"{directory}/{texts}", wholetext=True)
+    return described.withColumn("page", page).join(
+        written.select(page.alias("page"), F.col("value").alias("markdown")), "page"
     )

@@ -12,11 +12,12 @@ from ..operators import catalog
 from ..operators.quality import to_output
 from ..operators.ranking import peek
 from ..plans.fixtures import wiki_src
-from ..session import work_dir
+from ..session import spread, work_dir
 from ..sources.readers import (
     first_rows,
     flatten_expand_response,
     flatten_query_response,
+    read_goldens,
     read_pages,
     read_raw,
     read_splits,
@@ -109,6 +110,22 @@ def _(spark, sf_dir):
     return head.withColumn("categories", F.array_join("categories", "|"))
 
 
+@query(
+    "src7_read_goldens",
+    "SELECT s_suppkey AS pageid, concat('page=', CAST(s_suppkey AS VARCHAR)) AS page, s_name AS title, "
+    "concat('# ', s_name, chr(10)) AS markdown FROM supplier",
+)
+def _(spark, sf_dir):
+    base = work_dir(spark, "goldens")
+    supplier = spread(table(spark, sf_dir, "supplier"), "s_suppkey")
+    pages = supplier.withColumn("page", F.col("s_suppkey"))
+    pages.select("page", F.concat(F.lit("# "), "s_name").alias("value")).write.partitionBy("page").text(f"{base}/md")
+    props = F.to_json(F.struct(F.col("s_suppkey").alias("pageid"), F.col("s_name").alias("title")))
+    pages.select("page", props.alias("value")).write.partitionBy("page").text(f"{base}/props")
+    found = read_goldens(spark, base, "md/*/*.txt", "props/*/*.txt")
+    return found.select("pageid", "page", "title", "markdown")
+
+
 @query(
     "prj1_lookup_title",
     on_src(

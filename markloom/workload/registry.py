@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.fixtures import WIKI_DOCS, WIKI_SRC
+from ..session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +27,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# Tables of long texts, and what to spread them by when they lie in few files.
+_TEXTS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, _TEXTS[name]) if name in _TEXTS else rows
 
 
 def on_src(select: str, *more: str) -> str:

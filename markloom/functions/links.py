@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import nfkc, py_strip, repeat_nested, where_contains
+from .text import nfkc, py_strip, settle_nested, where_contains
 
 L1, L2 = "\ufdd2", "\ufdd3"  # a link that stays in the text
 O, C = "\ufdd4", "\ufdd5"  # [[ and ]], so that a single bracket is an ordinary character
 
-NOW, END = "\ufdd6", "\ufdd7"  # a link of the current round
-
-_ANY = f"[^{NOW}{END}]"
-_TITLE = rf"[^{NOW}{END}|\n]*"
 _SCHEME = r"(?:https?|s?ftps?|git|gopher|ircs?|mms|nntp|redis|ssh|svn|telnet|worldwind):"
 
 
@@ -26,22 +24,12 @@ def drop_switches(c: Column) -> Column:
     return where_contains(c, "__", lambda t: F.regexp_replace(t, "__[A-Z]*__", ""))
 
 
-def _rounds(c: Column, *rules: tuple[str, str]) -> Column:
-    """Settle links from the innermost outwards.
-
-    Each round first marks the links that are innermost now, and the rules see
-    only those; a link that becomes innermost meanwhile waits for the next round.
-    """
-
-    def step(t: Column) -> Column:
-        t = F.regexp_replace(t, f"{O}([^{O}{C}]*){C}", f"{NOW}$1{END}")
-        for pattern, replacement in rules:
-            t = F.regexp_replace(t, pattern, replacement)
-        return F.replace(F.replace(t, F.lit(NOW), F.lit(L1)), F.lit(END), F.lit(L2))
+def _each_link(c: Column, fn: Callable[[Column], Column]) -> Column:
+    """Replace every link by `fn(content)`, from the innermost outwards."""
 
     def links(t: Column) -> Column:
         t = F.replace(F.replace(t, F.lit("[["), F.lit(O)), F.lit("]]"), F.lit(C))
-        t = repeat_nested(t, O, C, step)
+        t = settle_nested(t, O, C, fn)
         for marker, text in ((O, "[["), (C, "]]"), (L1, "[["), (L2, "]]")):
             t = F.replace(t, F.lit(marker), F.lit(text))
         return t
@@ -49,26 +37,59 @@ def _rounds(c: Column, *rules: tuple[str, str]) -> Column:
     return where_contains(c, "[[", links)
 
 
-_MEDIA = (rf"(?i){NOW}(?:File|Image|Media):{_ANY}*{END}", "")
-_PLAIN_LINKS = (
-    (rf"{NOW}{_TITLE}\|({_ANY}+){END}", "$1"),
-    (rf"{NOW}({_TITLE})\|?{END}", "$1"),
-)
-_CATEGORY_IN_PLACE = (
-    (rf"(?i){NOW}(Category:)({_TITLE})\|?{END}", f"{L1}$1$2|$2{L2}"),
-    (rf"(?i){NOW}(Category:{_TITLE}\|)(?:Category:)?({_ANY}+){END}", f"{L1}$1$2{L2}"),
-)
-_CATEGORY_DROP = (rf"(?i){NOW}Category:{_TITLE}{END}", "")
+def _kept(content: Column) -> Column:
+    return F.concat(F.lit(L1), content, F.lit(L2))
+
+
+def _has_prefix(content: Column, *names: str) -> Column:
+    return F.lower(F.substring_index(content, ":", 1)).isin(*names) & content.contains(":")
+
+
+def _title(content: Column) -> Column:
+    return F.substring_index(content, "|", 1)
+
+
+def _text(content: Column) -> Column:
+    """Label of a link, empty if there is none."""
+    return content.substr(F.length(_title(content)) + 2, F.length(content))
+
+
+def _is_media(content: Column) -> Column:
+    return _has_prefix(content, "file", "image", "media")
+
+
+def _is_category(content: Column) -> Column:
+    return _has_prefix(_title(content), "category")
+
+
+def _plain(content: Column) -> Column:
+    """Label, or the target where the label is missing or empty; no link without a target line."""
+    return (
+        F.when(_title(content).contains("\n"), _kept(content))
+        .when(_text(content) != "", _text(content))
+        .otherwise(_title(content))
+    )
+
+
+def _category(content: Column, after_expansion: bool) -> Column:
+    def without_prefix(text: Column) -> Column:
+        return F.regexp_replace(text, "(?i)^Category:", "")
+
+    text = F.when(_text(content) != "", _text(content)).otherwise(_title(content))
+    in_place = _kept(F.concat(_title(content), F.lit("|"), without_prefix(text)))
+    if not after_expansion:
+        return in_place
+    return F.when(content.contains("|"), in_place).otherwise(F.lit(""))
 
 
 def drop_media(c: Column) -> Column:
     """File, image and media links, together with the links inside their captions."""
-    return _rounds(c, _MEDIA)
+    return _each_link(c, lambda x: F.when(_is_media(x), F.lit("")).otherwise(_kept(x)))
 
 
 def links_to_text(c: Column) -> Column:
     """Links become their label, or their target where the label is missing or empty."""
-    return _rounds(c, *_PLAIN_LINKS)
+    return _each_link(c, _plain)
 
 
 def clean_categories(c: Column, after_expansion: bool = False) -> Column:
@@ -76,18 +97,19 @@ def clean_categories(c: Column, after_expansion: bool = False) -> Column:
 
     After template expansion a category link without text is dropped instead.
     """
-    return _rounds(c, *_category_rules(after_expansion))
-
-
-def _category_rules(after_expansion: bool) -> tuple[tuple[str, str], ...]:
-    if after_expansion:
-        return (_CATEGORY_DROP, *_CATEGORY_IN_PLACE)
-    return _CATEGORY_IN_PLACE
+    return _each_link(
+        c, lambda x: F.when(_is_category(x), _category(x, after_expansion)).otherwise(_kept(x))
+    )
 
 
 def resolve_links(c: Column, after_expansion: bool = False) -> Column:
     """All wiki-link rules in one go: media dropped, categories cleaned, the rest as text."""
-    return _rounds(c, _MEDIA, *_category_rules(after_expansion), *_PLAIN_LINKS)
+    return _each_link(
+        c,
+        lambda x: F.when(_is_media(x), F.lit(""))
+        .when(_is_category(x), _category(x, after_expansion))
+        .otherwise(_plain(x)),
+    )
 
 
 def external_to_text(c: Column) -> Column:

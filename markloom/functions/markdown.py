@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable
+from functools import partial
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .tags import hide_opaque
-from .text import PY_WS, let, nfkc, py_strip, repeat_nested, rewrite_matches, where_contains
+from .tags import has_any, hide_opaque, mentioned
+from .text import (
+    PY_WS,
+    each_line,
+    let,
+    may_have_markers,
+    nfkc,
+    py_strip,
+    rewrite_matches,
+    settle_nested,
+    where_contains,
+)
 
 # Classes of a line while blocks are put together.
 PARA, LIST, CODE, BLOCK = "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"
@@ -23,6 +35,7 @@ _SHOWN = "<>\n*#_~|\\`$&'[] "
 _COVER = "".join(chr(0xFDE0 + i) for i in range(len(_SHOWN)))
 LT, GT, STAR, TICK, DOLLAR, TILDE = (_COVER[_SHOWN.index(ch)] for ch in "<>*`$~")
 
+OPAQUE = ("math", "nowiki", "pre", "syntaxhighlight", "source", "code")
 PAIRED = "sub|sup|blockquote|math|syntaxhighlight|code|pre|ul|ol|nowiki|u|del"
 
 
@@ -185,7 +198,7 @@ def _opaque_to_markdown(c: Column) -> Column:
             F.concat(F.lit("\n\n"), F.translate(_trim_ends(out), _SHOWN, _COVER), F.lit("\n\n")),
         ).otherwise(F.translate(out, _SHOWN, _COVER))
 
-    return _inline_code("math|nowiki|pre|syntaxhighlight|source|code", c, hidden)
+    return _inline_code("|".join(OPAQUE), c, hidden)
 
 
 def _trim_ends(c: Column) -> Column:
@@ -322,7 +335,7 @@ def blocks_to_markdown(c: Column) -> Column:
     c = _number_items(c)
 
     # Line kinds are settled before entities are decoded: a decoded star is no list marker.
-    c = F.array_join(F.transform(F.split(c, "\n"), _line), "\n")
+    c = each_line(c, _line)
     # Runs of spaces collapse before entities are decoded: a written &#32; stays a space.
     c = where_contains(c, "  ", lambda t: F.regexp_replace(t, "[ \t]{2,}", " "))
     c = _escape(decode_entities(c))
@@ -335,19 +348,43 @@ def blocks_to_markdown(c: Column) -> Column:
     c = F.btrim(F.regexp_replace(c, "\n{3,}", "\n\n"), F.lit("\n"))
     c = where_contains(c, Q1, _quote_blocks)
     c = F.replace(c, F.lit(BREAK), F.lit("\n"))
-    return let(
-        c, lambda t: F.when(t.rlike(f"[{_COVER}]"), F.translate(t, _COVER, _SHOWN)).otherwise(t)
-    )
+    shown = lambda t: F.translate(t, _COVER, _SHOWN)
+    return each_line(c, lambda t: F.when(may_have_markers(t), shown(t)).otherwise(t))
 
 
 def _tags_to_markdown(c: Column) -> Column:
-    c = _opaque_to_markdown(c)
-    c = F.regexp_replace(c, r"(?i)</?del(?:\s[^<>]*)?>", TILDE * 2)
-    c = where_contains(c, "<li", _lists_from_tags)
-    c = F.regexp_replace(c, r"(?i)(?<!\s)\s*+<blockquote(?:\s[^<>]*)?>[ \t]*\n?", f"\n{Q1}\n")
-    c = F.regexp_replace(c, r"(?i)(?<!\s)\s*+</blockquote\s*>[ \t]*\n?", f"\n{Q2}\n")
-    c = F.regexp_replace(c, r"(?i)(?<![ \t])[ \t]*+<br(?:\s[^<>]*)?/?>[ \t]*(?:\n(?!\n))?", BREAK)
-    return F.regexp_replace(c, r"(?i)<(/?[a-z][a-z0-9]*(?:\s[^<>]*)?/?)>", f"{LT}$1{GT}")
+    """Tags that stand for Markdown; what is left of tags is kept as it is."""
+
+    def quotes(t: Column) -> Column:
+        t = F.regexp_replace(t, r"(?i)(?<!\s)\s*+<blockquote(?:\s[^<>]*)?>[ \t]*\n?", f"\n{Q1}\n")
+        return F.regexp_replace(t, r"(?i)(?<!\s)\s*+</blockquote\s*>[ \t]*\n?", f"\n{Q2}\n")
+
+    def breaks(t: Column) -> Column:
+        pattern = r"(?i)(?<![ \t])[ \t]*+<br(?:\s[^<>]*)?/?>[ \t]*(?:\n(?!\n))?"
+        return F.regexp_replace(t, pattern, BREAK)
+
+    def strikes(t: Column) -> Column:
+        return F.regexp_replace(t, r"(?i)</?del(?:\s[^<>]*)?>", TILDE * 2)
+
+    # A rule runs only on pages that mention its tags.
+    rules = (
+        (OPAQUE, _opaque_to_markdown),
+        (("del",), strikes),
+        (("ul", "ol", "li"), _lists_from_tags),
+        (("blockquote",), quotes),
+        (("br",), breaks),
+    )
+
+    def all_rules(t: Column, present: Column) -> Column:
+        for names, rule in rules:
+            t = let(t, partial(_only_with, present, names, rule))
+        return F.regexp_replace(t, r"(?i)<(/?[a-z][a-z0-9]*(?:\s[^<>]*)?/?)>", f"{LT}$1{GT}")
+
+    return let(mentioned(c), lambda names: all_rules(c, names))
+
+
+def _only_with(present: Column, names: Iterable[str], rule: Callable, t: Column) -> Column:
+    return F.when(has_any(present, names), rule(t)).otherwise(t)
 
 
 def _emphasis(c: Column) -> Column:
@@ -357,9 +394,8 @@ def _emphasis(c: Column) -> Column:
 
 
 def _quote_blocks(c: Column) -> Column:
-    def quote(q: Column) -> Column:
-        inner = F.regexp_replace(q, rf"\A{Q1}\n*|\n*{Q2}\z", "")
-        return F.regexp_replace(inner, "(?dm)^", "> ")
+    def quote(content: Column) -> Column:
+        return F.regexp_replace(F.btrim(content, F.lit("\n")), "(?dm)^", "> ")
 
-    step = lambda t: rewrite_matches(t, f"{Q1}[^{Q1}{Q2}]*{Q2}", quote)
-    return F.translate(repeat_nested(c, Q1, Q2, step), Q1 + Q2, "")
+    c = settle_nested(c, Q1, Q2, quote)
+    return F.replace(F.replace(c, F.lit(Q1), F.lit("")), F.lit(Q2), F.lit(""))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dims import TAGS_OPAQUE, TagPolicy, is_one_of
-from .text import let, nesting, py_strip, repeat_nested, rewrite_matches, where_contains
+from .text import each_line, let, nesting, py_strip, rewrite_matches, settle_nested, where_contains
 
 D1, D2 = "\ufdd2", "\ufdd3"  # around a tag pair that is about to go
 S1, S2 = "\ufdd4", "\ufdd5"  # around any other span
@@ -25,7 +25,7 @@ NAME = r"[A-Za-z][A-Za-z0-9]*"
 def hide_opaque(c: Column, comments: bool = True) -> Column:
     """Hide the content of tags that the wiki parser does not look into; drop comments."""
     tags = "|".join(TAGS_OPAQUE)
-    pattern = rf"(?is)<!--.*?-->|<({tags}){_ATTRS}(?<!/)>.*?</\1\s*>"
+    pattern = rf"(?is)<(?:!--.*?-->|({tags}){_ATTRS}(?<!/)>.*?</\1\s*>)"
 
     def settle(match: Column) -> Column:
         hidden = F.translate(match, _PLAIN, _HIDDEN)
@@ -51,8 +51,8 @@ def _delete_one(t: Column, name: Column) -> Column:
     closing = F.concat(F.lit("(?i)</"), name, F.lit(r"\s*>"))
     t = F.regexp_replace(t, opening, F.lit(f"{D1}$0"))
     t = F.regexp_replace(t, closing, F.lit(f"$0{D2}"))
-    t = repeat_nested(t, D1, D2, lambda x: F.regexp_replace(x, f"{D1}[^{D1}{D2}]*{D2}", ""))
-    return F.translate(t, D1 + D2, "")
+    t = settle_nested(t, D1, D2, lambda _: F.lit(""))
+    return F.replace(F.replace(t, F.lit(D1), F.lit("")), F.lit(D2), F.lit(""))
 
 
 def _delete_each(c: Column, names: Column) -> Column:
@@ -67,21 +67,37 @@ def _found(t: Column, pattern: str) -> Column:
 def delete_tags(c: Column, names: Iterable[str]) -> Column:
     """Remove the named tags with their content. Names absent from a page cost nothing."""
     names = list(names)
-    present = rf"(?i)<({_any(names)})(?=[\s/>])"
+    return let(c, lambda t: _delete_named(t, tag_names(t), names))
+
+
+def _delete_named(t: Column, present: Column, names: list[str]) -> Column:
+    doomed = F.filter(F.array_distinct(present), lambda n: is_one_of(n, names))
     voids = [n for n in names if n in VOID]
-    c = let(c, lambda t: _delete_each(t, _found(t, present)))
-    if voids:
-        c = F.regexp_replace(c, rf"(?i)<(?:{_any(voids)}){_ATTRS}>", "")
-    return c
+
+    def drop_voids(x: Column) -> Column:
+        return F.regexp_replace(x, rf"(?i)<(?:{_any(voids)}){_ATTRS}>", "")
+
+    t = _delete_each(t, doomed)
+    return F.when(has_any(present, voids), drop_voids(t)).otherwise(t) if voids else t
+
+
+def has_any(present: Column, names: Iterable[str]) -> Column:
+    return F.arrays_overlap(present, F.split(F.lit(_any(names)), r"\|"))
 
 
 def delete_unknown(c: Column, known: Iterable[str]) -> Column:
     """Remove tags no policy names, if they are closed; an unclosed one is just text."""
-    def unknown(t: Column) -> Column:
-        ends = F.concat(_found(t, rf"</({NAME})\s*>"), _found(t, rf"<({NAME}){_ATTRS}/>"))
+    known = list(known)
+    return let(c, lambda t: _delete_closed(t, tag_names(t), known))
+
+
+def _delete_closed(t: Column, present: Column, known: list[str]) -> Column:
+    def closed(x: Column) -> Column:
+        ends = F.concat(_found(x, rf"</({NAME})\s*>"), _found(x, rf"<({NAME}){_ATTRS}/>"))
         return F.filter(F.array_distinct(ends), lambda n: ~is_one_of(n, known))
 
-    return let(c, lambda t: _delete_each(t, unknown(t)))
+    unknown = F.exists(present, lambda n: ~is_one_of(n, known))
+    return let(t, lambda x: F.when(unknown, _delete_each(x, closed(x))).otherwise(x))
 
 
 def unwrap_tags(c: Column, names: Iterable[str]) -> Column:
@@ -118,15 +134,12 @@ def rewrite_tags(c: Column, policy: TagPolicy) -> Column:
     if not names:
         return c
 
-    def all_rules(t: Column) -> Column:
-        out = t
-        for name in names:
-            opening, closing = policy.rewrite[name]
-            out = F.regexp_replace(out, rf"(?i)<{name}{_ATTRS}/?>", opening)
-            out = F.regexp_replace(out, rf"(?i)</{name}\s*>", closing)
-        return F.when(t.rlike(rf"(?i)</?(?:{_any(names)})[\s/>]"), out).otherwise(t)
 
-    return let(c, all_rules)
+    for name in names:
+        opening, closing = policy.rewrite[name]
+        c = F.regexp_replace(c, rf"(?i)<{name}{_ATTRS}/?>", opening)
+        c = F.regexp_replace(c, rf"(?i)</{name}\s*>", closing)
+    return c
 
 
 def plain_quotes(c: Column) -> Column:
@@ -157,25 +170,41 @@ def drop_wiki_tables(c: Column) -> Column:
 
 
 def _drop_tables(c: Column) -> Column:
-    c = F.regexp_replace(c, r"(?dm)^([ \t:]*)\{\|", f"$1{D1}")
-    c = F.regexp_replace(c, r"(?dm)^([ \t]*)\|\}(?!\})", f"$1{D2}")
-    c = repeat_nested(c, D1, D2, lambda t: F.regexp_replace(t, f"{D1}[^{D1}{D2}]*{D2}", ""))
+    def mark(line: Column) -> Column:
+        return F.when(
+            line.contains("{|"), F.regexp_replace(line, r"\A([ \t:]*)\{\|", f"$1{D1}")
+        ).when(
+            line.contains("|}"), F.regexp_replace(line, r"\A([ \t]*)\|\}(?!\})", f"$1{D2}")
+        ).otherwise(line)
+
+    c = settle_nested(each_line(c, mark), D1, D2, lambda _: F.lit(""))
     return F.replace(F.replace(c, F.lit(D1), F.lit("{|")), F.lit(D2), F.lit("|}"))
 
 
 def apply_tag_policy(c: Column, policy: TagPolicy | None = None) -> Column:
-    """All tag rules: keep, unwrap, delete with content, rewrite; unknown tags go."""
+    """All tag rules: keep, unwrap, delete with content, rewrite; unknown tags go.
+
+    The names on a page are collected once and decide which rules run at all.
+    """
     policy = policy or TagPolicy()
     actions = policy.actions()
 
-    def all_rules(t: Column) -> Column:
-        t = delete_tags(t, policy.having("delete"))
-        t = delete_unknown(t, list(actions))
-        t = resolve_spans(t)
-        t = unwrap_tags(t, policy.having("unwrap"))
-        return rewrite_tags(t, policy)
+    def all_rules(t: Column, present: Column) -> Column:
+        def only_with(names: list[str], rule: Callable[[Column], Column], x: Column) -> Column:
+            return let(x, lambda y: F.when(has_any(present, names), rule(y)).otherwise(y))
+
+        t = _delete_named(t, present, policy.having("delete"))
+        t = _delete_closed(t, present, list(actions))
+        t = only_with(["span"], resolve_spans, t)
+        t = only_with(policy.having("unwrap"), lambda x: unwrap_tags(x, policy.having("unwrap")), t)
+        return only_with(policy.having("rewrite"), lambda x: rewrite_tags(x, policy), t)
+
+    return where_contains(c, "<", lambda t: let(mentioned(t), lambda names: all_rules(t, names)))
+
 
-    return where_contains(c, "<", all_rules)
+def mentioned(t: Column) -> Column:
+    """Distinct lower-cased names of opening and closing tags."""
+    return _found(t, rf"</?({NAME})(?=[\s/>])")
 
 
 def apply_markup_policy(c: Column, policy: TagPolicy | None = None) -> Column:

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dims import BIG_PREFIXES, PARSER_FUNCTIONS, TemplatePolicy
 from .sections import drop_sections, level2
-from .text import PY_WS, let, nesting, nfkc, py_strip, repeat_nested, rewrite_matches, where_contains
+from .text import (
+    PY_WS,
+    let,
+    nesting,
+    nfkc,
+    py_strip,
+    settle_innermost,
+    settle_nested,
+    where_contains,
+)
 
 T1, T2 = "\ufdd2", "\ufdd3"  # a settled template
 O, C = "\ufdd4", "\ufdd5"  # {{ and }}, so that a single brace is an ordinary character
@@ -15,9 +26,6 @@ P1, P2 = "\ufdd6", "\ufdd7"  # parameter references {{{x}}}
 I1, I2 = "\ufdd8", "\ufdd9"  # a settled template inside another one
 BAR, EQ = "\ufdda", "\ufddb"  # | and = inside an inner template
 
-INNERMOST = f"{O}([^{O}{C}]*){C}"
-
-
 def magic_templates(c: Column) -> Column:
     """{{!}} becomes a bar; table-end templates become the end of a table."""
     return where_contains(c, "{{", _magic)
@@ -59,23 +67,37 @@ def _hide(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("{{"), F.lit(O)), F.lit("}}"), F.lit(C))
 
 
-_MARKERS = ((O, "{{"), (C, "}}"), (T1, "{{"), (T2, "}}"), (I1, "{{"), (I2, "}}"),
-            (P1, "{{{"), (P2, "}}}"), (BAR, "|"), (EQ, "="))
+def _replace_all(c: Column, pairs: Iterable[tuple[str, str]]) -> Column:
+    for marker, text in pairs:
+        c = F.replace(c, F.lit(marker), F.lit(text))
+    return c
 
 
 def _show(c: Column) -> Column:
-    for marker, text in _MARKERS:
-        c = F.replace(c, F.lit(marker), F.lit(text))
-    return c
+    c = _replace_all(c, ((O, "{{"), (C, "}}"), (T1, "{{"), (T2, "}}")))
+    return where_contains(c, P1, lambda t: _replace_all(t, ((P1, "{{{"), (P2, "}}}"))))
+
+
+def _show_inner(c: Column) -> Column:
+    return _replace_all(_show(c), ((I1, "{{"), (I2, "}}"), (BAR, "|"), (EQ, "=")))
+
+
+def _each_template(c: Column, fn: Callable[[Column], Column]) -> Column:
+    """Replace every matched template by `fn(body)`, from the innermost outwards."""
+    return where_contains(c, "{{", lambda t: _show(settle_nested(_hide(t), O, C, fn)))
 
 
-def _rounds(c: Column, step) -> Column:
-    return where_contains(c, "{{", lambda t: _show(repeat_nested(_hide(t), O, C, step)))
+def _kept(body: Column) -> Column:
+    return F.concat(F.lit(T1), body, F.lit(T2))
+
+
+def _raw_name(body: Column) -> Column:
+    return F.substring_index(body, "|", 1)
 
 
 def mark_templates(c: Column) -> Column:
     """Every matched template, at any depth, between two markers."""
-    return repeat_nested(_hide(c), O, C, lambda t: F.regexp_replace(t, INNERMOST, f"{T1}$1{T2}"))
+    return settle_nested(_hide(c), O, C, _kept)
 
 
 def marked_names(marked: Column) -> Column:
@@ -103,29 +125,18 @@ def template_occurrences(
     return pages.select(key, F.explode(census_names(source)).alias("name"))
 
 
-def _invocation_name(template: Column) -> Column:
-    """Name of a template given with its markers."""
-    return F.substring_index(_inside(template), "|", 1)
-
-
-def _inside(template: Column) -> Column:
-    return template.substr(F.lit(2), F.length(template) - 2)
-
-
 def apply_template_policy(c: Column, policy: TemplatePolicy) -> Column:
     """Remove every template the policy does not keep.
 
     Works from the innermost outwards: a dropped template inside a kept one
     disappears, a kept one inside a dropped one goes with it.
     """
-
-    def settle(template: Column) -> Column:
-        return F.when(
-            policy.keeps(template_name(_invocation_name(template))),
-            F.concat(F.lit(T1), _inside(template), F.lit(T2)),
-        ).otherwise(F.lit(""))
-
-    return _rounds(c, lambda t: rewrite_matches(t, INNERMOST, settle))
+    return _each_template(
+        c,
+        lambda body: F.when(policy.keeps(template_name(_raw_name(body))), _kept(body)).otherwise(
+            F.lit("")
+        ),
+    )
 
 
 def unsupported_names(names: Column, policy: TemplatePolicy) -> Column:
@@ -144,11 +155,12 @@ def invocations(c: Column) -> Column:
     """
 
     def gather(state: Column, _: Column) -> Column:
-        found = F.regexp_extract_all(state["text"], F.lit(INNERMOST), 1)
-        settled = rewrite_matches(
+        found = F.regexp_extract_all(state["text"], F.lit(f"{O}([^{O}{C}]*){C}"), 1)
+        settled = settle_innermost(
             state["text"],
-            INNERMOST,
-            lambda t: F.concat(F.lit(I1), F.translate(_inside(t), "|=", BAR + EQ), F.lit(I2)),
+            O,
+            C,
+            lambda body: F.concat(F.lit(I1), F.translate(body, "|=", BAR + EQ), F.lit(I2)),
         )
         return F.struct(settled.alias("text"), F.concat(state["found"], found).alias("found"))
 
@@ -172,7 +184,7 @@ def params_of(body: Column) -> Column:
     """
 
     def entry(param: Column, at: Column, value: Column) -> Column:
-        return F.struct(param.alias("param"), (-at).alias("at"), _show(value).alias("value"))
+        return F.struct(param.alias("param"), (-at).alias("at"), _show_inner(value).alias("value"))
 
     def entries(parts: Column) -> Column:
         placed = F.transform(parts, lambda p, i: F.struct(i.alias("at"), p.alias("text")))
@@ -251,12 +263,11 @@ def finish_description(normalised: Column) -> Column:
 def drop_big_templates(c: Column, prefixes: tuple[str, ...] = BIG_PREFIXES) -> Column:
     big = "|".join(_escape(p) for p in prefixes)
 
-    def settle(template: Column) -> Column:
-        return F.when(
-            census_name(_invocation_name(template)).rlike(rf"\A(?:{big})"), F.lit("")
-        ).otherwise(F.concat(F.lit(T1), _inside(template), F.lit(T2)))
+    def settle(body: Column) -> Column:
+        is_big = census_name(_raw_name(body)).rlike(rf"\A(?:{big})")
+        return F.when(is_big, F.lit("")).otherwise(_kept(body))
 
-    return _rounds(c, lambda t: rewrite_matches(t, INNERMOST, settle))
+    return _each_template(c, settle)
 
 
 def streamline(c: Column, extra_prefixes: tuple[str, ...] = ()) -> Column:
@@ -275,14 +286,14 @@ def invocation_segments(c: Column) -> Column:
     Even positions are literal text, odd ones whole templates as written.
     """
 
-    def settle(template: Column) -> Column:
-        inner = F.translate(_inside(template), T1 + T2, I1 + I2)
-        return F.concat(F.lit(T1), inner, F.lit(T2))
+    def settle(body: Column) -> Column:
+        return _kept(F.replace(F.replace(body, F.lit(T1), F.lit(I1)), F.lit(T2), F.lit(I2)))
 
     def cut(t: Column) -> Column:
-        marked = repeat_nested(_hide(t), O, C, lambda x: rewrite_matches(x, INNERMOST, settle))
-        pieces = F.split(F.regexp_replace(marked, f"{T1}[^{T1}{T2}]*{T2}", f"{BAR}$0{BAR}"), BAR)
-        return F.transform(pieces, _show)
+        marked = settle_nested(_hide(t), O, C, settle)
+        # Only outermost templates are marked now, so both markers alternate.
+        marked = F.replace(F.replace(marked, F.lit(T1), F.lit(BAR + T1)), F.lit(T2), F.lit(T2 + BAR))
+        return F.transform(F.split(marked, BAR), _show_inner)
 
     return let(c, lambda t: F.when(t.contains("{{"), cut(t)).otherwise(F.array(t)))
 

@@ -34,9 +34,19 @@ MAX_NESTING = 40
 MARK = "\ufdd0"
 
 
+def may_have_markers(c: Column) -> Column:
+    """A cheap look for the first bytes of the markers' UTF-8 form."""
+    return F.contains(c.cast("binary"), F.lit(b"\xef\xb7"))
+
+
 def guard(c: Column) -> Column:
     """Drop noncharacters, so that markers can never be confused with input."""
-    return F.regexp_replace(c, "[\ufdd0-\ufdef]", "")
+    stripped = lambda t: F.regexp_replace(t, "[\ufdd0-\ufdef]", "")
+    return let(c, lambda t: F.when(may_have_markers(t), stripped(t)).otherwise(t))
+
+
+def each_line(c: Column, fn: Callable[[Column], Column]) -> Column:
+    return F.array_join(F.transform(F.split(c, "\n"), fn), "\n")
 
 
 def let(c: Column, fn: Callable[[Column], Column]) -> Column:
@@ -120,33 +130,66 @@ def rewrite_matches(c: Column, pattern: str, fn: Callable[[Column], Column]) ->
 
 
 def nesting(c: Column, opener: str, closer: str) -> Column:
-    """How deep the bracket pair nests; unmatched brackets add no rounds of their own."""
-    tokens = F.regexp_extract_all(c, F.lit(f"({_q(opener)}|{_q(closer)})"), 1)
-    state = F.struct(F.lit(0).alias("open"), F.lit(0).alias("deepest"), F.lit(0).alias("closed"))
+    """How deep a pair of one-character markers nests; unmatched ones add no rounds."""
+    state = F.struct(F.lit(0).alias("open"), F.lit(0).alias("deepest"))
+    # One step per closer: the openers in front of it, then the closer itself.
+    opens = F.transform(
+        F.split(c, closer), lambda p: F.length(p) - F.length(F.replace(p, F.lit(opener), F.lit("")))
+    )
 
-    def step(s: Column, t: Column) -> Column:
-        up = t == opener
+    def step(s: Column, n: Column) -> Column:
+        top = s["open"] + n
         return F.struct(
-            F.when(up, s["open"] + 1).otherwise(F.greatest(s["open"] - 1, F.lit(0))).alias("open"),
-            F.when(up, F.greatest(s["deepest"], s["open"] + 1)).otherwise(s["deepest"]).alias("deepest"),
-            F.when(up | (s["open"] == 0), s["closed"]).otherwise(s["closed"] + 1).alias("closed"),
+            F.greatest(top - 1, F.lit(0)).alias("open"),
+            F.greatest(s["deepest"], top).alias("deepest"),
         )
 
+    # What follows the last closer is never closed; no more levels than closers can match.
+    closed = F.slice(opens, F.lit(1), F.size(opens) - 1)
     return F.aggregate(
-        tokens, state, step, lambda s: F.least(s["deepest"], s["closed"], F.lit(MAX_NESTING))
+        closed, state, step, lambda s: F.least(s["deepest"], F.lit(MAX_NESTING))
     )
 
 
+def settle_innermost(
+    t: Column, opener: str, closer: str, fn: Callable[[Column], Column]
+) -> Column:
+    """Replace every innermost pair of one-character markers by `fn(content)`.
+
+    Cut at the closers, the content of an innermost pair is what follows the
+    last opener of a piece. Plain string functions do that, no pattern needed.
+    """
+
+    def settled(piece: Column) -> Column:
+        return let(
+            F.substring_index(piece, opener, -1),
+            lambda content: F.concat(
+                piece.substr(F.lit(1), F.length(piece) - F.length(content) - 1), fn(content)
+            ),
+        )
+
+    def pieces(ps: Column) -> Column:
+        return F.transform(
+            ps,
+            lambda p, i: F.when(i == F.size(ps) - 1, p)
+            .when(p.contains(opener), settled(p))
+            .otherwise(F.concat(p, F.lit(closer))),
+        )
+
+    return F.array_join(let(F.split(t, closer), pieces), "")
+
+
 def repeat_nested(c: Column, opener: str, closer: str, step: Callable[[Column], Column]) -> Column:
     """Run `step`, which settles the innermost pairs, once per nesting level."""
     return where_contains(
         c,
-        opener,
+        closer,
         lambda t: F.aggregate(
             F.array_repeat(F.lit(0), nesting(t, opener, closer)), t, lambda acc, _: step(acc)
         ),
     )
 
 
-def _q(literal: str) -> str:
-    return "".join("\\" + ch if ch in r"\[]{}()|.*+?^$" else ch for ch in literal)
+def settle_nested(c: Column, opener: str, closer: str, fn: Callable[[Column], Column]) -> Column:
+    """Replace all matched pairs, from the innermost outwards, by `fn(content)`."""
+    return repeat_nested(c, opener, closer, lambda t: settle_innermost(t, opener, closer, fn))

@@ -55,4 +55,5 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or len(df.inputFiles()) >= cores:
         return df
-    return df.repartition(cores, key)
+    # A few more partitions than cores, so that long rows even out.
+    return df.repartition(3 * cores, key)

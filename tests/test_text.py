@@ -44,13 +44,20 @@ def test_rewrite_matches(apply):
 
 
 def test_nesting_counts_matched_depth(apply):
-    texts = ["", "{{", "{{a}}", "{{a{{b}}}}", "}}{{", "{{{{{{", "{{a}}{{b{{c}}}}"]
-    got = apply(lambda c: X.nesting(c, "{{", "}}"), *texts)
-    assert got == [0, 0, 1, 2, 0, 0, 2]
+    texts = ["", "<", "<a>", "<a<b>>", "><", "<<<<<", "<a><b<c>>", "<<a>", "<a>>"]
+    got = apply(lambda c: X.nesting(c, "<", ">"), *texts)
+    assert got == [0, 0, 1, 2, 0, 0, 2, 2, 1]
 
 
 def test_nesting_is_bounded_by_the_parser_limit(apply):
-    assert apply(lambda c: X.nesting(c, "{{", "}}"), "{{" * 100 + "}}" * 100) == X.MAX_NESTING
+    assert apply(lambda c: X.nesting(c, "<", ">"), "<" * 100 + ">" * 100) == X.MAX_NESTING
+
+
+def test_pairs_are_settled_from_the_innermost_outwards(apply):
+    step = lambda x: F.concat(F.lit("{"), x, F.lit("}"))
+    texts = ["", "a", "<a>", "x<a<b>c>y<d>z", "a>b<c>", "<a", "<<a>", "<>", "a><"]
+    want = ["", "a", "{a}", "x{a{b}c}y{d}z", "a>b{c}", "<a", "<{a}", "{}", "a><"]
+    assert apply(lambda c: X.settle_nested(c, "<", ">", step), *texts) == want
 
 
 def test_guard_removes_noncharacters(apply):

@@ -133,8 +133,12 @@ def nesting(c: Column, opener: str, closer: str) -> Column:
     """How deep a pair of one-character markers nests; unmatched ones add no rounds."""
     state = F.struct(F.lit(0).alias("open"), F.lit(0).alias("deepest"))
     # One step per closer: the openers in front of it, then the closer itself.
+    width = len(opener.encode())
     opens = F.transform(
-        F.split(c, closer), lambda p: F.length(p) - F.length(F.replace(p, F.lit(opener), F.lit("")))
+        F.split(c, closer),
+        lambda p: (
+            (F.octet_length(p) - F.octet_length(F.replace(p, F.lit(opener), F.lit("")))) / width
+        ).cast("int"),
     )
 
     def step(s: Column, n: Column) -> Column:
@@ -160,12 +164,16 @@ def settle_innermost(
     last opener of a piece. Plain string functions do that, no pattern needed.
     """
 
+    width = len(opener.encode())
+
     def settled(piece: Column) -> Column:
+        # Sizes in bytes are known without a look at the text.
+        def head(content: Column) -> Column:
+            size = F.octet_length(piece) - F.octet_length(content) - width
+            return piece.cast("binary").substr(F.lit(1), size).cast("string")
+
         return let(
-            F.substring_index(piece, opener, -1),
-            lambda content: F.concat(
-                piece.substr(F.lit(1), F.length(piece) - F.length(content) - 1), fn(content)
-            ),
+            F.substring_index(piece, opener, -1), lambda content: F.concat(head(content), fn(content))
         )
 
     def pieces(ps: Column) -> Column:

@@ -38,6 +38,7 @@ from ..functions.templates import (
 )
 from ..functions.text import guard, let, nfkc, settle
 from ..operators.expand import expand_by_dictionary
+from ..session import through_table
 
 
 def counter(names: Column) -> Column:
@@ -138,13 +139,18 @@ def convert_pages(
     with_styling: bool = False,
     policy: TemplatePolicy | None = None,
     inline: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """All pages with every derived column and a status: ok, corrupt or failed.
 
     `expansions(invocation, expansion)` replaces the remote expansion service;
-    without it kept templates expand to nothing.
+    without it kept templates expand to nothing. Joining with it reads the
+    preprocessed pages twice; `staged` keeps them in a written table in between,
+    which costs far less than preprocessing them again.
     """
     pre = preprocess(raw, policy)
+    if staged and expansions is not None and not inline:
+        pre = through_table(pre, "preprocessed")
     expanded = expand_by_dictionary(
         pre, expansions, text="pre_wikitext", out="expanded", inline=inline
     )

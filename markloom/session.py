@@ -57,3 +57,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
         return df
     # A few more partitions than cores, so that long rows even out.
     return df.repartition(3 * cores, key)
+
+
+def through_table(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result to the shared folder and go on from the written table.
+
+    Cuts the lineage: what reads the result more than once, or loses an
+    executor, does not compute it again.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,6 +12,7 @@ from ..operators.catalog import label_articles, lookup_title, missing
 from ..operators.quality import golden_diff, retry_input, run_summary, with_status
 from ..plans.convert import convert_pages, counter
 from ..plans.fixtures import wiki_src
+from ..plans.jobs import download, generate
 from ..session import work_dir
 from ..sources.readers import read_pages, read_raw
 from ..sources.writers import (
@@ -24,6 +25,7 @@ from ..sources.writers import (
 from .corpus import _LEAN
 from .listings import DOC_PAGES, doc_pages
 from .registry import on_src, query, table
+from .templates import dictionary
 
 # Every tenth page gets an unbalanced tag, every fourteenth a template without a name.
 _CORRUPT, _FAILED = 10, 14
@@ -250,3 +252,76 @@ def _(spark, sf_dir):
         for path in runs
     ]
     return counts[0].unionByName(counts[1])
+
+
+@query(
+    "run_generate",
+    on_src(
+        "SELECT 'summary' AS kind, concat_ws(',', count(*), count(*) FILTER (s = 'ok'), "
+        "count(*) FILTER (s = 'corrupt'), count(*) FILTER (s = 'failed')) AS value "
+        f"FROM (SELECT {_STATUS} AS s FROM wiki_src) UNION ALL "
+        f"SELECT 'corrupt', title FROM wiki_src WHERE {_STATUS} = 'corrupt' UNION ALL "
+        f"SELECT 'failures', concat(title, ' | ', {_ERROR}) FROM wiki_src WHERE {_STATUS} = 'failed' "
+        "UNION ALL SELECT 'unsupported_templates', concat(name, ',', CAST(count(*) AS VARCHAR)) FROM "
+        "(SELECT unnest(['infobox part', 'cite web', 'reflist', "
+        "concat('unknown tpl', CAST(pageid % 5 AS VARCHAR))]) AS name FROM wiki_src "
+        f"WHERE {_STATUS} = 'ok') GROUP BY name UNION ALL "
+        f"SELECT 'pages', CAST(count(*) AS VARCHAR) FROM wiki_src WHERE {_STATUS} = 'ok'"
+    ),
+)
+def _(spark, sf_dir):
+    """A whole run: dataset, censuses and logs, as written."""
+    data = write_raw(damaged(spark, sf_dir), work_dir(spark, "raw"))
+    out, logs = work_dir(spark, "pages"), work_dir(spark, "logs")
+    summary = generate(spark, data, out, logs, 1_700_000_000, dictionary(spark, sf_dir), retry=True)
+    lines = summary.select(
+        F.lit("summary").alias("kind"),
+        F.concat_ws(",", "total", "ok", "corrupt", "failed").alias("value"),
+    )
+    for kind in ("corrupt", "failures"):
+        written = spark.read.text(f"{logs}/1700000000/{kind}")
+        lines = lines.unionByName(written.select(F.lit(kind).alias("kind"), "value"))
+    for kind in ("unsupported_tags", "unsupported_templates"):
+        census_csv = spark.read.schema("name string, n bigint").csv(f"{logs}/1700000000/{kind}", header=True)
+        lines = lines.unionByName(
+            census_csv.select(F.lit(kind).alias("kind"), F.concat_ws(",", "name", "n").alias("value"))
+        )
+    pages = read_pages(spark, out).agg(F.count("*").cast("string").alias("value"))
+    return lines.unionByName(pages.select(F.lit("pages").alias("kind"), "value"))
+
+
+@query(
+    "run_download",
+    "WITH listed AS (SELECT CASE WHEN toxic = 1 THEN 'f' ELSE 'g' END AS t, doc_id FROM labels "
+    "WHERE quality = 1 OR toxic = 1) SELECT 'counts' AS kind, concat_ws(',', count(*), "
+    "count(*) FILTER (doc_id % 3 = 0)) AS value FROM listed UNION ALL "
+    "SELECT 'missing', concat(t, ' Doc ', CAST(doc_id AS VARCHAR)) FROM listed WHERE doc_id % 3 <> 0 "
+    "UNION ALL SELECT 'raw', concat_ws(' ', doc_id, 'Doc', doc_id, 'en', doc_id * 2, t, length(text)) "
+    "FROM listed JOIN documents USING (doc_id) WHERE doc_id % 3 = 0",
+)
+def _(spark, sf_dir):
+    """Stored listings and responses to a raw dataset and the list of what is missing."""
+    title = F.concat(F.lit("Doc "), F.col("doc_id")).alias("title")
+    labels = table(spark, sf_dir, "labels")
+    kinds = (("quality", "Category:Good_articles"), ("toxic", "Category:Featured_articles"))
+    listed = [
+        labels.where(f"{flag} = 1").select(F.lit(cat).alias("category"), F.lit(0).alias("namespace"), title)
+        for flag, cat in kinds
+    ]
+    members = listed[0].unionByName(listed[1])
+    text = F.struct(F.struct(F.struct(F.col("text").alias("*")).alias("main")).alias("slots"))
+    rev = F.struct((F.col("doc_id") * 2).alias("revid"), text["slots"].alias("slots"))
+    page = F.struct(F.col("doc_id").alias("pageid"), F.array(rev).alias("revisions"))
+    body = F.struct(F.struct(F.create_map(F.col("doc_id").cast("string"), page).alias("pages")).alias("query"))
+    stored = table(spark, sf_dir, "documents").select(
+        title, F.when(F.col("doc_id") % 3 == 0, F.to_json(body)).otherwise("{}").alias("response")
+    )
+    out, logs = work_dir(spark, "raw"), work_dir(spark, "logs")
+    counts = download(spark, members, stored, out, logs, 1_700_000_000)
+    rows = counts.select(F.lit("counts").alias("kind"), F.concat_ws(",", "wanted", "fetched").alias("value"))
+    gone = spark.read.text(f"{logs}/1700000000/missing_articles")
+    raw = read_raw(spark, f"{out}/1700000000").select(
+        F.lit("raw").alias("kind"),
+        F.concat_ws(" ", "pageid", "title", "lang", "revid", "articletype", F.length("wikitext")).alias("value"),
+    )
+    return rows.unionByName(gone.select(F.lit("missing").alias("kind"), "value")).unionByName(raw)

@@ -83,22 +83,13 @@ def distinct_names(pages: DataFrame, names: Column) -> DataFrame:
 def census_summary(by_page: DataFrame, key: str = "pageid", approximate: bool = False) -> DataFrame:
     """Articles, distinct names and total uses of a per-page census (key, name, n).
 
-    Names and pages are counted from two small group-bys instead of a
-    distinct-expansion of the whole table; `approximate` uses sketches.
+    One pass over the census; distinct values are combined in the tasks before
+    the shuffle. `approximate` uses sketches and shuffles one row per task.
     """
-    if approximate:
-        return by_page.agg(
-            F.approx_count_distinct(key).alias("articles"),
-            F.approx_count_distinct("name").alias("names"),
-            F.sum("n").alias("uses"),
-        )
-    kinds = by_page.groupBy("name").agg(F.sum("n").alias("n")).agg(
-        F.count("*").alias("names"), F.sum("n").alias("uses")
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    return by_page.agg(
+        distinct(key).alias("articles"), distinct("name").alias("names"), F.sum("n").alias("uses")
     )
-    pages = by_page.select(key).distinct().agg(F.count("*").alias("articles"))
-    tagged = pages.select("articles", F.lit(None).cast("long").alias("names"), F.lit(None).cast("long").alias("uses"))
-    both = tagged.unionByName(kinds.select(F.lit(None).cast("long").alias("articles"), "names", "uses"))
-    return both.agg(F.max("articles").alias("articles"), F.max("names").alias("names"), F.max("uses").alias("uses"))
 
 
 def derive_keep_list(

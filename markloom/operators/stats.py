@@ -12,21 +12,35 @@ from pyspark.sql import functions as F
 from ..functions.text import PY_WS, approx_tokens, nfkc, py_split
 
 
-def char_freq(df: DataFrame, col: str) -> DataFrame:
+# Characters counted at a time; bounds the memory of a task whatever the batch size.
+CHUNK = 1 << 22
+
+
+def char_freq(df: DataFrame, col: str, chunk: int = CHUNK) -> DataFrame:
     """(char, n) over all texts.
 
-    Each Arrow batch is counted as an array of code points, so a task hands one
-    row per distinct character to the shuffle instead of one per character.
+    Texts are counted as arrays of code points, so a task hands one row per
+    distinct character to the shuffle instead of one per character.
     """
 
+    # All of it is inside, so that it travels to the executors by value.
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
-        for batch in batches:
-            text = "".join(t for t in batch.column(0).to_pylist() if t)
-            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+        def add(texts: list[str]) -> None:
+            points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4")
             counts = np.bincount(points)
             for point in np.flatnonzero(counts).tolist():
                 total[point] = total.get(point, 0) + int(counts[point])
+
+        held, size = [], 0
+        for text in (t.as_py() for batch in batches for t in batch.column(0) if t.is_valid):
+            held.append(text)
+            size += len(text)
+            if size >= chunk:
+                add(held)
+                held, size = [], 0
+        add(held)
         chars = pa.array([chr(p) for p in total], type=pa.string())
         yield pa.record_batch([chars, pa.array(total.values(), type=pa.int64())], ["char", "n"])
 

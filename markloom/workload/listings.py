@@ -52,12 +52,12 @@ def _(spark, sf_dir):
 @query(
     "src2_category_pages",
     "SELECT concat('Doc ', CAST(doc_id AS VARCHAR)) AS title FROM documents "
-    "WHERE source = 'src1' AND doc_id % 3 = 0",
+    "WHERE source = 'src1' AND lang = 'en'",
 )
 def _(spark, sf_dir):
     members = table(spark, sf_dir, "documents").select(
         F.col("source").alias("category"),
-        (F.col("doc_id") % 3).alias("namespace"),
+        F.when(F.col("lang") == "en", 0).otherwise(14).alias("namespace"),
         F.concat(F.lit("Doc "), F.col("doc_id")).alias("title"),
     )
     return catalog.category_pages(members, "src1")
@@ -159,14 +159,12 @@ def _(spark, sf_dir):
     return peek(docs, "doc_id", 100, -37)
 
 
-@query("prj6_assemble_raw", on_src("SELECT * FROM wiki_src WHERE pageid % 2 = 0"))
+@query("prj6_assemble_raw", on_src("SELECT * FROM wiki_src"))
 def _(spark, sf_dir):
     # Titles repeat in the page view, so the page id makes them unique here.
     named = F.concat_ws("#", "title", "pageid")
     stored = flatten_query_response(responses(spark, sf_dir)).withColumn("title", named)
-    listing = wiki_src(spark, sf_dir).where("pageid % 2 = 0").select(
-        named.alias("title"), "articletype"
-    )
+    listing = wiki_src(spark, sf_dir).select(named.alias("title"), "articletype")
     raw = catalog.assemble_raw(stored, listing)
     return raw.withColumn("title", F.substring_index("title", "#", 1))
 
@@ -260,11 +258,12 @@ def _(spark, sf_dir):
 @query(
     "jn6_missing_articles",
     f"SELECT * FROM ({_LABELLED}) WHERE title NOT IN "
-    "(SELECT concat('Doc ', CAST(doc_id AS VARCHAR)) FROM documents WHERE doc_id % 2 = 0)",
+    "(SELECT concat('Doc ', CAST(doc_id AS VARCHAR)) FROM documents WHERE lang = 'en')",
 )
 def _(spark, sf_dir):
     good, featured = _listings(spark, sf_dir)
     articles = catalog.label_articles([(good, "g", 1), (featured, "f", 2)])
-    fetched = doc_pages(spark, sf_dir).where("pageid % 2 = 0")
+    docs = table(spark, sf_dir, "documents").where("lang = 'en'")  # the others were not fetched
+    fetched = docs.select(F.concat(F.lit("Doc "), F.col("doc_id")).alias("title"))
     return catalog.missing(articles, fetched)
 

@@ -219,7 +219,7 @@ def _(spark, sf_dir):
     )
 
 
-_VAL = ((r"\{\{val\|\d*0\}\}", ""), (r"\{\{val\|(\d+)\}\}", r"\1 units"))
+_VAL = ((r"\{\{val\|(?:4[5-9]|50)\}\}", ""), (r"\{\{val\|(\d+)\}\}", r"\1 units"))
 
 
 def _markdown_src() -> str:

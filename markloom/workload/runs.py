@@ -191,7 +191,7 @@ def _(spark, sf_dir):
 @query(
     "snk7_undownloaded",
     "SELECT concat(CASE WHEN toxic = 1 THEN 'f' ELSE 'g' END, ' Doc ', CAST(doc_id AS VARCHAR)) AS value "
-    "FROM labels WHERE (quality = 1 OR toxic = 1) AND doc_id % 3 <> 0",
+    "FROM labels JOIN documents USING (doc_id) WHERE (quality = 1 OR toxic = 1) AND documents.lang <> 'en'",
 )
 def _(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
@@ -200,7 +200,8 @@ def _(spark, sf_dir):
         [(labels.where("quality = 1").select(title), "g", 1), (labels.where("toxic = 1").select(title), "f", 2)]
     )
     path = work_dir(spark, "missing_articles")
-    gone = missing(articles, doc_pages(spark, sf_dir).where("pageid % 3 = 0"))
+    docs = table(spark, sf_dir, "documents").where("lang = 'en'")  # the others were not fetched
+    gone = missing(articles, docs.select(title))
     write_lines(gone, path, ["articletype", "title"], " ")
     return spark.read.text(path)
 
@@ -292,12 +293,13 @@ def _(spark, sf_dir):
 
 @query(
     "run_download",
-    "WITH listed AS (SELECT CASE WHEN toxic = 1 THEN 'f' ELSE 'g' END AS t, doc_id FROM labels "
+    "WITH listed AS (SELECT CASE WHEN toxic = 1 THEN 'f' ELSE 'g' END AS t, doc_id, "
+    "documents.lang = 'en' AS there, text FROM labels JOIN documents USING (doc_id) "
     "WHERE quality = 1 OR toxic = 1) SELECT 'counts' AS kind, concat_ws(',', count(*), "
-    "count(*) FILTER (doc_id % 3 = 0)) AS value FROM listed UNION ALL "
-    "SELECT 'missing', concat(t, ' Doc ', CAST(doc_id AS VARCHAR)) FROM listed WHERE doc_id % 3 <> 0 "
+    "count(*) FILTER (there)) AS value FROM listed UNION ALL "
+    "SELECT 'missing', concat(t, ' Doc ', CAST(doc_id AS VARCHAR)) FROM listed WHERE NOT there "
     "UNION ALL SELECT 'raw', concat_ws(' ', doc_id, 'Doc', doc_id, 'en', doc_id * 2, t, length(text)) "
-    "FROM listed JOIN documents USING (doc_id) WHERE doc_id % 3 = 0",
+    "FROM listed WHERE there",
 )
 def _(spark, sf_dir):
     """Stored listings and responses to a raw dataset and the list of what is missing."""
@@ -314,7 +316,7 @@ def _(spark, sf_dir):
     page = F.struct(F.col("doc_id").alias("pageid"), F.array(rev).alias("revisions"))
     body = F.struct(F.struct(F.create_map(F.col("doc_id").cast("string"), page).alias("pages")).alias("query"))
     stored = table(spark, sf_dir, "documents").select(
-        title, F.when(F.col("doc_id") % 3 == 0, F.to_json(body)).otherwise("{}").alias("response")
+        title, F.when(F.col("lang") == "en", F.to_json(body)).otherwise("{}").alias("response")
     )
     out, logs = work_dir(spark, "raw"), work_dir(spark, "logs")
     counts = download(spark, members, stored, out, logs, 1_700_000_000)

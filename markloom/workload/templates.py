@@ -168,7 +168,7 @@ def _(spark, sf_dir):
 
 def dictionary(spark, sf_dir):
     """Stored expansions for most of the measures in the page view."""
-    part = table(spark, sf_dir, "part").where("p_size % 10 <> 0")
+    part = table(spark, sf_dir, "part").where("p_size < 45")  # nothing is stored for larger ones
     size = F.col("p_size").cast("string")
     return part.select(
         F.concat(F.lit("{{val|"), size, F.lit("}}")).alias("invocation"),
@@ -180,7 +180,7 @@ EXPANDED = sql_strip(
     sql_chain(
         "wikitext",
         (DROPPED_SRC, ""),
-        (r"\{\{val\|\d*0\}\}", ""),
+        (r"\{\{val\|(?:4[5-9]|50)\}\}", ""),
         (r"\{\{val\|(\d+)\}\}", r"\1 units"),
     )
 )
@@ -190,7 +190,7 @@ EXPANDED = sql_strip(
     "jn4_expand_by_dictionary",
     on_src(
         f"SELECT pageid, {EXPANDED} AS expanded, "
-        r"CAST(5 + len(regexp_extract_all(wikitext, '\{\{val\|\d*0\}\}')) AS BIGINT) AS unmatched FROM wiki_src"
+        r"CAST(5 + len(regexp_extract_all(wikitext, '\{\{val\|(?:4[5-9]|50)\}\}')) AS BIGINT) AS unmatched FROM wiki_src"
     ),
 )
 def _(spark, sf_dir):
@@ -202,7 +202,7 @@ def _(spark, sf_dir):
     "jn4_expand_inline",
     on_src(
         f"SELECT pageid, {EXPANDED} AS expanded, "
-        r"CAST(5 + len(regexp_extract_all(wikitext, '\{\{val\|\d*0\}\}')) AS BIGINT) AS unmatched FROM wiki_src"
+        r"CAST(5 + len(regexp_extract_all(wikitext, '\{\{val\|(?:4[5-9]|50)\}\}')) AS BIGINT) AS unmatched FROM wiki_src"
     ),
 )
 def _(spark, sf_dir):

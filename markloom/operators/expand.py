@@ -51,56 +51,54 @@ def expand_by_dictionary(
     out: str = "expanded",
     key: str = "pageid",
     inline: bool = False,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Replace every outermost template by its expansion; unmatched ones vanish.
 
     Adds `out` (trimmed) and `unmatched`, the number of templates without an entry.
+    `key` identifies a page.
 
-    The join form shuffles only the template uses, salted, and brings one row per
-    page back to the text. `inline` needs a small dictionary (checked) and is a
-    narrow stage, which a stream can use too.
+    The join form shuffles the template uses, salted, and each page's text once;
+    the text is cut again behind that join, so it does not travel twice. `inline`
+    needs a small dictionary (checked) and is a narrow stage, which a stream can
+    use too.
     """
-    segs = F.col("_segments")
-    cut = pages.withColumn("_segments", invocation_segments(F.col(text)))
+    segs = invocation_segments(F.col(text))
     if expansions is None or inline:
         table = None if expansions is None else _inline_map(one_per_invocation(expansions))
 
-        def pick(s: Column, _: Column) -> Column:
-            return F.lit("") if table is None else F.coalesce(F.try_element_at(table, s), F.lit(""))
-
-        uses = F.filter(segs, lambda _, i: i % 2 == 1)
-        if table is None:
-            unmatched = F.size(uses)
-        else:
-            unmatched = F.size(F.filter(uses, lambda s: F.try_element_at(table, s).isNull()))
-        return (
-            cut.withColumn(out, py_strip(_splice(segs, pick)))
-            .withColumn("unmatched", unmatched.cast("long"))
-            .drop("_segments")
-        )
-
-    uses = (
-        cut.where(F.size(segs) > 1)
-        .select(key, F.posexplode(segs).alias("pos", "invocation"))
-        .where(F.col("pos") % 2 == 1)
-        .withColumn("salt", F.pmod(F.xxhash64(key, "pos"), F.lit(SALTS)).cast("int"))
-    )
+        def entry(s: Column) -> Column:
+            return F.lit(None).cast("string") if table is None else F.try_element_at(table, s)
+
+        uses = F.filter(F.col("_segments"), lambda _, i: i % 2 == 1)
+        spliced = _splice(F.col("_segments"), lambda s, _: F.coalesce(entry(s), F.lit("")))
+        cut = pages.withColumn("_segments", segs)
+        return cut.withColumns(
+            {
+                out: py_strip(spliced),
+                "unmatched": F.size(F.filter(uses, lambda s: entry(s).isNull())).cast("long"),
+            }
+        ).drop("_segments")
+
+    uses = pages.select(
+        key, F.posexplode(F.filter(segs, lambda _, i: i % 2 == 1)).alias("pos", "invocation")
+    ).withColumn("salt", F.pmod(F.xxhash64(key, "pos"), F.lit(salts)).cast("int"))
     entries = one_per_invocation(expansions).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
+    # The expansions of one page, in the order of its templates.
+    placed = F.struct("pos", F.coalesce("expansion", F.lit("")).alias("expansion"))
     found = (
         uses.join(entries, ["invocation", "salt"], "left")
         .groupBy(key)
         .agg(
-            F.array_sort(F.collect_list(F.struct("pos", F.coalesce("expansion", F.lit("")).alias("expansion")))).alias("_found"),
+            F.array_sort(F.collect_list(placed)).alias("_found"),
             F.count_if(F.col("expansion").isNull()).alias("unmatched"),
         )
         .withColumn("_found", F.transform("_found", lambda e: e["expansion"]))
     )
     spliced = _splice(segs, lambda _, n: F.get(F.col("_found"), n))
-    return (
-        cut.join(found, key, "left")
-        .withColumn(out, py_strip(spliced))
-        .withColumn("unmatched", F.coalesce("unmatched", F.lit(0)))
-        .drop("_segments", "_found")
-    )
+    joined = pages.join(found, key, "left")
+    return joined.withColumns(
+        {out: py_strip(spliced), "unmatched": F.coalesce("unmatched", F.lit(0))}
+    ).drop("_found")

@@ -78,9 +78,12 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
     out = settle(out, "pre_first", join_sections(level2(first)))
     out = out.withColumn("pre_marked", mark_templates(F.col("pre_first")))
     out = out.withColumn("pre_names", marked_names(F.col("pre_marked")))
-    empty = F.array_contains("pre_names", "")
+    # Settled here, so that the raw text need not travel any further.
+    error = F.when(F.col("wikitext").isNull(), "missing wikitext").when(
+        F.array_contains("pre_names", ""), "empty template name"
+    )
     out = (
-        out.withColumn("pre_error", F.when(empty, "empty template name"))
+        out.withColumn("pre_error", error)
         .withColumn("pre_description", marked_short_description(F.col("pre_marked")))
         .withColumn("pre_unsupported", unsupported_names(F.col("pre_names"), policy))
         .withColumn("pre_wikitext", show_opaque(apply_template_policy(F.col("pre_first"), policy)))
@@ -88,15 +91,6 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
     return out.drop("pre_hidden", "pre_first", "pre_marked", "pre_names")
 
 
-def postprocess_text(c: Column, policy: TagPolicy | None = None) -> Column:
-    """Expanded text to final text. Opaque tags are hidden throughout."""
-    policy = policy or TagPolicy()
-    c = join_sections(level2(drop_sections(hide_opaque(c))))
-    c = apply_markup_policy(apply_tag_policy(c, policy), policy)
-    c = external_to_text(resolve_links(c, after_expansion=True))
-    return finish(show_opaque(c))
-
-
 def postprocess(
     pages: DataFrame, text: str = "expanded", with_styling: bool = False
 ) -> DataFrame:
@@ -155,10 +149,8 @@ def convert_pages(
         pre, expansions, text="pre_wikitext", out="expanded", inline=inline
     )
     done = to_markdown(postprocess(expanded, with_styling=with_styling))
-    failure = F.when(F.col("wikitext").isNull(), F.lit("missing wikitext")).otherwise(F.col("pre_error"))
-    done = done.withColumn("error", failure)
     status = (
-        F.when(F.col("error").isNotNull(), "failed")
+        F.when(F.col("pre_error").isNotNull(), "failed")
         .when(F.col("corrupt"), "corrupt")
         .otherwise("ok")
     )
@@ -175,5 +167,5 @@ def convert_pages(
         counter(F.col("post_unsupported")).alias("unsupported_tags"),
         counter(F.col("pre_unsupported")).alias("unsupported_templates"),
         status.alias("status"),
-        "error",
+        F.col("pre_error").alias("error"),
     )

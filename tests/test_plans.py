@@ -1,6 +1,7 @@
 """Shapes of the plans: what must stay narrow, and what may shuffle."""
 
 from markloom.operators.expand import expand_by_dictionary
+from markloom.operators.quality import to_output, with_status
 from markloom.plans.convert import convert_pages, preprocess
 from markloom.operators import census, catalog
 from markloom.workload.templates import dictionary
@@ -35,6 +36,14 @@ def test_expansion_join_moves_page_text_once(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
+def test_raw_text_does_not_travel_through_the_expansion_join(spark):
+    done = convert_pages(raw(spark), dictionary(spark, SF_DIR))
+    text = plan(to_output(with_status(done, "ok")))
+    (scan, *_) = [p for p in text.split("Exchange hashpartitioning(pageid") if p]
+    head = [line for line in scan.splitlines() if "Project [pageid" in line][-1]
+    assert "pre_wikitext" in head and " wikitext#" not in head
+
+
 def test_census_combines_before_the_shuffle(spark):
     text = plan(census.document_frequency(raw(spark)))
     assert text.count("Exchange") == 1 and "partial_count" in text

@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
+from functools import wraps
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,24 @@ MAX_NESTING = 40
 MARK = "\ufdd0"
 
 
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep a long expression for the life of the Spark context.
+
+    Building one takes thousands of calls into the JVM, the same ones each time.
+    Arguments must be hashable; Python functions do not belong in there.
+    """
+    kept: dict[tuple, Column] = {}
+
+    @wraps(build)
+    def get(*args) -> Column:
+        key = (id(SparkContext._active_spark_context), *args)
+        if key not in kept:
+            kept[key] = build(*args)
+        return kept[key]
+
+    return get
+
+
 def may_have_markers(c: Column) -> Column:
     """A cheap look for the first bytes of the markers' UTF-8 form."""
     return F.contains(c.cast("binary"), F.lit(b"\xef\xb7"))

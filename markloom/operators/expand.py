@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.templates import invocation_segments
-from ..functions.text import py_strip
+from ..functions.text import built_once, py_strip
 
 # A dictionary up to this size may travel inside the plan as one map.
 INLINE_ENTRIES = 2_000
@@ -44,6 +44,11 @@ def _splice(segments: Column, pick) -> Column:
     )
 
 
+@built_once
+def _segments(text: str) -> Column:
+    return invocation_segments(F.col(text))
+
+
 def expand_by_dictionary(
     pages: DataFrame,
     expansions: DataFrame | None,
@@ -63,7 +68,7 @@ def expand_by_dictionary(
     needs a small dictionary (checked) and is a narrow stage, which a stream can
     use too.
     """
-    segs = invocation_segments(F.col(text))
+    segs = _segments(text)
     if expansions is None or inline:
         table = None if expansions is None else _inline_map(one_per_invocation(expansions))
 

@@ -36,7 +36,7 @@ from ..functions.templates import (
     marked_short_description,
     unsupported_names,
 )
-from ..functions.text import guard, let, nfkc, settle
+from ..functions.text import built_once, guard, let, nfkc, settle
 from ..operators.expand import expand_by_dictionary
 from ..session import through_table
 
@@ -65,51 +65,119 @@ def counter(names: Column) -> Column:
     return F.map_from_entries(let(F.array_sort(names), runs))
 
 
+# The long expressions, over the columns that the plans below pass on.
+
+
+@built_once
+def _hidden() -> Column:
+    return hide_opaque(guard(F.col("wikitext")))
+
+
+@built_once
+def _first_pass() -> Column:
+    """Links, magic templates and switches; cut into sections before templates go."""
+    text = drop_switches(magic_templates(resolve_links(F.col("pre_hidden"))))
+    return join_sections(level2(join_flat(text)))
+
+
+@built_once
+def _marked() -> Column:
+    return mark_templates(F.col("pre_first"))
+
+
+@built_once
+def _description() -> Column:
+    return marked_short_description(F.col("pre_marked"))
+
+
+@built_once
+def _dropped_names(policy: TemplatePolicy) -> Column:
+    return unsupported_names(F.col("pre_names"), policy)
+
+
+@built_once
+def _kept_templates(policy: TemplatePolicy) -> Column:
+    return show_opaque(apply_template_policy(F.col("pre_first"), policy))
+
+
+@built_once
+def _kept_sections(text: str) -> Column:
+    return join_sections(level2(drop_sections(hide_opaque(F.col(text)))))
+
+
+@built_once
+def _without_tags(styled: bool) -> Column:
+    policy = TagPolicy(styled=styled)
+    return apply_markup_policy(apply_tag_policy(F.col("post_cut"), policy), policy)
+
+
+@built_once
+def _without_links() -> Column:
+    text = external_to_text(resolve_links(F.col("post_tagged"), after_expansion=True))
+    return finish(show_opaque(text))
+
+
+@built_once
+def _corrupt(text: str) -> Column:
+    return is_corrupt(F.col(text))
+
+
+@built_once
+def _blocks(text: str) -> Column:
+    return blocks_to_markdown(F.col(text))
+
+
+@built_once
+def _cleaned() -> Column:
+    clean = F.col("md_blocks")
+    for cleanup in CLEANUPS:
+        clean = cleanup(clean)
+    return clean
+
+
+@built_once
+def _counted(names: str) -> Column:
+    return counter(F.col(names))
+
+
 def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFrame:
     """Adds the cleaned `wikitext`, raw categories, description and dropped templates.
 
     The columns arrive as `pre_*`; the input text stays as it was.
     """
     policy = policy or TemplatePolicy.default(pages.sparkSession)
-    out = pages.withColumn("pre_hidden", hide_opaque(guard(F.col("wikitext"))))
+    out = pages.withColumn("pre_hidden", _hidden())
     out = out.withColumn("pre_categories", raw_categories(F.col("pre_hidden")))
-    first = join_flat(drop_switches(magic_templates(resolve_links(F.col("pre_hidden")))))
-    # Sections are cut before templates go, and dropped templates are counted in kept text only.
-    out = settle(out, "pre_first", join_sections(level2(first)))
-    out = out.withColumn("pre_marked", mark_templates(F.col("pre_first")))
+    out = settle(out, "pre_first", _first_pass())
+    out = out.withColumn("pre_marked", _marked())
     out = out.withColumn("pre_names", marked_names(F.col("pre_marked")))
     # Settled here, so that the raw text need not travel any further.
     error = F.when(F.col("wikitext").isNull(), "missing wikitext").when(
         F.array_contains("pre_names", ""), "empty template name"
     )
-    out = (
-        out.withColumn("pre_error", error)
-        .withColumn("pre_description", marked_short_description(F.col("pre_marked")))
-        .withColumn("pre_unsupported", unsupported_names(F.col("pre_names"), policy))
-        .withColumn("pre_wikitext", show_opaque(apply_template_policy(F.col("pre_first"), policy)))
-    )
-    return out.drop("pre_hidden", "pre_first", "pre_marked", "pre_names")
+    return out.withColumns(
+        {
+            "pre_error": error,
+            "pre_description": _description(),
+            "pre_unsupported": _dropped_names(policy),
+            "pre_wikitext": _kept_templates(policy),
+        }
+    ).drop("pre_hidden", "pre_first", "pre_marked", "pre_names")
 
 
 def postprocess(
     pages: DataFrame, text: str = "expanded", with_styling: bool = False
 ) -> DataFrame:
     """Adds `final_wikitext` and the names of unknown tags."""
-    policy = TagPolicy(styled=with_styling)
-    out = pages.withColumn("post_cut", drop_sections(hide_opaque(F.col(text))))
-    out = out.withColumn("post_cut", join_sections(level2(F.col("post_cut"))))
-    out = out.withColumn("post_unsupported", unsupported_tag_names(F.col("post_cut"), policy))
-    tagged = apply_markup_policy(apply_tag_policy(F.col("post_cut"), policy), policy)
-    out = out.withColumn("post_tagged", tagged)
-    linked = external_to_text(resolve_links(F.col("post_tagged"), after_expansion=True))
-    out = settle(out, "final_wikitext", finish(show_opaque(linked)))
-    return out.drop("post_cut", "post_tagged")
+    out = pages.withColumn("post_cut", _kept_sections(text))
+    unknown = unsupported_tag_names(F.col("post_cut"), TagPolicy(styled=with_styling))
+    out = out.withColumns({"post_unsupported": unknown, "post_tagged": _without_tags(with_styling)})
+    return settle(out, "final_wikitext", _without_links()).drop("post_cut", "post_tagged")
 
 
 def to_markdown(pages: DataFrame, text: str = "final_wikitext") -> DataFrame:
     """Adds `corrupt` and `markdown`, and normalises all text columns in one pass."""
-    out = pages.withColumn("corrupt", is_corrupt(F.col(text)))
-    out = out.withColumn("md_blocks", blocks_to_markdown(F.col(text)))
+    out = pages.withColumns({"corrupt": _corrupt(text), "md_blocks": _blocks(text)})
     # All four normalisations share one trip to Python.
     out = out.withColumns(
         {
@@ -119,11 +187,8 @@ def to_markdown(pages: DataFrame, text: str = "final_wikitext") -> DataFrame:
             "description": nfkc(F.col("pre_description")),
         }
     )
-    clean = F.col("md_blocks")
-    for cleanup in CLEANUPS:
-        clean = cleanup(clean)
-    return out.withColumn("markdown", clean).withColumn(
-        "description", finish_description(F.col("description"))
+    return out.withColumns(
+        {"markdown": _cleaned(), "description": finish_description(F.col("description"))}
     )
 
 
@@ -164,8 +229,8 @@ def convert_pages(
         F.col("wikitext").alias("raw_wikitext"),
         F.col("final_wikitext").alias("wikitext"),
         "markdown",
-        counter(F.col("post_unsupported")).alias("unsupported_tags"),
-        counter(F.col("pre_unsupported")).alias("unsupported_templates"),
+        _counted("post_unsupported").alias("unsupported_tags"),
+        _counted("pre_unsupported").alias("unsupported_templates"),
         status.alias("status"),
         F.col("pre_error").alias("error"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import nfkc, py_strip, settle_nested, where_contains
+from .text import let, nfkc, py_strip, settle_nested, where_contains
 
 L1, L2 = "\ufdd2", "\ufdd3"  # a link that stays in the text
 O, C = "\ufdd4", "\ufdd5"  # [[ and ]], so that a single bracket is an ordinary character
@@ -16,7 +16,27 @@ _SCHEME = r"(?:https?|s?ftps?|git|gopher|ircs?|mms|nntp|redis|ssh|svn|telnet|wor
 
 
 def drop_comments(c: Column) -> Column:
-    return where_contains(c, "-->", lambda t: F.regexp_replace(t, "(?s)<!--.*?-->", ""))
+    """Comments, also over several lines; one that is not closed is text.
+
+    Cut at the ends of comments, a comment is what follows the first beginning in
+    a piece. That takes linear time, however many beginnings there are.
+    """
+
+    def cut(ps: Column) -> Column:
+        return F.transform(
+            ps,
+            lambda p, i: F.when(i == F.size(ps) - 1, p)
+            .when(p.contains("<!--"), F.substring_index(p, "<!--", 1))
+            .otherwise(F.concat(p, F.lit("-->"))),
+        )
+
+    def drop(t: Column) -> Column:
+        # `<!-->` opens a comment and does not close it: left to the pattern.
+        return F.when(
+            t.rlike("<!--?>|<!--->"), F.regexp_replace(t, "(?s)<!--.*?-->", "")
+        ).otherwise(F.array_join(let(F.split(t, "-->"), cut), ""))
+
+    return where_contains(c, "-->", drop)
 
 
 def drop_switches(c: Column) -> Column:

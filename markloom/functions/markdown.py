@@ -44,7 +44,7 @@ PAIRED = "sub|sup|blockquote|math|syntaxhighlight|code|pre|ul|ol|nowiki|u|del"
 
 def drop_markdown_comments(c: Column) -> Column:
     """Comments on one line."""
-    return where_contains(c, "<!--", lambda t: F.regexp_replace(t, "(?d)<!--.*?-->", ""))
+    return where_contains(c, "-->", lambda t: F.regexp_replace(t, "(?d)<!--.*?-->", ""))
 
 
 def drop_table_residue(c: Column) -> Column:
@@ -161,7 +161,9 @@ def decode_entities(c: Column) -> Column:
 
 
 def _inline_code(tags: str, c: Column, fn) -> Column:
-    return rewrite_matches(c, rf"(?is)<({tags})(?:\s[^<>]*)?(?<!/)>.*?</\1\s*>", fn)
+    pattern = rf"(?is)<({tags})(?:\s[^<>]*)?(?<!/)>.*?</\1\s*>"
+    closed = rf"(?i)</(?:{tags})\s*>"
+    return let(c, lambda t: F.when(t.rlike(closed), rewrite_matches(t, pattern, fn)).otherwise(t))
 
 
 def _opaque_to_markdown(c: Column) -> Column:

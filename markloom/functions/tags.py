@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dims import TAGS_OPAQUE, TagPolicy, is_one_of
+from .links import drop_comments
 from .text import each_line, let, nesting, py_strip, rewrite_matches, settle_nested, where_contains
 
 D1, D2 = "\ufdd2", "\ufdd3"  # around a tag pair that is about to go
@@ -23,16 +24,30 @@ NAME = r"[A-Za-z][A-Za-z0-9]*"
 
 
 def hide_opaque(c: Column, comments: bool = True) -> Column:
-    """Hide the content of tags that the wiki parser does not look into; drop comments."""
+    """Hide the content of tags that the wiki parser does not look into; drop comments.
+
+    What is never closed is never looked for: a search for a missing end, from each
+    of many beginnings, would take quadratic time.
+    """
     tags = "|".join(TAGS_OPAQUE)
-    pattern = rf"(?is)<(?:!--.*?-->|({tags}){_ATTRS}(?<!/)>.*?</\1\s*>)"
+    opaque = rf"({tags}){_ATTRS}(?<!/)>.*?</\1\s*>"
+    comment = "!--.*?-->"
 
     def settle(match: Column) -> Column:
         hidden = F.translate(match, _PLAIN, _HIDDEN)
-        comment = F.lit("") if comments else match
-        return F.when(match.startswith("<!--"), comment).otherwise(hidden)
+        return F.when(match.startswith("<!--"), F.lit("") if comments else match).otherwise(hidden)
+
+    def hide(t: Column) -> Column:
+        has_comments, has_opaque = t.contains("-->"), t.rlike(rf"(?i)</(?:{tags})\s*>")
+        both = rewrite_matches(t, rf"(?is)<(?:{comment}|{opaque})", settle)
+        return (
+            F.when(has_comments & has_opaque, both)
+            .when(has_opaque, rewrite_matches(t, rf"(?is)<{opaque}", settle))
+            .when(has_comments, drop_comments(t) if comments else t)
+            .otherwise(t)
+        )
 
-    return where_contains(c, "<", lambda t: rewrite_matches(t, pattern, settle))
+    return where_contains(c, "<", hide)
 
 
 def show_opaque(c: Column) -> Column:

@@ -60,7 +60,14 @@ def test_external_links(apply):
 
 def test_switches_and_comments(apply):
     assert apply(L.drop_switches, "a__NOTOC__b____c__x__") == "abc__x__"
-    assert apply(L.drop_comments, "a<!-- x\ny -->b<!-- open") == "ab<!-- open"
+    cases = {
+        "a<!-- x\ny -->b<!-- open": "ab<!-- open",
+        "a --> b <!-- c <!-- d --> e --> f": "a --> b  e --> f",
+        "a<!-->b-->c": "ac",
+        "<!---->x": "x",
+        "<!-- " * 100_000: "<!-- " * 100_000,
+    }
+    assert apply(L.drop_comments, *cases) == list(cases.values())
 
 
 def test_thousands_of_links_do_not_exhaust_the_stack(apply):

@@ -91,6 +91,7 @@ def _(spark, sf_dir):
 
 
 def _perturbed(pages):
+    """A damaged copy of all pages: some are gone, some have another title or no revision."""
     return (
         pages.where("pageid % 9 <> 0")
         .withColumn("title", F.when(F.col("pageid") % 7 == 0, F.upper("title")).otherwise(F.col("title")))

@@ -9,7 +9,7 @@ Earlier means a smaller (doc_id, line number); the first of equal lines stands f
    at the few places where an alignment with that many edits can put them (length-aware substring index).
 2. Keys are dealt out once; a task streams through them. Lists that would make many pairs are split again:
    edits change at most ``2 * EDITS`` of ``2 * EDITS + 1`` groups of characters, so similar lines agree in
-   the count of some group, and near misses that merely share a segment don't meet any more.
+   the count of some group; parity signatures of their character pairs tell most of the rest apart.
 3. Pairs are verified by a bit-parallel automaton of width ``2 * EDITS + 1`` along the diagonal.
 
 What is shuffled is hashes, the texts of candidate lines, and each document once for its clean text.
@@ -36,7 +36,7 @@ from .words import Powers, byte_class, mix, run_hashes, slabs
 EDITS = 2
 EXACT, NEAR = 20, 40
 #: Pairs that a list may make before it is split by character counts.
-LIST_PAIRS = 512
+LIST_PAIRS = 32
 FILTER_BITS = 1 << 22
 _SECOND = 0xD1B54A32D192ED03
 _SPACE = np.concatenate((byte_class(b" \t\x0b\x0c\r")[:128], np.zeros(1, bool)))
@@ -130,14 +130,26 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, h long, probe boolean")
 
 
-def _pairs(entry: np.ndarray, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    i, j = np.triu_indices(len(entry), 1)
-    a = np.concatenate((entry[i], np.repeat(entry, len(probe))))
-    b = np.concatenate((entry[j], np.tile(probe, len(entry))))
-    return a[a != b], b[a != b]
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("probe", pa.bool_())])
 
 
-_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("probe", pa.bool_())])
+def _pairs(c: dict[str, np.ndarray], own: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows inside ``own`` and between it and ``others``, without those that signatures rule out."""
+    i, j = np.triu_indices(len(own), 1)
+    i = np.concatenate((own[i], np.repeat(own, len(others))))
+    j = np.concatenate((own[j], np.tile(others, len(own))))
+    open_ = c["h"][i] != c["h"][j]
+    if "s0" in c:
+        differ = np.bitwise_count(c["s0"][i] ^ c["s0"][j]) + np.bitwise_count(c["s1"][i] ^ c["s1"][j])
+        open_ &= differ <= 4 * EDITS
+    a, b = c["h"][i[open_]], c["h"][j[open_]]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _found(pairs: list) -> pa.RecordBatch:
+    found = np.unique(np.concatenate([np.column_stack(p) for p in pairs]), axis=0)
+    none = [pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.bool_())]
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), *none], schema=_FOUND)
 
 
 def _meet(limit: int | None):
@@ -148,23 +160,25 @@ def _meet(limit: int | None):
             new = np.ones(len(c["key"]), bool)
             new[1:] = (c["key"][1:] != c["key"][:-1]) | (c["h"][1:] != c["h"][:-1]) | (c["probe"][1:] != c["probe"][:-1])
             c = taken(c, new)
+            if "s0" in c:
+                c |= {k: c[k].view(np.uint64) for k in ("s0", "s1")}
             at = bounds(c["key"])
             entries = np.add.reduceat((~c["probe"].astype(bool)).astype(np.int64), at[:-1])
             size = np.diff(at)
-            pairs, large = [], []
+            pairs, large, made = [], [], 0
             for k in np.flatnonzero((entries > 0) & (size > 1)):
                 lo, mid, hi = at[k], at[k] + entries[k], at[k + 1]
                 if limit is not None and entries[k] * (hi - lo) > limit:
                     large.append(np.arange(lo, hi))
                     continue
-                # A long list is paired entry by entry.
+                # A long list is paired a few entries at a time.
                 step = max(1, 100_000 // int(hi - lo))
                 for e in range(lo, mid, step):
-                    own = c["h"][e : min(mid, e + step)]
-                    pairs.append(_pairs(own, np.concatenate((c["h"][min(mid, e + step) : mid], c["h"][mid:hi]))))
-                    if sum(len(p[0]) for p in pairs) > 100_000:
+                    pairs.append(_pairs(c, np.arange(e, min(mid, e + step)), np.arange(min(mid, e + step), hi)))
+                    made += len(pairs[-1][0])
+                    if made > 100_000:
                         yield _found(pairs)
-                        pairs = []
+                        pairs, made = [], 0
             if pairs:
                 yield _found(pairs)
             if large:
@@ -175,12 +189,6 @@ def _meet(limit: int | None):
     return run
 
 
-def _found(pairs: list) -> pa.RecordBatch:
-    a, b = (np.concatenate(x) for x in zip(*pairs))
-    none = [pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.bool_())]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *none], schema=_FOUND)
-
-
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, g, value) of the lines whose h is wanted, and of a few more."""
     bit = F.col("h").bitwiseAND(FILTER_BITS - 1)
@@ -210,22 +218,35 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    """Entries (key, h, probe, value) once per group of characters, keyed by that group's counts too."""
+    """Entries (key, h, probe, value) once per group of characters, keyed by that group's counts too, and signed.
+
+    The signature (s0, s1) says which of 128 classes an odd number of the line's character pairs falls on. An
+    edit takes away two of those pairs at most and adds two, so it changes four bits at most.
+    """
     groups = 2 * EDITS + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(3).to_pylist()
             codes = np.frombuffer("".join(values).encode("utf-32-le"), np.uint32)
-            begin = np.concatenate(([0], np.cumsum([len(v) for v in values])))
+            sizes = np.array([len(v) for v in values], np.int64)
+            begin = np.concatenate(([0], np.cumsum(sizes)))
+            owner = np.repeat(np.arange(len(values)), sizes)
+            inner = owner[1:] == owner[:-1]
+            pair = (mix((codes[:-1].astype(np.uint64) << np.uint64(32)) | codes[1:]) & np.uint64(127)).astype(np.int64)
+            odd = np.bincount((owner[:-1] * 128 + pair)[inner], minlength=len(values) * 128).astype(np.uint8) & 1
+            sign = np.packbits(odd.reshape(-1, 128), axis=1, bitorder="little").view(np.int64)
             kind, weight = codes % groups, mix(codes.astype(np.uint64) + np.uint64(1))
             for g in range(groups):
                 total = np.concatenate(([np.uint64(0)], np.cumsum(np.where(kind == g, weight, np.uint64(0)))))
                 counts = total[begin[1:]] - total[begin[:-1]]
                 key = mix(batch.column(0).to_numpy().view(np.uint64) ^ mix(counts + np.uint64(g)))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(1), batch.column(2)], names=["key", "h", "probe"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), batch.column(1), batch.column(2), pa.array(sign[:, 0].copy()), pa.array(sign[:, 1].copy())],
+                    names=["key", "h", "probe", "s0", "s1"],
+                )
 
-    return rows.mapInArrow(run, "key long, h long, probe boolean")
+    return rows.mapInArrow(run, "key long, h long, probe boolean, s0 long, s1 long")
 
 
 def within(a: str, b: str, edits: int = EDITS) -> bool:

@@ -7,7 +7,8 @@
 2. Index lists: by the prefix filter, two sets that are alike share one of their first
    ``n - ceil(0.8 n) + 1`` shingles. Those are dealt out by shingle. Lists with one set are dropped.
 3. First answers: in every list each set is compared with the list's centre only, the set with the most
-   copies among those of a fitting size. That settles near copies with as many comparisons as sets.
+   copies among those of a fitting size. That settles near copies with as many comparisons as sets. Parity
+   signatures of ``SIGNATURE`` bits, lower bounds of how much two sets differ, come before the sets themselves.
 4. Derived answers: what is left are pairs of one list that are in different components. Lists are sorted by size,
    so the block of sets that are too small is skipped, then sets whose position rules them out. The answers of
    two sets to their common centre bound their own overlap from below and above; most pairs are settled by
@@ -45,6 +46,10 @@ BUCKETS = 1 << 20
 FREQUENT = 16
 #: Bits of the filter that says which sets a pass has to hand out.
 FILTER_BITS = 1 << 22
+#: Bits of the parity signature of a set.
+SIGNATURE = 1024
+#: Lists of more sets than this are compared by their signatures first.
+SHORT = 32
 #: Shingles that a task counts together.
 COUNTED = 3_000_000
 _LOW48 = (1 << 48) - 1
@@ -95,6 +100,18 @@ def identities(value: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return mix((total[begin[1:]] - total[begin[:-1]]) ^ (n * _COEFF[1])).view(np.int64)
 
 
+def signatures(value: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Parity signatures as rows of 64-bit numbers: bit j says whether an odd number of shingles falls on j.
+
+    Two sets differ in at least as many shingles as their signatures in bits.
+    """
+    rows = len(begin) - 1
+    doc = np.repeat(np.arange(rows), np.diff(begin))
+    bit = (value >> np.uint64(20) & np.uint64(SIGNATURE - 1)).astype(np.int64)
+    odd = np.bincount(doc * SIGNATURE + bit, minlength=rows * SIGNATURE).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(rows, SIGNATURE), axis=1, bitorder="little").view(np.int64)
+
+
 def ordered(value: np.ndarray, begin: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The shingles of each set in the order of all shingles: by level, then by hash."""
     level = levels[(value & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
@@ -105,10 +122,11 @@ def ordered(value: np.ndarray, begin: np.ndarray, levels: np.ndarray) -> np.ndar
 
 
 def _describe(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, sid, n of every document; and rows (bucket, seen) of repeated shingles, the others null."""
+    """doc_id, tkey, sid, n, sig of every document; and rows (bucket, seen) of repeated shingles, the others null."""
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("tkey", T.LongType()), T.StructField("sid", T.LongType()),
-        T.StructField("n", T.IntegerType()), T.StructField("bucket", T.IntegerType()), T.StructField("seen", T.LongType()),
+        T.StructField("n", T.IntegerType()), T.StructField("sig", T.ArrayType(T.LongType())),
+        T.StructField("bucket", T.IntegerType()), T.StructField("seen", T.LongType()),
     ])
 
     def counted(parts: list[np.ndarray], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -126,10 +144,12 @@ def _describe(docs: DataFrame) -> DataFrame:
             value, begin = shingles(texts, powers)
             sid = identities(value, begin)
             ids, keys = batch.column(0), batch.column(1)
-            kinds = [ids.type, pa.int64(), pa.int64(), pa.int32()]
+            kinds = [ids.type, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
             none = [pa.nulls(len(batch), pa.int32()), pa.nulls(len(batch), pa.int64())]
             size = pa.array(np.diff(begin), pa.int32())
-            yield pa.RecordBatch.from_arrays([ids, keys, pa.array(sid), size, *none], names=schema.names)
+            sig = signatures(value, begin)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1) * sig.shape[1], pa.int32()), pa.array(sig.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([ids, keys, pa.array(sid), size, lists, *none], names=schema.names)
             # Copies inside the slab count once, so that the levels say how many different sets hold a shingle.
             _, once = np.unique(sid, return_index=True)
             if len(once) < len(sid):
@@ -297,8 +317,23 @@ def _sets(docs: DataFrame, wanted: DataFrame, sent: object) -> DataFrame:
     return docs.select("text").mapInArrow(run, "sid long, items array<long>").dropDuplicates(["sid"])
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _possible(pairs: DataFrame, described: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their signatures don't rule out."""
+    known = described.where("n > 0").select("sid", "n", "sig").dropDuplicates(["sid"])
+    side = lambda x: known.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"s_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    bits = F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda acc, x: acc + x)
+    # |a & b| = (|a| + |b| - |a ^ b|) / 2, and 100 |a & b| >= ALIKE |a | b| needs (100 + ALIKE) |a & b| >= ALIKE (|a| + |b|).
+    total = F.col("n_a") + F.col("n_b")
+    return both.where((total - differ) * (100 + ALIKE) >= total * (2 * ALIKE)).select("a", "b")
+
+
+def _overlaps(pairs: DataFrame, docs: DataFrame, sent: object) -> DataFrame:
     """(a, b, n_a, n_b, o): sizes and exact overlap of the pairs (a, b) of sids."""
+    pairs = through_table(pairs, "pairs")
+    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), sent)
+    sets = through_table(sets, "sets")
     side = lambda x: sets.select(F.col("sid").alias(x), F.col("items").alias(f"i_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     sizes = [F.size(f"i_{x}").alias(f"n_{x}") for x in "ab"]
@@ -334,6 +369,7 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in zip(at[:-1], at[1:]):
             n, pos, comp = c["n"][lo:hi].astype(np.int64), c["pos"][lo:hi].astype(np.int64), c["comp"][lo:hi]
             sid, center, cn, o = c["sid"][lo:hi], c["center"][lo:hi], c["cn"][lo:hi].astype(np.int64), c["o"][lo:hi].astype(np.int64)
+            f = np.array([c[f"f{k}"][lo:hi] for k in range(4)]).view(np.uint64)
             # The first set of each list that is large enough for a set: the block before it is skipped.
             least = np.searchsorted(n * 100, n * ALIKE, "left")
             for i in range(max(1, fresh - lo), hi - lo):
@@ -343,10 +379,12 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 need = (ALIKE * (n[i] + n[j]) + 99 + ALIKE) // (100 + ALIKE)
                 most = 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 + np.minimum(pos[i], pos[j])
-                same = center[j] == center[i]
+                same = (center[j] == center[i]) & (o[j] >= 0) & (o[i] >= 0)
                 above = np.minimum(o[i], o[j]) + np.minimum(n[i] - o[i], n[j] - o[j])
                 # Pairs with a centre have been compared, and are not linked.
-                open_ = (most >= need) & ~(same & (above < need)) & (center[j] != sid[i]) & (center[i] != sid[j])
+                differ = np.bitwise_count(f[:, j] ^ f[:, i, None]).sum(0, dtype=np.int64)
+                near = (n[i] + n[j] - differ) * (100 + ALIKE) >= (n[i] + n[j]) * (2 * ALIKE)
+                open_ = near & (most >= need) & ~(same & (above < need)) & (center[j] != sid[i]) & (center[i] != sid[j])
                 j, need, same = j[open_], need[open_], same[open_]
                 if len(j):
                     out.append((np.full(len(j), sid[i]), sid[j], same & (o[i] + o[j] - cn[i] >= need)))
@@ -360,6 +398,15 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _signed(left: DataFrame, described: DataFrame) -> DataFrame:
+    """Add f0 to f3, the signature folded to 256 bits, to the entries of long lists; short ones go without."""
+    known = described.where("n > 0").select("sid", "sig").dropDuplicates(["sid"])
+    fold = [F.aggregate(F.slice("sig", 1 + k * 4, 4), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)).alias(f"f{k}") for k in range(4)]
+    signed = left.where("long").join(known.select("sid", *fold), "sid")
+    plain = left.where("not long").withColumns({f"f{k}": F.lit(0).cast("long") for k in range(4)})
+    return signed.unionByName(plain).drop("long")
+
+
 def _spread(df: DataFrame, *order: str) -> DataFrame:
     return df.repartition(order[0]).sortWithinPartitions(*order)
 
@@ -370,33 +417,33 @@ def _linked(docs: DataFrame, described: DataFrame) -> DataFrame:
     entries = _spread(_prefixes(docs, sent), "token", "sid")
     lists = through_table(entries.mapInArrow(_centred, "token long, sid long, n int, pos int, center long, cn int"), "lists")
     stars = lists.where("sid <> center").select(F.col("sid").alias("a"), F.col("center").alias("b")).distinct()
-    stars = through_table(stars, "stars")
-    # Every set of a list is an end of one of these pairs, so these sets also serve the later comparisons.
-    sets = through_table(_sets(docs, stars.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), sent), "sets")
-    first = _overlaps(stars, sets)
+    first = _overlaps(_possible(stars, described), docs, sent)
     links = first.where(_alike()).select("a", "b")
     found = components(links)
     placed = (
         lists.join(found.withColumnRenamed("node", "sid"), "sid", "left")
         .join(first.select(F.col("a").alias("sid"), F.col("b").alias("center"), "o"), ["sid", "center"], "left")
-        .select("token", "sid", "n", "pos", "center", "cn", F.coalesce("comp", "sid").alias("comp"), F.coalesce("o", "n").alias("o"))
+        .select("token", "sid", "n", "pos", "center", "cn", F.coalesce("comp", "sid").alias("comp"),
+                # Unknown, as -1, where the signatures alone told two sets apart.
+                F.when(F.col("sid") == F.col("center"), F.col("n")).otherwise(F.coalesce("o", F.lit(-1))).alias("o"))
     )
     placed = through_table(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    left = _spread(placed.join(mixed, "token"), "token", "n", "sid")
+    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+    left = placed.join(mixed.where("lo <> hi").select("token", (F.col("m") > SHORT).alias("long")), "token")
+    left = _spread(_signed(left, described), "token", "n", "sid")
     pairs = left.mapInArrow(_derived, "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
     pairs = through_table(pairs, "derived")
     more = pairs.where("sure").select("a", "b")
-    unsure = pairs.where("not sure").select("a", "b")
+    unsure = through_table(_possible(pairs.where("not sure").select("a", "b"), described), "possible")
     if not unsure.isEmpty():
-        more = more.union(_overlaps(unsure, sets).where(_alike()).select("a", "b"))
+        more = more.union(_overlaps(unsure, docs, sent).where(_alike()).select("a", "b"))
     if more.isEmpty():
         return found
     # Components of components: only the links that are new.
     name = lambda x: found.select(F.col("node").alias(x), F.col("comp").alias(f"{x}_comp"))
     moved = more.join(name("a"), "a", "left").join(name("b"), "b", "left")
     again = components(moved.select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")))
-    ends = again.withColumnsRenamed({"node": "comp", "comp": "to"})
+    ends = again.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
     old = found.join(ends, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
     alone = again.join(found.select("node"), "node", "left_anti")
     return through_table(old.union(alone), "nodes")

@@ -18,8 +18,8 @@
 Defined results: null and empty texts have no shingles and link with nothing; fewer than five words are one
 shingle; equal rows are linked documents like any other copies; a null doc_id takes part, and is
 the last choice as a component's id; an empty table gives an empty one; columns besides doc_id and text are
-ignored, or kept by ``one_of_each``. Shingles and sets are compared by hashes of 48 and 64 bits
-(two different shingles of one pair of sets of 1,000 meet with a chance of 4e-9).
+ignored, or kept by ``one_of_each``. Shingles and sets are compared by hashes of 43 and 64 bits
+(two different shingles of one pair of sets of 1,000 meet with a chance of 1e-7).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .common import through_table
 from .components import components
 from .keyed import arrays, bounds, joined, record_batch, taken
-from .words import NOT_SPACE, Powers, mix, slabs, word_hashes
+from .words import NOT_SPACE, Powers, mix, sized_words, slabs
 
 SHINGLE = 5
 #: Percent of the union that the intersection must reach.
@@ -48,6 +48,8 @@ FREQUENT = 16
 FILTER_BITS = 1 << 22
 #: Bits of the parity signature of a set.
 SIGNATURE = 1024
+#: Rows of three numbers that are sent to all tasks; larger tables are shuffled.
+SENT = 500_000
 #: Lists of more sets than this are compared by their signatures first.
 SHORT = 32
 #: Shingles that a task counts together.
@@ -59,11 +61,14 @@ _LENGTH = np.arange(SHINGLE + 1, dtype=np.uint64) * _COEFF[SHINGLE]
 
 
 def shingles(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct 48-bit shingle hashes of each text, in ascending order, and where each text's begin.
+    """Distinct shingles of each text as 48-bit numbers, in ascending order, and where each text's begin.
 
-    There are at most 65,536 texts, so that text and hash are one number to sort.
+    A number is five bits of the words' length, long words first, and a hash: chance brings short words
+    together again and again, so they come last in the order of all shingles. There are at most 65,536
+    texts, so that text and shingle are one number to sort.
     """
-    hashes, begin = word_hashes(texts, NOT_SPACE, powers)
+    hashes, begin, size = sized_words(texts, NOT_SPACE, powers)
+    until = np.concatenate(([0], np.cumsum(size)))
     count = np.diff(begin)
     parts = []
     if len(hashes) >= SHINGLE:
@@ -77,10 +82,12 @@ def shingles(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray
         for k in range(1, SHINGLE):
             ends = begin[1:-1] - k
             inner[ends[(ends >= 0) & (ends < n)]] = False
-        parts.append(_packed(np.compress(inner, value), np.compress(inner, np.repeat(np.arange(len(texts)), count)[:n])))
+        doc = np.repeat(np.arange(len(texts)), count)[:n]
+        length = until[SHINGLE:] - until[:n]
+        parts.append(_packed(np.compress(inner, value), np.compress(inner, length), np.compress(inner, doc)))
     for d in np.flatnonzero((count > 0) & (count < SHINGLE)):
         value = (hashes[begin[d] : begin[d + 1]] * _COEFF[: count[d]]).sum(keepdims=True) + _LENGTH[count[d]]
-        parts.append(_packed(value, np.array([d])))
+        parts.append(_packed(value, until[begin[d + 1] : begin[d + 1] + 1] - until[begin[d]], np.array([d])))
     packed = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
     new = np.ones(len(packed), bool)
     new[1:] = packed[1:] != packed[:-1]
@@ -89,8 +96,9 @@ def shingles(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray
     return packed & np.uint64(_LOW48), np.concatenate((bounds, [len(packed)]))
 
 
-def _packed(value: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    return (doc.astype(np.uint64) << np.uint64(48)) | (mix(value) >> np.uint64(16))
+def _packed(value: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    short = (31 - np.minimum(31, length // 2)).astype(np.uint64)
+    return (doc.astype(np.uint64) << np.uint64(48)) | (short << np.uint64(43)) | (mix(value) >> np.uint64(21))
 
 
 def identities(value: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -212,7 +220,7 @@ def _fits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 #: Rows of one list that are looked at together; a longer list goes on with the centres found so far.
 LIST_ROWS = 65_536
-_LISTS = pa.schema([("token", pa.int64()), ("sid", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("center", pa.int64()), ("cn", pa.int32())])
+_LISTS = pa.schema([("token", pa.int64()), ("sid", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("center", pa.int64()), ("cn", pa.int32()), ("m", pa.int32())])
 
 
 def _centred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +242,7 @@ def _centred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             several[0] = True
         if more:
             several[-1] = True
-        c = taken(c, np.repeat(several, size))
+        c = taken(c | {"m": np.repeat(size, size)}, np.repeat(several, size))
         if not len(c["token"]):
             known, last = {}, None
             return None
@@ -365,34 +373,51 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held is not None and held["token"][-1] == c["token"][0]:
             fresh = len(held["token"])
             c = joined([held, c])
-        at = bounds(c["token"])
+        token, sid, comp, center = c["token"], c["sid"], c["comp"], c["center"]
+        n, pos, cn, o = (c[k].astype(np.int64) for k in ("n", "pos", "cn", "o"))
+        f = np.array([c[f"f{k}"] for k in range(4)]).view(np.uint64)
+
+        def compare(x: np.ndarray, y: np.ndarray) -> None:
+            differ = np.bitwise_count(f[:, x] ^ f[:, y]).sum(0, dtype=np.int64)  # noqa: B023
+            need = (ALIKE * (n[x] + n[y]) + 99 + ALIKE) // (100 + ALIKE)  # noqa: B023
+            open_ = n[x] + n[y] - differ >= 2 * need  # noqa: B023
+            x, y, need = x[open_], y[open_], need[open_]
+            most = np.minimum(n[x] - pos[x], n[y] - pos[y]) + np.minimum(pos[x], pos[y])  # noqa: B023
+            same = (center[x] == center[y]) & (o[x] >= 0) & (o[y] >= 0)  # noqa: B023
+            above = np.minimum(o[x], o[y]) + np.minimum(n[x] - o[x], n[y] - o[y])  # noqa: B023
+            # Pairs with a centre have been compared, and are not linked.
+            open_ = (most >= need) & ~(same & (above < need)) & (center[y] != sid[x]) & (center[x] != sid[y])  # noqa: B023
+            x, y, need, same = x[open_], y[open_], need[open_], same[open_]
+            if len(x):
+                out.append((sid[x], sid[y], same & (o[x] + o[y] - cn[x] >= need)))  # noqa: B023
+
+        at = bounds(token)
+        short = np.repeat(np.diff(at) <= 2 * SHORT, np.diff(at))
+        # Short lists all at once: every set with the one before it, with the one before that, and so on.
+        i, back = np.flatnonzero(short[fresh:]) + fresh, 1
+        while len(i):
+            i = i[i >= back]
+            i = i[(token[i - back] == token[i]) & (n[i - back] * 100 >= n[i] * ALIKE)]
+            x = i[comp[i - back] != comp[i]]
+            compare(x, x - back)
+            back += 1
+        # Long ones set by set. Sizes ascend: the block of sets that are too small is skipped.
         for lo, hi in zip(at[:-1], at[1:]):
-            n, pos, comp = c["n"][lo:hi].astype(np.int64), c["pos"][lo:hi].astype(np.int64), c["comp"][lo:hi]
-            sid, center, cn, o = c["sid"][lo:hi], c["center"][lo:hi], c["cn"][lo:hi].astype(np.int64), c["o"][lo:hi].astype(np.int64)
-            f = np.array([c[f"f{k}"][lo:hi] for k in range(4)]).view(np.uint64)
-            # The first set of each list that is large enough for a set: the block before it is skipped.
-            least = np.searchsorted(n * 100, n * ALIKE, "left")
-            for i in range(max(1, fresh - lo), hi - lo):
-                j = np.arange(least[i], i)
-                j = j[comp[j] != comp[i]]
-                if not len(j):
-                    continue
-                need = (ALIKE * (n[i] + n[j]) + 99 + ALIKE) // (100 + ALIKE)
-                most = 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 + np.minimum(pos[i], pos[j])
-                same = (center[j] == center[i]) & (o[j] >= 0) & (o[i] >= 0)
-                above = np.minimum(o[i], o[j]) + np.minimum(n[i] - o[i], n[j] - o[j])
-                # Pairs with a centre have been compared, and are not linked.
-                differ = np.bitwise_count(f[:, j] ^ f[:, i, None]).sum(0, dtype=np.int64)
-                near = (n[i] + n[j] - differ) * (100 + ALIKE) >= (n[i] + n[j]) * (2 * ALIKE)
-                open_ = near & (most >= need) & ~(same & (above < need)) & (center[j] != sid[i]) & (center[i] != sid[j])
-                j, need, same = j[open_], need[open_], same[open_]
-                if len(j):
-                    out.append((np.full(len(j), sid[i]), sid[j], same & (o[i] + o[j] - cn[i] >= need)))
-            if sum(len(x[0]) for x in out) > 50_000:
-                yield flush()
+            if hi - lo <= 2 * SHORT:
+                continue
+            least = lo + np.searchsorted(n[lo:hi] * 100, n[lo:hi] * ALIKE, "left")
+            for x in range(max(lo + 1, fresh), hi):
+                y = np.arange(least[x - lo], x)
+                y = y[comp[y] != comp[x]]
+                if len(y):
+                    compare(np.full(len(y), x), y)
+                if sum(len(p[0]) for p in out) > 50_000:
+                    yield flush()
+        if sum(len(p[0]) for p in out) > 50_000:
+            yield flush()
         # Of the list that may go on, only sets that are large enough for the sets to come.
-        lo = at[-2]
-        keep = lo + int(np.searchsorted(c["n"][lo:].astype(np.int64) * 100, int(c["n"][-1]) * ALIKE, "left"))
+        lo = int(np.searchsorted(token, token[-1], "left"))
+        keep = lo + int(np.searchsorted(n[lo:] * 100, int(n[-1]) * ALIKE, "left"))
         held = taken(c, slice(keep, None))
     if out:
         yield flush()
@@ -402,9 +427,14 @@ def _signed(left: DataFrame, described: DataFrame) -> DataFrame:
     """Add f0 to f3, the signature folded to 256 bits, to the entries of long lists; short ones go without."""
     known = described.where("n > 0").select("sid", "sig").dropDuplicates(["sid"])
     fold = [F.aggregate(F.slice("sig", 1 + k * 4, 4), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)).alias(f"f{k}") for k in range(4)]
-    signed = left.where("long").join(known.select("sid", *fold), "sid")
-    plain = left.where("not long").withColumns({f"f{k}": F.lit(0).cast("long") for k in range(4)})
-    return signed.unionByName(plain).drop("long")
+    signed = left.where(F.col("m") > SHORT).join(known.select("sid", *fold), "sid")
+    plain = left.where(F.col("m") <= SHORT).withColumns({f"f{k}": F.lit(0).cast("long") for k in range(4)})
+    return signed.unionByName(plain).drop("m")
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, sent to all tasks if it has at most SENT rows."""
+    return F.broadcast(table) if table.count() <= SENT else table
 
 
 def _spread(df: DataFrame, *order: str) -> DataFrame:
@@ -415,22 +445,19 @@ def _linked(docs: DataFrame, described: DataFrame) -> DataFrame:
     """(node, comp) of every set that is linked with another one."""
     sent = docs.sparkSession.sparkContext.broadcast(_levels(described))
     entries = _spread(_prefixes(docs, sent), "token", "sid")
-    lists = through_table(entries.mapInArrow(_centred, "token long, sid long, n int, pos int, center long, cn int"), "lists")
+    lists = through_table(entries.mapInArrow(_centred, "token long, sid long, n int, pos int, center long, cn int, m int"), "lists")
     stars = lists.where("sid <> center").select(F.col("sid").alias("a"), F.col("center").alias("b")).distinct()
     first = _overlaps(_possible(stars, described), docs, sent)
     links = first.where(_alike()).select("a", "b")
     found = components(links)
     placed = (
-        lists.join(found.withColumnRenamed("node", "sid"), "sid", "left")
-        .join(first.select(F.col("a").alias("sid"), F.col("b").alias("center"), "o"), ["sid", "center"], "left")
-        .select("token", "sid", "n", "pos", "center", "cn", F.coalesce("comp", "sid").alias("comp"),
+        lists.join(_sent(found.withColumnRenamed("node", "sid")), "sid", "left")
+        .join(_sent(first.select(F.col("a").alias("sid"), F.col("b").alias("center"), "o")), ["sid", "center"], "left")
+        .select("token", "sid", "n", "pos", "center", "cn", "m", F.coalesce("comp", "sid").alias("comp"),
                 # Unknown, as -1, where the signatures alone told two sets apart.
                 F.when(F.col("sid") == F.col("center"), F.col("n")).otherwise(F.coalesce("o", F.lit(-1))).alias("o"))
-    )
-    placed = through_table(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-    left = placed.join(mixed.where("lo <> hi").select("token", (F.col("m") > SHORT).alias("long")), "token")
-    left = _spread(_signed(left, described), "token", "n", "sid")
+    )
+    left = _spread(_signed(placed, described), "token", "n", "sid")
     pairs = left.mapInArrow(_derived, "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
     pairs = through_table(pairs, "derived")
     more = pairs.where("sure").select("a", "b")

@@ -69,30 +69,36 @@ def run_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Po
     return mix(value)
 
 
-def _hashes(data: bytes, kind: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+def _hashes(data: bytes, kind: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer(data.lower(), np.uint8)  # of bytes, A-Z only
     inside = np.zeros(len(codes) + 2, bool)
     np.take(kind, codes, out=inside[1:-1])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
-    return run_hashes(codes, start, end, powers), start
+    return run_hashes(codes, start, end, powers), start, end - start
 
 
-def word_hashes(texts: list[bytes], kind: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, A-Z in lower case, and where each text's words begin (one more than texts)."""
+def sized_words(texts: list[bytes], kind: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes``, and the bytes of each word."""
     if sum(map(len, texts)) <= 2 * SLAB:
-        hashes, start = _hashes(b"\n".join(texts), kind, powers)
+        hashes, start, size = _hashes(b"\n".join(texts), kind, powers)
         ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
-        return hashes, np.concatenate(([0], np.searchsorted(start, ends))).astype(np.int64)
-    parts, bounds = [np.zeros(0, np.uint64)], [0]
+        return hashes, np.concatenate(([0], np.searchsorted(start, ends))).astype(np.int64), size
+    parts, sizes, bounds = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [0]
     for t in texts:
         n = 0
         for piece in _pieces(t, kind):
-            h, _ = _hashes(piece, kind, powers)
+            h, _, size = _hashes(piece, kind, powers)
             parts.append(h)
+            sizes.append(size)
             n += len(h)
         bounds.append(bounds[-1] + n)
-    return np.concatenate(parts), np.array(bounds, np.int64)
+    return np.concatenate(parts), np.array(bounds, np.int64), np.concatenate(sizes)
+
+
+def word_hashes(texts: list[bytes], kind: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, A-Z in lower case, and where each text's words begin (one more than texts)."""
+    return sized_words(texts, kind, powers)[:2]
 
 
 def _pieces(text: bytes, kind: np.ndarray) -> Iterator[bytes]:

@@ -60,8 +60,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, c): counts of all n-grams of the highest order."""
     words = docs.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
     counted = words.where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("c"))
-    marked = F.concat(F.lit(BEGIN * (ORDER - 1)), "word", F.lit(END))
-    grams = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring("marked", i, F.lit(ORDER)))
+    marked = F.split(F.concat(F.lit(BEGIN * (ORDER - 1)), "word", F.lit(END)), "")
+    place = F.sequence(F.lit(0), F.size("marked") - ORDER)
+    grams = F.transform(place, lambda i: F.concat(*[F.get("marked", i + k) for k in range(ORDER)]))
     each = counted.withColumn("marked", marked).select("lang", "c", F.explode(grams).alias("gram"))
     return each.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 

@@ -1,6 +1,6 @@
 """Secret scan: two character Markov models, one of random strings and one of ordinary identifiers.
 
-Both are bigram models with add-one smoothing, trained on labelled samples that the corpus itself gives:
+Both are bigram models, smoothed by the frequency of single characters and trained on labelled samples that the corpus itself gives:
 values of the base patterns (assignments, access keys, hexadecimal strings) are the random class, all
 other identifier-like tokens the ordinary one. A token whose log-likelihood ratio per character passes
 ``THRESHOLD`` is a secret, in addition to the base spans.
@@ -31,6 +31,8 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Nats per bigram by which a token must be likelier as a random string.
 THRESHOLD = 0.5
+#: Observations that the frequency of single characters counts for.
+PULL = 10
 SPANS = "array<struct<rank:int,kind:string,s:int,e:int,v:string>>"
 
 
@@ -48,7 +50,9 @@ def base_spans(text: Column) -> Column:
 
 
 def _bigrams(token: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(token) - 1), lambda i: F.substring(token, i, F.lit(2)))
+    """All pairs of neighbours; by splitting, since taking pieces by position walks the token for each of them."""
+    chars = F.split(token, "")
+    return F.zip_with(chars, F.slice(chars, 2, F.length(token)), lambda a, b: F.concat(a, b))
 
 
 def train(docs: DataFrame) -> list[float]:
@@ -69,24 +73,26 @@ def train(docs: DataFrame) -> list[float]:
     ).select("x.*")
     pairs = (
         samples.where(F.length("token") >= 6)
-        .groupBy("secret", "token").agg(F.count("*").alias("n"))
-        .select("secret", F.explode(_bigrams(F.col("token"))).alias("pair"), F.lit(1).alias("n"))
-        .groupBy("secret", "pair").agg(F.sum("n").alias("n"))
+        .distinct()  # copies of a text are no further evidence
+        .select("secret", F.explode(_bigrams(F.col("token"))).alias("pair"))
+        .groupBy("secret", "pair").agg(F.count("*").alias("n"))
         .where(F.regexp_like("pair", F.lit(r"^[A-Za-z0-9+/_=-]{2}$")))
     )
     k = len(ALPHABET)
-    counts = {True: [1.0] * (k * k), False: [1.0] * (k * k)}
-    seen = set()
+    counts = {True: [0] * (k * k), False: [0] * (k * k)}
     for r in pairs.collect():  # at most 2 * len(ALPHABET) ** 2 rows
         counts[r.secret][ALPHABET.index(r.pair[0]) * k + ALPHABET.index(r.pair[1])] += r.n
-        seen.add(r.secret)
-    if len(seen) < 2:
+    if not all(map(any, counts.values())):
         return []
-    rows = {c: [sum(v[a * k : a * k + k]) for a in range(k)] for c, v in counts.items()}
-    return [
-        math.log(counts[True][i] / rows[True][i // k]) - math.log(counts[False][i] / rows[False][i // k])
-        for i in range(k * k)
-    ]
+    secret, ordinary = (_chances(counts[c], k) for c in (True, False))
+    return [math.log(a) - math.log(b) for a, b in zip(secret, ordinary)]
+
+
+def _chances(counts: list[int], k: int) -> list[float]:
+    """P(second | first), drawn towards how often the second character is at all."""
+    single = [(sum(counts[b::k]) + 1) / (sum(counts) + k) for b in range(k)]
+    rows = [sum(counts[a * k : a * k + k]) for a in range(k)]
+    return [(counts[i] + PULL * single[i % k]) / (rows[i // k] + PULL) for i in range(k * k)]
 
 
 def ratio(token: Column, model: list[float]) -> Column:

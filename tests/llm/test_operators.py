@@ -105,8 +105,9 @@ def test_random_string_beside_known_secrets(spark):
     random.seed(1)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     made = lambda: "".join(random.choice(letters) for _ in range(40))
-    known = [(i, f"token = {made()} and internationalisation_of_{w}") for i, w in enumerate(["settings", "messages", "programs"] * 500)]
-    docs = spark.createDataFrame([*known, (9999, f"see {made()} in internationalisation_of_letters")], "doc_id long, text string")
+    name = lambda: "_".join("".join(random.choice(["ka", "lo", "mi", "ter", "sun", "den"]) for _ in range(4)) for _ in range(3))
+    known = [(i, f"token = {made()} and {name()}") for i in range(1500)]
+    docs = spark.createDataFrame([*known, (9999, f"see {made()} in {name()}")], "doc_id long, text string")
     got = {r.doc_id: r.spans for r in secrets_scan.secret_digests(docs).collect()}
     assert got[9999] == "random:4:44"
 

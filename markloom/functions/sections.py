@@ -99,15 +99,16 @@ def drop_sections(
     """
     names = list(names)
 
-    def without(text: Column, level: int, glue: str) -> Column:
-        kept = F.filter(
-            split_at(text, level),
-            lambda p: ~F.coalesce(piece_heading(p).isin(*names), F.lit(False)),
-        )
-        return F.array_join(kept, glue)
+    def named(piece: Column) -> Column:
+        return F.coalesce(piece_heading(piece).isin(*names), F.lit(False))
+
+    def without(text: Column, level: int) -> Column:
+        # The first piece may begin with a deeper heading; that one's turn comes at its own level.
+        gone = lambda p: (piece_level(p) == level) & named(p)
+        return F.array_join(F.filter(split_at(text, level), lambda p: ~gone(p)), "")
 
     if not nested:
-        return without(c, 6, "\n\n")
+        return F.array_join(F.filter(split_at(c), lambda p: ~named(p)), "\n\n")
     # Most pages have no such heading at all: one cheap look decides.
     wanted = "|".join(n.replace(" ", r"\ ") for n in names)
     present = rf"(?im)^={{1,6}}{PY_WS}*(?:{wanted}){PY_WS}*="
@@ -115,7 +116,7 @@ def drop_sections(
     def all_levels(t: Column) -> Column:
         out = t
         for level in range(1, 7):
-            out = without(out, level, "")
+            out = without(out, level)
         return F.when(t.rlike(present), out).otherwise(t)
 
     return let(c, all_levels)

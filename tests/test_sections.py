@@ -64,3 +64,14 @@ def test_join(apply):
     )
     assert apply(S.join_flat, "a\n== B ==\nc") == "a\n\n\n== B ==\nc"
     assert apply(S.finish, " \n a \u3000") == "a\n"
+
+
+def test_removed_section_first_takes_only_itself(apply):
+    cases = {
+        "== References ==\nx\n== Body ==\nbody": "== Body ==\nbody",
+        "=== Sources ===\nx\n== Body ==\nbody": "== Body ==\nbody",
+        "== Body ==\nb\n=== References ===\nx\n==== Deep ====\ny\n=== Kept ===\nz": "== Body ==\nb\n=== Kept ===\nz",
+        "== References ==\nx\n=== Below ===\ny\n= Top =\nz": "= Top =\nz",
+        "== References ==\nx": "",
+    }
+    assert apply(S.drop_sections, *cases) == list(cases.values())

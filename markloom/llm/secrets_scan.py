@@ -31,8 +31,9 @@ TOKEN = r"[A-Za-z0-9+/_=-]{16,}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Nats per bigram by which a token must be likelier as a random string.
 THRESHOLD = 0.5
-#: Observations that the frequency of single characters counts for.
-PULL = 10
+#: Observations that the frequency of single characters counts for; so many that a few unlabelled secrets among the
+#: ordinary tokens do not make their own pairs ordinary.
+PULL = 200
 SPANS = "array<struct<rank:int,kind:string,s:int,e:int,v:string>>"
 
 

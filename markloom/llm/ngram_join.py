@@ -340,8 +340,8 @@ def _possible(pairs: DataFrame, described: DataFrame) -> DataFrame:
 def _overlaps(pairs: DataFrame, docs: DataFrame, sent: object) -> DataFrame:
     """(a, b, n_a, n_b, o): sizes and exact overlap of the pairs (a, b) of sids."""
     pairs = through_table(pairs, "pairs")
+    # Dealt out by sid once: both sides of the join read that exchange, so the sets of b don't move again.
     sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), sent)
-    sets = through_table(sets, "sets")
     side = lambda x: sets.select(F.col("sid").alias(x), F.col("items").alias(f"i_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     sizes = [F.size(f"i_{x}").alias(f"n_{x}") for x in "ab"]

@@ -42,22 +42,23 @@ PARSER_FUNCTIONS = _names(
 )
 
 # --- fixed values: kept templates, first letter lower-cased ---
-# Families with a regular spelling are given by KEPT_FAMILIES below.
 KEPT_TEMPLATES = _names(
     """abbr | asterisk | as of | bibleverse | blockquote | bq | quote | bquote | quotation
+    | birth date | birth date and age | birth year | birth year and age
+    | death date | death date and age | death year and age
     | block indent | center | circa | clear | - | clr | chem | chem2 | convert | cquote
     | currentyear | cvt | dash year | date | delta | dinogloss | em | e | 10^ | x10^
-    | em dash | -- | mdash | endash | nsndns | equationNote | equationRef | f1
+    | em dash | -- | mdash | endash | en dash | ndash | nsndns | equationNote | equationRef | f1
     | flag | flagu | flagIOC | flagIOC2 | flaglink | fbw | flagathlete
     | format price | formatprice | fraction | frac | sfrac | gRT | hyphen
     | ill | interlanguage link | iNR | indian Rupee | iNRConvert | iPAc-en | respell
-    | inrconvert | jcon | jct | lang | langnf | lambda
+    | inrconvert | jcon | jct | lang | langnf | lambda | h-phrases | p-phrases
     | literal translation | lit | lit. | literally | mabs
     | mLB Year | mlby | baseball year | nbay | nBA Year | nFL Year
     | math | mset | mvar | abs | norm | mono | monospace | tt | ttt
     | nbsp | &nbsp | nbs | nbsp; | space | spcs | non breaking en dash | nbnd | nbndash
     | navy | nee | nihongo | nihongo2 | nFLplayer | nobold | nuclide
-    | as written | chem name | proper name | nat | NAT
+    | not a typo | as written | chem name | proper name | typo | not typo | nat | NAT
     | noitalic | ni | yesitalic | nowrap | nobr | nobreak | okina
     | percent | percentage | pct | winning percentage | pi | plainlist | post-nominals
     | poem quote | poemquote | radic | ratio | refbegin | refend
@@ -65,35 +66,32 @@ KEPT_TEMPLATES = _names(
     | sclass | sclass2 | ship | hMS | sS | uSNS | uSS | sMS | sMU | sic | small
     | stl | station link | rws | stnlnk | station | stn
     | allcaps | caps | nocaps | smallcaps | smallcaps2 | smallcapsall | aut | sc | sc1 | sc2 | sm
-    | sms | dash | snd | spnd | sqrt | start date | strikethrough | strike | s
+    | sms | spaced en dash | spaced ndash | dash | snd | spnd | sndash | spndash | sqrt | start date | strikethrough | strike | s
     | strong | sub | sup | transliteration | transl | trans
     | unbulleted list | ubl | ubt | ublist | unbullet | ordered list | plain list | pL
     | ushr | uSpolabbr | u.S. politician abbreviation | uS$ | val | wikidata | yEAR | zh
-    | + | = | • | * | bull | bullet | ' | '- | 's | '" | "' | ' " | single+double"""
-)
-KEPT_FAMILIES = (
-    r"birth (?:date|year)(?: and age)?",
-    r"death date(?: and age)?|death year and age",
-    r"(?:spaced )?(?:en dash|ndash)|sp?ndash",
-    r"(?:not (?:a )?)?typo",
-    r"[hp]-phrases",
-    r"cURRENT(?:YEAR|MONTH(?:1|2|NAME|NAMEGEN|ABBREV)?)",
+    | + | = | • | * | bull | bullet | ' | '- | 's | '" | "' | ' " | single+double
+    | cURRENTYEAR | cURRENTMONTH | cURRENTMONTH1 | cURRENTMONTH2 | cURRENTMONTHNAME
+    | cURRENTMONTHNAMEGEN | cURRENTMONTHABBREV"""
 )
 KEPT_PREFIX = "lang-"
 
-# --- fixed values: country codes used as template names, beyond ISO 3166-1 alpha-3 ---
-# (sport federations, former states, parts of the United Kingdom, short forms)
-COUNTRY_EXTRAS = _names(
-    """ARU | ANG | ANT | AHO | UAE | ASA | BUL | BAH | BIZ | BER | BAR | BRU | BHU | BOT | CTA
-    | SUI | SWI | CHI | PRC | CHN-ROC | CGO | CRC | CUR | CAY | CSK | TCH | GER | GDR | DDR | FRG
-    | DEN | ALG | SADR | FIJ | UK | ENG | SCO | SCT | WAL | WLS | NIR | GUI | GAM | GBS | GEQ
-    | EQG | GRE | GRN | GUA | HKG-CHN | HON | CRO | HAI | INA | IRI | CAM | SKN | ROK | KUW
-    | LIB | LBA | SRI | LES | LAT | MAC-CHN | MON | MAD | NMK | MYA | MGL | MTN | MRI | MAW | MAS
-    | NIG | NGR | NCA | NED | NEP | NZ | OMA | PHI | PUR | DPRK | POR | PAR | PLE | ROM | KSA
-    | SUD | SIN | SOL | ESA | SLO | SEY | CHA | TOG | ETM | TGA | TRI | ROC | TWN-ROC | ROC-TW
-    | TPE | TAN | UNO | URS | URU | US | USSR | VIN | IVB | ISV | VIE | VAN | SAM | YUG | FR-YUG
-    | RSA | ZAM | ZIM"""
-)
+# --- fixed values: country codes used as template names ---
+COUNTRY_CODES = tuple(dict.fromkeys(
+    """ABW ARU AFG AGO ANG ANT AHO AIA ALA ALB AND ARE UAE ARG ARM ASM ASA ATA ATF ATG AUS AUT AZE BDI BEL BEN BES
+    BFA BGD BGR BUL BHR BHS BAH BIH BLM BLR BLZ BIZ BMU BER BOL BRA BRB BAR BRN BRU BTN BHU BVT BWA BOT CAF CTA CAN CCK CHE
+    SUI SWI CHL CHI CHN PRC CHN-ROC CIV CMR COD COG CGO COK COL COM CPV CRI CRC CUB CUW CUR CXR CYM CAY CYP CZE CSK TCH DEU
+    GER GDR DDR FRG DJI DMA DNK DEN DOM DZA ALG ECU EGY ERI ESH SADR ESP EST ETH FIN FJI FIJ FLK FRA FRO FSM GAB GBR UK ENG
+    SCO SCT WAL WLS NIR GEO GGY GHA GIB GIN GUI GLP GMB GAM GNB GBS GNQ GEQ EQG GRC GRE GRD GRN GRL GTM GUA GUF GUM GUY HKG
+    HKG-CHN HMD HND HON HRV CRO HTI HAI HUN IDN INA IMN IND IOT IRL IRN IRI IRQ ISL ISR ITA JAM JEY JOR JPN KAZ KEN KGZ KHM
+    CAM KIR KNA SKN KOR ROK KWT KUW LAO LBN LIB LBR LBY LBA LCA LIE LKA SRI LSO LES LTU LUX LVA LAT MAC MAC-CHN MAF MAR MCO
+    MON MDA MDG MAD MDV MEX MHL MKD NMK MLI MLT MMR MYA MNE MNG MGL MNP MOZ MRT MTN MSR MTQ MUS MRI MWI MAW MYS MAS MYT NAM
+    NCL NER NIG NFK NGA NGR NIC NCA NIU NLD NED NOR NPL NEP NRU NZL NZ OMN OMA PAK PAN PCN PER PHL PHI PLW PNG POL PRI PUR
+    PRK DPRK PRT POR PRY PAR PSE PLE PYF QAT REU ROU ROM RUS RWA SAU KSA SDN SUD SEN SGP SIN SGS SHN SJM SLB SOL SLE SLV ESA
+    SMR SOM SPM SRB SSD STP SUR SVK SVN SLO SWE SWZ SXM SYC SEY SYR TCA TCD CHA TGO TOG THA TJK TKL TKM TLS ETM TON TGA TTO
+    TRI TUN TUR TUV TWN ROC TWN-ROC ROC-TW TPE CHN-ROC TZA TAN UGA UKR UMI UNO URS URY URU USA US USSR UZB VAT VCT VIN VEN
+    VGB IVB VIR ISV VNM VIE VUT VAN WLF WSM SAM YEM YUG FR-YUG ZAF RSA ZMB ZAM ZWE ZIM""".split()
+))
 
 # --- fixed values: tag policy ---
 TAGS_KEEP = _names("br|sub|sup|blockquote|math|syntaxhighlight|code|pre|ul|li|ol|nowiki")
@@ -134,13 +132,6 @@ TAGS_REWRITE = {
 TAGS_OPAQUE = _names("math|nowiki|pre|syntaxhighlight|source")
 
 
-def iso_alpha3(spark: SparkSession) -> tuple[str, ...]:
-    """ISO 3166-1 alpha-3 codes as the Java runtime knows them."""
-    jvm = spark.sparkContext._jvm
-    kind = jvm.java.util.Locale.IsoCountryCode.PART1_ALPHA3
-    return tuple(sorted(jvm.java.util.Locale.getISOCountries(kind)))
-
-
 def lower_first(name: str) -> str:
     return name[:1].lower() + name[1:]
 
@@ -166,7 +157,6 @@ class TemplatePolicy:
     """Which templates survive the clean-up. All names are in first-letter-lowered form."""
 
     keep: frozenset[str]
-    families: tuple[str, ...] = KEPT_FAMILIES
     prefix: str = KEPT_PREFIX
     functions: tuple[str, ...] = PARSER_FUNCTIONS
 
@@ -174,10 +164,8 @@ class TemplatePolicy:
     MAX_NAMES = 100_000
 
     @classmethod
-    def default(cls, spark: SparkSession | None = None) -> TemplatePolicy:
-        spark = spark or SparkSession.getActiveSession()
-        countries = (lower_first(code) for code in iso_alpha3(spark) + COUNTRY_EXTRAS)
-        return cls(frozenset(KEPT_TEMPLATES) | frozenset(countries))
+    def default(cls) -> TemplatePolicy:
+        return cls(frozenset(KEPT_TEMPLATES) | frozenset(lower_first(code) for code in COUNTRY_CODES))
 
     @classmethod
     def of(cls, names: Iterable[str] | DataFrame) -> TemplatePolicy:
@@ -194,7 +182,6 @@ class TemplatePolicy:
         """True for a normalised template name that stays in the text."""
         return (
             is_one_of(name, self.keep)
-            | name.rlike(f"^(?:{'|'.join(self.families)})$")
             | name.startswith(self.prefix)
             | F.substring_index(name, ":", 1).isin(*self.functions)
         )

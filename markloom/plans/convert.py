@@ -145,7 +145,7 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
 
     The columns arrive as `pre_*`; the input text stays as it was.
     """
-    policy = policy or TemplatePolicy.default(pages.sparkSession)
+    policy = policy or TemplatePolicy.default()
     out = pages.withColumn("pre_hidden", _hidden())
     out = out.withColumn("pre_categories", raw_categories(F.col("pre_hidden")))
     out = settle(out, "pre_first", _first_pass())

@@ -215,7 +215,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     uses = template_occurrences(wiki_src(spark, sf_dir))
-    return catalog.members_of(uses, TemplatePolicy.default(spark).table(spark))
+    return catalog.members_of(uses, TemplatePolicy.default().table(spark))
 
 
 @query(
@@ -228,7 +228,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     uses = template_occurrences(wiki_src(spark, sf_dir))
-    return catalog.members_of(uses, TemplatePolicy.default(spark).table(spark), keep=False)
+    return catalog.members_of(uses, TemplatePolicy.default().table(spark), keep=False)
 
 
 @query(
@@ -240,7 +240,7 @@ def _(spark, sf_dir):
     codes = [lower_first(code) for code in ("AGO", "DEN", "USSR", "XXX", "HKG-CHN")]
     pick = F.get(F.array(*[F.lit(c) for c in codes]), (F.col("c_nationkey") % 5).cast("int"))
     named = table(spark, sf_dir, "customer").select("c_custkey", pick.alias("name"))
-    return named.withColumn("kept", TemplatePolicy.default(spark).keeps(F.col("name")))
+    return named.withColumn("kept", TemplatePolicy.default().keeps(F.col("name")))
 
 
 @query(

@@ -123,7 +123,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    dropped = unsupported_names(raw_names(F.col("wikitext")), TemplatePolicy.default(spark))
+    dropped = unsupported_names(raw_names(F.col("wikitext")), TemplatePolicy.default())
     counted = wiki_src(spark, sf_dir).select(counter(dropped).alias("unsupported_templates"))
     return census.sum_counters(counted, "unsupported_templates")
 

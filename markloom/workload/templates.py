@@ -72,7 +72,7 @@ def _(spark, sf_dir):
     on_src(f"SELECT pageid, {sql_chain('wikitext', (DROPPED_SRC, ''))} AS wikitext FROM wiki_src"),
 )
 def _(spark, sf_dir):
-    kept = tpl.apply_template_policy(F.col("wikitext"), TemplatePolicy.default(spark))
+    kept = tpl.apply_template_policy(F.col("wikitext"), TemplatePolicy.default())
     return wiki_src(spark, sf_dir).select("pageid", kept.alias("wikitext"))
 
 
@@ -81,7 +81,7 @@ def _(spark, sf_dir):
     on_docs(f"SELECT pageid, {sql_chain('wikitext', (DROPPED_DOCS, ''))} AS wikitext FROM wiki_docs"),
 )
 def _(spark, sf_dir):
-    kept = tpl.apply_template_policy(F.col("wikitext"), TemplatePolicy.default(spark))
+    kept = tpl.apply_template_policy(F.col("wikitext"), TemplatePolicy.default())
     return wiki_docs(spark, sf_dir).select("pageid", kept.alias("wikitext"))
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from .common import through_table
 from .keyed import bounds, record_batch, taken, whole_groups
-from .words import Powers, byte_class, mix, run_hashes, slabs
+from .words import Powers, byte_class, mix, run_hashes, running, slabs, sum_hashes
 
 EDITS = 2
 EXACT, NEAR = 20, 40
@@ -99,18 +99,29 @@ def shifts(i: int, shorter: int) -> range:
     return range(max(-i, shorter - (EDITS - i)), min(i, shorter + (EDITS - i)) + 1)
 
 
-_KEYS = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("probe", pa.bool_())])
+_KEYS = pa.schema([("key", pa.int64()), ("h", pa.int64())])
+
+
+def _keyed(key: np.ndarray, probe: np.ndarray | bool) -> np.ndarray:
+    """A key whose lowest bit is set for probes, so that one number sorts a list's entries before its probes."""
+    return ((key & ~np.uint64(1)) | np.asarray(probe).astype(np.uint64)).view(np.int64)
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Entries and probes of one list in one task, in order."""
+    return rows.repartition(F.shiftright("key", 1)).sortWithinPartitions("key")
 
 
 def _keys(docs: DataFrame) -> DataFrame:
-    """(key, h, probe): index entries and probes of every line of at least NEAR code points."""
+    """(key, h): index entries and probes of every line of at least NEAR code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for _, texts in slabs(batches):
             lines = Lines(texts)
             at = np.flatnonzero(lines.size >= NEAR)
-            h = run_hashes(lines.codes, lines.start[at], lines.end[at], powers).view(np.int64)
+            total = running(lines.codes, powers)
+            h = sum_hashes(total, lines.start[at], lines.end[at], powers).view(np.int64)
             h, once = np.unique(h, return_index=True)
             at = at[once]
             start, size = lines.start[at], lines.size[at]
@@ -121,13 +132,13 @@ def _keys(docs: DataFrame) -> DataFrame:
                     for shift in shifts(i, shorter):
                         ok = fits & (place + shift >= 0) & (place + shift + length <= size)
                         a = (start + place + shift)[ok]
-                        key = run_hashes(lines.codes, a, a + length[ok], powers)
+                        key = sum_hashes(total, a, a + length[ok], powers)
                         tag = mix((size[ok] - shorter).astype(np.uint64) * np.uint64(EDITS + 1) + np.uint64(i))
                         # Without a shift, an entry of the index is its own probe.
-                        probe = np.full(len(key), bool(shorter or shift))
-                        yield record_batch({"key": mix(key ^ tag).view(np.int64), "h": h[ok], "probe": probe}, _KEYS)
+                        key = _keyed(mix(key ^ tag), bool(shorter or shift))
+                        yield record_batch({"key": key, "h": h[ok]}, _KEYS)
 
-    return docs.select("text").mapInArrow(run, "key long, h long, probe boolean")
+    return docs.select("text").mapInArrow(run, "key long, h long")
 
 
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("probe", pa.bool_())])
@@ -153,17 +164,32 @@ def _found(pairs: list) -> pa.RecordBatch:
 
 
 def _meet(limit: int | None):
-    """Pairs of each list sorted by key, probe and h; lists of more pairs as (a, key, probe), b null."""
+    """Pairs of each list of rows sorted by key; lists of more pairs as (a, key, probe), b null."""
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column(0).to_numpy()
+            rest = [batch.column(i) for i in range(1, batch.num_columns)]
+            columns = [pa.array(both & ~np.int64(1)), pa.array((both & 1).astype(bool)), *rest]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "probe", *batch.schema.names[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in whole_groups(batches, "key"):
+        for c in whole_groups(unpacked(batches), "key"):
+            at = bounds(c["key"])
+            entries = np.add.reduceat((~c["probe"]).astype(np.int64), at[:-1])
+            # Most lists are a single row, or have no entry of the index.
+            some = np.repeat((entries > 0) & (np.diff(at) > 1), np.diff(at))
+            if not some.any():
+                continue
+            c = taken(c, some)
+            c = taken(c, np.lexsort((c["h"], c["probe"], c["key"])))
             new = np.ones(len(c["key"]), bool)
             new[1:] = (c["key"][1:] != c["key"][:-1]) | (c["h"][1:] != c["h"][:-1]) | (c["probe"][1:] != c["probe"][:-1])
             c = taken(c, new)
             if "s0" in c:
                 c |= {k: c[k].view(np.uint64) for k in ("s0", "s1")}
             at = bounds(c["key"])
-            entries = np.add.reduceat((~c["probe"].astype(bool)).astype(np.int64), at[:-1])
+            entries = np.add.reduceat((~c["probe"]).astype(np.int64), at[:-1])
             size = np.diff(at)
             pairs, large, made = [], [], 0
             for k in np.flatnonzero((entries > 0) & (size > 1)):
@@ -218,7 +244,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    """Entries (key, h, probe, value) once per group of characters, keyed by that group's counts too, and signed.
+    """Rows (key, h, probe, value) once per group of characters, as (key, h) keyed by that group's counts too, and signed.
 
     The signature (s0, s1) says which of 128 classes an odd number of the line's character pairs falls on. An
     edit takes away two of those pairs at most and adds two, so it changes four bits at most.
@@ -236,17 +262,18 @@ def _split(rows: DataFrame) -> DataFrame:
             pair = (mix((codes[:-1].astype(np.uint64) << np.uint64(32)) | codes[1:]) & np.uint64(127)).astype(np.int64)
             odd = np.bincount((owner[:-1] * 128 + pair)[inner], minlength=len(values) * 128).astype(np.uint8) & 1
             sign = np.packbits(odd.reshape(-1, 128), axis=1, bitorder="little").view(np.int64)
+            probe = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             kind, weight = codes % groups, mix(codes.astype(np.uint64) + np.uint64(1))
             for g in range(groups):
                 total = np.concatenate(([np.uint64(0)], np.cumsum(np.where(kind == g, weight, np.uint64(0)))))
                 counts = total[begin[1:]] - total[begin[:-1]]
                 key = mix(batch.column(0).to_numpy().view(np.uint64) ^ mix(counts + np.uint64(g)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), batch.column(1), batch.column(2), pa.array(sign[:, 0].copy()), pa.array(sign[:, 1].copy())],
-                    names=["key", "h", "probe", "s0", "s1"],
+                    [pa.array(_keyed(key, probe)), batch.column(1), pa.array(sign[:, 0].copy()), pa.array(sign[:, 1].copy())],
+                    names=["key", "h", "s0", "s1"],
                 )
 
-    return rows.mapInArrow(run, "key long, h long, probe boolean, s0 long, s1 long")
+    return rows.mapInArrow(run, "key long, h long, s0 long, s1 long")
 
 
 def within(a: str, b: str, edits: int = EDITS) -> bool:
@@ -281,16 +308,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def similar_lines(docs: DataFrame) -> DataFrame:
     """(h, g, to_h, to_g): different lines of at least NEAR code points that are at most EDITS edits apart."""
-    dealt = _keys(docs).repartition("key").sortWithinPartitions("key", "probe", "h")
-    found = through_table(dealt.mapInArrow(_meet(LIST_PAIRS), "a long, b long, key long, probe boolean"), "lines")
+    found = through_table(_dealt(_keys(docs)).mapInArrow(_meet(LIST_PAIRS), "a long, b long, key long, probe boolean"), "lines")
     wanted = found.select(F.explode(F.array("a", "b")).alias("h")).where("h is not null").distinct()
     texts = through_table(_texts(docs, wanted), "texts")
     pairs = found.where("b is not null").select("a", "b")
     large = found.where("b is null").select("key", F.col("a").alias("h"), "probe")
     if not large.isEmpty():
         fine = _split(large.join(texts.select("h", "value"), "h").select("key", "h", "probe", "value"))
-        fine = fine.repartition("key").sortWithinPartitions("key", "probe", "h")
-        pairs = pairs.union(fine.mapInArrow(_meet(None), "a long, b long, key long, probe boolean").select("a", "b"))
+        pairs = pairs.union(_dealt(fine).mapInArrow(_meet(None), "a long, b long, key long, probe boolean").select("a", "b"))
     side = lambda x: texts.select(F.col("h").alias(x), F.col("g").alias(f"g_{x}"), F.col("value").alias(f"v_{x}"))
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "g_a", "b", "g_b", "v_a", "v_b")
     return both.mapInArrow(_verify, "h long, g long, to_h long, to_g long")

@@ -54,14 +54,19 @@ class Powers:
         return np.multiply.accumulate(out)
 
 
-def run_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
-    """Hash of codes[start:end] for each pair: equal runs have equal hashes wherever they stand."""
+def running(codes: np.ndarray, powers: Powers) -> np.ndarray:
+    """Running sums that ``sum_hashes`` takes the hash of any run from; one more than codes."""
     powers.grow(len(codes) + 1)
     total = np.zeros(len(codes) + 1, np.uint64)
     value = codes.astype(np.uint64)
     value += np.uint64(1)
     value *= powers.up[: len(codes)]
     np.cumsum(value, out=total[1:])
+    return total
+
+
+def sum_hashes(total: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+    """Hash of codes[start:end] for each pair: equal runs have equal hashes wherever they stand."""
     value = total[end]
     value -= total[start]
     value *= powers.down[start]
@@ -69,6 +74,11 @@ def run_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Po
     return mix(value)
 
 
+def run_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+    """``sum_hashes`` of codes that are looked at once."""
+    return sum_hashes(running(codes, powers), start, end, powers)
+
+
 def _hashes(data: bytes, kind: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer(data.lower(), np.uint8)  # of bytes, A-Z only
     inside = np.zeros(len(codes) + 2, bool)

@@ -187,7 +187,10 @@ class TemplatePolicy:
         )
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(n,) for n in sorted(self.keep)], "name string")
+        """The whole policy as rows (kind, name): names, the prefix, parser functions."""
+        rows = [("name", n) for n in sorted(self.keep)]
+        rows += [("prefix", self.prefix)] + [("function", f) for f in self.functions]
+        return spark.createDataFrame(rows, "kind string, name string")
 
 
 @dataclass(frozen=True)

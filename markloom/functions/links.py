@@ -13,6 +13,8 @@ L1, L2 = "\ufdd2", "\ufdd3"  # a link that stays in the text
 O, C = "\ufdd4", "\ufdd5"  # [[ and ]], so that a single bracket is an ordinary character
 
 _SCHEME = r"(?:https?|s?ftps?|git|gopher|ircs?|mms|nntp|redis|ssh|svn|telnet|worldwind):"
+# --- fixed values: schemes whose addresses have no // ---
+_BARE_SCHEME = r"(?:bitcoin|geo|magnet|mailto|news|sips?|sms|tel|urn|xmpp):"
 
 
 def drop_comments(c: Column) -> Column:
@@ -136,13 +138,14 @@ def external_to_text(c: Column) -> Column:
     """External links become their title; links without a title disappear."""
 
     def links(t: Column) -> Column:
-        url = rf"(?:{_SCHEME})?//[^\s\[\]]+"
+        url = rf"(?:(?:{_SCHEME})?//|{_BARE_SCHEME})[^\s\[\]]+"
         t = F.regexp_replace(t, rf"(?i)\[{url}[^\S\n]+([^\[\]\n]+)\]", "$1")
         t = F.regexp_replace(t, rf"(?i)\[{url}[^\S\n]*\]", "")
-        bare = rf'(?i)\b{_SCHEME}//[^\s\[\]<>{{}}|"]*[^\s\[\]<>{{}}|",;.:!?)]'
+        bare = rf'(?i)\b(?:{_SCHEME}//|{_BARE_SCHEME})[^\s\[\]<>{{}}|"]*[^\s\[\]<>{{}}|",;.:!?)]'
         return F.regexp_replace(t, bare, "")
 
-    return where_contains(c, "//", links)
+    gate = rf"(?i)//|\b{_BARE_SCHEME}"
+    return let(c, lambda t: F.when(t.rlike(gate), links(t)).otherwise(t))
 
 
 def raw_categories(c: Column) -> Column:

@@ -156,7 +156,7 @@ def decode_entities(c: Column) -> Column:
             F.coalesce(F.try_element_at(table, name), e)
         )
 
-    entity = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+    entity = r"&(?:#0*+[0-9]{1,7}|#[xX]0*+[0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
     return where_contains(c, "&", lambda t: rewrite_matches(t, entity, decoded))
 
 

@@ -118,11 +118,15 @@ def policy_names(c: Column) -> Column:
 
 
 def template_occurrences(
-    pages: DataFrame, text: str = "wikitext", key: str = "pageid", streamlined: bool = False
+    pages: DataFrame,
+    text: str = "wikitext",
+    key: str = "pageid",
+    streamlined: bool = False,
+    names: Callable[[Column], Column] = census_names,
 ) -> DataFrame:
-    """Occurrence table (page, census name), one row per use."""
+    """Occurrence table (page, name), one row per use; census names, or `policy_names`."""
     source = streamline(F.col(text)) if streamlined else F.col(text)
-    return pages.select(key, F.explode(census_names(source)).alias("name"))
+    return pages.select(key, F.explode(names(source)).alias("name"))
 
 
 def apply_template_policy(c: Column, policy: TemplatePolicy) -> Column:

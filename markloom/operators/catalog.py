@@ -58,3 +58,21 @@ def lookup_title(raw: DataFrame, title: str | Column) -> DataFrame:
 def members_of(table: DataFrame, names: DataFrame, on: str = "name", keep: bool = True) -> DataFrame:
     """Rows whose name is (or is not) in a set of names."""
     return table.join(names.select(on), on, "left_semi" if keep else "left_anti")
+
+
+def members_of_policy(table: DataFrame, policy: DataFrame, on: str = "name", keep: bool = True) -> DataFrame:
+    """Rows whose policy name is (or is not) kept by a table of rules (kind, name).
+
+    A rule names a template, a prefix up to its first hyphen, or a parser function up to its colon.
+    """
+    keys = {
+        "name": F.col(on),
+        "prefix": F.concat(F.substring_index(on, "-", 1), F.lit("-")),
+        "function": F.substring_index(on, ":", 1),
+    }
+    out = table.withColumns({f"_{kind}": key for kind, key in keys.items()})
+    for kind in keys:
+        rules = policy.where(F.col("kind") == kind).select(F.col("name").alias(f"_{kind}")).distinct()
+        out = out.join(rules.withColumn(f"_is_{kind}", F.lit(True)), f"_{kind}", "left")
+    kept = F.coalesce(*[F.col(f"_is_{kind}") for kind in keys], F.lit(False))
+    return out.where(kept == keep).select(*table.columns)

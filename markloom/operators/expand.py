@@ -61,7 +61,7 @@ def expand_by_dictionary(
     """Replace every outermost template by its expansion; unmatched ones vanish.
 
     Adds `out` (trimmed) and `unmatched`, the number of templates without an entry.
-    `key` identifies a page.
+    Rows are told apart by `key` and their text, so a page id may repeat.
 
     The join form shuffles the template uses, salted, and each page's text once;
     the text is cut again behind that join, so it does not travel twice. `inline`
@@ -85,25 +85,26 @@ def expand_by_dictionary(
             }
         ).drop("_segments")
 
+    pages = pages.withColumn("_text", F.xxhash64(text))
     uses = pages.select(
-        key, F.posexplode(F.filter(segs, lambda _, i: i % 2 == 1)).alias("pos", "invocation")
+        key,
+        "_text",
+        F.posexplode(F.filter(segs, lambda _, i: i % 2 == 1)).alias("pos", "invocation"),
     ).withColumn("salt", F.pmod(F.xxhash64(key, "pos"), F.lit(salts)).cast("int"))
     entries = one_per_invocation(expansions).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    # The expansions of one page, in the order of its templates.
-    placed = F.struct("pos", F.coalesce("expansion", F.lit("")).alias("expansion"))
+    # The expansions of one page, in the order of its templates; equal rows find the same ones.
+    placed = F.struct("pos", "expansion")
     found = (
         uses.join(entries, ["invocation", "salt"], "left")
-        .groupBy(key)
-        .agg(
-            F.array_sort(F.collect_list(placed)).alias("_found"),
-            F.count_if(F.col("expansion").isNull()).alias("unmatched"),
-        )
+        .groupBy(key, "_text")
+        .agg(F.array_sort(F.collect_set(placed)).alias("_found"))
         .withColumn("_found", F.transform("_found", lambda e: e["expansion"]))
+        .withColumn("unmatched", F.size(F.filter("_found", lambda e: e.isNull())).cast("long"))
     )
-    spliced = _splice(segs, lambda _, n: F.get(F.col("_found"), n))
-    joined = pages.join(found, key, "left")
+    spliced = _splice(segs, lambda _, n: F.coalesce(F.get(F.col("_found"), n), F.lit("")))
+    joined = pages.join(found, [key, "_text"], "left")
     return joined.withColumns(
         {out: py_strip(spliced), "unmatched": F.coalesce("unmatched", F.lit(0))}
-    ).drop("_found")
+    ).drop("_found", "_text")

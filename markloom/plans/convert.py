@@ -73,11 +73,21 @@ def _hidden() -> Column:
     return hide_opaque(guard(F.col("wikitext")))
 
 
+def _whole() -> Column:
+    return drop_switches(magic_templates(resolve_links(F.col("pre_hidden"))))
+
+
 @built_once
 def _first_pass() -> Column:
     """Links, magic templates and switches; cut into sections before templates go."""
-    text = drop_switches(magic_templates(resolve_links(F.col("pre_hidden"))))
-    return join_sections(level2(join_flat(text)))
+    return join_sections(level2(join_flat(_whole())))
+
+
+@built_once
+def _nameless() -> Column:
+    """Whether a template of the whole page has no name, also one in a section that is not kept."""
+    suspect = F.col("pre_hidden").rlike(r"\{\{(?:\||\}\})")
+    return F.when(suspect, F.array_contains(marked_names(mark_templates(_whole())), "")).otherwise(False)
 
 
 @built_once
@@ -147,13 +157,14 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
     """
     policy = policy or TemplatePolicy.default()
     out = pages.withColumn("pre_hidden", _hidden())
+    out = out.withColumn("pre_nameless", _nameless())
     out = out.withColumn("pre_categories", raw_categories(F.col("pre_hidden")))
     out = settle(out, "pre_first", _first_pass())
     out = out.withColumn("pre_marked", _marked())
     out = out.withColumn("pre_names", marked_names(F.col("pre_marked")))
     # Settled here, so that the raw text need not travel any further.
     error = F.when(F.col("wikitext").isNull(), "missing wikitext").when(
-        F.array_contains("pre_names", ""), "empty template name"
+        F.col("pre_nameless") | F.array_contains("pre_names", ""), "empty template name"
     )
     return out.withColumns(
         {
@@ -162,7 +173,7 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
             "pre_unsupported": _dropped_names(policy),
             "pre_wikitext": _kept_templates(policy),
         }
-    ).drop("pre_hidden", "pre_first", "pre_marked", "pre_names")
+    ).drop("pre_hidden", "pre_first", "pre_marked", "pre_names", "pre_nameless")
 
 
 def postprocess(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dims import TemplatePolicy
-from ..operators.quality import to_output, with_status
+from ..operators.quality import OUT_COLUMNS, to_output, with_status
 from ..plans.convert import convert_pages
 from ..schemas import RAW_SCHEMA
 
@@ -20,11 +20,15 @@ def convert_stream(
     with_styling: bool = False,
     policy: TemplatePolicy | None = None,
     max_files: int = 1_000,
+    outcomes: bool = False,
 ) -> StreamingQuery:
     """Convert all raw files that are not yet done, then stop.
 
     The plan is one narrow stage (expansions travel inline), so there is no
     state; the checkpoint remembers which files are done and a restart goes on.
+
+    Only converted pages are written, unless `outcomes` asks for all pages, with status and
+    error, in one folder per status: the same run then says what is corrupt and what to retry.
     """
     raw = (
         spark.readStream.schema(RAW_SCHEMA)
@@ -32,11 +36,19 @@ def convert_stream(
         .parquet(in_dir)
     )
     done = convert_pages(raw, expansions, with_styling, policy, inline=True)
+    if outcomes:
+        writer = done.select(*OUT_COLUMNS, "error", "status").writeStream.partitionBy("status")
+    else:
+        writer = to_output(with_status(done, "ok")).writeStream
     return (
-        to_output(with_status(done, "ok"))
-        .writeStream.format("parquet")
+        writer.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start(out_dir)
     )
+
+
+def read_outcomes(spark: SparkSession, out_dir: str) -> DataFrame:
+    """What `convert_stream` wrote with `outcomes`; a filter on `status` reads that folder only."""
+    return spark.read.parquet(out_dir)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dims import REMOVED_SECTIONS, TemplatePolicy, lower_first
 from ..functions.sections import section_table
-from ..functions.templates import template_occurrences
+from ..functions.templates import census_name, policy_names, raw_names, template_name, template_occurrences
 from ..functions.text import nfkc
 from ..operators import catalog
 from ..operators.quality import to_output
@@ -207,6 +207,12 @@ def _(spark, sf_dir):
     return catalog.members_of(parts, names, "heading")
 
 
+def _uses(spark, sf_dir):
+    """Template uses under their census name, with the policy name that decides."""
+    raw = template_occurrences(wiki_src(spark, sf_dir), names=raw_names)
+    return raw.withColumn("policy", template_name(F.col("name"))).withColumn("name", census_name(F.col("name")))
+
+
 @query(
     "jn2_members_of_kept_templates",
     on_src(
@@ -214,8 +220,8 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    uses = template_occurrences(wiki_src(spark, sf_dir))
-    return catalog.members_of(uses, TemplatePolicy.default().table(spark))
+    rules = TemplatePolicy.default().table(spark)
+    return catalog.members_of_policy(_uses(spark, sf_dir), rules, "policy").drop("policy")
 
 
 @query(
@@ -227,8 +233,28 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    uses = template_occurrences(wiki_src(spark, sf_dir))
-    return catalog.members_of(uses, TemplatePolicy.default().table(spark), keep=False)
+    rules = TemplatePolicy.default().table(spark)
+    return catalog.members_of_policy(_uses(spark, sf_dir), rules, "policy", keep=False).drop("policy")
+
+
+# One use a page, of names that only their own spelling, the prefix or a function keeps.
+_USES = ("ndash", "Birth_date", "AGO", "flagIOC", "lang-de", "#if:a", "cite web", "Ago")
+_USED = ("ndash", "birth date", "aGO", "flagIOC", "lang-de", "#if:a", "cite web", "ago")
+
+
+@query(
+    "jn2_members_of_policy",
+    "SELECT p_partkey AS pageid, "
+    f"[{', '.join(repr(n) for n in _USED)}][p_partkey % 8 + 1] AS name, p_partkey % 8 < 6 AS kept FROM part",
+)
+def _(spark, sf_dir):
+    name = F.get(F.array(*[F.lit(n) for n in _USES]), (F.col("p_partkey") % 8).cast("int"))
+    text = F.concat("p_name", F.lit(" {{"), name, F.lit("|x}}"))
+    pages = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pageid"), text.alias("wikitext"))
+    uses = template_occurrences(pages, names=policy_names)
+    rules = TemplatePolicy.default().table(spark)
+    kept, rest = (catalog.members_of_policy(uses, rules, keep=k).withColumn("kept", F.lit(k)) for k in (True, False))
+    return kept.unionByName(rest)
 
 
 @query(

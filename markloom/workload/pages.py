@@ -12,7 +12,7 @@ from ..session import work_dir
 from ..sources.readers import read_pages
 from ..sources.writers import write_raw
 from ..streaming.convert import convert_stream
-from .registry import on_docs, on_src, query, sql_chain, sql_strip
+from .registry import on_docs, on_src, query, sql_chain, sql_strip, table
 from .templates import DROPPED_DOCS, DROPPED_SRC, dictionary
 
 
@@ -57,6 +57,20 @@ query(
     "f8_external_links",
     _src_sql((r"\[http://e\.org link\]", "link"), (r"\[http://e\.org/x\]", "")),
 )(_src(links.external_to_text))
+
+
+@query(
+    "f8_schemes_without_slashes",
+    "SELECT p_partkey, concat('See Mail ', p_name, ' and  or call ') AS text FROM part",
+)
+def _(spark, sf_dir):
+    text = F.concat(
+        F.lit("See [mailto:a"), "p_partkey", F.lit("@b.c Mail "), "p_name", F.lit("] and [news:x"), "p_size",
+        F.lit("] or [tel:+1 call] "), F.lit("mailto:c@d.e"),
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", links.external_to_text(text).alias("text"))
+
+
 query("f9_behaviour_switches", _src_sql((r"__[A-Z]*__", "")))(_src(links.drop_switches))
 
 

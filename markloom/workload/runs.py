@@ -22,6 +22,7 @@ from ..sources.writers import (
     write_pages,
     write_raw,
 )
+from ..streaming.convert import convert_stream, read_outcomes
 from .corpus import _LEAN
 from .listings import DOC_PAGES, doc_pages
 from .registry import on_src, query, table
@@ -56,6 +57,33 @@ def _(spark, sf_dir):
     return done.select("pageid", "title", "status", "error")
 
 
+@query(
+    "prj3_nameless_template_in_a_lost_section",
+    "SELECT p_partkey AS pageid, CASE WHEN p_size % 3 < 2 THEN 'failed' ELSE 'ok' END AS status FROM part",
+)
+def _(spark, sf_dir):
+    use = F.get(F.array(*[F.lit(t) for t in ("{{}}", "{{|x}}", "{{x}}")]), F.col("p_size") % 3)
+    raw = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("pageid"),
+        F.col("p_name").alias("title"),
+        F.lit("en").alias("lang"),
+        F.col("p_partkey").alias("revid"),
+        F.concat(F.lit("Lead "), "p_name", F.lit("\n\n= Top =\n"), use, F.lit("\n")).alias("wikitext"),
+    )
+    return convert_pages(raw).select("pageid", "status")
+
+
+@query(
+    "str1_stream_outcomes",
+    on_src(f"SELECT pageid, title, {_STATUS} AS status, {_ERROR} AS error FROM wiki_src"),
+)
+def _(spark, sf_dir):
+    source = write_raw(damaged(spark, sf_dir), work_dir(spark, "stream-in"))
+    target = work_dir(spark, "stream-out")
+    convert_stream(spark, source, target, work_dir(spark, "stream-state"), outcomes=True).awaitTermination()
+    return read_outcomes(spark, target).select("pageid", "title", "status", "error")
+
+
 @query(
     "prj4_retry_input",
     on_src(

@@ -198,6 +198,21 @@ def _(spark, sf_dir):
     return out.select("pageid", "expanded", "unmatched")
 
 
+@query(
+    "jn4_expand_repeated_ids",
+    "SELECT p_partkey % 50 AS pageid, concat(p_name, ' ', p_size, ' ', p_partkey % 7 + 1) AS expanded, "
+    "CAST(1 AS BIGINT) AS unmatched FROM part",
+)
+def _(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    use = lambda n: F.concat(F.lit("{{v|"), n, F.lit("}}"))
+    text = F.concat_ws(" ", "p_name", use(F.col("p_size")), use(F.col("p_partkey") % 7 + 1), F.lit("{{w}}"))
+    pages = part.select((F.col("p_partkey") % 50).alias("pageid"), text.alias("wikitext"))
+    size = F.col("p_size")
+    table_ = part.select(use(size).alias("invocation"), size.cast("string").alias("expansion")).distinct()
+    return expand_by_dictionary(pages, table_).select("pageid", "expanded", "unmatched")
+
+
 @query(
     "jn4_expand_inline",
     on_src(

@@ -54,3 +54,7 @@ def test_corrupt(apply):
         "<li>a": False, "<sub><sup></sub></sup>": False,
     }
     assert apply(M.is_corrupt, *cases) == list(cases.values())
+
+
+def test_character_references_with_leading_zeros(apply):
+    assert apply(M.decode_entities, "a &#0000000065; &#x0000041; &#00; b") == "a A A &#00; b"

@@ -3,10 +3,10 @@
 Words (runs of letters, lower case) are the unit: a model predicts each character of a word, and its end,
 from the ``ORDER - 1`` before it, beginning marks included. Training counts words per language over all
 training documents, then the n-grams of the distinct words; lower orders count the different characters
-before an n-gram. Counts stay on the cluster until they are models: per order, at most ``MAX_GRAMS``
-n-grams and as many contexts, the most frequent ones of all languages; what is cut backs off like anything
-unseen. A model is arrays sorted by n-gram hash, so a task looks up all characters of a batch at once. A
-word is scored once per task and known from then on.
+before an n-gram. All n-grams and contexts of all orders are kept, as tables. Models of up to
+``SENT_CELLS`` numbers are sent to the documents whole, as arrays sorted by n-gram hash. Larger ones stay on
+the cluster: the distinct words of all documents ask for their n-grams, whose probabilities come from joins
+with the tables, order by order; they add up to one score per word and language, and the words' to the texts'.
 
 A text belongs to the language with the least cross-entropy per character. Calibration: the cross-entropies
 of training documents give each language a mean and a deviation, and texts more than ``REJECT``
@@ -34,8 +34,6 @@ from .common import through_table
 from .words import mix, slabs
 
 ORDER = 5
-#: N-grams, and contexts, that a model keeps of each order, all languages together.
-MAX_GRAMS = 200_000
 #: Languages that are told apart; more of them is an error, not a cut.
 MAX_LANGUAGES = 500
 #: Deviations above the mean cross-entropy from which a text is no text of that language.
@@ -45,9 +43,16 @@ REJECT = 8.0
 MARGIN = 1.0
 #: Slope of the score: nats per character that one language must be better by.
 SLOPE = 20.0
+#: Probability of a character that no order knows.
+FLOOR = 1.0 / 65536
+#: Numbers (n-grams and contexts times languages) up to which models are sent to the documents whole; larger ones are
+#: joined. Both ways give the same scores.
+SENT_CELLS = 8_000_000
 #: Words that a task keeps.
 KNOWN = 200_000
 BEGIN, END = "\x02", "\x03"
+#: What stands between words: anything but letters and numbers that are no digits.
+GAP = r"[^\p{L}\p{Nl}\p{No}]+"
 _WORD = re.compile(r"[^\W\d_]+")
 _COEFF = mix(np.arange(1, ORDER + 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
@@ -56,24 +61,83 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
+def _with_grams(words: DataFrame) -> DataFrame:
+    """A row for each n-gram of the highest order in each word."""
+    marked = F.regexp_extract_all(F.concat(F.lit(BEGIN * (ORDER - 1)), "word", F.lit(END)), F.lit("(?s)."), F.lit(0))
+    place = F.sequence(F.lit(0), F.size("marked") - ORDER)
+    grams = F.transform(place, lambda i: F.concat(*[F.get("marked", i + k) for k in range(ORDER)]))
+    kept = [c for c in words.columns if c != "word"]
+    return words.withColumn("marked", marked).select(*kept, F.explode(grams).alias("gram"))
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, c): counts of all n-grams of the highest order."""
     words = docs.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
     counted = words.where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("c"))
-    marked = F.split(F.concat(F.lit(BEGIN * (ORDER - 1)), "word", F.lit(END)), "")
-    place = F.sequence(F.lit(0), F.size("marked") - ORDER)
-    grams = F.transform(place, lambda i: F.concat(*[F.get("marked", i + k) for k in range(ORDER)]))
-    each = counted.withColumn("marked", marked).select("lang", "c", F.explode(grams).alias("gram"))
-    return each.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+    return _with_grams(counted).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
-def _most(table: DataFrame, count: str) -> pd.DataFrame:
-    """The rows of the highest counts, at most MAX_GRAMS of them."""
-    steps = table.groupBy(F.floor(F.log2(count) * 4).alias("step")).agg(F.count("*").alias("n")).toArrow().to_pandas()
-    steps = steps.sort_values("step", ascending=False)
-    fits = steps[steps["n"].cumsum() <= MAX_GRAMS]
-    least = int(fits["step"].min()) if len(fits) else 1 << 30
-    return table.where(F.floor(F.log2(count) * 4) >= least).toArrow().to_pandas()
+def train(table: DataFrame) -> tuple[list[tuple[DataFrame, DataFrame]], int]:
+    """Per order (lang, gram, part) and (lang, ctx, back): the models of all languages, and how many rows they have."""
+    orders, size = [], 0
+    for k in range(ORDER, 0, -1):
+        # Discount per language: n1 / (n1 + 2 n2) of the counts.
+        ones, twos = (F.sum((F.col("c") == i).cast("long")) for i in (1, 2))
+        share = F.greatest(F.lit(0.05), F.least(F.lit(0.95), ones / (ones + 2 * twos)))
+        discount = table.groupBy("lang").agg(F.when(ones > 0, share).otherwise(0.5).alias("d"))
+        contexts = table.groupBy("lang", F.substring("gram", 1, k - 1).alias("ctx")).agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
+        contexts = contexts.join(F.broadcast(discount), "lang")
+        contexts = through_table(contexts.select("lang", "ctx", "total", "d", (F.col("d") * F.col("kinds") / F.col("total")).alias("back")), "contexts")
+        size += table.count() + contexts.count()
+        contexts = F.broadcast(contexts) if k == 1 else contexts  # one row per language
+        grams = table.withColumn("ctx", F.substring("gram", 1, k - 1)).join(contexts, ["lang", "ctx"])
+        part = F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total")
+        orders.append((grams.select("lang", "gram", part.alias("part")), contexts.select("lang", "ctx", "back")))
+        if k > 1:
+            table = table.groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("c"))
+            table = through_table(table, "grams")
+    return orders[::-1], size
+
+
+def joined_scores(docs: DataFrame, orders: list[tuple[DataFrame, DataFrame]], languages: list[str]) -> DataFrame:
+    """(h, size, letters, s0, s1, ...): the word's hash, code points with the end, and log-probability in each language."""
+    size = (F.length("word") + 1).cast("long")
+    words = docs.select(F.explode(F.split(F.lower("text"), GAP)).alias("word")).where("word <> ''").distinct()
+    words = words.select("word", F.xxhash64("word").alias("h"), size.alias("size"), F.col("word").rlike(r"\p{L}").alias("letters"))
+    asked = through_table(_with_grams(words), "asked")
+    every = F.explode(F.array(*[F.lit(x) for x in languages])).alias("lang")
+    p = None
+    for k, (parts, contexts) in enumerate(orders, 1):
+        each = asked.select(F.substring("gram", ORDER - k + 1, k).alias("gram")).distinct().select("gram", every)
+        each = each.withColumn("ctx", F.substring("gram", 1, k - 1)).withColumn("end", F.substring("gram", 2, k))
+        each = each.join(parts, ["lang", "gram"], "left").join(contexts, ["lang", "ctx"], "left")
+        each = each.withColumn("less", F.lit(FLOOR)) if p is None else each.join(p.select("lang", F.col("gram").alias("end"), F.col("p").alias("less")), ["lang", "end"])
+        value = F.coalesce("part", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.col("less")
+        p = through_table(each.select("lang", "gram", value.alias("p")), "probabilities")
+    sums = [F.sum(F.when(F.col("lang") == x, F.ln("p"))).alias(f"s{i}") for i, x in enumerate(languages)]
+    wide = p.groupBy("gram").agg(*sums)
+    return asked.join(wide, "gram").groupBy("h", "size", "letters").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(languages))])
+
+
+def score_joined(docs: DataFrame, scores: DataFrame, languages: list[str]) -> DataFrame:
+    """What ``score_sent`` gives, by a join of each text's words with the words' scores."""
+    kept = [c for c in docs.columns if c != "text"]
+    row = ["__row", *kept]
+    hashes = F.transform(F.array_remove(F.split(F.lower("text"), GAP), ""), lambda w: F.xxhash64(w))
+    each = docs.withColumn("__row", F.monotonically_increasing_id()).select(*row, F.explode_outer(hashes).alias("h"))
+    met = each.groupBy(*row, "h").agg(F.count("*").alias("__n")).join(scores, "h", "left")
+    total = lambda c: F.sum(F.col(c) * F.col("__n"))
+    summed = met.groupBy(*row).agg(
+        F.max("letters").alias("__letters"), total("size").alias("__size"), *[total(f"s{i}").alias(f"__s{i}") for i in range(len(languages))]
+    )
+    known = F.coalesce("__letters", F.lit(False))
+    h = summed.withColumn("__h", F.when(known, F.array(*[-F.col(f"__s{i}") / F.col("__size") for i in range(len(languages))])))
+    best = h.withColumn("__best", F.array_min("__h"))
+    odds = F.aggregate("__h", F.lit(0.0), lambda acc, x: acc + F.exp(-SLOPE * (x - F.col("__best"))))
+    name = F.get(F.array(*[F.lit(x) for x in languages]), (F.array_position("__h", F.col("__best")) - 1).cast("int"))
+    return best.select(
+        *kept, F.coalesce(name, F.lit("und")).alias("lang_pred"), F.coalesce(1.0 / odds, F.lit(0.0)).alias("score"), F.col("__best").alias("entropy")
+    )
 
 
 def gram_hashes(codes: np.ndarray) -> np.ndarray:
@@ -102,38 +166,14 @@ def _table(frame: pd.DataFrame, gram: str, k: int, languages: list[str], columns
     return keys, *out
 
 
-def train(docs: DataFrame) -> dict | None:
-    """The models of all languages: per order (hashes, probability part, context hashes, back-off weight)."""
-    rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    table = through_table(gram_counts(rows.select("lang", "text")), "grams")
-    languages = sorted(r.lang for r in table.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if not languages:
-        return None
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    orders = []
-    for k in range(ORDER, 0, -1):
-        # Discount per language: n1 / (n1 + 2 n2) of the counts.
-        few = table.groupBy("lang").agg(F.sum((F.col("c") == 1).cast("long")).alias("n1"), F.sum((F.col("c") == 2).cast("long")).alias("n2"))
-        discount = {r.lang: min(0.95, max(0.05, r.n1 / (r.n1 + 2 * r.n2))) if r.n1 else 0.5 for r in few.collect()}
-        contexts = table.groupBy("lang", F.substring("gram", 1, k - 1).alias("ctx")).agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
-        if k > 1:
-            ctx = _most(contexts, "total")
-        else:
-            ctx = contexts.toArrow().to_pandas()  # one row per language
-        grams = _most(table, "c")
-        grams["ctx"] = grams["gram"].str[: k - 1]
-        grams = grams.merge(ctx, on=["lang", "ctx"])
-        d = grams["lang"].map(discount)
-        grams["p"] = np.maximum(grams["c"] - d, 0) / grams["total"]
-        ctx["back"] = ctx["lang"].map(discount) * ctx["kinds"] / ctx["total"]
-        keys, p = _table(grams, "gram", k, languages, ["p"])
-        ctx_keys, back = _table(ctx, "ctx", k - 1, languages, ["back"])
-        orders.append((keys, np.nan_to_num(p, nan=0.0), ctx_keys, np.nan_to_num(back, nan=1.0)))
-        if k > 1:
-            table = table.groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("c"))
-            table = through_table(table, "grams")
-    return {"languages": languages, "orders": orders[::-1], "floor": 1.0 / 65536}
+def collected(orders: list[tuple[DataFrame, DataFrame]], languages: list[str]) -> dict:
+    """The whole models as arrays: per order (hashes, probability part, context hashes, back-off weight)."""
+    out = []
+    for k, (parts, contexts) in enumerate(orders, 1):
+        keys, p = _table(parts.toArrow().to_pandas(), "gram", k, languages, ["part"])
+        ctx_keys, back = _table(contexts.toArrow().to_pandas(), "ctx", k - 1, languages, ["back"])
+        out.append((keys, np.nan_to_num(p, nan=0.0), ctx_keys, np.nan_to_num(back, nan=1.0)))
+    return {"languages": languages, "orders": out, "floor": FLOOR}
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,14 +207,12 @@ def _has_letter(words: list[str]) -> bool:
     return any(map(str.isalpha, words)) or any(c.isalpha() for w in words for c in w)
 
 
-def score(docs: DataFrame, model: dict | None) -> DataFrame:
+def score_sent(docs: DataFrame, model: dict) -> DataFrame:
     """The columns of docs but for text, with lang_pred, score and entropy (nats per character)."""
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("entropy", T.DoubleType())]
     kept = [f for f in docs.schema if f.name != "text"]
     schema = T.StructType([*kept, *added])
     names = schema.names
-    if model is None:
-        return docs.select(*[f.name for f in kept], F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,12 +246,27 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def score(docs: DataFrame) -> DataFrame:
+    """The columns of docs but for text, with lang_pred, score and entropy (nats per character)."""
+    rows = docs.where(~F.col("held_out") & F.col("__lang").isNotNull() & F.col("text").isNotNull())
+    table = through_table(gram_counts(rows.select(F.col("__lang").alias("lang"), "text")), "grams")
+    languages = sorted(r.lang for r in table.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if not languages:
+        kept = [c for c in docs.columns if c != "text"]
+        return docs.select(*kept, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"))
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    orders, size = train(table)
+    if size * len(languages) <= SENT_CELLS:
+        return score_sent(docs, collected(orders, languages))
+    return score_joined(docs, through_table(joined_scores(docs, orders, languages), "scores"), languages)
+
+
 def identify(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """doc_id (or other columns), held_out, lang_pred, score, entropy and rejected."""
     columns = columns or ["doc_id"]
-    model = train(docs.select("doc_id", "text", "lang"))
     asked = docs.select(*columns, "text", held_out(F.col("doc_id")).alias("held_out"), F.col("lang").alias("__lang"))
-    scored = through_table(score(asked, model), "languages")
+    scored = through_table(score(asked), "languages")
     own = scored.where(~F.col("held_out") & (F.col("__lang") == F.col("lang_pred")))
     usual = own.groupBy(F.col("lang_pred").alias("__pred")).agg(F.avg("entropy").alias("__mean"), F.coalesce(F.stddev("entropy"), F.lit(0.0)).alias("__dev"))
     limit = F.col("__mean") + F.greatest(REJECT * F.col("__dev"), F.lit(MARGIN))

@@ -259,6 +259,22 @@ def test_language(awkward, sample):
     assert kept.columns == sample.columns and kept.count() >= 0.98 * sample.count()
 
 
+def test_language_models_keep_all_grams(spark, monkeypatch):
+    """A rare language is scored alike, whether or not a language with very many n-grams is trained beside it."""
+    word = lambda *key: "".join(chr(97 + x % 26) for x in hashlib.sha256(repr(key).encode()).digest()[:9])
+    rare = [(i, " ".join(word("rare", (i + k) % 50) for k in range(40)), "bb") for i in range(20)]
+    hot = [(100 + i, " ".join(word(i, k) for k in range(2000)), "aa") for i in range(40)]
+    schema = "doc_id long, text string, lang string"
+    alone = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rare, schema)).collect()}
+    docs = spark.createDataFrame(rare + hot, schema)
+    for sent in (1 << 40, 0):  # models sent, models joined
+        monkeypatch.setattr(langid, "SENT_CELLS", sent, raising=False)
+        found = {r.doc_id: r for r in langid.identify(docs).collect()}
+        assert len(found) == len(rare + hot)
+        for i, _, _ in rare:
+            assert found[i].lang_pred == "bb" and found[i].entropy == pytest.approx(alone[i].entropy, rel=1e-4)
+
+
 def hits(docs, items):
     word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     windows = defaultdict(set)

@@ -363,14 +363,13 @@ def line_report(docs: DataFrame) -> DataFrame:
     )
 
 
-#: A document that loses more than this share of its code points is a copy of others and goes.
-LOST = 0.8
+#: What a line holds that is text: a letter or a digit.
+WORD = r"[\p{L}\p{N}]"
 
 
 def drop_repeated(docs: DataFrame) -> DataFrame:
-    """The documents with clean texts and their n_chars, without those that lose almost everything."""
-    before = F.length(F.coalesce("text", F.lit("")))
-    done = clean_lines(docs.withColumn("__before", before))
-    stays = (F.size("__gone") == 0) | (F.length("text") > F.col("__before") * (1 - LOST))
+    """The documents with clean texts and their n_chars, without those that lost lines and have no word left."""
+    done = clean_lines(docs)
+    stays = (F.size("__gone") == 0) | F.col("text").rlike(WORD)
     chars = lambda c: F.when(F.size("__gone") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
     return done.where(stays).select(*[chars(c) if c == "n_chars" else F.col(c) for c in docs.columns])

@@ -180,6 +180,13 @@ def test_line_dedup_on_awkward_rows(awkward):
     assert {r.doc_id for r in kept.collect()} >= {1, 3, 4, 5, 6, 7, 8, 13} and 2 not in {r.doc_id for r in kept.collect()}
 
 
+def test_text_of_its_own_stays_beside_repeated_lines(spark):
+    shared = "\n".join(f"a passage that many documents share, number {i} of the passages {'xyz' * i}" for i in range(9))
+    texts = [(1, shared), (2, f"{shared}\nbut these words stand nowhere else"), (3, f"{shared}\n--"), (4, "--")]
+    kept = {r.doc_id: r.text for r in line_dedup.drop_repeated(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert kept == {1: shared, 2: "but these words stand nowhere else", 4: "--"}
+
+
 def components(docs):
     sets, out = {}, []
     table = [(r.doc_id, r.text) for r in docs.collect()]

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, normal
+from markloom.workload import QUERIES
 
 from .conftest import SF_DIR
 
@@ -19,7 +20,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     got = entry.queries()[name](spark, SF_DIR).toPandas()
     want = con.execute(ORACLES[name]).df()
@@ -27,8 +28,8 @@ def test_query(spark, con, name):
     assert normal(got).equals(normal(want))
 
 
-def test_every_query_has_sql():
-    assert set(ORACLES) == set(entry.queries())
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) <= set(ORACLES) <= set(entry.queries())
 
 
 def test_entry(spark):

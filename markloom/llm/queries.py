@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, langid, line_dedup, ngram_join, pii, quality_rules, secrets_scan, sharding, warc
+from . import (
+    bpe, decontam, hard_negatives, langid, line_dedup, ngram_join, pii, quality_rules, secrets_scan, sharding, warc, whitening,
+)
 from .common import read
 
 QUERIES = {
@@ -18,10 +20,13 @@ QUERIES = {
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     ),
     "op10_warc": lambda spark, sf_dir: warc.warc_rows(read(spark, sf_dir, "pages")),
+    "op11_whitening": lambda spark, sf_dir: whitening.whitened_rows(read(spark, sf_dir, "embeddings")),
+    "op12_hard_negatives": lambda spark, sf_dir: hard_negatives.hard_negative_rows(read(spark, sf_dir, "embeddings")),
 }
 
 ORACLES = {
     "op2_sharding": sharding.SQL,
     "op7_quality": quality_rules.SQL,
     "op10_warc": warc.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
 }

@@ -92,7 +92,7 @@ class Index:
         full = norms[:, -1] * self.reach  # the largest scaled score
         # Rounding of single-precision sums.
         slack = (2e-7 * (q.shape[1] + 8)) * full
-        floor = np.where((lo <= hi), lo, _INF).min(1) / unit - slack
+        floor = np.where((lo <= hi), lo, _INF).min(1) / unit - 2 * slack
         top = hi.max(1) / unit + slack
         open_ = np.arange(len(q))
         for level in (*LEVELS, None):
@@ -129,7 +129,7 @@ class Index:
         return order, np.minimum(start[order], max(len(self.cuts) - 2, 0))
 
     def _scan(self, order, start, q, scaled, norms, unit, slack, t, own, label, lo, hi, k, alike):  # noqa: ANN001, ANN202
-        t = t.copy()
+        t, sure = t.copy(), t + slack
         best = [[(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(lo.shape[1])] for _ in q]
         safe = int(np.abs(q).max() if q.size else 0) * self.largest * max(q.shape[1], 1) < 1 << 62
         for at in range(0, len(order), ROW_TILE):
@@ -150,7 +150,8 @@ class Index:
             if not len(i):
                 continue
             real = self._exact(q, i, rows[j], safe)
-            keep = self.rid[rows[j]] != own[i]
+            # Below the threshold some rows get this far and others don't.
+            keep = (self.rid[rows[j]] != own[i]) & (real >= (sure * unit)[i])
             i, j, real = i[keep], rows[j[keep]], real[keep]
             ends = np.searchsorted(i, np.arange(len(q) + 1))
             for a in np.flatnonzero(np.diff(ends)):
@@ -161,7 +162,7 @@ class Index:
                         best[a][w] = _first(np.concatenate([best[a][w][0], s[inside]]), np.concatenate([best[a][w][1], r[inside]]), k)
                 full = [b[0][-1] if len(b[0]) >= k else None for b, l, h in zip(best[a], lo[a], hi[a]) if l <= h]
                 if full and None not in full:
-                    t[a] = max(t[a], min(full) / unit[a] - slack[a])
+                    t[a] = max(t[a], min(full) / unit[a] - 2 * slack[a])
         return best
 
     def _exact(self, q: np.ndarray, i: np.ndarray, rows: np.ndarray, safe: bool) -> np.ndarray:

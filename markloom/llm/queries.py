@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (
-    bpe, decontam, hard_negatives, langid, line_dedup, ngram_join, pii, quality_rules, secrets_scan, sharding, warc, whitening,
+    bpe, decontam, hard_negatives, langid, line_dedup, ngram_join, pii, quality_rules, secrets_scan, sharding, sketch_join, warc, whitening,
 )
 from .common import read
 
@@ -22,6 +22,7 @@ QUERIES = {
     "op10_warc": lambda spark, sf_dir: warc.warc_rows(read(spark, sf_dir, "pages")),
     "op11_whitening": lambda spark, sf_dir: whitening.whitened_rows(read(spark, sf_dir, "embeddings")),
     "op12_hard_negatives": lambda spark, sf_dir: hard_negatives.hard_negative_rows(read(spark, sf_dir, "embeddings")),
+    "op13_near_dedup": lambda spark, sf_dir: sketch_join.near_duplicates(read(spark, sf_dir, "documents")),
 }
 
 ORACLES = {

@@ -5,11 +5,12 @@
 2. Inverted lists: sets are dealt out by retained value, and each list learns its length. A value of one set only goes.
    Alike sets share at least ``least_shared`` retained values, so they share one of the rarest
    ``size - least_shared + 1`` of either; only those stay in the index, frequent passages mostly don't.
-3. Overlaps: in each list, every set meets the list's centre of its size class (the one with the most copies). Pairs
+3. Overlaps: in each list, every set meets the list's centre of its size class (the one whose values are in most other sets). Pairs
    are estimated first: the smallest ``K`` values of both sketches together are the union's sketch, and the share of them
    that both sets hold estimates the similarity. What passes is verified by Jaccard on the full sets.
 4. Sets of one list that are still in different components meet each other, unless their distances to their common
-   centre differ by more than alike sets' can (Jaccard distance keeps the triangle inequality).
+   centre differ by more than alike sets' can (Jaccard distance keeps the triangle inequality), or parity signatures
+   of the full sets (two sets differ in at least as many shingles as their signatures in bits) rule them out.
 5. Components of all verified links.
 
 ``least_shared`` is exact for sets of up to ``4 * (K - BOUND)`` shingles. For larger ones it is the quantile of the number
@@ -46,7 +47,7 @@ SHINGLE = 4
 #: Percent of the union that the intersection must reach.
 ALIKE = 80
 #: Retained values of a set.
-K = 128
+K = 256
 #: The most common values among K of the union that a pair of similarity ALIKE has with a chance of all but 1e-12.
 MISSED = 1e-12
 #: One sketch of so many is looked at for very frequent values, and those in this share of them are such.
@@ -55,6 +56,8 @@ SAMPLED, FREQUENT = 64, 1 / 256
 VERY = (1 << 31) - 1
 #: Bits of the filter that says which full sets are asked for.
 FILTER_BITS = 1 << 22
+#: Bits of the parity signature, in numbers of 64.
+WORDS = 4
 _COEFF = mix(np.arange(11, SHINGLE + 12, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
 
 
@@ -105,9 +108,15 @@ def identity(values: np.ndarray) -> int:
     return int(mix(mix(values ^ _COEFF[1]).sum(keepdims=True) ^ size).view(np.int64)[0])
 
 
+def signature(values: np.ndarray) -> np.ndarray:
+    """Bit j says whether an odd number of values falls on j."""
+    odd = np.bincount((values >> np.uint64(7) & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _describe(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, sid and n of every document, and the sketch, once for equal sets that lie together."""
-    fields = [T.StructField("sid", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("sketch", T.ArrayType(T.LongType()))]
+    """doc_id, tkey, sid and n of every document; sketch and signature once for equal sets that lie together."""
+    fields = [T.StructField("sid", T.LongType()), T.StructField("n", T.IntegerType()), *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("sketch", "sig"))]
     schema = T.StructType([docs.schema["doc_id"], T.StructField("tkey", T.LongType()), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,13 +132,20 @@ def _describe(docs: DataFrame) -> DataFrame:
             ends = np.concatenate(([0], np.cumsum([len(s) for s in kept]))).astype(np.int32)
             values = np.concatenate(kept).view(np.int64)
             sketch = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(~new, False)), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sid), pa.array(n), sketch], names=schema.names)
+            bits = np.concatenate([signature(s) for s, f in zip(made, new) if f] or [np.zeros(0, np.int64)])
+            steps = np.concatenate(([0], np.cumsum(new))).astype(np.int32) * WORDS
+            sig = pa.ListArray.from_arrays(pa.array(steps, mask=np.append(~new, False)), pa.array(bits))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sid), pa.array(n), sketch, sig], names=schema.names)
 
     return docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(run, schema)
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """(value, sid, n, copies, class): index entries of sets that may be like another one."""
+    """(value, sid, n, class, score): index entries of sets that may be like another one.
+
+    The score is the mean length of the lists a set is in: an original that many near copies were made from shares
+    all its values with most of them, each copy lacks some.
+    """
     sample = sets.where(F.pmod("sid", F.lit(SAMPLED)) == 0)
     often = sample.select(F.explode("sketch").alias("value")).groupBy("value").count()
     size = sample.agg((F.count("*") * FREQUENT).alias("size"))
@@ -139,11 +155,13 @@ def _entries(sets: DataFrame) -> DataFrame:
     dealt = all_.join(F.broadcast(often), "value", "left_anti").select("sid", "n", "value", F.count("*").over(Window.partitionBy("value")).alias("length"))
     shared = dealt.where("length > 1").unionByName(all_.join(F.broadcast(often), "value", "left_semi").withColumn("length", F.lit(VERY).cast("long")))
     # Rarest values first. Those that no other set has would come before them.
-    grouped = shared.groupBy("sid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("length", "value"))).alias("held"))
+    held = F.array_sort(F.collect_list(F.struct("length", "value")))  # K at most
+    score = F.sum("length") / F.least(F.first("n"), F.lit(K))
+    grouped = shared.groupBy("sid").agg(F.first("n").alias("n"), held.alias("held"), score.alias("score"))
     take = F.size("held") - least_shared(F.col("n")) + 1
-    chosen = grouped.where(take > 0).select("sid", "n", F.explode(F.slice("held", 1, take.cast("int"))).alias("e"))
+    chosen = grouped.where(take > 0).select("sid", "n", "score", F.explode(F.slice("held", 1, take.cast("int"))).alias("e"))
     group = F.floor(F.log("n") / float(np.log(100 / ALIKE))).cast("int")
-    return chosen.select(F.col("e.value").alias("value"), "sid", "n", group.alias("class"))
+    return chosen.select(F.col("e.value").alias("value"), "sid", "n", group.alias("class"), "score")
 
 
 def _estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -217,6 +235,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c = joined([held, c])
         value, n, sid, comp = c["value"], c["n"].astype(np.int64), c["sid"], c["comp"]
         centre, apart = c["centre"], c["apart"]
+        sig = np.array([c[f"s{k}"] for k in range(WORDS)]).view(np.uint64)
         at = bounds(value)
         begin = np.repeat(at[:-1], np.diff(at))
         # Sizes ascend: only the sets before a set, from the first that is large enough.
@@ -234,6 +253,10 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             y = np.repeat(np.arange(x0, x1) - k, k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
             near = ~((centre[x] == centre[y]) & (np.abs(apart[x] - apart[y]) > 1 - ALIKE / 100 + 1e-9))
             keep = near & (comp[x] != comp[y])
+            x, y = x[keep], y[keep]
+            # |x & y| is at most (|x| + |y| - differing bits) / 2, and at least ALIKE / (100 + ALIKE) of both sizes.
+            most = n[x] + n[y] - np.bitwise_count(sig[:, x] ^ sig[:, y]).sum(0, dtype=np.int64)
+            keep = most * (100 + ALIKE) >= 2 * ALIKE * (n[x] + n[y])
             if keep.any():
                 a, b = sid[x[keep]], sid[y[keep]]
                 both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
@@ -245,12 +268,10 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, comp) of the sets that are linked with another one."""
-    entries = through_table(_entries(sets.select("sid", "n", "sketch")), "entries")
-    copies = sets.select("sid", "copies")
-    ranked = entries.join(copies, "sid")
-    centres = ranked.groupBy("value", "class").agg(F.max(F.struct("copies", "sid")).alias("c"), F.count("*").alias("m"))
+    entries = through_table(_entries(sets), "entries")
+    centres = entries.groupBy("value", "class").agg(F.max(F.struct("score", "sid")).alias("c"))
     centres = centres.select("value", "class", F.col("c.sid").alias("centre"))
-    placed = through_table(entries.join(centres, ["value", "class"]), "placed")
+    placed = through_table(entries.drop("score").join(centres, ["value", "class"]), "placed")
     pair = F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")
     stars = placed.where("sid <> centre").select(*pair).distinct()
     first = _verified(_estimated(stars, sets), docs)
@@ -264,7 +285,8 @@ def _links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     # Lists whose sets are all in one component are done.
     entry = through_table(entry, "rest")
     several = entry.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-    open_ = entry.join(several, "value").repartition("value").sortWithinPartitions("value", "n", "sid")
+    signed = sets.select("sid", *(F.col("sig")[k].alias(f"s{k}") for k in range(WORDS)))
+    open_ = entry.join(several, "value").join(signed, "sid").repartition("value").sortWithinPartitions("value", "n", "sid")
     pairs = open_.mapInArrow(_across, "a long, b long").distinct()
     second = _estimated(through_table(pairs, "across"), sets)
     more = _verified(second, docs).where("linked").select("a", "b")
@@ -275,7 +297,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     """doc_id, tkey, n and first: the least (doc_id, tkey) of the component, the document itself without shingles."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     described = through_table(_describe(docs), "sketches")
-    some = described.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("sketch", True).alias("sketch"), F.count("*").alias("copies"))
+    some = described.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), *(F.first(c, True).alias(c) for c in ("sketch", "sig")))
     sets = through_table(some, "sets")
     linked = _links(docs, sets)
     rows = described.select("doc_id", "tkey", "sid", "n")

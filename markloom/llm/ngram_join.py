@@ -50,7 +50,7 @@ FILTER_BITS = 1 << 22
 SIGNATURE = 1024
 #: Rows of three numbers that are sent to all tasks; larger tables are shuffled.
 SENT = 500_000
-#: Lists of more sets than this are compared by their signatures first.
+#: Lists of more sets than twice this are compared set by set, shorter ones together.
 SHORT = 32
 #: Shingles that a task counts together.
 COUNTED = 3_000_000
@@ -363,7 +363,8 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> pa.RecordBatch:
         a, b, sure = (np.concatenate(x) for x in zip(*out))
         out.clear()
-        return record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b), "sure": sure}, _PAIRS)
+        rows = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b), sure]), axis=0)
+        return record_batch({"a": rows[:, 0], "b": rows[:, 1], "sure": rows[:, 2].astype(bool)}, _PAIRS)
 
     for batch in batches:
         if not len(batch):
@@ -424,12 +425,11 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signed(left: DataFrame, described: DataFrame) -> DataFrame:
-    """Add f0 to f3, the signature folded to 256 bits, to the entries of long lists; short ones go without."""
+    """Entries of lists with sets of several components, with f0 to f3, the signature folded to 256 bits."""
     known = described.where("n > 0").select("sid", "sig").dropDuplicates(["sid"])
     fold = [F.aggregate(F.slice("sig", 1 + k * 4, 4), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)).alias(f"f{k}") for k in range(4)]
-    signed = left.where(F.col("m") > SHORT).join(known.select("sid", *fold), "sid")
-    plain = left.where(F.col("m") <= SHORT).withColumns({f"f{k}": F.lit(0).cast("long") for k in range(4)})
-    return signed.unionByName(plain).drop("m")
+    several = left.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    return left.join(several, "token").join(known.select("sid", *fold), "sid").drop("m")
 
 
 def _sent(table: DataFrame) -> DataFrame:

@@ -10,10 +10,12 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .tags import has_any, hide_opaque, mentioned
+from .tags import has_any, hide_opaque, mentioned, rewrite_paired
 from .text import (
+    CUT,
     PY_WS,
     each_line,
+    fold_text,
     let,
     may_have_markers,
     nfkc,
@@ -27,7 +29,6 @@ from .text import (
 PARA, LIST, CODE, BLOCK = "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"
 NUM = "\ufdd5"  # number of an ordered-list item
 Q1, Q2 = "\ufdd6", "\ufdd7"  # a block quote
-CUT = "\ufdd8"
 BREAK = "\ufdd9"  # a line break inside a paragraph
 
 # Characters that stand for themselves: inside formulas and code, and as Markdown syntax.
@@ -112,7 +113,7 @@ def clean_markdown(c: Column) -> Column:
 
 
 def is_corrupt(c: Column) -> Column:
-    """True where paired tags or link and template brackets do not balance."""
+    """True where paired tags do not balance, or a link or template bracket has no partner."""
 
     def names(t: Column, pattern: str) -> Column:
         found = F.regexp_extract_all(t, F.lit(rf"(?i){pattern}"), 1)
@@ -122,11 +123,14 @@ def is_corrupt(c: Column) -> Column:
         opened = names(t, rf"<({PAIRED})(?:\s[^<>]*)?(?<!/)>")
         return opened != names(t, rf"</({PAIRED})\s*>")
 
-    def brackets_differ(t: Column) -> Column:
-        def without(bracket: str) -> Column:
-            return F.length(F.replace(t, F.lit(bracket), F.lit("")))
+    def unmatched(t: Column, opener: str, closer: str) -> Column:
+        marked = F.replace(F.replace(t, F.lit(opener), F.lit(Q1)), F.lit(closer), F.lit(Q2))
+        left = settle_nested(marked, Q1, Q2, lambda _: F.lit(""))
+        some = t.contains(opener) | t.contains(closer)
+        return some & let(left, lambda x: x.contains(Q1) | x.contains(Q2))
 
-        return (without("[[") != without("]]")) | (without("{{") != without("}}"))
+    def brackets_differ(t: Column) -> Column:
+        return unmatched(t, "[[", "]]") | unmatched(t, "{{", "}}")
 
     return let(
         c,
@@ -160,12 +164,6 @@ def decode_entities(c: Column) -> Column:
     return where_contains(c, "&", lambda t: rewrite_matches(t, entity, decoded))
 
 
-def _inline_code(tags: str, c: Column, fn) -> Column:
-    pattern = rf"(?is)<({tags})(?:\s[^<>]*)?(?<!/)>.*?</\1\s*>"
-    closed = rf"(?i)</(?:{tags})\s*>"
-    return let(c, lambda t: F.when(t.rlike(closed), rewrite_matches(t, pattern, fn)).otherwise(t))
-
-
 def _opaque_to_markdown(c: Column) -> Column:
     """Formulas, code and unparsed text, which the line rules must not touch."""
 
@@ -200,72 +198,104 @@ def _opaque_to_markdown(c: Column) -> Column:
             F.concat(F.lit("\n\n"), F.translate(_trim_ends(out), _SHOWN, _COVER), F.lit("\n\n")),
         ).otherwise(F.translate(out, _SHOWN, _COVER))
 
-    return _inline_code("|".join(OPAQUE), c, hidden)
+    closed = rf"(?i)</(?:{'|'.join(OPAQUE)})\s*>"
+    return let(c, lambda t: F.when(t.rlike(closed), rewrite_paired(t, OPAQUE, hidden)).otherwise(t))
 
 
 def _trim_ends(c: Column) -> Column:
     return c.substr(F.lit(3), F.length(c) - 4)
 
 
+# List tags while lists are read: the start of an ordered one, a bullet one, an item, and the ends.
+_LIST_TAGS = (
+    ("o", r"<ol(?:\s[^<>]*)?>[ \t]*"),
+    ("u", r"<ul(?:\s[^<>]*)?>[ \t]*"),
+    ("i", r"<li(?:\s[^<>]*)?>\s*"),
+    ("e", r"</[uo]l\s*>[ \t]*"),
+)
+
+
 def _lists_from_tags(c: Column) -> Column:
-    """HTML lists as wiki lists."""
-    c = rewrite_matches(
-        c,
-        r"(?is)<ol(?:\s[^<>]*)?>.*?</ol\s*>",
-        lambda m: F.regexp_replace(m, r"(?i)(?<!\s)\s*+<li(?:\s[^<>]*)?>\s*", "\n# "),
-    )
+    """HTML lists as wiki lists, nested as their tags are.
+
+    The state is the marker of the list that a piece of text is in, one character a level. An item
+    outside of any list is a bullet, as are all items if not all lists are closed (the page is corrupt then).
+    """
+    count = lambda t, tag: F.regexp_count(t, F.lit(rf"(?i){tag}"))
+    opened, closed = r"<[uo]l(?:\s[^<>]*)?>", r"</[uo]l\s*>"
+    return let(c, lambda t: F.when(count(t, opened) == count(t, closed), _nested_lists(t)).otherwise(_flat_lists(t)))
+
+
+def _flat_lists(c: Column) -> Column:
     c = F.regexp_replace(c, r"(?i)(?<!\s)\s*+<li(?:\s[^<>]*)?>\s*", "\n* ")
     c = F.regexp_replace(c, r"(?i)</li\s*>", "")
     return F.regexp_replace(c, r"(?i)(?<!\s)\s*+</?[uo]l(?:\s[^<>]*)?>[ \t]*", "\n")
 
 
+def _nested_lists(c: Column) -> Column:
+    for kind, tag in _LIST_TAGS:
+        c = F.regexp_replace(c, rf"(?i)(?<!\s)\s*+{tag}", f"{CUT}{kind}")
+    c = F.regexp_replace(c, r"(?i)</li\s*>", f"{CUT}x")
+
+    def step(marker: Column, piece: Column) -> Column:
+        kind, text = F.substring(piece, 1, 1), piece.substr(F.lit(2), F.length(piece))
+        below = F.when(marker == "", "").otherwise(marker.substr(F.lit(1), F.length(marker) - 1))
+
+        def result(out: Column, state: Column) -> Column:
+            return F.struct(out.alias("out"), state.alias("state"))
+
+        def deeper(char: str) -> Column:
+            return result(line(marker == ""), F.concat(marker, F.lit(char)))
+
+        def line(outside: Column) -> Column:
+            # No empty lines inside a list: they would end it.
+            return F.when(outside | (py_strip(text) != ""), F.concat(F.lit("\n"), text)).otherwise("")
+
+        item = F.when(marker == "", "*").otherwise(marker)
+        return (
+            F.when(kind == "o", deeper("#"))
+            .when(kind == "u", deeper("*"))
+            .when(kind == "i", result(F.concat(F.lit("\n"), item, F.lit(" "), text), marker))
+            .when(kind == "e", result(line(F.length(marker) < 2), below))
+            .otherwise(result(F.when((marker != "") & (py_strip(text) == ""), "").otherwise(text), marker))
+        )
+
+    def read(pieces: Column) -> Column:
+        rest = F.slice(pieces, F.lit(2), F.size(pieces))
+        return F.concat(F.get(pieces, F.lit(0)), fold_text(rest, F.lit(""), step))
+
+    return let(F.split(c, CUT), read)
+
+
 def _number_items(c: Column) -> Column:
     """Write the running number behind the marker of every ordered-list item.
 
-    One round per list depth: the text is cut where a run of items at that depth
-    starts or ends, and items are counted inside each run.
+    One pass over the lines. The state has a counter for each level of the last line's marker, -1 where
+    that level is not an ordered list: lines in between that belong to deeper levels don't end a count.
     """
 
-    def one_depth(t: Column, depth: Column) -> Column:
-        before = F.concat(F.lit("[*:;#]{"), depth.cast("string"), F.lit("}"))
-        item = F.concat(F.lit("(?dm)^("), before, F.lit("#)(?![*#:;])"))
-        inside = F.concat(before, F.lit("#"))
-        # A run ends behind a line that belongs to it when the next line does not.
-        ends = F.concat(
-            F.lit("(?dm)^("), inside, F.lit("[^\\n]*\\n)(?!"), inside, F.lit(")")
-        )
-        starts = F.concat(F.lit("(?dm)^(?!"), inside, F.lit(")([^\\n]*\\n)(?="), inside, F.lit(")"))
-        t = F.regexp_replace(t, ends, F.lit(f"$1{CUT}"))
-        t = F.regexp_replace(t, starts, F.lit(f"$1{CUT}"))
-
-        def number(run: Column) -> Column:
-            first = F.concat(F.lit("(?d)\\A"), inside)
-            items = F.split(F.regexp_replace(run, item, F.lit(f"{CUT}$1")), CUT)
-            return F.when(
-                F.regexp_like(run, first),
-                F.array_join(
-                    F.transform(
-                        items,
-                        lambda x, i: F.when(
-                            i > 0,
-                            F.regexp_replace(
-                                x,
-                                F.concat(F.lit("\\A("), inside, F.lit(")")),
-                                F.concat(F.lit(f"$1{NUM}"), i.cast("string"), F.lit(NUM)),
-                            ),
-                        ).otherwise(x),
-                    ),
-                    "",
-                ),
-            ).otherwise(run)
+    def step(counts: Column, line: Column) -> Column:
+        def numbered(marker: Column, now: Column) -> Column:
+            number = F.concat(marker, F.lit(NUM), F.element_at(now, -1).cast("string"), F.lit(NUM))
+            text = line.substr(F.length(marker) + 1, F.length(line))
+            out = F.when(marker.endswith("#"), F.concat(number, text)).otherwise(line)
+            return F.struct(out.alias("out"), now.alias("state"))
+
+        def count(marker: Column) -> Column:
+            so_far = lambda i: F.greatest(F.coalesce(F.get(counts, i), F.lit(0)), F.lit(0))
+            own = lambda i: F.when(i == F.length(marker) - 1, 1).otherwise(0)
+            return F.transform(
+                F.filter(F.split(marker, ""), lambda m: m != ""),
+                lambda m, i: F.when(m == "#", so_far(i) + own(i)).otherwise(-1),
+            )
 
-        return F.array_join(F.transform(F.split(t, CUT), number), "")
+        marker = F.regexp_extract(line, r"\A[*#:;]+", 0)
+        return let(marker, lambda m: let(count(m), lambda now: numbered(m, now)))
 
     def numbered(t: Column) -> Column:
-        markers = F.regexp_extract_all(t, F.lit(r"(?dm)^([*:;#]*#)"), 1)
-        depth = F.coalesce(F.array_max(F.transform(markers, lambda m: F.length(m))), F.lit(0))
-        rounds = F.transform(F.array_repeat(F.lit(0), depth), lambda _, i: i)
-        return F.aggregate(rounds, t, one_depth)
+        # Lines keep their ends, so that the pieces make up the text.
+        lines = F.split(F.replace(t, F.lit("\n"), F.lit(f"\n{CUT}")), CUT)
+        return fold_text(lines, F.array().cast("array<int>"), step)
 
     return let(c, lambda t: F.when(t.rlike(r"(?dm)^[*:;]*#"), numbered(t)).otherwise(t))
 

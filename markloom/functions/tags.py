@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .dims import TAGS_OPAQUE, TagPolicy, is_one_of
 from .links import drop_comments
-from .text import each_line, let, nesting, py_strip, rewrite_matches, settle_nested, where_contains
+from .text import CUT, each_line, fold_nested, fold_text, let, py_strip, rewrite_matches, settle_nested, where_contains
 
 D1, D2 = "\ufdd2", "\ufdd3"  # around a tag pair that is about to go
 S1, S2 = "\ufdd4", "\ufdd5"  # around any other span
@@ -26,30 +26,80 @@ NAME = r"[A-Za-z][A-Za-z0-9]*"
 def hide_opaque(c: Column, comments: bool = True) -> Column:
     """Hide the content of tags that the wiki parser does not look into; drop comments.
 
-    What is never closed is never looked for: a search for a missing end, from each
-    of many beginnings, would take quadratic time.
     """
-    tags = "|".join(TAGS_OPAQUE)
-    opaque = rf"({tags}){_ATTRS}(?<!/)>.*?</\1\s*>"
-    comment = "!--.*?-->"
-
-    def settle(match: Column) -> Column:
-        hidden = F.translate(match, _PLAIN, _HIDDEN)
-        return F.when(match.startswith("<!--"), F.lit("") if comments else match).otherwise(hidden)
+    closed = rf"(?i)</(?:{_any(TAGS_OPAQUE)})\s*>"
+    hidden = lambda match: F.translate(match, _PLAIN, _HIDDEN)
+    comment = lambda match: F.lit("") if comments else match
 
     def hide(t: Column) -> Column:
-        has_comments, has_opaque = t.contains("-->"), t.rlike(rf"(?i)</(?:{tags})\s*>")
-        both = rewrite_matches(t, rf"(?is)<(?:{comment}|{opaque})", settle)
         return (
-            F.when(has_comments & has_opaque, both)
-            .when(has_opaque, rewrite_matches(t, rf"(?is)<{opaque}", settle))
-            .when(has_comments, drop_comments(t) if comments else t)
+            F.when(t.rlike(closed), rewrite_paired(t, TAGS_OPAQUE, hidden, comment))
+            .when(t.contains("-->"), drop_comments(t) if comments else t)
             .otherwise(t)
         )
 
     return where_contains(c, "<", hide)
 
 
+def rewrite_paired(
+    c: Column,
+    tags: Iterable[str],
+    fn: Callable[[Column], Column],
+    comment: Callable[[Column], Column] | None = None,
+) -> Column:
+    """Replace each stretch from an opening tag to the next closing one of its name by `fn(stretch)`.
+
+    What lies inside is not looked into; what is never closed is text. One pass over the pieces
+    between tags, with the open tag as the state; where the last closing tag of each name stands is known
+    beforehand. `comment` rewrites comments in the same pass; without it they are ordinary text.
+    """
+    tags = list(tags)
+    marks = ["<!--", "-->"] if comment else []
+    token = _any([*marks, rf"<(?:{_any(tags)}){_ATTRS}(?<!/)>", rf"</(?:{_any(tags)})\s*>"])
+
+    def kind(piece: Column, i: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, r"\A<(/?[A-Za-z][A-Za-z0-9]*)", 1))
+        return F.when(i == 0, "").when(piece.startswith("<!--"), "!").when(piece.startswith("-->"), "/!").otherwise(name)
+
+    def last(kinds: Column, name: str) -> Column:
+        return F.coalesce(F.array_max(F.transform(kinds, lambda k, i: F.when(k == f"/{name}", i))), F.lit(-1))
+
+    def settled(open_: Column, held: Column) -> Column:
+        return F.when(open_ == "!", comment(held)).otherwise(fn(held)) if comment else fn(held)
+
+    def step(state: Column, x: Column) -> Column:
+        def result(out: Column, open_: Column, held: Column) -> Column:
+            return F.struct(out.alias("out"), F.struct(open_.alias("open"), held.alias("held")).alias("state"))
+
+        piece, nothing = x["piece"], F.lit("")
+        end = F.when(x["kind"] == "/!", "-->").otherwise(F.regexp_extract(piece, r"\A</[^<>]*>", 0))
+        ended = lambda e: F.concat(
+            settled(state["open"], F.concat(state["held"], e)), piece.substr(F.length(e) + 1, F.length(piece))
+        )
+        return (
+            F.when((state["open"] == "") & x["opens"], result(nothing, x["kind"], piece))
+            .when(state["open"] == "", result(piece, nothing, nothing))
+            .when(x["kind"] == F.concat(F.lit("/"), state["open"]), result(let(end, ended), nothing, nothing))
+            .otherwise(result(nothing, state["open"], F.concat(state["held"], piece)))
+        )
+
+    def run(pieces: Column, kinds: Column) -> Column:
+        names = [*tags, "!"] if comment else tags
+        ends = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(last(kinds, n) for n in names)))
+        known = lambda m: F.transform(
+            pieces,
+            lambda p, i: F.struct(
+                p.alias("piece"), F.get(kinds, i).alias("kind"),
+                F.coalesce(F.try_element_at(m, F.get(kinds, i)) > i, F.lit(False)).alias("opens"),
+            ),
+        )
+        start = F.struct(F.lit("").alias("open"), F.lit("").alias("held"))
+        return fold_text(let(ends, known), start, step)
+
+    pieces = F.split(F.regexp_replace(c, rf"(?is){token}", f"{CUT}$0"), CUT)
+    return let(pieces, lambda ps: let(F.transform(ps, kind), lambda ks: run(ps, ks)))
+
+
 def show_opaque(c: Column) -> Column:
     # Any hidden stretch starts with a hidden bracket.
     return where_contains(c, _HIDDEN[0], lambda t: F.translate(t, _HIDDEN, _PLAIN))
@@ -130,13 +180,7 @@ def resolve_spans(c: Column) -> Column:
         t = F.regexp_replace(t, r"(?i)</span\s*>", D2)
         t = F.translate(t, S2, "")
 
-        def step(x: Column) -> Column:
-            x = F.regexp_replace(x, f"{D1}[^{D1}{D2}{S1}]*{D2}", "")
-            return F.regexp_replace(x, f"{S1}([^{D1}{D2}{S1}]*){D2}", "$1")
-
-        # Spans of both kinds nest in one another; a step settles one level of either.
-        rounds = F.array_repeat(F.lit(0), nesting(F.translate(t, S1, D1), D1, D2))
-        t = F.aggregate(rounds, t, lambda acc, _: step(acc))
+        t = fold_nested(t, D1 + S1, D2, lambda body, kind: F.when(kind == D1, "").otherwise(body))
         return F.translate(t, D1 + D2 + S1, "")
 
     c = where_contains(c, "flagicon", lambda t: F.when(t.rlike(flag), with_flags(t)).otherwise(t))

@@ -11,11 +11,10 @@ from .dims import BIG_PREFIXES, PARSER_FUNCTIONS, TemplatePolicy
 from .sections import drop_sections, level2
 from .text import (
     PY_WS,
+    fold_nested,
     let,
-    nesting,
     nfkc,
     py_strip,
-    settle_innermost,
     settle_nested,
     where_contains,
 )
@@ -152,32 +151,14 @@ def unsupported_names(names: Column, policy: TemplatePolicy) -> Column:
 
 
 def invocations(c: Column) -> Column:
-    """Bodies of all matched templates, innermost first.
+    """Bodies of all matched templates, inner ones before what they are in.
 
     Bars and equal signs of inner templates are masked, so that a body can be
     split at its own bars.
     """
 
-    def gather(state: Column, _: Column) -> Column:
-        found = F.regexp_extract_all(state["text"], F.lit(f"{O}([^{O}{C}]*){C}"), 1)
-        settled = settle_innermost(
-            state["text"],
-            O,
-            C,
-            lambda body: F.concat(F.lit(I1), F.translate(body, "|=", BAR + EQ), F.lit(I2)),
-        )
-        return F.struct(settled.alias("text"), F.concat(state["found"], found).alias("found"))
-
-    empty = F.array().cast("array<string>")
-    return let(
-        _hide(c),
-        lambda t: F.aggregate(
-            F.array_repeat(F.lit(0), nesting(t, O, C)),
-            F.struct(t.alias("text"), empty.alias("found")),
-            gather,
-            lambda s: s["found"],
-        ),
-    )
+    masked = lambda body, _: F.concat(F.lit(I1), F.translate(body, "|=", BAR + EQ), F.lit(I2))
+    return let(_hide(c), lambda t: fold_nested(t, O, C, masked, found=lambda body: body))
 
 
 def params_of(body: Column) -> Column:

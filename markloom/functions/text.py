@@ -7,8 +7,8 @@ Two combinators carry the markup functions:
 
 * `rewrite_matches` applies a Column function to each match of a pattern, which
   a plain `regexp_replace` cannot do;
-* `repeat_nested` applies one innermost-first step as often as the text is
-  nested, so the number of rounds comes from the data.
+* `settle_nested` settles nested pairs in one pass with a stack, however deep
+  they are.
 
 Markers used on the way are Unicode noncharacters (U+FDD0..U+FDEF). They are
 never valid in interchanged text, and `guard` removes strays on entry.
@@ -30,10 +30,10 @@ from pyspark.sql import types as T
 PY_WS = r"[\t-\r\x1c-\x20\x85\xa0\p{Z}]"
 _WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
-# Deepest nesting that the wiki parser itself follows; deeper markup is plain text there.
-MAX_NESTING = 40
-
 MARK = "\ufdd0"
+CUT = "\ufdde"  # in front of openers and closers while pairs are matched
+# Pieces that are folded on their own before they join the text so far.
+FOLDED = 64
 
 
 def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
@@ -46,7 +46,8 @@ def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
 
     @wraps(build)
     def get(*args) -> Column:
-        key = (id(SparkContext._active_spark_context), *args)
+        context = SparkContext._active_spark_context
+        key = (context.applicationId if context else None, *args)
         if key not in kept:
             kept[key] = build(*args)
         return kept[key]
@@ -149,32 +150,6 @@ def rewrite_matches(c: Column, pattern: str, fn: Callable[[Column], Column]) ->
     return where_contains(F.regexp_replace(c, pattern, f"{MARK}$0{MARK}"), MARK, rewrite)
 
 
-def nesting(c: Column, opener: str, closer: str) -> Column:
-    """How deep a pair of one-character markers nests; unmatched ones add no rounds."""
-    state = F.struct(F.lit(0).alias("open"), F.lit(0).alias("deepest"))
-    # One step per closer: the openers in front of it, then the closer itself.
-    width = len(opener.encode())
-    opens = F.transform(
-        F.split(c, closer),
-        lambda p: (
-            (F.octet_length(p) - F.octet_length(F.replace(p, F.lit(opener), F.lit("")))) / width
-        ).cast("int"),
-    )
-
-    def step(s: Column, n: Column) -> Column:
-        top = s["open"] + n
-        return F.struct(
-            F.greatest(top - 1, F.lit(0)).alias("open"),
-            F.greatest(s["deepest"], top).alias("deepest"),
-        )
-
-    # What follows the last closer is never closed; no more levels than closers can match.
-    closed = F.slice(opens, F.lit(1), F.size(opens) - 1)
-    return F.aggregate(
-        closed, state, step, lambda s: F.least(s["deepest"], F.lit(MAX_NESTING))
-    )
-
-
 def settle_innermost(
     t: Column, opener: str, closer: str, fn: Callable[[Column], Column]
 ) -> Column:
@@ -207,17 +182,106 @@ def settle_innermost(
     return F.array_join(let(F.split(t, closer), pieces), "")
 
 
-def repeat_nested(c: Column, opener: str, closer: str, step: Callable[[Column], Column]) -> Column:
-    """Run `step`, which settles the innermost pairs, once per nesting level."""
-    return where_contains(
-        c,
-        closer,
-        lambda t: F.aggregate(
-            F.array_repeat(F.lit(0), nesting(t, opener, closer)), t, lambda acc, _: step(acc)
-        ),
-    )
+def fold_text(pieces: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """One text from pieces, read in order with a state: `step(state, piece)` gives a struct (out, state)."""
+
+    def one(s: Column, piece: Column) -> Column:
+        done = lambda r: F.struct(F.concat(s["done"], F.array(r["out"])).alias("done"), r["state"].alias("state"))
+        return let(step(s["state"], piece), done)
+
+    def some(all_: Column) -> Callable[[Column, Column], Column]:
+        def fold(s: Column, at: Column) -> Column:
+            part = F.slice(all_, at * FOLDED + 1, FOLDED)
+            inner = F.aggregate(part, F.struct(strings.alias("done"), s["state"].alias("state")), one)
+            join = lambda x: F.concat(s["done"], F.array(F.array_join(x["done"], "")))
+            return let(inner, lambda x: F.struct(join(x).alias("done"), x["state"].alias("state")))
+
+        return fold
+
+    def run(all_: Column) -> Column:
+        parts = F.sequence(F.lit(0), F.greatest((F.size(all_) - 1) / FOLDED, F.lit(0)).cast("int"))
+        zero = F.struct(strings.alias("done"), start.alias("state"))
+        return F.aggregate(parts, zero, some(all_), lambda s: F.array_join(s["done"], ""))
+
+    strings = F.array().cast("array<string>")
+    return let(pieces, run)
+
+
+def fold_nested(
+    c: Column,
+    openers: str,
+    closer: str,
+    fn: Callable[[Column, Column], Column],
+    found: Callable[[Column], Column] | None = None,
+) -> Column:
+    """Match one-character openers and closers and replace every pair by `fn(content, opener)`.
+
+    One pass over the pieces between markers. The state is a stack of what every open
+    pair holds so far, its opener in front; a closer takes the top, and the result goes to
+    the pair below or to the finished text. Finished pieces are gathered in short lists, so
+    no step copies the text in front of it. What is never closed stays as it is.
+
+    Returns the text, or with `found` the values of `found(content)` in order of closing.
+    """
+    strings = F.array().cast("array<string>")
+    cut = F.split(F.regexp_replace(c, f"[{openers}{closer}]", f"{CUT}$0"), CUT)
+
+    def state(done: Column, opened: Column, seen: Column) -> Column:
+        return F.struct(done.alias("done"), opened.alias("opened"), seen.alias("seen"))
+
+    def shorter(stack: Column, by: int) -> Column:
+        return F.slice(stack, F.lit(1), F.size(stack) - by)
+
+    def close(s: Column, after: Column) -> Column:
+        top = F.element_at(s["opened"], -1)
+        body = top.substr(F.lit(2), F.length(top))
+        made = F.concat(fn(body, F.substring(top, 1, 1)), after)
+        seen = F.concat(s["seen"], F.array(found(body))) if found else s["seen"]
+        below = lambda m: F.array(F.concat(F.element_at(s["opened"], -2), m))
+        return F.when(
+            F.size(s["opened"]) > 1,
+            state(s["done"], F.concat(shorter(s["opened"], 2), below(made)), seen),
+        ).otherwise(state(F.concat(s["done"], F.array(made)), strings, seen))
+
+    def step(s: Column, piece: Column) -> Column:
+        first = F.substring(piece, 1, 1)
+        return (
+            F.when(first.isin(*openers), state(s["done"], F.concat(s["opened"], F.array(piece)), s["seen"]))
+            .when((first == closer) & (F.size(s["opened"]) > 0), close(s, piece.substr(F.lit(2), F.length(piece))))
+            .otherwise(state(F.concat(s["done"], F.array(piece)), s["opened"], s["seen"]))
+        )
+
+    def some(pieces: Column) -> Callable[[Column, Column], Column]:
+        def fold(s: Column, at: Column) -> Column:
+            part = F.slice(pieces, at * FOLDED + 1, FOLDED)
+            inner = F.aggregate(part, state(strings, s["opened"], strings), step)
+            return let(
+                inner,
+                lambda x: state(
+                    F.concat(s["done"], F.array(F.array_join(x["done"], ""))),
+                    x["opened"],
+                    F.concat(s["seen"], x["seen"]),
+                ),
+            )
+
+        return fold
+
+    def run(pieces: Column) -> Column:
+        parts = F.sequence(F.lit(0), ((F.size(pieces) - 1) / FOLDED).cast("int"))
+        whole = lambda s: F.concat(F.array_join(s["done"], ""), F.array_join(s["opened"], ""))
+        return F.aggregate(
+            parts, state(strings, strings, strings), some(pieces), (lambda s: s["seen"]) if found else whole
+        )
+
+    return let(cut, run)
 
 
 def settle_nested(c: Column, opener: str, closer: str, fn: Callable[[Column], Column]) -> Column:
-    """Replace all matched pairs, from the innermost outwards, by `fn(content)`."""
-    return repeat_nested(c, opener, closer, lambda t: settle_innermost(t, opener, closer, fn))
+    """Replace all matched pairs, from the innermost outwards, by `fn(content)`.
+
+    Pairs without others inside go first, all at once; most pages have no others.
+    """
+    rest = lambda t: fold_nested(t, opener, closer, lambda body, _: fn(body))
+    return where_contains(
+        c, closer, lambda t: where_contains(settle_innermost(t, opener, closer, fn), closer, rest)
+    )

@@ -11,18 +11,22 @@ from ..operators.census import sum_counters
 from ..plans.convert import counter
 from .registry import query, sql_chain, table
 
-# The article of a web page: headings, paragraphs, bold text, line breaks; not all closed.
-_ARTICLE = "regexp_extract(html, '(?s)<article>(.*)</article>', 1)"
 _NAME = "[A-Za-z][A-Za-z0-9]*"
+# Tags of a web page that page markup does not know.
+_FRAME = ("html", "head", "meta", "title", "script", "body", "nav", "article", "footer")
+_FRAMES = rf"(?i)</?(?:{'|'.join(_FRAME)})(?:\s[^<>]*)?/?>"
 
 
-def articles(spark, sf_dir):
-    body = F.regexp_extract("html", "(?s)<article>(.*)</article>", 1)
-    return table(spark, sf_dir, "pages").select("page_id", body.alias("html"))
+def web_pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", "html")
 
 
-def _article_sql(*steps: tuple[str, str]) -> str:
-    return f"SELECT page_id, {sql_chain(_ARTICLE, *steps)} AS html FROM pages"
+def _html_sql(*steps: tuple[str, str]) -> str:
+    return f"SELECT page_id, {sql_chain('html', *steps)} AS html FROM pages"
+
+
+def _pair(name: str) -> tuple[str, str]:
+    return rf"(?is)<{name}(?:\s[^<>]*)?>.*?</{name}\s*>", ""
 
 
 @query("f2_drop_comments", f"SELECT page_id, {sql_chain('html', ('(?s)<!--.*?-->', ''))} AS html FROM pages")
@@ -32,19 +36,20 @@ def _(spark, sf_dir):
 
 @query(
     "f25_kept_tags",
-    f"SELECT page_id, len(regexp_extract_all(html, '<(br|li|ul|sub|pre|code)')) AS kept "
-    f"FROM ({_article_sql()})",
-)
+    _html_sql(
+        (_FRAMES, ""), _pair("style"), _pair("div"), (r"(?i)</?(?:p|b|a)(?:\s[^<>]*)?/?>", ""),
+        (r"(?i)<h1(?:\s[^<>]*)?/?>", "= "), (r"(?i)</h1\s*>", " ="),
+    ),
+)
 def _(spark, sf_dir):
-    policy = TagPolicy()
-    after = tg.apply_tag_policy(F.col("html"), policy)
-    kept = F.regexp_count(after, F.lit("<(?:br|li|ul|sub|pre|code)"))
-    return articles(spark, sf_dir).select("page_id", kept.cast("long").alias("kept"))
+    """All tag rules over the whole page: lists and line breaks are what stays."""
+    inner = tg.unwrap_tags(F.col("html"), _FRAME)
+    return web_pages(spark, sf_dir).select("page_id", tg.apply_tag_policy(inner, TagPolicy()).alias("html"))
 
 
-@query("f26_unwrap_tags", _article_sql((r"(?i)</?(?:p|b|a)(?:\s[^<>]*)?/?>", "")))
+@query("f26_unwrap_tags", _html_sql((r"(?i)</?(?:p|b|a)(?:\s[^<>]*)?/?>", "")))
 def _(spark, sf_dir):
-    return articles(spark, sf_dir).select("page_id", tg.unwrap_tags(F.col("html"), ["p", "b", "a"]).alias("html"))
+    return web_pages(spark, sf_dir).select("page_id", tg.unwrap_tags(F.col("html"), ["p", "b", "a"]).alias("html"))
 
 
 @query(
@@ -113,9 +118,9 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", done.alias("text"))
 
 
-@query("f30_headings_of_articles", _article_sql((r"(?i)<h1(?:\s[^<>]*)?/?>", "= "), (r"(?i)</h1\s*>", " =")))
+@query("f30_headings_of_articles", _html_sql((r"(?i)<h1(?:\s[^<>]*)?/?>", "= "), (r"(?i)</h1\s*>", " =")))
 def _(spark, sf_dir):
-    return articles(spark, sf_dir).select("page_id", tg.rewrite_tags(F.col("html"), TagPolicy()).alias("html"))
+    return web_pages(spark, sf_dir).select("page_id", tg.rewrite_tags(F.col("html"), TagPolicy()).alias("html"))
 
 
 _REWRITES = (
@@ -158,21 +163,15 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.explode(names).alias("name"))
 
 
-_NO_HEADING = f"regexp_replace({_ARTICLE}, '</?(?:b|h1)>', '', 'g')"
+_OPEN = r"</(?:html|body|article)>"
 
 
-@query(
-    "f32_delete_unknown_tags",
-    f"SELECT page_id, concat('<p><x>', {_NO_HEADING}) AS html FROM pages",
-)
+@query("f32_delete_unknown_tags", _html_sql((_OPEN, ""), *map(_pair, ("head", "nav", "footer"))))
 def _(spark, sf_dir):
     """A tag without a policy goes with its content, unless it is not closed."""
-    text = F.concat(
-        F.lit("<nav><ul><li>x</li></ul></nav><p><x>"), F.regexp_replace("html", "</?(?:b|h1)>", ""),
-        F.lit("<footer><footer>a</footer>b</footer>"),
-    )
     known = list(TagPolicy().actions())
-    return articles(spark, sf_dir).select("page_id", tg.delete_unknown(text, known).alias("html"))
+    text = F.regexp_replace("html", _OPEN, "")
+    return web_pages(spark, sf_dir).select("page_id", tg.delete_unknown(text, known).alias("html"))
 
 
 @query("agg4_unsupported_tag_totals", f"SELECT name, count(*) AS n FROM {_UNKNOWN} GROUP BY name")

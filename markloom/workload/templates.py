@@ -85,6 +85,20 @@ def _(spark, sf_dir):
     return wiki_docs(spark, sf_dir).select("pageid", kept.alias("wikitext"))
 
 
+@query(
+    "f14_template_policy_deep",
+    "SELECT p_partkey, concat(repeat('{{nowrap|', 20 + p_size), p_name, repeat('}}', 20 + p_size)) AS text FROM part",
+)
+def _(spark, sf_dir):
+    """Kept templates as deep as a part is large, with dropped ones innermost and on the way out."""
+    depth = F.col("p_size") + 20
+    text = F.concat(
+        F.repeat(F.lit("{{nowrap|"), depth), "p_name", F.lit("{{cite web|url={{x}}}}"), F.repeat(F.lit("}}{{y|a}}"), depth)
+    )
+    part = table(spark, sf_dir, "part").select("p_partkey", text.alias("text"))
+    return part.withColumn("text", tpl.apply_template_policy(F.col("text"), TemplatePolicy.default()))
+
+
 @query(
     "f14_template_policy_custom",
     on_src(
@@ -94,7 +108,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    """A policy read from a table: the names that the parts use as brands stay."""
+    """A policy read from a table: three names stay."""
     names = table(spark, sf_dir, "part").select(
         F.explode(F.array(F.lit("Infobox part"), F.lit("cite web"), F.lit("unknown tpl0"))).alias("name")
     )

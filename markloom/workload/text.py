@@ -9,8 +9,7 @@ from ..functions.text import nfkc, slug
 from .registry import query, sql_chain, sql_strip, table
 
 # Document texts with the noise that the clean-up rules look for.
-_HEAD = "<!-- one -->head \\\\[x\\\\] \\|} <!-- two\nlines -->\n \t \n1.   first\n-    second\n- \n-\n"
-_HEAD = "<!-- one -->head \\[x\\] \\|}  \n \t \n\n1.   first\n-    second\n   -    third\n- \n-   \n"
+_HEAD = "<!-- one --><!-- two\nlines -->head \\[x\\] \\|}  \n \t \n\n1.   first\n-    second\n   -    third\n- \n-   \n"
 _TAIL = '\nFormat price error: cannot parse value "12 a" and <sup>\\[update\\]</sup><sup>[update]</sup> \\$ \\#  \n\n\n'
 
 
@@ -25,6 +24,7 @@ def noisy(spark, sf_dir):
 
 _NOISY = f"(SELECT doc_id, concat({_sql_text(_HEAD)}, text, {_sql_text(_TAIL)}) AS text FROM documents)"
 
+# --- fixed values: what the clean-up removes or rewrites, in its order ---
 COMMENTS = (r"<!--.*?-->", "")
 RESIDUE = (r"\\\|\}", "")
 BLANKS = (r"\n\s*\n", "\n\n")
@@ -122,4 +122,10 @@ _block("f35_entities", f"concat(p_name, chr(160), '–', p_type, ' \\< & é €'
 _block("f35_paragraphs", f"concat(p_name, ' ', p_type, '{NL}{NL}', {_BRAND})", "{p_name}", "\n", "{p_type}", "\n\n", "{p_brand}")
 _block("f35_code", f"concat('`', p_name, '*` x{NL}{NL}```py{NL}a = \"', p_type, '\"{NL}{NL}b*c{NL}```{NL}{NL}y')", "<code>", "{p_name}", '*</code> x\n<syntaxhighlight lang="py">\na = "', "{p_type}", '"\n\nb*c\n</syntaxhighlight>\ny')
 _block("f35_html_lists", f"concat('- ', p_name, '{NL}- ', p_type)", "<ul><li>", "{p_name}", "</li><li>", "{p_type}", "</li></ul>")
+_block(
+    "f35_nested_html_lists",
+    f"concat('1.  ', p_name, '{NL}    - ', p_type, '{NL}    - b{NL}      1.  ', p_size, '{NL}2.  e{NL}{NL}- after')",
+    "<ol>\n<li>", "{p_name}", "<ul><li>", "{p_type}", "</li>\n<li>b<ol><li>", "{p_size}",
+    "</li></ol></li></ul></li>\n<li>e</li></ol>\n<ul><li>after</li></ul>",
+)
 _block("f35_emphasis", f"concat('**', p_name, '** *', p_type, '* ~~x~~')", "'''", "{p_name}", "''' ''", "{p_type}", "'' <del>x</del>")  # noqa: F541

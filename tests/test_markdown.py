@@ -1,3 +1,8 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
 from markloom.functions import markdown as M
 
 
@@ -36,11 +41,30 @@ def test_blocks(apply):
         "H<sub>2</sub>O": "H<sub>2</sub>O",
         "<pre>\na *b*\n\nc\n</pre>": "```\na *b*\n\nc\n```",
         "&#42; not a list": "\\* not a list",
+        "<ol><li>a<ol><li>b</li></ol></li><li>c</li></ol>": "1.  a\n    1.  b\n2.  c",
+        "x <ul>\n<li>a<ul>\n<li>b</li>\n<li>c</li></ul></li>\n<li>d</li>\n</ul> y": "x\n\n- a\n  - b\n  - c\n- d\n\ny",
+        "<ol><li>a</li><li>b<ul><li>c</li></ul></li><li>d</li></ol>": "1.  a\n2.  b\n    - c\n3.  d",
+        "<li>a</li><li>b": "- a\n- b",
+        "# a\n#* x\n#* y\n# b\n* z\n# c": "1.  a\n    - x\n    - y\n2.  b\n- z\n1.  c",
         "": "",
     }
     assert apply(M.blocks_to_markdown, *cases) == list(cases.values())
 
 
+@pytest.mark.parametrize("tag", ["<ol>", "<ol><li>", "<pre>", "<nowiki>", "<code>a</code><pre>", "#"])
+def test_time_grows_with_the_length(apply, tag):
+    """Tags that are never closed beside one that is."""
+
+    def seconds(size):
+        text = tag * (size // len(tag)) + "</pre><math>x</math>"
+        start = time.perf_counter()
+        apply(lambda c: F.length(M.blocks_to_markdown(c)).cast("string"), text)
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(160_000) <= 8 * max(seconds(40_000), 0.5)
+
+
 def test_long_numbered_list(apply):
     text = "\n".join(f"# i{i}" for i in range(1, 3001))
     got = apply(M.blocks_to_markdown, text).split("\n")
@@ -52,6 +76,7 @@ def test_corrupt(apply):
         "<sub>a</sub>": False, "<sub>a": True, "a</sub>": True, "<SUB>a</sub >": False, "<br>": False,
         "[[a": True, "[[a]]": False, "{{a": True, "<math>[[</math>": False, "<sub/>": False,
         "<li>a": False, "<sub><sup></sub></sup>": False,
+        "}}a{{": True, "]]a[[b": True, "]][[": True, "[[a]] {{b}}": False, "{{" * 60 + "}}" * 60: False,
     }
     assert apply(M.is_corrupt, *cases) == list(cases.values())
 

@@ -1,7 +1,9 @@
 """Whitespace, normalisation and the two rewriting combinators."""
 
+import time
 import unicodedata
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -43,16 +45,6 @@ def test_rewrite_matches(apply):
     assert apply(up, "abba", "bb", "", "xyz", "bab") == ["aBBa", "BB", "", "xyz", "BaB"]
 
 
-def test_nesting_counts_matched_depth(apply):
-    texts = ["", "<", "<a>", "<a<b>>", "><", "<<<<<", "<a><b<c>>", "<<a>", "<a>>"]
-    got = apply(lambda c: X.nesting(c, "<", ">"), *texts)
-    assert got == [0, 0, 1, 2, 0, 0, 2, 2, 1]
-
-
-def test_nesting_is_bounded_by_the_parser_limit(apply):
-    assert apply(lambda c: X.nesting(c, "<", ">"), "<" * 100 + ">" * 100) == X.MAX_NESTING
-
-
 def test_pairs_are_settled_from_the_innermost_outwards(apply):
     step = lambda x: F.concat(F.lit("{"), x, F.lit("}"))
     texts = ["", "a", "<a>", "x<a<b>c>y<d>z", "a>b<c>", "<a", "<<a>", "<>", "a><"]
@@ -60,5 +52,45 @@ def test_pairs_are_settled_from_the_innermost_outwards(apply):
     assert apply(lambda c: X.settle_nested(c, "<", ">", step), *texts) == want
 
 
+@pytest.mark.parametrize("depth", [41, 100, 1_000])
+def test_any_depth_is_settled(apply, depth):
+    step = lambda x: F.concat(F.lit("{"), x, F.lit("}"))
+    deep = "a<b" * depth + "z" + ">c" * depth
+    got = apply(lambda c: X.settle_nested(c, "<", ">", step), deep, deep + ">", "<" + deep, deep * 2)
+    want = deep.replace("<", "{").replace(">", "}")
+    assert got == [want, want + ">", "<" + want, want * 2]
+
+
+def test_many_pairs_beside_and_inside_one(apply):
+    step = lambda x: F.concat(F.lit("{"), x, F.lit("}"))
+    flat = "".join(f"<{i}<{i}>>t" for i in range(700))
+    want = flat.replace("<", "{").replace(">", "}")
+    assert apply(lambda c: X.settle_nested(c, "<", ">", step), flat, f"<{flat}>") == [want, "{" + want + "}"]
+
+
+def test_pairs_of_two_kinds(apply):
+    """Round brackets go with what is in them, angle ones leave it; both end with "/"."""
+    named = lambda body, kind: F.when(kind == "(", "").otherwise(body)
+    texts = ["a(b/c", "<a(b<c/d/e/f/", "((x/", "<x", "/", "a<b(c/d/e"]
+    want = ["ac", "aef/", "(", "<x", "/", "abde"]
+    assert apply(lambda c: X.fold_nested(c, "(<", "/", named), *texts) == want
+
+
+def test_time_grows_with_the_depth(apply):
+    step = lambda x: F.concat(F.lit("{"), x, F.lit("}"))
+
+    def seconds(depth):
+        text = ("<" * depth + "z" + ">" * depth) * 5
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            apply(lambda c: F.length(X.settle_nested(c, "<", ">", step)).cast("string"), text)
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    seconds(10)
+    assert seconds(1_000) <= 12 * seconds(100)
+
+
 def test_guard_removes_noncharacters(apply):
     assert apply(X.guard, "a\ufdd0b\ufdefc") == "abc"

@@ -7,32 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.templates import invocation_segments
 from ..functions.text import built_once, py_strip
-
-# A dictionary up to this size may travel inside the plan as one map.
-INLINE_ENTRIES = 2_000
-INLINE_BYTES = 4 << 20
-
-# One template may make up a third of all uses, so its uses are spread over this many keys.
-SALTS = 32
-
+from ..session import through_table
 
 def one_per_invocation(expansions: DataFrame) -> DataFrame:
     return expansions.groupBy("invocation").agg(F.max("expansion").alias("expansion"))
 
 
-def _inline_map(expansions: DataFrame) -> Column:
-    """The dictionary as a map literal, after checking that it is small."""
-    head = expansions.limit(INLINE_ENTRIES + 1)
-    size = head.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum(F.octet_length("invocation") + F.octet_length("expansion")), F.lit(0)).alias("b"),
-    ).first()
-    if size.n > INLINE_ENTRIES or size.b > INLINE_BYTES:
-        raise ValueError("dictionary too large to inline; use the join form")
-    cells = [F.lit(x) for row in head.collect() for x in (row["invocation"], row["expansion"])]
-    return F.create_map(*cells) if cells else F.create_map().cast("map<string,string>")
-
-
 def _splice(segments: Column, pick) -> Column:
     """Segments back to one text, with `pick(segment, n)` for the n-th template."""
     return F.array_join(
@@ -54,57 +34,35 @@ def expand_by_dictionary(
     expansions: DataFrame | None,
     text: str = "wikitext",
     out: str = "expanded",
-    key: str = "pageid",
-    inline: bool = False,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Replace every outermost template by its expansion; unmatched ones vanish.
 
-    Adds `out` (trimmed) and `unmatched`, the number of templates without an entry.
-    Rows are told apart by `key` and their text, so a page id may repeat.
+    Adds `out` (trimmed) and `unmatched`, the number of templates without an entry. Without a
+    dictionary that is a narrow stage.
 
-    The join form shuffles the template uses, salted, and each page's text once;
-    the text is cut again behind that join, so it does not travel twice. `inline`
-    needs a small dictionary (checked) and is a narrow stage, which a stream can
-    use too.
+    With one, of any size, the pages are written once, each with a number of its own: whatever made them is
+    not computed again, and page ids may repeat. Only the template uses meet the dictionary; Spark sends
+    it to them if it is small, and splits the uses of a hot template otherwise (AQE). One row per page goes
+    back to its text.
     """
     segs = _segments(text)
-    if expansions is None or inline:
-        table = None if expansions is None else _inline_map(one_per_invocation(expansions))
-
-        def entry(s: Column) -> Column:
-            return F.lit(None).cast("string") if table is None else F.try_element_at(table, s)
-
-        uses = F.filter(F.col("_segments"), lambda _, i: i % 2 == 1)
-        spliced = _splice(F.col("_segments"), lambda s, _: F.coalesce(entry(s), F.lit("")))
-        cut = pages.withColumn("_segments", segs)
-        return cut.withColumns(
-            {
-                out: py_strip(spliced),
-                "unmatched": F.size(F.filter(uses, lambda s: entry(s).isNull())).cast("long"),
-            }
-        ).drop("_segments")
-
-    pages = pages.withColumn("_text", F.xxhash64(text))
-    uses = pages.select(
-        key,
-        "_text",
-        F.posexplode(F.filter(segs, lambda _, i: i % 2 == 1)).alias("pos", "invocation"),
-    ).withColumn("salt", F.pmod(F.xxhash64(key, "pos"), F.lit(salts)).cast("int"))
-    entries = one_per_invocation(expansions).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    # The expansions of one page, in the order of its templates; equal rows find the same ones.
-    placed = F.struct("pos", "expansion")
+    if expansions is None:
+        uses = ((F.size("_segments") - 1) / 2).cast("long")
+        spliced = _splice(F.col("_segments"), lambda s, _: F.lit(""))
+        return pages.withColumn("_segments", segs).withColumns({out: py_strip(spliced), "unmatched": uses}).drop("_segments")
+
+    pages = through_table(pages.withColumn("_row", F.monotonically_increasing_id()), "expanding")
+    uses = pages.select("_row", F.posexplode(F.filter(segs, lambda _, i: i % 2 == 1)).alias("pos", "invocation"))
+    # The expansions of one page, in the order of its templates.
     found = (
-        uses.join(entries, ["invocation", "salt"], "left")
-        .groupBy(key, "_text")
-        .agg(F.array_sort(F.collect_set(placed)).alias("_found"))
+        uses.join(one_per_invocation(expansions), "invocation", "left")
+        .groupBy("_row")
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "expansion"))).alias("_found"))
         .withColumn("_found", F.transform("_found", lambda e: e["expansion"]))
         .withColumn("unmatched", F.size(F.filter("_found", lambda e: e.isNull())).cast("long"))
     )
     spliced = _splice(segs, lambda _, n: F.coalesce(F.get(F.col("_found"), n), F.lit("")))
-    joined = pages.join(found, [key, "_text"], "left")
+    joined = pages.join(found, "_row", "left")
     return joined.withColumns(
-        {out: py_strip(spliced), "unmatched": F.coalesce("unmatched", F.lit(0))}
-    ).drop("_found", "_text")
+        {out: py_strip(spliced), "unmatched": F.coalesce("unmatched", F.lit(0).cast("long"))}
+    ).drop("_found", "_row")

@@ -208,22 +208,15 @@ def convert_pages(
     expansions: DataFrame | None = None,
     with_styling: bool = False,
     policy: TemplatePolicy | None = None,
-    inline: bool = False,
-    staged: bool = False,
 ) -> DataFrame:
     """All pages with every derived column and a status: ok, corrupt or failed.
 
     `expansions(invocation, expansion)` replaces the remote expansion service;
-    without it kept templates expand to nothing. Joining with it reads the
-    preprocessed pages twice; `staged` keeps them in a written table in between,
-    which costs far less than preprocessing them again.
+    without it kept templates expand to nothing. Preprocessed pages are written once
+    in front of the join with it.
     """
     pre = preprocess(raw, policy)
-    if staged and expansions is not None and not inline:
-        pre = through_table(pre, "preprocessed")
-    expanded = expand_by_dictionary(
-        pre, expansions, text="pre_wikitext", out="expanded", inline=inline
-    )
+    expanded = expand_by_dictionary(pre, expansions, text="pre_wikitext", out="expanded")
     done = to_markdown(postprocess(expanded, with_styling=with_styling))
     status = (
         F.when(F.col("pre_error").isNotNull(), "failed")

@@ -46,10 +46,10 @@ def generate(
     counts their final state.
     """
     raw = read_raw(spark, data)
-    done = stage(convert_pages(raw, expansions, with_styling, policy, staged=True))
+    done = stage(convert_pages(raw, expansions, with_styling, policy))
     if retry:
         failed = retry_input(raw, done)
-        again = convert_pages(failed, expansions, with_styling, policy, staged=True)
+        again = convert_pages(failed, expansions, with_styling, policy)
         settled = done.where(F.col("status") != "failed")
         done = settled.unionByName(stage(again))
 

@@ -61,15 +61,18 @@ def read_goldens(
     directory: str,
     texts: str = "*/markdown.md",
     props: str = "*/props.json",
+    more: dict[str, str] | None = None,
 ) -> DataFrame:
     """Expected pages: one folder each, with a Markdown text and its properties.
 
     `texts` and `props` say where both lie below `directory`; the name of the
-    folder they are in is the page.
+    folder they are in is the page. `more` names further text columns and where they lie, such as the
+    markup as fetched (`*/raw.txt`) or as expanded (`*/wikitext.txt`). A page with some of its files has
+    nulls for the others.
     """
     page = F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+\z", 1)
-    described = spark.read.schema(PROPS_SCHEMA).json(f"{directory}/{props}", multiLine=True)
-    written = spark.read.text(f"{directory}/{texts}", wholetext=True)
-    return described.withColumn("page", page).join(
-        written.select(page.alias("page"), F.col("value").alias("markdown")), "page"
-    )
+    rows = spark.read.schema(PROPS_SCHEMA).json(f"{directory}/{props}", multiLine=True).withColumn("page", page)
+    for name, where in {"markdown": texts, **(more or {})}.items():
+        written = spark.read.text(f"{directory}/{where}", wholetext=True)
+        rows = rows.join(written.select(page.alias("page"), F.col("value").alias(name)), "page", "full")
+    return rows

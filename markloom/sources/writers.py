@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import slug
@@ -17,8 +17,10 @@ def run_path(path: str, run_ts: int | None) -> str:
     return path if run_ts is None else f"{path.rstrip('/')}/{run_ts}"
 
 
-def _write_table(df: DataFrame, schema, path: str, run_ts: int | None, mode: str) -> str:
+def _write_table(df: DataFrame, schema, path: str, run_ts: int | None, mode: str | None) -> str:
     target = run_path(path, run_ts)
+    # A run that is repeated replaces what it wrote before; without a stamp there is no telling runs apart.
+    mode = mode or ("append" if run_ts is None else "overwrite")
     (
         df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         .write.mode(mode)
@@ -29,14 +31,42 @@ def _write_table(df: DataFrame, schema, path: str, run_ts: int | None, mode: str
     return target
 
 
-def write_raw(df: DataFrame, path: str, run_ts: int | None = None, mode: str = "append") -> str:
+def write_raw(df: DataFrame, path: str, run_ts: int | None = None, mode: str | None = None) -> str:
     return _write_table(df, RAW_SCHEMA, path, run_ts, mode)
 
 
-def write_pages(df: DataFrame, path: str, run_ts: int | None = None, mode: str = "append") -> str:
+def write_pages(df: DataFrame, path: str, run_ts: int | None = None, mode: str | None = None) -> str:
     return _write_table(df, OUT_SCHEMA, path, run_ts, mode)
 
 
+MANIFEST = "_finished"
+
+
+def finish_run(spark: SparkSession, path: str, run_ts: int) -> None:
+    """Note that a run below `path` is complete. Readers of the table don't see the note."""
+    spark.range(1).select(F.lit(run_ts).alias("run_ts")).write.mode("overwrite").parquet(f"{run_path(path, None)}/{MANIFEST}/{run_ts}")
+
+
+def finished_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(run_ts) of the complete runs below `path`."""
+    return spark.read.schema("run_ts long").parquet(f"{path.rstrip('/')}/{MANIFEST}/*")
+
+
+def read_finished(spark: SparkSession, path: str, schema=RAW_SCHEMA) -> DataFrame:
+    """The rows of all complete runs below `path`, with their `run_ts`; what a broken run left is not read."""
+    stamp = F.regexp_extract(F.input_file_name(), r"/([0-9]+)/[^/]+\z", 1).cast("long")
+    rows = spark.read.schema(schema).parquet(f"{path.rstrip('/')}/[0-9]*").withColumn("run_ts", stamp)
+    return rows.join(F.broadcast(finished_runs(spark, path)), "run_ts", "left_semi")
+
+
+def write_for_lookup(df: DataFrame, path: str, by: str = "title", also: str = "pageid") -> None:
+    """Pages in order of `by`, with filters of both columns in the files: a lookup reads one row group, not the table."""
+    options = {"parquet.enable.dictionary": "true"}
+    for column in (by, also):
+        options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+    df.repartitionByRange(by).sortWithinPartitions(by).write.mode("overwrite").options(**options).parquet(path)
+
+
 def write_census_csv(census: DataFrame, path: str, name: str) -> None:
     """`name,count` with a header, most frequent first."""
     (

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.links import with_categories
+from ..functions.tags import tag_names
 from ..functions.templates import census_names, streamline
 from ..functions.text import approx_tokens
 from ..operators import census, ranking, stats
 from ..plans.convert import counter
 from ..plans.fixtures import wiki_docs, wiki_src
+from ..session import work_dir
 from .listings import DOC_PAGES, doc_pages
 from .registry import on_docs, on_src, query, table
 
@@ -96,7 +98,7 @@ def _by_article(spark, sf_dir):
 
 @query("agg6_row_count", "SELECT count(*) AS n_rows FROM documents")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "documents").agg(F.count("*").alias("n_rows"))
+    return stats.row_count(spark, f"{sf_dir}/documents.parquet")
 
 
 @query(
@@ -104,7 +106,7 @@ def _(spark, sf_dir):
     "SELECT count(*) AS n_rows, CAST(ceil(count(*) / 50.0) AS BIGINT) AS n_chunks FROM documents",
 )
 def _(spark, sf_dir):
-    return stats.run_size(table(spark, sf_dir, "documents"), 50)
+    return stats.chunk_count(stats.row_count(spark, f"{sf_dir}/documents.parquet"), 50)
 
 
 @query(
@@ -116,7 +118,26 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    return census.census_summary(_by_article(spark, sf_dir))
+    return census.census_totals(wiki_src(spark, sf_dir), census_names(streamline(F.col("wikitext"))))
+
+
+@query(
+    "agg9_agg10_agg11_sketches",
+    on_src(
+        "SELECT count(DISTINCT pageid) AS articles, count(DISTINCT name) AS names, "
+        "count(*) AS uses FROM names",
+        _LEAN,
+    ),
+)
+def _(spark, sf_dir):
+    """Sketches of three runs, kept beside their censuses and united; two runs have pages in common."""
+    base, pages = work_dir(spark, "sketches"), wiki_src(spark, sf_dir)
+    names = census_names(streamline(F.col("wikitext")))
+    for run, part in enumerate(("pageid % 2 = 0", "pageid % 2 = 1", "pageid % 3 = 0")):
+        sketch = census.census_sketch(pages.where(part), names)
+        # Uses add up, so the third run brings none.
+        sketch.withColumn("uses", F.col("uses") * int(run < 2)).write.parquet(f"{base}/run={run}")
+    return census.unite_sketches(spark.read.parquet(base))
 
 
 @query(
@@ -124,7 +145,7 @@ def _(spark, sf_dir):
     on_src("SELECT count(DISTINCT pageid) AS articles FROM names", _LEAN),
 )
 def _(spark, sf_dir):
-    return census.census_summary(_by_article(spark, sf_dir)).select("articles")
+    return census.census_totals(wiki_src(spark, sf_dir), census_names(streamline(F.col("wikitext")))).select("articles")
 
 
 @query("agg10_distinct_names", _TAGS + "SELECT count(DISTINCT name) AS names FROM tags")
@@ -160,7 +181,7 @@ def _(spark, sf_dir):
 
 @query("agg14_total_chars", "SELECT CAST(sum(length(text)) AS BIGINT) AS chars FROM documents")
 def _(spark, sf_dir):
-    return stats.total(table(spark, sf_dir, "documents"), "text", "chars")
+    return stats.total(spark.read.parquet(f"{sf_dir}/documents.parquet"), "text", "chars")
 
 
 _WORDS = (
@@ -176,7 +197,7 @@ def _(spark, sf_dir):
 
 @query("agg16_total_words", f"SELECT count(*) AS words FROM {_WORDS}")
 def _(spark, sf_dir):
-    return stats.total(table(spark, sf_dir, "documents"), "text", "words")
+    return stats.total(spark.read.parquet(f"{sf_dir}/documents.parquet"), "text", "words")
 
 
 _TOKENS = r"len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]'))"
@@ -298,10 +319,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     html = table(spark, sf_dir, "pages")
-    found = census.tag_census(
-        html, "html", by_article=True, keys=("page_id",), streamlined=False, markup=False
-    )
-    return ranking.top_k_per(found, "page_id", "n", "name", 5)
+    return census.top_names_by_page(html, tag_names(F.col("html")), ["page_id"], 5)
 
 
 @query(

@@ -9,9 +9,8 @@ from ..operators.quality import to_output, with_status
 from ..plans import convert
 from ..plans.fixtures import wiki_docs, wiki_src
 from ..session import work_dir
-from ..sources.readers import read_pages
 from ..sources.writers import write_raw
-from ..streaming.convert import convert_stream
+from ..streaming.convert import convert_stream, read_converted
 from .registry import on_docs, on_src, query, sql_chain, sql_strip, table
 from .templates import DROPPED_DOCS, DROPPED_SRC, dictionary
 
@@ -310,5 +309,18 @@ def _(spark, sf_dir):
         spark, source, target, work_dir(spark, "stream-state"), dictionary(spark, sf_dir)
     )
     run.awaitTermination()
-    return read_pages(spark, target).withColumn("categories", F.array_join("categories", "|"))
+    return read_converted(spark, target).withColumn("categories", F.array_join("categories", "|"))
+
+
+@query("str1_convert_with_large_dictionary", on_src(_SRC_PAGE))
+def _(spark, sf_dir):
+    """As many dictionary entries as a real one has: those in use, and a hundred for every line item's order."""
+    source = write_raw(wiki_src(spark, sf_dir), work_dir(spark, "stream-in"))
+    target = work_dir(spark, "stream-out")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.sequence(F.lit(1), F.lit(100))).alias("k"))
+    name = F.concat(F.lit("{{order|"), "o_orderkey", F.lit("|"), "k", F.lit("}}"))
+    more = orders.select(name.alias("invocation"), F.lit("never").alias("expansion"))
+    entries = dictionary(spark, sf_dir).unionByName(more)
+    convert_stream(spark, source, target, work_dir(spark, "stream-state"), entries).awaitTermination()
+    return read_converted(spark, target).withColumn("categories", F.array_join("categories", "|"))
 

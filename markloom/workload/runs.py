@@ -17,12 +17,15 @@ from ..session import work_dir
 from ..sources.readers import read_pages, read_raw
 from ..sources.writers import (
     export_article,
+    finish_run,
+    read_finished,
     write_census_csv,
+    write_for_lookup,
     write_lines,
     write_pages,
     write_raw,
 )
-from ..streaming.convert import convert_stream, read_outcomes
+from ..streaming.convert import convert_stream, read_outcomes, retry_failed, write_batch
 from .corpus import _LEAN
 from .listings import DOC_PAGES, doc_pages
 from .registry import on_src, query, table
@@ -84,6 +87,48 @@ def _(spark, sf_dir):
     return read_outcomes(spark, target).select("pageid", "title", "status", "error")
 
 
+@query(
+    "str1_retry_and_repeat",
+    on_src(f"SELECT pageid, title, {_STATUS} AS status, {_ERROR} AS error FROM wiki_src"),
+)
+def _(spark, sf_dir):
+    """Failed pages come by again, and the last batch is written twice, as after a crash: each page counts once."""
+    raw = damaged(spark, sf_dir)
+    source = write_raw(raw, work_dir(spark, "stream-in"))
+    target, state = work_dir(spark, "stream-out"), work_dir(spark, "stream-state")
+    convert_stream(spark, source, target, state, outcomes=True).awaitTermination()
+    retry_failed(spark, source, target)
+    convert_stream(spark, source, target, state, outcomes=True).awaitTermination()
+    write_batch(convert_pages(retry_input(raw, read_outcomes(spark, target))), target, 1, True)
+    return read_outcomes(spark, target).select("pageid", "title", "status", "error")
+
+
+@query(
+    "snk10_rerun_replaces",
+    on_src("SELECT pageid, title, revid, CAST(1700000000 AS BIGINT) AS run_ts FROM wiki_src"),
+)
+def _(spark, sf_dir):
+    """A run that is repeated leaves one copy of its pages, and one that never ended leaves none."""
+    base, pages = work_dir(spark, "runs"), wiki_src(spark, sf_dir)
+    for _ in range(2):
+        write_raw(pages, base, 1_700_000_000)
+        finish_run(spark, base, 1_700_000_000)
+    write_raw(pages, base, 1_700_000_001)
+    return read_finished(spark, base).select("pageid", "title", "revid", "run_ts")
+
+
+@query(
+    "prj1_lookup_written",
+    on_src("SELECT * FROM wiki_src WHERE title = (SELECT max(p_name) FROM part) ORDER BY pageid DESC LIMIT 1"),
+)
+def _(spark, sf_dir):
+    """A point lookup in a table that is written in the order of titles, with filters in its files."""
+    path = work_dir(spark, "lookup")
+    write_for_lookup(wiki_src(spark, sf_dir), path)
+    largest = table(spark, sf_dir, "part").agg(F.max("p_name")).first()[0]
+    return lookup_title(read_raw(spark, path), largest)
+
+
 @query(
     "prj4_retry_input",
     on_src(

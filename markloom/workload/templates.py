@@ -235,6 +235,6 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    out = expand_by_dictionary(wiki_src(spark, sf_dir), dictionary(spark, sf_dir), inline=True)
+    out = expand_by_dictionary(wiki_src(spark, sf_dir), dictionary(spark, sf_dir).repartition(3))
     return out.select("pageid", "expanded", "unmatched")
 

@@ -104,12 +104,9 @@ def uses(spark):
     return pages, spark.createDataFrame(table, "invocation string, expansion string")
 
 
-def test_expansion_join_and_inline_agree(uses):
+def test_expansion_join(uses):
     pages, table = uses
-    joined = expand.expand_by_dictionary(pages, table)
-    inline = expand.expand_by_dictionary(pages, table, inline=True)
-    rows = {r.pageid: (r.expanded, r.unmatched) for r in joined.collect()}
-    assert rows == {r.pageid: (r.expanded, r.unmatched) for r in inline.collect()}
+    rows = {r.pageid: (r.expanded, r.unmatched) for r in expand.expand_by_dictionary(pages, table).collect()}
     assert rows[0] == ("H x  H[n]", 1)
     assert rows[1] == ("H x one H[n]", 0)
     assert rows[60] == ("", 0) and rows[61] == ("none", 0) and rows[62] == ("H", 0)
@@ -122,16 +119,6 @@ def test_expansion_without_dictionary(uses):
     assert (first.expanded, first.unmatched) == ("x", 4)
 
 
-def test_inline_dictionary_is_size_checked(spark, uses):
-    pages, _ = uses
-    big = spark.range(expand.INLINE_ENTRIES + 1).select(
-        F.concat(F.lit("{{"), "id", F.lit("}}")).alias("invocation"), F.lit("x").alias("expansion")
-    )
-    with pytest.raises(ValueError, match="too large"):
-        expand.expand_by_dictionary(pages, big, inline=True)
-    assert expand.expand_by_dictionary(pages, big).count() == pages.count()
-
-
 RAW = "pageid long, title string, lang string, revid long, articletype string, wikitext string"
 
 
@@ -174,3 +161,11 @@ def test_outcomes_are_data(spark):
 def test_markdown_residue_of_deep_nesting_is_flagged(spark):
     deep = "{{nowrap|" * 60 + "x" + "}}" * 59
     assert convert_pages(raw_pages(spark, deep)).first().status == "corrupt"
+
+
+@pytest.mark.parametrize("depth", [41, 100, 1_000])
+def test_markup_of_any_depth(spark, depth):
+    links = "[[File:a|" * depth + "x" + "]]" * depth + "[[b|" * depth + "y" + "]]" * depth
+    texts = "a {{nowrap|" + "{{nowrap|" * (depth - 1) + "z" + "}}" * depth + " " + links, "{{cite|" * depth + "z" + "}}" * depth
+    made = convert_pages(raw_pages(spark, *texts)).orderBy("pageid").collect()
+    assert [(r.status, r.markdown) for r in made] == [("ok", "a y"), ("ok", "")]

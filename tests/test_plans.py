@@ -1,9 +1,11 @@
 """Shapes of the plans: what must stay narrow, and what may shuffle."""
 
+from pyspark.sql import functions as F
+
 from markloom.operators.expand import expand_by_dictionary
 from markloom.operators.quality import to_output, with_status
 from markloom.plans.convert import convert_pages, preprocess
-from markloom.operators import census, catalog
+from markloom.operators import catalog, census, stats
 from markloom.workload.templates import dictionary
 
 from .conftest import SF_DIR
@@ -36,12 +38,24 @@ def test_expansion_join_moves_page_text_once(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
-def test_raw_text_does_not_travel_through_the_expansion_join(spark):
+def test_pages_are_read_once_and_raw_text_does_not_travel(spark):
     done = convert_pages(raw(spark), dictionary(spark, SF_DIR))
     text = plan(to_output(with_status(done, "ok")))
-    (scan, *_) = [p for p in text.split("Exchange hashpartitioning(pageid") if p]
-    head = [line for line in scan.splitlines() if "Project [pageid" in line][-1]
-    assert "pre_wikitext" in head and " wikitext#" not in head
+    # Behind the written pages: nothing of the source, and no raw text.
+    assert "documents.parquet" not in text
+    assert not any("Exchange" not in line and " wikitext#" in line for line in text.splitlines())
+
+
+def test_counts_come_from_the_footers(spark):
+    text = plan(stats.row_count(spark, f"{SF_DIR}/documents.parquet"))
+    assert "PushedAggregation: [COUNT(*)]" in text and "hashpartitioning" not in text
+
+
+def test_censuses_inside_a_page_do_not_shuffle(spark):
+    by_page = census.template_census(raw(spark), by_article=True)
+    top = census.top_names_by_page(raw(spark), F.split("wikitext", " "), ["pageid"], 3)
+    assert "Exchange" not in plan(by_page) and "Exchange" not in plan(top)
+    assert "Expand" not in plan(census.census_totals(raw(spark), F.split("wikitext", " ")))
 
 
 def test_census_combines_before_the_shuffle(spark):

@@ -1,8 +1,11 @@
 import json
 
-from markloom.sources.readers import flatten_query_response, read_goldens, read_pages, read_raw
-from markloom.sources.writers import export_article, write_raw
-from markloom.streaming.convert import convert_stream
+import pyarrow.parquet as pq
+
+from markloom.operators.catalog import lookup_title
+from markloom.sources.readers import flatten_query_response, read_goldens, read_raw
+from markloom.sources.writers import export_article, write_for_lookup, write_raw
+from markloom.streaming.convert import convert_stream, read_converted, read_outcomes, retry_failed
 
 RAW = "pageid long, title string, lang string, revid long, articletype string, wikitext string"
 
@@ -54,5 +57,46 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     for ids in (range(3), range(3, 5)):
         write_raw(rows(spark, ids), source)
         convert_stream(spark, source, target, state, table).awaitTermination()
-    got = {r.pageid: r.markdown for r in read_pages(spark, target).collect()}
-    assert got == {i: f"page 1 a {i}" for i in range(5)}
+    assert pages_of(spark, target) == {i: f"page 1 a {i}" for i in range(5)}
+
+
+def pages_of(spark, target):
+    made = read_converted(spark, target).collect()
+    assert len({r.pageid for r in made}) == len(made)
+    return {r.pageid: r.markdown for r in made}
+
+
+def test_a_repeated_batch_leaves_each_page_once(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    write_raw(rows(spark, range(3)), source)
+    convert_stream(spark, source, target, state).awaitTermination()
+    # The stream stopped before it noted that the batch was done.
+    for name in ("0", ".0.crc"):
+        (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    convert_stream(spark, source, target, state).awaitTermination()
+    assert set(pages_of(spark, target)) == {0, 1, 2}
+
+
+def test_failed_pages_are_retried_and_corrupt_ones_not(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "pageid long, title string, lang string, revid long, articletype string, wikitext string"
+    pages = [(i, f"T{i}", "en", i, "g", t) for i, t in enumerate(["fine", "<sub>open", "{{}} x", None])]
+    write_raw(spark.createDataFrame(pages, schema), source)
+    convert_stream(spark, source, target, state, outcomes=True).awaitTermination()
+    assert retry_failed(spark, source, target) == 2
+    convert_stream(spark, source, target, state, outcomes=True).awaitTermination()
+    found = read_outcomes(spark, target).select("pageid", "status").collect()
+    assert sorted(map(tuple, found)) == [(0, "ok"), (1, "corrupt"), (2, "failed"), (3, "failed")]
+
+
+def test_a_lookup_reads_one_row_group(spark, tmp_path):
+    path = str(tmp_path / "lookup")
+    write_for_lookup(rows(spark, range(2000)), path)
+    files = sorted((tmp_path / "lookup").glob("*.parquet"))
+    ends = []
+    for f in files:
+        for g in range(pq.ParquetFile(f).metadata.num_row_groups):
+            titles = pq.ParquetFile(f).read_row_group(g, ["title"]).column(0).to_pylist()
+            ends.append((min(titles), max(titles)))
+    assert sum(lo <= "T77" <= hi for lo, hi in ends) == 1
+    assert lookup_title(read_raw(spark, path), "T77").first().pageid == 77

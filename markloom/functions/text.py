@@ -233,15 +233,18 @@ def fold_nested(
         return F.slice(stack, F.lit(1), F.size(stack) - by)
 
     def close(s: Column, after: Column) -> Column:
-        top = F.element_at(s["opened"], -1)
+        top = F.element_at(s["opened"], -1)  # cheap, so it may stand in several places
         body = top.substr(F.lit(2), F.length(top))
-        made = F.concat(fn(body, F.substring(top, 1, 1)), after)
         seen = F.concat(s["seen"], F.array(found(body))) if found else s["seen"]
         below = lambda m: F.array(F.concat(F.element_at(s["opened"], -2), m))
-        return F.when(
-            F.size(s["opened"]) > 1,
-            state(s["done"], F.concat(shorter(s["opened"], 2), below(made)), seen),
-        ).otherwise(state(F.concat(s["done"], F.array(made)), strings, seen))
+
+        def put(made: Column) -> Column:
+            return F.when(
+                F.size(s["opened"]) > 1,
+                state(s["done"], F.concat(shorter(s["opened"], 2), below(made)), seen),
+            ).otherwise(state(F.concat(s["done"], F.array(made)), strings, seen))
+
+        return let(F.concat(fn(body, F.substring(top, 1, 1)), after), put)
 
     def step(s: Column, piece: Column) -> Column:
         first = F.substring(piece, 1, 1)

@@ -17,7 +17,7 @@
 of common values among ``K`` random ones of the union that a pair of the least similarity misses with a chance below
 1e-12. The estimate filter uses the same bound; where both sketches hold whole sets it is the similarity itself.
 
-Values that a sample of the sketches shows in very many sets count as equally frequent without being dealt out, so no task
+Values that a sample of the sketches shows in very many sets count as equally frequent and are dealt out by set, so no task
 gets the list of a passage that a third of all documents share; which values these are changes only the work.
 
 Defined results: null and empty texts have no shingles and link with nothing; fewer than four words are one shingle;
@@ -47,7 +47,7 @@ SHINGLE = 4
 #: Percent of the union that the intersection must reach.
 ALIKE = 80
 #: Retained values of a set.
-K = 256
+K = 192
 #: The most common values among K of the union that a pair of similarity ALIKE has with a chance of all but 1e-12.
 MISSED = 1e-12
 #: One sketch of so many is looked at for very frequent values, and those in this share of them are such.
@@ -57,7 +57,7 @@ VERY = (1 << 31) - 1
 #: Bits of the filter that says which full sets are asked for.
 FILTER_BITS = 1 << 22
 #: Bits of the parity signature, in numbers of 64.
-WORDS = 4
+WORDS = 16
 _COEFF = mix(np.arange(11, SHINGLE + 12, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
 
 
@@ -151,9 +151,12 @@ def _entries(sets: DataFrame) -> DataFrame:
     size = sample.agg((F.count("*") * FREQUENT).alias("size"))
     # At most K / FREQUENT values: every set of the sample counts K values at most.
     often = through_table(often.join(F.broadcast(size), F.col("count") > F.greatest("size", F.lit(16))).select("value"), "frequent")
-    all_ = sets.select("sid", "n", F.explode("sketch").alias("value"))
-    dealt = all_.join(F.broadcast(often), "value", "left_anti").select("sid", "n", "value", F.count("*").over(Window.partitionBy("value")).alias("length"))
-    shared = dealt.where("length > 1").unionByName(all_.join(F.broadcast(often), "value", "left_semi").withColumn("length", F.lit(VERY).cast("long")))
+    often = F.broadcast(often.withColumn("very", F.lit(True)))
+    all_ = sets.select("sid", "n", F.explode("sketch").alias("value")).join(often, "value", "left")
+    # Very frequent values are dealt out by set: their length is not asked for.
+    count = F.count("*").over(Window.partitionBy("value", F.when(F.col("very"), F.col("sid"))))
+    length = F.when(F.col("very"), F.lit(VERY).cast("long")).otherwise(count)
+    shared = all_.select("sid", "n", "value", length.alias("length")).where("length > 1")
     # Rarest values first. Those that no other set has would come before them.
     held = F.array_sort(F.collect_list(F.struct("length", "value")))  # K at most
     score = F.sum("length") / F.least(F.first("n"), F.lit(K))

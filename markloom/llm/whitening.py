@@ -37,6 +37,8 @@ LARGEST = float(1 << 52)
 #: Components below this share of the largest eigenvalue have no variance that double precision could tell from none.
 FLAT = 1e-12
 ROUNDS = 30
+#: Eigenvalues closer together than this many times the present error are solved apart: corrections stay small.
+CLOSE = 1e3
 
 
 def usable(vector: Column) -> Column:
@@ -103,7 +105,7 @@ def refined(a: np.ndarray, x: np.ndarray | None = None) -> tuple[np.ndarray, np.
         value, x = value[order], x[:, order]
         r, s = r[np.ix_(order, order)], s[np.ix_(order, order)]
         gaps = value[:-1] - value[1:]
-        edges = np.concatenate(([0], np.flatnonzero(gaps > error) + 1, [len(a)]))
+        edges = np.concatenate(([0], np.flatnonzero(gaps > CLOSE * error) + 1, [len(a)]))
         turned = False
         for lo, hi in zip(edges[:-1], edges[1:]):
             inner = s[lo:hi, lo:hi] - np.diag(np.diag(s[lo:hi, lo:hi]))
@@ -113,7 +115,7 @@ def refined(a: np.ndarray, x: np.ndarray | None = None) -> tuple[np.ndarray, np.
         if turned:
             value, r, s, error = _state(a, x, one, reach)
         gap = value[None, :] - value[:, None]
-        apart = np.abs(gap) > error
+        apart = np.abs(gap) > CLOSE * error
         step = np.where(apart, (s + value[None, :] * r) / np.where(apart, gap, 1), r / 2)
         x = x + x @ step
         if np.abs(step).max() <= tiny and not turned:
@@ -128,9 +130,12 @@ def refined(a: np.ndarray, x: np.ndarray | None = None) -> tuple[np.ndarray, np.
 def _state(a: np.ndarray, x: np.ndarray, one: np.ndarray, reach: float) -> tuple[np.ndarray, ...]:
     """Eigenvalues, departures from orthogonality, the projected matrix, and a bound of the error of eigenvalues."""
     r, s = one - x.T @ x, x.T @ (a @ x)
+    # Exactly symmetric: rounding on one side only, over a small gap, would cost orthogonality.
+    r, s = (r + r.T) / 2, (s + s.T) / 2
     value = np.diag(s) / (1 - np.diag(r))
     error = 2 * (np.linalg.norm((s - np.diag(value)).astype(float)) + reach * np.linalg.norm(r.astype(float)))
-    return value, r, s, error
+    # Below the precision of the matrix itself no gap means anything.
+    return value, r, s, max(error, float(np.finfo(float).eps) * reach)
 
 
 def _turned(a: np.ndarray, x: np.ndarray, one: np.ndarray) -> np.ndarray:

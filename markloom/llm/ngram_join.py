@@ -376,7 +376,7 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c = joined([held, c])
         token, sid, comp, center = c["token"], c["sid"], c["comp"], c["center"]
         n, pos, cn, o = (c[k].astype(np.int64) for k in ("n", "pos", "cn", "o"))
-        f = np.array([c[f"f{k}"] for k in range(4)]).view(np.uint64)
+        f = np.array([c[f"f{k}"] for k in range(SIGNATURE // 64)]).view(np.uint64)
 
         def compare(x: np.ndarray, y: np.ndarray) -> None:
             differ = np.bitwise_count(f[:, x] ^ f[:, y]).sum(0, dtype=np.int64)  # noqa: B023
@@ -425,11 +425,11 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signed(left: DataFrame, described: DataFrame) -> DataFrame:
-    """Entries of lists with sets of several components, with f0 to f3, the signature folded to 256 bits."""
+    """Entries of lists with sets of several components, with the numbers f0, f1, ... of the signature."""
     known = described.where("n > 0").select("sid", "sig").dropDuplicates(["sid"])
-    fold = [F.aggregate(F.slice("sig", 1 + k * 4, 4), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)).alias(f"f{k}") for k in range(4)]
+    parts = [F.col("sig")[k].alias(f"f{k}") for k in range(SIGNATURE // 64)]
     several = left.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    return left.join(several, "token").join(known.select("sid", *fold), "sid").drop("m")
+    return left.join(several, "token").join(known.select("sid", *parts), "sid").drop("m")
 
 
 def _sent(table: DataFrame) -> DataFrame:

@@ -1,10 +1,14 @@
 """PII: information-theoretic sanitisation.
 
 Base spans (mail addresses, IP addresses, card numbers, telephone numbers) are the protected entities.
-The corpus says how strongly a term near an entity gives it away: with ``p`` over documents, the share of
+The corpus says how strongly a term gives an entity away: with ``p`` over whole documents, the share of
 the entity's information that the term discloses is ``PMI(entity, term) / IC(entity)``, 1 when the term
-occurs with that entity only. Terms above ``generalise_at`` are replaced by their class, above
-``remove_at`` they are removed; base spans are always replaced by their kind.
+occurs with that entity only. Wherever terms above ``generalise_at`` occur, with the entity, far from it or in
+documents without it, they are replaced by their class, and above ``remove_at`` removed; base spans are always
+replaced by their kind.
+
+A term that met an entity ``met`` times is in ``met`` documents at least, so only terms in at most
+``N ** (1 - generalise_at) * n_entity ** generalise_at`` documents can disclose it: only these are paired.
 
 Everything is Column code. Only spans and terms are shuffled, never texts; counts are combined before
 they move, so one entity or term in a third of all rows is one row of each task.
@@ -29,14 +33,15 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[ -]?[0-9]){15,}+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 OCTETS = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$"
-SPANS = "array<struct<rank:int,kind:string,s:int,e:int,v:string>>"
+SPANS = "array<struct<rank:int,kind:string,s:int,e:int,v:string,c:bigint>>"
 
-#: Code points on either side of an entity in which terms are weighed.
-WINDOW = 64
-#: Different surroundings in which a term must meet an entity, so that copies of one text prove nothing.
+#: Code points on either side of an entity that tell its surroundings apart.
+AROUND = 64
+#: Different surroundings of an entity in which a term must be in the document, so that copies of one text prove nothing.
 SUPPORT = 3
 GENERALISE_AT, REMOVE_AT = 0.8, 0.95
-TERM = r"\p{L}{3,}+"
+#: Words, and whole mail addresses, so that no word is taken out of one.
+TERM = EMAIL + r"|\p{L}{3,}+"
 
 
 def _digits(c: Column) -> Column:
@@ -50,93 +55,84 @@ def _card(m: Column) -> Column:
 
 def base_spans(text: Column) -> Column:
     """Spans of the four kinds, by kind, then start."""
+    found = lambda pattern, gate=None: match_list(text, pattern, gate, AROUND)
     return F.concat(
-        tagged(match_list(text, EMAIL, F.contains(text, F.lit("@"))), "email", 0),
-        tagged(match_list(text, IP), "ip", 1, lambda m: F.regexp_like(m["v"], F.lit(OCTETS))),
-        tagged(match_list(text, CARD), "card", 2, _card),
+        tagged(found(EMAIL, F.contains(text, F.lit("@"))), "email", 0, extra=("c",)),
+        tagged(found(IP), "ip", 1, lambda m: F.regexp_like(m["v"], F.lit(OCTETS)), ("c",)),
+        tagged(found(CARD), "card", 2, _card, ("c",)),
         tagged(
-            match_list(text, PHONE, F.contains(text, F.lit("+"))),
-            "phone", 3, lambda m: F.length(_digits(m["v"])).between(8, 15),
+            found(PHONE, F.contains(text, F.lit("+"))),
+            "phone", 3, lambda m: F.length(_digits(m["v"])).between(8, 15), ("c",),
         ),
     ).cast(SPANS)
 
 
-def _near(text: Column, spans: Column) -> Column:
-    """Whole words around each span as (entity, ctx, term, s, e)."""
-
-    def words(span: Column, left: bool) -> Column:
-        lo = F.greatest(F.lit(0), span["s"] - WINDOW) if left else span["e"]
-        hi = span["s"] if left else F.least(F.length(text), span["e"] + WINDOW)
-        part = F.substring(text, lo + 1, hi - lo)
-        # A word that the window's far edge cuts is not whole.
-        whole = (lambda m: (m["s"] > 0) | (lo == 0)) if left else (lambda m: (m["e"] < hi - lo) | (hi == F.length(text)))
-        apart = lambda m: ~F.exists(spans, lambda x: (x["s"] < lo + m["e"]) & (x["e"] > lo + m["s"]))
-        ctx = F.xxhash64(part)
-        return F.transform(
-            F.filter(match_list(part, TERM), lambda m: whole(m) & apart(m)),
-            lambda m: F.struct(
-                F.xxhash64(span["kind"], span["v"]).alias("entity"),
-                ctx.alias("ctx"),
-                F.lower(m["v"]).alias("term"),
-                (lo + m["s"]).alias("s"),
-                (lo + m["e"]).alias("e"),
-            ),
-        )
-
-    return F.flatten(F.transform(spans, lambda x: F.concat(words(x, True), words(x, False))))
+def _terms(text: Column) -> Column:
+    """The different words of a text, in lower case."""
+    words = F.filter(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: ~F.contains(w, F.lit("@")))
+    return F.array_distinct(F.transform(words, lambda w: F.lower(w)))
 
 
 def disclosing(docs: DataFrame, staged: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE_AT) -> DataFrame:
     """(entity, term, share): terms that disclose at least ``threshold`` of an entity's information."""
     n = staged.count()  # one number
-    terms = staged.select("doc_id", "tkey", F.explode("near").alias("t")).select("doc_id", "tkey", "t.*")
+    spans = staged.select("doc_id", "tkey", F.explode("spans").alias("x"))
+    each = spans.groupBy("doc_id", "tkey", F.xxhash64("x.kind", "x.v").alias("entity")).agg(F.min("x.c").alias("ctx"))
+    entities = (
+        each.groupBy("entity", "ctx").agg(F.count("*").alias("docs"))
+        .groupBy("entity").agg(F.sum("docs").alias("n_entity"), F.count("*").alias("different"))
+        .where((F.col("different") >= support) & (F.col("n_entity") < n))
+        .withColumn("most", F.pow(F.lit(float(n)), F.lit(1 - threshold)) * F.pow(F.col("n_entity").cast("double"), F.lit(threshold)))
+    )
+    entities = through_table(entities.select("entity", "n_entity", "most"), "entities")
+    most = entities.agg(F.max("most").alias("most")).first().most  # one number
+    frequency = (
+        docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+        .where(F.col("n_term").between(support, (most or 0) * (1 + 1e-9)))
+    )
+    named = each.join(entities, "entity").select(
+        F.col("doc_id").alias("e_doc"), F.col("tkey").alias("e_key"), "entity", "ctx", "n_entity", "most"
+    )
+    terms = staged.select("doc_id", "tkey", F.explode("terms").alias("term")).join(frequency, "term")
+    same = F.col("doc_id").eqNullSafe(F.col("e_doc")) & (F.col("tkey") == F.col("e_key"))
     met = (
-        terms.groupBy("entity", "term", "doc_id", "tkey", "ctx").agg(F.lit(1).alias("x"))
-        .groupBy("entity", "term", "ctx").agg(F.count("*").alias("docs"))
-        .groupBy("entity", "term").agg(F.sum("docs").alias("met"), F.count("*").alias("support"))
+        terms.dropDuplicates(["doc_id", "tkey", "term"])
+        .join(named, same & (F.col("n_term") <= F.col("most") * (1 + 1e-9)))
+        .groupBy("entity", "term", "ctx").agg(F.count("*").alias("docs"), F.max("n_entity").alias("n_entity"), F.max("n_term").alias("n_term"))
+        .groupBy("entity", "term").agg(F.sum("docs").alias("met"), F.count("*").alias("support"), F.max("n_entity").alias("n_entity"), F.max("n_term").alias("n_term"))
         .where(F.col("support") >= support)
     )
-    entities = (
-        staged.select("doc_id", "tkey", F.explode("spans").alias("x"))
-        .select("doc_id", "tkey", F.xxhash64("x.kind", "x.v").alias("entity")).distinct()
-        .groupBy("entity").agg(F.count("*").alias("n_entity"))
-    )
-    words = F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}]+"))
-    frequency = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     information = F.ln(F.lit(n) / F.col("n_entity"))
-    pmi = F.ln(F.lit(n) * F.least("met", "n_term", "n_entity") / (F.col("n_entity") * F.col("n_term")))
-    return (
-        met.join(entities, "entity").join(frequency, "term")
-        .where(information > 0)
-        .select("entity", "term", (pmi / information).alias("share"))
-        .where(F.col("share") >= threshold)
-    )
+    pmi = F.ln(F.lit(n) * F.least("met", "n_term") / (F.col("n_entity") * F.col("n_term")))
+    return met.select("entity", "term", (pmi / information).alias("share")).where(F.col("share") >= threshold)
 
 
 def find_pii(docs: DataFrame, support: int = SUPPORT, generalise_at: float = GENERALISE_AT, with_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, spans (rank, kind, s, e, v) and terms (s, e, term, share).
+    """One row per document: doc_id, spans (rank, kind, s, e, v, c) and terms (s, e, term, share).
 
     ``with_text`` carries the text along, for ``sanitise``.
     """
-    text = whole_text()
-    base = docs.select("doc_id", text.alias("text"))
-    found = base.select("doc_id", F.xxhash64("text").alias("tkey"), "text", base_spans(F.col("text")).alias("spans"))
-    near = F.when(F.size("spans") > 0, _near(F.col("text"), F.col("spans")))
-    staged = through_table(
-        found.select("doc_id", "tkey", "spans", near.alias("near"), *(["text"] if with_text else [])), "pii"
-    )
+    base = docs.select("doc_id", whole_text().alias("text"))
+    text, key = F.col("text"), F.xxhash64("text").alias("tkey")
+    found = base.select("doc_id", key, "text", base_spans(text).alias("spans"))
+    met = F.when(F.size("spans") > 0, _terms(text)).alias("terms")
+    staged = through_table(found.select("doc_id", "tkey", "spans", met, *(["text"] if with_text else [])), "pii")
     strong = disclosing(base, staged, support, generalise_at)
+    strong = through_table(strong.groupBy("term").agg(F.max("share").alias("share")), "terms")
     hits = (
-        staged.select("doc_id", "tkey", F.explode("near").alias("t")).select("doc_id", "tkey", "t.*")
-        .join(strong, ["entity", "term"])
-        .groupBy("doc_id", "tkey", "s", "e", "term").agg(F.max("share").alias("share"))
+        base.select("doc_id", key, F.explode(match_list(text, TERM)).alias("m"))
+        .select("doc_id", "tkey", "m.s", "m.e", F.lower("m.v").alias("term")).join(strong, "term").distinct()
         .groupBy("doc_id", "tkey").agg(F.array_sort(F.collect_list(F.struct("s", "e", "term", "share"))).alias("terms"))
         .select(F.col("doc_id").alias("h_doc"), F.col("tkey").alias("h_key"), "terms")
     )
     none = F.array().cast("array<struct<s:int,e:int,term:string,share:double>>")
+    # A letter outside of A-Z may stand right before an address, and its word then reaches into that.
+    into = lambda t: F.regexp_like(t["term"], F.lit("[^a-z]")) & F.exists(
+        "spans", lambda x: (x["s"] < t["e"]) & (x["e"] > t["s"])
+    )
     return (
-        staged.join(hits, staged["doc_id"].eqNullSafe(hits["h_doc"]) & (staged["tkey"] == hits["h_key"]), "left")
-        .select("doc_id", "spans", F.coalesce("terms", none).alias("terms"), *(["text"] if with_text else []))
+        staged.drop("terms").join(hits, staged["doc_id"].eqNullSafe(hits["h_doc"]) & (staged["tkey"] == hits["h_key"]), "left")
+        .select("doc_id", "spans", F.filter(F.coalesce("terms", none), lambda t: ~into(t)).alias("terms"), *(["text"] if with_text else []))
     )
 
 

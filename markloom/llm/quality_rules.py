@@ -4,8 +4,8 @@ Each document gets integer measures (per mille). The sketch of a measure in one
 histogram over buckets whose width grows with the value: values below 64 are exact, larger ones keep their
 six leading bits, a relative error under 1/32. Sketches merge by adding counts, so a source with a third
 of all rows is at most a few hundred rows of each task. Upper limits are the third quartile plus ``REACH``
-interquartile ranges, lower ones the first quartile minus as much; ``SLACK`` keeps uniform sources from
-cutting ordinary documents.
+interquartile ranges, lower ones the first quartile minus as much, and no fixed limit stands beside them;
+``SLACK`` is the least distance, which keeps uniform sources from cutting ordinary documents.
 
 Column code only. One pass over the texts writes a table of numbers; sketches and the join read that.
 
@@ -25,16 +25,15 @@ MIN_WORDS = 10
 WINDOW = 5
 #: Interquartile ranges between the quartiles and the limits.
 REACH = 4
-#: Measure -> (least distance of the lower limit from the first quartile or None, least upper limit).
+#: Measure -> whether there is a lower limit, and how far limits are from the quartiles at least, in the measure's
+#: unit. The distance keeps a source of equal documents from rejecting ordinary ones; it is no limit by itself.
 SLACK = {
-    "word_length": (1500, 0),  # 1000 * code points per word
-    "symbols": (None, 100),  # 1000 * symbols per code point of words
-    "dup_lines": (None, 400),  # 1000 * repeated lines per line
-    "repeats": (None, 200),  # 1000 * words in repeated windows per word
-    "capitals": (None, 400),  # 1000 * capitals A-Z per code point of words
+    "word_length": (True, 1500),  # 1000 * code points per word
+    "symbols": (False, 40),  # 1000 * symbols per code point of words
+    "dup_lines": (False, 300),  # 1000 * repeated lines per line
+    "repeats": (False, 150),  # 1000 * words in repeated windows per word
+    "capitals": (False, 200),  # 1000 * capitals A-Z per code point of words
 }
-#: Upper limits lie at least this far above the third quartile.
-RISE = {"word_length": 1500}
 
 
 def _repeated(words: DataFrame) -> DataFrame:
@@ -116,11 +115,11 @@ def limits(sketched: DataFrame, reach: int = REACH) -> DataFrame:
     box = summed.groupBy("lang", "source", "measure").agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
     one = lambda m, c: F.max(F.when(F.col("measure") == m, c))
     out = []
-    for m, (drop, least) in SLACK.items():
-        spread = (F.col("q3") - F.col("q1")) * reach
-        if drop is not None:
-            out.append(one(m, F.col("q1") - F.greatest(spread, F.lit(drop))).alias(f"lo_{m}"))
-        out.append(one(m, F.greatest(F.col("q3") + F.greatest(spread, F.lit(RISE.get(m, 0))), F.lit(least))).alias(f"hi_{m}"))
+    for m, (lower, slack) in SLACK.items():
+        reached = F.greatest((F.col("q3") - F.col("q1")) * reach, F.lit(slack))
+        if lower:
+            out.append(one(m, F.col("q1") - reached).alias(f"lo_{m}"))
+        out.append(one(m, F.col("q3") + reached).alias(f"hi_{m}"))
     return box.groupBy(F.col("lang").alias("g_lang"), F.col("source").alias("g_source")).agg(*out)
 
 
@@ -133,7 +132,7 @@ def judge(docs: DataFrame, reach: int = REACH) -> DataFrame:
     odd = F.lit(False)
     for m, c in _measures().items():
         odd = odd | F.coalesce(bucket(c) > F.col(f"hi_{m}"), F.lit(False))
-        if SLACK[m][0] is not None:
+        if SLACK[m][0]:
             odd = odd | F.coalesce(bucket(c) < F.col(f"lo_{m}"), F.lit(False))
     joined = measured.join(
         limit, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left"
@@ -164,10 +163,8 @@ def _sql() -> str:
         f"SELECT rid, lang, source, base_failed, '{m}' AS measure, {_sql_bucket(e)} AS bucket FROM failing"
         for m, e in share.items()
     )
-    lower = " ".join(f"WHEN '{m}' THEN q1 - greatest((q3 - q1) * {REACH}, {d})" for m, (d, _) in SLACK.items() if d is not None)
-    upper = " ".join(
-        f"WHEN '{m}' THEN greatest(q3 + greatest((q3 - q1) * {REACH}, {RISE.get(m, 0)}), {least})" for m, (_, least) in SLACK.items()
-    )
+    slack = " ".join(f"WHEN '{m}' THEN {d}" for m, (_, d) in SLACK.items())
+    lower = ", ".join(f"'{m}'" for m, (low, _) in SLACK.items() if low)
     return f"""
 WITH base AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 split AS (
@@ -198,7 +195,8 @@ box AS (
   SELECT lang, source, measure, min(bucket) FILTER (WHERE below * 4 >= total) AS q1,
          min(bucket) FILTER (WHERE below * 4 >= total * 3) AS q3 FROM summed GROUP BY ALL),
 limited AS (
-  SELECT lang, source, measure, CASE measure {lower} END AS lo, CASE measure {upper} END AS hi FROM box),
+  SELECT lang, source, measure, CASE WHEN measure IN ({lower}) THEN q1 - reached END AS lo, q3 + reached AS hi
+  FROM (SELECT *, greatest((q3 - q1) * {REACH}, CASE measure {slack} END) AS reached FROM box)),
 odd AS (
   SELECT rid, bool_or(coalesce(bucket > hi, false) OR coalesce(bucket < lo, false)) AS is_odd
   FROM entries e LEFT JOIN limited l ON e.lang IS NOT DISTINCT FROM l.lang AND e.source IS NOT DISTINCT FROM l.source

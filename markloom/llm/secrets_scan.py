@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import match_list, span_text, tagged, whole_text
+from .common import match_list, scan, span_text, tagged, whole_text
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?+\x20*+[:=]\x20*+["']?+([A-Za-z0-9+/_.=-]++)"""
@@ -109,6 +109,24 @@ def ratio(token: Column, model: list[float]) -> Column:
     return F.aggregate(F.filter(place, lambda i: i > 0), start, step, lambda acc: acc["sum"]) / (F.length(token) - 1)
 
 
+def _apart(tokens: Column, spans: Column) -> Column:
+    """Tokens that meet no span. Tokens do not meet each other, so only the spans before and the neighbour behind count."""
+    both = F.array_sort(
+        F.concat(spans, tokens),
+        lambda a, b: F.when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(a["rank"] - b["rank"]),
+    )
+    pairs = F.arrays_zip(both.alias("x"), F.slice(both, 2, F.greatest(F.size(both), F.lit(1))).alias("after"))
+    random = len(KINDS)
+
+    def step(reach: Column, p: Column) -> tuple[Column, Column]:
+        x, after = p["x"], p["after"]
+        token = x["rank"] == random
+        free = token & (reach <= x["s"]) & (after["s"].isNull() | (after["s"] >= x["e"]))
+        return F.when(token, reach).otherwise(F.greatest(reach, x["e"])), F.when(free, x)
+
+    return F.when(F.size(tokens) == 0, tokens).otherwise(scan(pairs, F.lit(0), step, SPANS[len("array<") : -1]))
+
+
 def find_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, spans (base) and random (tokens that only the models find), as arrays."""
     model = train(docs)
@@ -116,10 +134,8 @@ def find_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     base = docs.select("doc_id", text.alias("text")).select("doc_id", "text", base_spans(F.col("text")).alias("spans"))
     if not model:
         return base.select("doc_id", "spans", F.array().cast(SPANS).alias("random"))
-    fresh = lambda m: ~F.exists("spans", lambda x: (x["s"] < m["e"]) & (x["e"] > m["s"]))
-    found = tagged(
-        match_list(F.col("text"), TOKEN), "random", 3, lambda m: fresh(m) & (ratio(m["v"], model) >= threshold)
-    )
+    tokens = tagged(match_list(F.col("text"), TOKEN), "random", len(KINDS)).cast(SPANS)
+    found = F.filter(_apart(tokens, F.col("spans")), lambda x: ratio(x["v"], model) >= threshold)
     return base.select("doc_id", "spans", found.cast(SPANS).alias("random"))
 
 

@@ -43,7 +43,7 @@ def _round(rows: DataFrame, lo: int, hi: int, limit: int) -> DataFrame:
     levels = F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("depth")
     wide = cells.select("cell", "b", "n", levels).withColumn("prefix", F.expr(f"shiftright(cell, {hi} - depth)"))
     sums = wide.groupBy("depth", "prefix").agg(F.sum("b").alias("bytes"), F.sum("n").alias("docs"))
-    fits = sums.where((F.col("bytes") <= limit) | (F.col("depth") == hi))
+    fits = sums.where((F.col("bytes") <= limit) | (F.col("docs") == 1) | (F.col("depth") == hi))
     own = wide.select("cell", "depth", "prefix").join(fits, ["depth", "prefix"])
     return own.groupBy("cell").agg(F.min(F.struct("depth", "bytes", "docs")).alias("x")).select("cell", "x.*")
 
@@ -75,13 +75,50 @@ def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     )
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Write the documents as one folder ``shard=x<bits>`` per shard."""
-    where = assign(docs, limit).select("h", "shard").distinct()
-    hashed = docs.withColumn("__h", hash_bits(F.col("doc_id"), F.col("text")))
-    placed = hashed.join(where, hashed["__h"] == where["h"]).drop("__h", "h")
-    placed = placed.withColumn("shard", F.concat(F.lit("x"), F.col("shard")))
-    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+def directory(assigned: DataFrame) -> DataFrame:
+    """One row per shard of ``assign``: shard, depth, bytes, docs, first_hash and last_hash.
+
+    The shard's slots of the directory are all hashes between the two. It is kept in this short form, since a table of all
+    slots has two to the power of the greatest depth.
+    """
+    shards = assigned.groupBy("shard", "depth").agg(F.max("shard_bytes").alias("bytes"), F.max("shard_docs").alias("docs"))
+    prefix = F.when(F.col("depth") > 0, F.conv("shard", 2, 10).cast("long")).otherwise(F.lit(0).cast("long"))
+    first = F.call_function("shiftleft", prefix, F.lit(BITS) - F.col("depth"))
+    wide = F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(BITS) - F.col("depth"))
+    return shards.select("shard", "depth", "bytes", "docs", first.alias("first_hash"), (first + wide - 1).alias("last_hash"))
+
+
+def locate(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    """(doc_id, shard): where ``directory`` says that each document is or would be; a prefix nobody has gives null.
+
+    A lookup by equal prefixes, one for each depth that the directory has (at most ``BITS`` + 1 numbers).
+    """
+    entries = through_table(entries, "directory")
+    depths = [r.depth for r in entries.select("depth").distinct().collect()]
+    hashed = docs.select("doc_id", hash_bits(F.col("doc_id"), F.col("text")).alias("h"))
+    found = F.lit(None).cast("string")
+    for d in sorted(depths):
+        at = entries.where(F.col("depth") == d)
+        at = at.select(F.shiftright("first_hash", BITS - d).alias(f"p{d}"), F.col("shard").alias(f"s{d}"))
+        hashed = hashed.join(at, F.shiftright("h", BITS - d) == F.col(f"p{d}"), "left")
+        found = F.coalesce(found, F.col(f"s{d}"))
+    return hashed.select("doc_id", found.alias("shard"))
+
+
+def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> str:
+    """Write the documents as one folder ``shard=x<bits>`` per shard; returns the name of that column.
+
+    Tables with a column ``shard`` of their own keep it: the folders' column has underscores added then.
+    """
+    name = "shard"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    where = assign(docs, limit).select("h", F.concat(F.lit("x"), "shard").alias("to")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), hash_bits(F.col("doc_id"), F.col("text")).alias("key"))
+    placed = rows.join(where, F.col("key") == F.col("h"))
+    own = [F.col("row")[c].alias(c) for c in docs.columns]
+    placed.select(*own, F.col("to").alias(name)).repartition(name).write.partitionBy(name).parquet(path)
+    return name
 
 
 def shard_rows(docs: DataFrame) -> DataFrame:

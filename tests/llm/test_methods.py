@@ -116,7 +116,7 @@ def test_limits_tighten_in_a_uniform_source(spark):
     symbols = words(1) + " ###" * 9  # 9 % symbols
     lines = "\n".join(line(k, k) for k in range(6)) + "\n" + "\n".join(f"short {k}\nshort {k}" for k in range(6))
     docs += [(100, "en", "a", symbols), (101, "en", "a", lines), (102, "en", "b", symbols), (103, None, None, words(2)), (104, "en", "a", None)]
-    df = spark.createDataFrame(docs, "doc_id long, lang string, source string, text string")
+    df = spark.createDataFrame(docs, "doc_id long, lang string, source string, text string").repartition(2)
     got = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules.quality_verdicts(df).collect()}
     assert all(got[i] == (False, True) for i in range(60))
     assert got[100] == (False, False) and got[101] == (False, False)

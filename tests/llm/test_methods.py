@@ -110,9 +110,9 @@ def test_tokens_apart_from_spans(spark):
 
 
 def test_limits_tighten_in_a_uniform_source(spark):
-    words = lambda i: " ".join(f"word{chr(97 + (i * 7 + k) % 26)}{chr(97 + k % 26)}" for k in range(40))
+    words = lambda i: " ".join(f"w{i:03d}x{k:02d}" for k in range(40))
     line = lambda i, k: f"{words(i)} line {k} of text"
-    docs = [(i, "en", "a", "\n".join(line(i + 3 * k, k) for k in range(5))) for i in range(60)]
+    docs = [(i, "en", "a", "\n".join(line(10 * i + k, k) for k in range(5))) for i in range(60)]
     symbols = words(1) + " ###" * 9  # 9 % symbols
     lines = "\n".join(line(k, k) for k in range(6)) + "\n" + "\n".join(f"short {k}\nshort {k}" for k in range(6))
     docs += [(100, "en", "a", symbols), (101, "en", "a", lines), (102, "en", "b", symbols), (103, None, None, words(2)), (104, "en", "a", None)]

@@ -52,7 +52,9 @@ def both(awkward, sample):
 
 
 def pii_spans(t):
-    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    # Without an at sign there is no address, and this plain pattern is quadratic in a long run of letters.
+    mail = re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t) if "@" in t else ()
+    out = [("email", m.start(), m.end()) for m in mail]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
         if all(int(x) <= 255 for x in m.group().split(".")):
             out.append(("ip", m.start(), m.end()))

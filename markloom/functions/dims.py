@@ -142,13 +142,9 @@ SEPARATOR = "\x1f"
 def is_one_of(name: Column, names: Iterable[str]) -> Column:
     """Membership in a fixed set of names.
 
-    A few hundred names are cheapest as one literal to search in; a literal per
-    name makes the plan slow to build. Larger sets are hashed by Spark.
+    They are one literal to search in; a literal per name makes the plan slow to build.
     """
-    names = sorted(names)
-    if len(names) > 2_000:
-        return name.isin(*names)
-    joined = F.lit(SEPARATOR + SEPARATOR.join(names) + SEPARATOR)
+    joined = F.lit(SEPARATOR + SEPARATOR.join(sorted(names)) + SEPARATOR)
     return F.contains(joined, F.concat(F.lit(SEPARATOR), name, F.lit(SEPARATOR)))
 
 
@@ -160,31 +156,18 @@ class TemplatePolicy:
     prefix: str = KEPT_PREFIX
     functions: tuple[str, ...] = PARSER_FUNCTIONS
 
-    # A policy is a literal in every task's plan, so its size is bounded.
-    MAX_NAMES = 100_000
-
     @classmethod
     def default(cls) -> TemplatePolicy:
         return cls(frozenset(KEPT_TEMPLATES) | frozenset(lower_first(code) for code in COUNTRY_CODES))
 
     @classmethod
-    def of(cls, names: Iterable[str] | DataFrame) -> TemplatePolicy:
-        """A policy from names or from a one-column table of names, checked for size."""
-        if isinstance(names, DataFrame):
-            rows = names.select(names.columns[0]).distinct().limit(cls.MAX_NAMES + 1).collect()
-            names = [row[0] for row in rows]
-        keep = frozenset(lower_first(n) for n in names)
-        if len(keep) > cls.MAX_NAMES:
-            raise ValueError("too many names for a policy; join against a table instead")
-        return cls(keep)
+    def of(cls, names: Iterable[str]) -> TemplatePolicy:
+        """A policy from names in the code. A table of names is joined instead (`operators.policy`)."""
+        return cls(frozenset(lower_first(n) for n in names))
 
     def keeps(self, name: Column) -> Column:
         """True for a normalised template name that stays in the text."""
-        return (
-            is_one_of(name, self.keep)
-            | name.startswith(self.prefix)
-            | F.substring_index(name, ":", 1).isin(*self.functions)
-        )
+        return is_one_of(name, self.keep) | _by_rule(name, self.prefix, self.functions)
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The whole policy as rows (kind, name): names, the prefix, parser functions."""
@@ -193,6 +176,22 @@ class TemplatePolicy:
         return spark.createDataFrame(rows, "kind string, name string")
 
 
+def _by_rule(name: Column, prefix: str, functions: tuple[str, ...]) -> Column:
+    return name.startswith(prefix) | F.substring_index(name, ":", 1).isin(*functions)
+
+
+@dataclass(frozen=True)
+class ListedPolicy:
+    """A policy whose names lie in a table: `column` of a page holds those of its own names that are in there."""
+
+    column: str
+    prefix: str = KEPT_PREFIX
+    functions: tuple[str, ...] = PARSER_FUNCTIONS
+
+    def keeps(self, name: Column) -> Column:
+        return F.array_contains(F.col(self.column), name) | _by_rule(name, self.prefix, self.functions)
+
+
 @dataclass(frozen=True)
 class TagPolicy:
     """What happens to each tag. `styled` keeps bold, italics and the like."""

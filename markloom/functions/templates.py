@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dims import BIG_PREFIXES, PARSER_FUNCTIONS, TemplatePolicy
+from .dims import BIG_PREFIXES, PARSER_FUNCTIONS, ListedPolicy, TemplatePolicy
 from .sections import drop_sections, level2
 from .text import (
     PY_WS,
@@ -116,6 +116,16 @@ def policy_names(c: Column) -> Column:
     return F.transform(raw_names(c), template_name)
 
 
+def asked_names(c: Column) -> Column:
+    """The different names that a policy can be asked for, in policy form.
+
+    A template in a name either goes, and the name is what is left, or stays, and no listed name has one in it. So
+    names as written up to an inner template, and names without inner templates, are all there are.
+    """
+    without = let(_hide(c), lambda t: fold_nested(t, O, C, lambda body, _: F.lit(""), found=_raw_name))
+    return F.array_distinct(F.transform(F.concat(raw_names(c), without), template_name))
+
+
 def template_occurrences(
     pages: DataFrame,
     text: str = "wikitext",
@@ -128,7 +138,7 @@ def template_occurrences(
     return pages.select(key, F.explode(names(source)).alias("name"))
 
 
-def apply_template_policy(c: Column, policy: TemplatePolicy) -> Column:
+def apply_template_policy(c: Column, policy: TemplatePolicy | ListedPolicy) -> Column:
     """Remove every template the policy does not keep.
 
     Works from the innermost outwards: a dropped template inside a kept one
@@ -142,7 +152,7 @@ def apply_template_policy(c: Column, policy: TemplatePolicy) -> Column:
     )
 
 
-def unsupported_names(names: Column, policy: TemplatePolicy) -> Column:
+def unsupported_names(names: Column, policy: TemplatePolicy | ListedPolicy) -> Column:
     """The dropped ones among raw names, in policy form, the short description aside."""
     return F.filter(
         F.transform(names, template_name),

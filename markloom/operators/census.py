@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.tags import markup_tag_names, tag_names
 from ..functions.templates import census_names, streamline
 from ..functions.text import let
+from .ranking import ranked
 
 
 def _template_names(text: str, streamlined: bool) -> Column:
@@ -169,6 +170,13 @@ def derive_keep_list(
     return common
 
 
+def keep_by_coverage(pages: DataFrame, percent: int, text: str = "wikitext", streamlined: bool = True) -> DataFrame:
+    """(name, n, running): the fewest templates that make up `percent` of all uses, and how many those are so far."""
+    used = ranked(template_census(pages, text, streamlined=streamlined), "n", "name", running="n")
+    short = (F.col("running") - F.col("n")) * 100 < F.col("whole") * percent
+    return used.where(short).select("name", "n", "running")
+
+
 def sum_counters(counters: DataFrame, column: str) -> DataFrame:
     """Run-wide (name, n) from a map<string, bigint> column."""
     cells = counters.select(F.explode(column).alias("name", "n"))

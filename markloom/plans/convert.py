@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dims import TagPolicy, TemplatePolicy
+from ..functions.dims import ListedPolicy, TagPolicy, TemplatePolicy
 from ..functions.links import (
     drop_switches,
     external_to_text,
@@ -38,6 +38,7 @@ from ..functions.templates import (
 )
 from ..functions.text import built_once, guard, let, nfkc, settle
 from ..operators.expand import expand_by_dictionary
+from ..operators.policy import with_listed_names
 from ..session import through_table
 
 
@@ -101,12 +102,12 @@ def _description() -> Column:
 
 
 @built_once
-def _dropped_names(policy: TemplatePolicy) -> Column:
+def _dropped_names(policy: TemplatePolicy | ListedPolicy) -> Column:
     return unsupported_names(F.col("pre_names"), policy)
 
 
 @built_once
-def _kept_templates(policy: TemplatePolicy) -> Column:
+def _kept_templates(policy: TemplatePolicy | ListedPolicy) -> Column:
     return show_opaque(apply_template_policy(F.col("pre_first"), policy))
 
 
@@ -150,16 +151,19 @@ def _counted(names: str) -> Column:
     return counter(F.col(names))
 
 
-def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFrame:
+def preprocess(pages: DataFrame, policy: TemplatePolicy | DataFrame | None = None) -> DataFrame:
     """Adds the cleaned `wikitext`, raw categories, description and dropped templates.
 
-    The columns arrive as `pre_*`; the input text stays as it was.
+    The columns arrive as `pre_*`; the input text stays as it was. A policy may be a table of names of
+    any size; it is joined with the names on the pages.
     """
-    policy = policy or TemplatePolicy.default()
     out = pages.withColumn("pre_hidden", _hidden())
     out = out.withColumn("pre_nameless", _nameless())
     out = out.withColumn("pre_categories", raw_categories(F.col("pre_hidden")))
     out = settle(out, "pre_first", _first_pass())
+    if isinstance(policy, DataFrame):
+        out, policy = with_listed_names(out, policy, "pre_first", "pre_listed"), ListedPolicy("pre_listed")
+    policy = policy or TemplatePolicy.default()
     out = out.withColumn("pre_marked", _marked())
     out = out.withColumn("pre_names", marked_names(F.col("pre_marked")))
     # Settled here, so that the raw text need not travel any further.
@@ -173,7 +177,7 @@ def preprocess(pages: DataFrame, policy: TemplatePolicy | None = None) -> DataFr
             "pre_unsupported": _dropped_names(policy),
             "pre_wikitext": _kept_templates(policy),
         }
-    ).drop("pre_hidden", "pre_first", "pre_marked", "pre_names", "pre_nameless")
+    ).drop("pre_hidden", "pre_first", "pre_marked", "pre_names", "pre_nameless", "pre_listed")
 
 
 def postprocess(
@@ -207,7 +211,7 @@ def convert_pages(
     raw: DataFrame,
     expansions: DataFrame | None = None,
     with_styling: bool = False,
-    policy: TemplatePolicy | None = None,
+    policy: TemplatePolicy | DataFrame | None = None,
 ) -> DataFrame:
     """All pages with every derived column and a status: ok, corrupt or failed.
 

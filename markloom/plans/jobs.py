@@ -37,7 +37,7 @@ def generate(
     run_ts: int,
     expansions: DataFrame | None = None,
     with_styling: bool = False,
-    policy: TemplatePolicy | None = None,
+    policy: TemplatePolicy | DataFrame | None = None,
     retry: bool = False,
 ) -> DataFrame:
     """Convert a raw dataset and write the final one, with censuses and logs.

@@ -22,13 +22,13 @@ def convert_stream(
     checkpoint: str,
     expansions: DataFrame | None = None,
     with_styling: bool = False,
-    policy: TemplatePolicy | None = None,
+    policy: TemplatePolicy | DataFrame | None = None,
     max_files: int = 1_000,
     outcomes: bool = False,
 ) -> StreamingQuery:
     """Convert all raw files that are not yet done, then stop.
 
-    Each micro-batch is converted like any table, with a dictionary of any size joined to it (written once when
+    Each micro-batch is converted like any table, with a dictionary and a policy of any size joined to it (written once when
     the stream starts), and replaces the folder of its number below `out_dir`: a batch that a
     restarted stream repeats leaves every page once. The checkpoint remembers which files are done.
 
@@ -41,6 +41,8 @@ def convert_stream(
         .parquet(in_dir)
     )
     entries = None if expansions is None else through_table(one_per_invocation(expansions), "dictionary")
+    if isinstance(policy, DataFrame):
+        policy = through_table(policy, "names")
 
     def convert(batch: DataFrame, number: int) -> None:
         write_batch(convert_pages(batch, entries, with_styling, policy), out_dir, number, outcomes)

@@ -260,6 +260,19 @@ def _(spark, sf_dir):
     return census.derive_keep_list(pages, 100, ("cite", "infobox"), streamlined=False)
 
 
+@query(
+    "agg21_keep_by_coverage",
+    on_src(
+        "SELECT name, n, running FROM (SELECT name, n, CAST(sum(n) OVER (ORDER BY n DESC, name) AS BIGINT) AS running, "
+        "sum(n) OVER () AS whole FROM (SELECT name, count(*) AS n FROM names GROUP BY name)) "
+        "WHERE 100 * (running - n) < 75 * whole",
+        _ALL,
+    ),
+)
+def _(spark, sf_dir):
+    return census.keep_by_coverage(wiki_src(spark, sf_dir), 75, streamlined=False)
+
+
 @query(
     "top1_most_used_templates",
     on_src("SELECT name, count(*) AS n FROM names GROUP BY name ORDER BY n DESC, name LIMIT 25", _LEAN),
@@ -341,3 +354,22 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     return ranking.full_ranking(stats.word_freq(table(spark, sf_dir, "documents"), "text"), "n", "word")
 
+
+_PLACES = f"(SELECT word, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, word) AS rank FROM {_WORDS} GROUP BY word)"
+
+
+@query("top6_places", f"SELECT word, n, rank FROM {_PLACES}")
+def _(spark, sf_dir):
+    words = stats.word_freq(table(spark, sf_dir, "documents"), "text")
+    return ranking.ranked(words, "n", "word").select("word", "n", "rank")
+
+
+@query(
+    "prj5_peek_anywhere",
+    f"SELECT word, n, rank FROM (SELECT *, count(*) OVER () AS size FROM {_PLACES}) "
+    "WHERE rank IN (1, 10, 100, size - 9, size)",
+)
+def _(spark, sf_dir):
+    """Places from both ends of a whole table."""
+    words = stats.word_freq(table(spark, sf_dir, "documents"), "text")
+    return ranking.at_places(ranking.ranked(words, "n", "word"), [1, 10, 100, -10, -1]).select("word", "n", "rank")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import templates as tpl
 from ..functions.dims import BIG_PREFIXES, TemplatePolicy
 from ..operators.expand import expand_by_dictionary
+from ..operators.policy import keep_listed_templates
 from ..plans.fixtures import wiki_docs, wiki_src
 from .registry import on_docs, on_src, query, sql_chain, sql_strip, table
 
@@ -112,8 +113,24 @@ def _(spark, sf_dir):
     names = table(spark, sf_dir, "part").select(
         F.explode(F.array(F.lit("Infobox part"), F.lit("cite web"), F.lit("unknown tpl0"))).alias("name")
     )
-    kept = tpl.apply_template_policy(F.col("wikitext"), TemplatePolicy.of(names))
-    return wiki_src(spark, sf_dir).select("pageid", kept.alias("wikitext"))
+    return keep_listed_templates(wiki_src(spark, sf_dir).select("pageid", "wikitext"), names)
+
+
+@query(
+    "f14_template_policy_table",
+    "WITH listed AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderstatus = 'F') "
+    "SELECT l_orderkey, l_linenumber, CASE WHEN a.k IS NULL THEN '' ELSE concat('{{Order ', l_orderkey, '|x ', "
+    "CASE WHEN b.k IS NULL THEN '' ELSE concat('{{order_', l_partkey, '}}') END, '}}') END AS text "
+    "FROM lineitem LEFT JOIN listed a ON a.k = l_orderkey LEFT JOIN listed b ON b.k = l_partkey",
+)
+def _(spark, sf_dir):
+    """A policy that grows with the tables: the finished orders. Each line names its own order and another one in it."""
+    done = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    names = done.select(F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("name"))
+    inner = F.concat(F.lit("{{order_"), F.col("l_partkey").cast("string"), F.lit("}}"))
+    text = F.concat(F.lit("{{Order "), F.col("l_orderkey").cast("string"), F.lit("|x "), inner, F.lit("}}"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("text"))
+    return keep_listed_templates(lines, names, "text")
 
 
 @query(

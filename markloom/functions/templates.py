@@ -42,8 +42,11 @@ def template_name(c: Column) -> Column:
 
     The first character is taken before trimming, so `' Cite'` keeps its capital.
     """
-    lowered = F.concat(F.lower(F.substring(c, 1, 1)), c.substr(F.lit(2), F.length(c)))
-    return py_strip(F.translate(lowered, "_", " "))
+    first = lambda t: F.substring(t, 1, 1)
+    lowered = lambda t: F.concat(F.lower(first(t)), t.substr(F.lit(2), F.length(t)))
+    # Lower-casing knows all languages and takes its time; most names need none.
+    small = let(c, lambda t: F.when(first(t).between("a", "z"), t).otherwise(lowered(t)))
+    return py_strip(F.translate(small, "_", " "))
 
 
 def census_name(c: Column) -> Column:
@@ -142,14 +145,14 @@ def apply_template_policy(c: Column, policy: TemplatePolicy | ListedPolicy) -> C
     """Remove every template the policy does not keep.
 
     Works from the innermost outwards: a dropped template inside a kept one
-    disappears, a kept one inside a dropped one goes with it.
+    disappears, a kept one inside a dropped one goes with it. The name is made once for all rules.
     """
-    return _each_template(
-        c,
-        lambda body: F.when(policy.keeps(template_name(_raw_name(body))), _kept(body)).otherwise(
-            F.lit("")
-        ),
-    )
+
+    def settle(body: Column) -> Column:
+        stays = let(template_name(_raw_name(body)), policy.keeps)
+        return F.when(stays, _kept(body)).otherwise(F.lit(""))
+
+    return _each_template(c, settle)
 
 
 def unsupported_names(names: Column, policy: TemplatePolicy | ListedPolicy) -> Column:

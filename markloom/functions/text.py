@@ -75,6 +75,14 @@ def let(c: Column, fn: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), fn), F.lit(0))
 
 
+def let_state(state: Column, c: Column, fn: Callable[[Column, Column], Column]) -> Column:
+    """The next state, `fn(state, c)`, with `c` evaluated once.
+
+    Like `let`, but what `fn` makes is handed on as it is: `let` copies it, and with it all that a state holds.
+    """
+    return F.aggregate(F.array(c), state, fn)
+
+
 def settle(df: DataFrame, name: str, c: Column) -> DataFrame:
     """Add a column that is computed once per row, whatever happens above it.
 
@@ -186,8 +194,8 @@ def fold_text(pieces: Column, start: Column, step: Callable[[Column, Column], Co
     """One text from pieces, read in order with a state: `step(state, piece)` gives a struct (out, state)."""
 
     def one(s: Column, piece: Column) -> Column:
-        done = lambda r: F.struct(F.concat(s["done"], F.array(r["out"])).alias("done"), r["state"].alias("state"))
-        return let(step(s["state"], piece), done)
+        done = lambda s, r: F.struct(F.array_append(s["done"], r["out"]).alias("done"), r["state"].alias("state"))
+        return let_state(s, step(s["state"], piece), done)
 
     def some(all_: Column) -> Callable[[Column, Column], Column]:
         def fold(s: Column, at: Column) -> Column:
@@ -234,24 +242,27 @@ def fold_nested(
 
     def close(s: Column, after: Column) -> Column:
         top = F.element_at(s["opened"], -1)  # cheap, so it may stand in several places
-        body = top.substr(F.lit(2), F.length(top))
-        seen = F.concat(s["seen"], F.array(found(body))) if found else s["seen"]
-        below = lambda m: F.array(F.concat(F.element_at(s["opened"], -2), m))
+        below = lambda s, m: F.concat(F.element_at(s["opened"], -2), m)
 
-        def put(made: Column) -> Column:
+        def put(s: Column, made: Column) -> Column:
+            seen = F.array_append(s["seen"], found(made["body"])) if found else s["seen"]
             return F.when(
                 F.size(s["opened"]) > 1,
-                state(s["done"], F.concat(shorter(s["opened"], 2), below(made)), seen),
-            ).otherwise(state(F.concat(s["done"], F.array(made)), strings, seen))
+                state(s["done"], F.array_append(shorter(s["opened"], 2), below(s, made["text"])), seen),
+            ).otherwise(state(F.array_append(s["done"], made["text"]), strings, seen))
+
+        def settled(body: Column) -> Column:
+            text = F.concat(fn(body, F.substring(top, 1, 1)), after).alias("text")
+            return F.struct(text, body.alias("body")) if found else F.struct(text)
 
-        return let(F.concat(fn(body, F.substring(top, 1, 1)), after), put)
+        return let_state(s, let(top.substr(F.lit(2), F.length(top)), settled), put)  # the content is cut out once
 
     def step(s: Column, piece: Column) -> Column:
         first = F.substring(piece, 1, 1)
         return (
-            F.when(first.isin(*openers), state(s["done"], F.concat(s["opened"], F.array(piece)), s["seen"]))
+            F.when(first.isin(*openers), state(s["done"], F.array_append(s["opened"], piece), s["seen"]))
             .when((first == closer) & (F.size(s["opened"]) > 0), close(s, piece.substr(F.lit(2), F.length(piece))))
-            .otherwise(state(F.concat(s["done"], F.array(piece)), s["opened"], s["seen"]))
+            .otherwise(state(F.array_append(s["done"], piece), s["opened"], s["seen"]))
         )
 
     def some(pieces: Column) -> Callable[[Column, Column], Column]:

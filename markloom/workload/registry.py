@@ -27,8 +27,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-# Tables of long texts, and what to spread them by when they lie in few files.
-_TEXTS = {"documents": "doc_id", "pages": "page_id"}
+# Tables that texts are or are made of, and what to spread them by when they lie in few files.
+_TEXTS = {"documents": "doc_id", "pages": "page_id", "part": "p_partkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

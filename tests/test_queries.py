@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, normal
 from markloom.workload import QUERIES
+from markloom.workload.registry import table
 
 from .conftest import SF_DIR
 
@@ -34,3 +35,9 @@ def test_every_query_of_the_library_has_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 200
+
+
+@pytest.mark.parametrize("name", ["documents", "pages", "part"])
+def test_tables_that_texts_are_made_of_use_all_cores(spark, name):
+    """One small file is one task, however long the texts made of its rows are."""
+    assert table(spark, SF_DIR, name).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

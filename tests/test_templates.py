@@ -134,3 +134,12 @@ def test_census_counts_nested_names(spark):
     pages = spark.createDataFrame([(1, "{{ A |{{b}}}}{{a}}")], "pageid long, wikitext string")
     got = T.template_occurrences(pages).groupBy("name").agg(F.count("*").alias("n")).collect()
     assert {(r.name, r.n) for r in got} == {("a", 2), ("b", 1)}
+
+
+def test_names_of_a_policy_are_looked_up_in_a_set(spark):
+    """Quotes, backslashes and the former separator are ordinary characters of a name."""
+    from markloom.functions.dims import is_one_of
+
+    rows = spark.createDataFrame([("it's",), ("a\\b",), ("x",), ("x\x1fy",), ("",), (None,)], "n string")
+    found = is_one_of(F.col("n"), ["it's", "a\\b", "x", "y"])
+    assert [r.f for r in rows.select(found.alias("f")).collect()] == [True, True, True, False, False, None]

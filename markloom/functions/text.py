@@ -22,10 +22,12 @@ from functools import wraps
 
 import pyarrow as pa
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import small_batches
+
 # Every code point Python's str.strip / str.split / re `\s` treats as a space.
 PY_WS = r"[\t-\r\x1c-\x20\x85\xa0\p{Z}]"
 _WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
@@ -104,15 +106,21 @@ def py_split(c: Column) -> Column:
 
 @F.arrow_udf(T.StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
-    normal = (None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist())
-    return pa.array(normal, type=pa.string())
+    # A few texts at a time: the others are never held as Python strings.
+    def forms(part: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in part.to_pylist()], type=pa.string())
+
+    parts = [forms(texts.slice(at, 64)) for at in range(0, len(texts), 64)]
+    return pa.concat_arrays(parts) if parts else pa.array([], type=pa.string())
 
 
 def nfkc(c: Column) -> Column:
     """NFKC form. Only rows with non-ASCII text travel to Python; ASCII is already normal.
 
-    Give it a plain column: an expression with lambdas goes into a column first.
+    Give it a plain column: an expression with lambdas goes into a column first. Bounds the rows of an Arrow
+    batch in the session: texts may be long, and a batch is held whole.
     """
+    small_batches(SparkSession.active())
     return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7f]"), c)), c)
 
 

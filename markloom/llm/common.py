@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let
-from ..session import through_table, work_dir
+from ..session import small_batches, through_table, work_dir
 
 #: White space as the contracts define it: blank and the five control characters from tab to return.
 SPACE = r"[ \t-\r]"
@@ -21,20 +21,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-#: Rows of an Arrow batch where texts travel to Python.
-BATCH_ROWS = 512
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows that travel to Python at once, unless the session has a smaller bound.
-
-    A batch is held by the JVM and by the worker, some of it twice; documents are kilobytes and more.
-    """
-    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
-        spark.conf.set(_BATCH, BATCH_ROWS)
-
-
 def whole_text(name: str = "text") -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))

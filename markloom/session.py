@@ -8,13 +8,17 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch where texts travel to Python.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Page rows are wide (whole articles), so Python batches are kept short.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    _BATCH: str(BATCH_ROWS),
 }
 
 
@@ -27,6 +31,15 @@ def build_session(app: str = "markloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows that travel to Python at once, unless the session has a smaller bound.
+
+    A batch is held by the JVM and by the worker, some of it twice; documents are kilobytes and more.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="markloom-")

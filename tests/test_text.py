@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from markloom.functions.text import nfkc
 from markloom.functions import text as X
 
 ODD_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2003\u2028\u2029\u202f\u205f\u3000"
@@ -94,3 +95,16 @@ def test_time_grows_with_the_depth(apply):
 
 def test_guard_removes_noncharacters(apply):
     assert apply(X.guard, "a\ufdd0b\ufdefc") == "abc"
+
+
+def test_nfkc_bounds_the_rows_of_a_batch(spark):
+    """Long texts must not travel by the ten thousand, whatever the session was started with."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 10_000)
+        rows = spark.range(700).select(F.concat(F.lit("ﬁ"), "id").alias("t")).select("t", nfkc(F.col("t")).alias("n"))
+        assert int(spark.conf.get(name)) <= 512
+        assert all(r.n == "fi" + r.t[1:] for r in rows.collect())
+    finally:
+        spark.conf.set(name, before)

@@ -41,9 +41,10 @@ def expand_by_dictionary(
     dictionary that is a narrow stage.
 
     With one, of any size, the pages are written once, each with a number of its own: whatever made them is
-    not computed again, and page ids may repeat. Only the template uses meet the dictionary; Spark sends
-    it to them if it is small, and splits the uses of a hot template otherwise (AQE). One row per page goes
-    back to its text.
+    not computed again, and page ids may repeat. The different uses are written too, and only the entries of those
+    go on: Spark sends the uses to the dictionary if they are few, so that it is read where it lies, however long
+    it is, and shuffles both once otherwise. The entries in use then meet the uses, those of a hot template split
+    (AQE). One row per page goes back to its text.
     """
     segs = _segments(text)
     if expansions is None:
@@ -53,9 +54,11 @@ def expand_by_dictionary(
 
     pages = through_table(pages.withColumn("_row", F.monotonically_increasing_id()), "expanding")
     uses = pages.select("_row", F.posexplode(F.filter(segs, lambda _, i: i % 2 == 1)).alias("pos", "invocation"))
+    asked = through_table(uses.select("invocation").distinct(), "asked")
+    entries = one_per_invocation(expansions.join(asked, "invocation", "left_semi"))
     # The expansions of one page, in the order of its templates.
     found = (
-        uses.join(one_per_invocation(expansions), "invocation", "left")
+        uses.join(entries, "invocation", "left")
         .groupBy("_row")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "expansion"))).alias("_found"))
         .withColumn("_found", F.transform("_found", lambda e: e["expansion"]))

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dims import TemplatePolicy
-from ..operators.expand import one_per_invocation
 from ..operators.quality import OUT_COLUMNS, retry_input, to_output, with_status
 from ..plans.convert import convert_pages
 from ..schemas import RAW_SCHEMA
-from ..session import through_table
+from ..session import small_batches, through_table
 from ..sources.readers import read_raw
 
 
@@ -28,24 +27,26 @@ def convert_stream(
 ) -> StreamingQuery:
     """Convert all raw files that are not yet done, then stop.
 
-    Each micro-batch is converted like any table, with a dictionary and a policy of any size joined to it (written once when
-    the stream starts), and replaces the folder of its number below `out_dir`: a batch that a
+    Each micro-batch is converted like any table, with a dictionary and a policy of any size joined to it, and replaces the folder of its number below `out_dir`: a batch that a
     restarted stream repeats leaves every page once. The checkpoint remembers which files are done.
 
+    The policy is written once when the stream starts. The dictionary is read by each batch where it lies, for the
+    entries in use alone, and never copied whole: one that is costly to make should be a written table.
+
     Only converted pages are written, unless `outcomes` asks for all pages, with status and
     error, in one folder per status: the same run then says what is corrupt and what to retry.
     """
+    small_batches(spark)  # a stream keeps the settings it starts with
     raw = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("maxFilesPerTrigger", max_files)
         .parquet(in_dir)
     )
-    entries = None if expansions is None else through_table(one_per_invocation(expansions), "dictionary")
     if isinstance(policy, DataFrame):
         policy = through_table(policy, "names")
 
     def convert(batch: DataFrame, number: int) -> None:
-        write_batch(convert_pages(batch, entries, with_styling, policy), out_dir, number, outcomes)
+        write_batch(convert_pages(batch, expansions, with_styling, policy), out_dir, number, outcomes)
 
     return (
         raw.writeStream.foreachBatch(convert)

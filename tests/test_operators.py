@@ -169,3 +169,21 @@ def test_markup_of_any_depth(spark, depth):
     texts = "a {{nowrap|" + "{{nowrap|" * (depth - 1) + "z" + "}}" * depth + " " + links, "{{cite|" * depth + "z" + "}}" * depth
     made = convert_pages(raw_pages(spark, *texts)).orderBy("pageid").collect()
     assert [(r.status, r.markdown) for r in made] == [("ok", "a y"), ("ok", "")]
+
+
+def test_a_long_dictionary_is_not_shuffled(spark):
+    """Only the entries in use go on; the others are read where they lie."""
+    pages = spark.createDataFrame([(1, "{{a}} {{b}}"), (2, "{{a}}")], "pageid long, wikitext string")
+    long = spark.range(200_000).select(F.concat(F.lit("{{n|"), "id", F.lit("}}")).alias("invocation"), F.lit("x").alias("expansion"))
+    out = expand.expand_by_dictionary(pages, long.unionByName(spark.createDataFrame([("{{a}}", "A")], long.schema)))
+    assert sorted((r.pageid, r.expanded, r.unmatched) for r in out.collect()) == [(1, "A", 1), (2, "A", 0)]
+    lines = out._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert any("BroadcastHashJoin" in line and "LeftSemi" in line for line in lines)
+
+
+def test_a_listing_is_not_sent_whole_through_the_driver(spark):
+    stored = spark.createDataFrame([("a", 1, 2, "x")], "title string, pageid long, revid long, wikitext string")
+    listing = spark.createDataFrame([("a", "g")], "title string, articletype string")
+    raw = catalog.assemble_raw(stored, listing)
+    assert [tuple(r) for r in raw.collect()] == [(1, "a", "en", 2, "g", "x")]
+    assert "BroadcastExchange" not in raw._jdf.queryExecution().executedPlan().toString()

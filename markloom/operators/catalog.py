@@ -27,8 +27,12 @@ def label_articles(listings: list[tuple[DataFrame, str, int]]) -> DataFrame:
 
 
 def assemble_raw(responses: DataFrame, articles: DataFrame) -> DataFrame:
-    """Raw page records: content from the response, title and type from the listing."""
-    return responses.join(articles, "title").select(
+    """Raw page records: content from the response, title and type from the listing.
+
+    A listing is as long as the pages are many, and its files say little of its size in memory: titles are
+    compressed there, or put together from other columns. So it is shuffled, never sent whole through the driver.
+    """
+    return responses.join(articles.hint("merge"), "title").select(
         "pageid", "title", F.lit("en").alias("lang"), "revid", "articletype", "wikitext"
     )
 

@@ -125,8 +125,14 @@ def asked_names(c: Column) -> Column:
     A template in a name either goes, and the name is what is left, or stays, and no listed name has one in it. So
     names as written up to an inner template, and names without inner templates, are all there are.
     """
-    without = let(_hide(c), lambda t: fold_nested(t, O, C, lambda body, _: F.lit(""), found=_raw_name))
-    return F.array_distinct(F.transform(F.concat(raw_names(c), without), template_name))
+    without = lambda: let(_hide(c), lambda t: fold_nested(t, O, C, lambda body, _: F.lit(""), found=_raw_name))
+    in_name = f"{T1}[^{T1}{T2}|]*{T1}"  # most texts have no template in a name: their names are as written
+    none = F.array().cast("array<string>")
+
+    def all_names(marked: Column) -> Column:
+        return F.concat(marked_names(marked), F.when(marked.rlike(in_name), without()).otherwise(none))
+
+    return F.array_distinct(F.transform(let(mark_templates(c), all_names), template_name))
 
 
 def template_occurrences(

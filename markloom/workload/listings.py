@@ -119,9 +119,11 @@ def _(spark, sf_dir):
     base = work_dir(spark, "goldens")
     supplier = spread(table(spark, sf_dir, "supplier"), "s_suppkey")
     pages = supplier.withColumn("page", F.col("s_suppkey"))
-    pages.select("page", F.concat(F.lit("# "), "s_name").alias("value")).write.partitionBy("page").text(f"{base}/md")
+    # A folder a page: tasks put their own files in place, the driver does not move them one by one.
+    own = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    pages.select("page", F.concat(F.lit("# "), "s_name").alias("value")).write.options(**own).partitionBy("page").text(f"{base}/md")
     props = F.to_json(F.struct(F.col("s_suppkey").alias("pageid"), F.col("s_name").alias("title")))
-    pages.select("page", props.alias("value")).write.partitionBy("page").text(f"{base}/props")
+    pages.select("page", props.alias("value")).write.options(**own).partitionBy("page").text(f"{base}/props")
     found = read_goldens(spark, base, "md/*/*.txt", "props/*/*.txt")
     return found.select("pageid", "page", "title", "markdown")
 

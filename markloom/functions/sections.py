@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,10 +113,15 @@ def drop_sections(
     wanted = "|".join(n.replace(" ", r"\ ") for n in names)
     present = rf"(?im)^={{1,6}}{PY_WS}*(?:{wanted}){PY_WS}*="
 
+    def level_of(t: Column, level: int) -> Callable[[Column], Column]:
+        # A heading with one of these names begins with as many equal signs as its level, and no level makes new headings.
+        here = rf"(?imu)^={{{level}}}(?!=){PY_WS}*(?:{wanted}){PY_WS}*="
+        return lambda x: F.when(t.rlike(here), without(x, level)).otherwise(x)
+
     def all_levels(t: Column) -> Column:
         out = t
         for level in range(1, 7):
-            out = without(out, level)
+            out = let(out, level_of(t, level))
         return F.when(t.rlike(present), out).otherwise(t)
 
     return let(c, all_levels)

@@ -75,3 +75,19 @@ def test_removed_section_first_takes_only_itself(apply):
         "== References ==\nx": "",
     }
     assert apply(S.drop_sections, *cases) == list(cases.values())
+
+
+def test_only_levels_with_a_named_heading_are_cut(apply):
+    from pyspark.sql import functions as F
+
+    # One look for the whole text and one for each level.
+    assert str(S.drop_sections(F.col("t"), ["notes"])).count("rlike(") == 7
+    cases = {
+        "a\n== Notes ==\nb\n=== c ===\nd\n== e ==\nf\n": "a\n== e ==\nf\n",
+        "a\n=== notes==\nb\n=== Notes ===\nc\n== d ==\n": "a\n=== notes==\nb\n== d ==\n",
+        "===== x =====\n= NOTES =\ny\n====== notes ======\nz": "===== x =====\n",
+        "== Notes\n== x ==\n": "== Notes\n== x ==\n",
+    }
+    assert apply(lambda c: S.drop_sections(c, ["notes"]), *cases) == list(cases.values())
+    # A Kelvin sign is a k in lower case.
+    assert apply(lambda c: S.drop_sections(c, ["links"]), "=== x ===\n== links ==\na\n= lin\u212as =\nb\n") == "=== x ===\n"

@@ -8,7 +8,8 @@
    ``n - ceil(0.8 n) + 1`` shingles. Those are dealt out by shingle. Lists with one set are dropped.
 3. First answers: in every list each set is compared with the list's centre only, the set with the most
    copies among those of a fitting size. That settles near copies with as many comparisons as sets. Parity
-   signatures of ``SIGNATURE`` bits, lower bounds of how much two sets differ, come before the sets themselves.
+   signatures of ``SIGNATURE`` bits, lower bounds of how much two sets differ, come before the sets themselves. They
+   say little of sets that are larger than they have bits: two sets of ``LONG`` shingles have one of ``WIDE`` bits, too.
 4. Derived answers: what is left are pairs of one list that are in different components. Lists are sorted by size,
    so the block of sets that are too small is skipped, then sets whose position rules them out. The answers of
    two sets to their common centre bound their own overlap from below and above; most pairs are settled by
@@ -48,6 +49,8 @@ FREQUENT = 16
 FILTER_BITS = 1 << 22
 #: Bits of the parity signature of a set.
 SIGNATURE = 1024
+#: Shingles from which a set has a second signature of so many bits, which is an eighth of the set itself or less.
+LONG, WIDE = 1500, 1 << 14
 #: Rows of three numbers that are sent to all tasks; larger tables are shuffled.
 SENT = 500_000
 #: Lists of more sets than twice this are compared set by set, shorter ones together.
@@ -108,16 +111,27 @@ def identities(value: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return mix((total[begin[1:]] - total[begin[:-1]]) ^ (n * _COEFF[1])).view(np.int64)
 
 
-def signatures(value: np.ndarray, begin: np.ndarray) -> np.ndarray:
+def signatures(value: np.ndarray, begin: np.ndarray, bits: int = SIGNATURE) -> np.ndarray:
     """Parity signatures as rows of 64-bit numbers: bit j says whether an odd number of shingles falls on j.
 
     Two sets differ in at least as many shingles as their signatures in bits.
     """
     rows = len(begin) - 1
     doc = np.repeat(np.arange(rows), np.diff(begin))
-    bit = (value >> np.uint64(20) & np.uint64(SIGNATURE - 1)).astype(np.int64)
-    odd = np.bincount(doc * SIGNATURE + bit, minlength=rows * SIGNATURE).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(rows, SIGNATURE), axis=1, bitorder="little").view(np.int64)
+    bit = (value >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(doc * bits + bit, minlength=rows * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(rows, bits), axis=1, bitorder="little").view(np.int64)
+
+
+def _wide(value: np.ndarray, begin: np.ndarray) -> pa.ListArray:
+    """Signatures of WIDE bits of the sets of LONG shingles and more, null for the others."""
+    size = np.diff(begin)
+    long = size >= LONG
+    until = np.concatenate(([0], np.cumsum(size[long])))
+    sig = signatures(value[np.repeat(long, size)], until, WIDE)
+    offsets = np.concatenate(([0], np.cumsum(long * (WIDE // 64))))
+    none = np.concatenate((~long, [False]))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=none), pa.array(sig.reshape(-1)))
 
 
 def ordered(value: np.ndarray, begin: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -130,10 +144,11 @@ def ordered(value: np.ndarray, begin: np.ndarray, levels: np.ndarray) -> np.ndar
 
 
 def _describe(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, sid, n, sig of every document; and rows (bucket, seen) of repeated shingles, the others null."""
+    """doc_id, tkey, sid, n, sig, wide of every document; and rows (bucket, seen) of repeated shingles, the others null."""
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("tkey", T.LongType()), T.StructField("sid", T.LongType()),
         T.StructField("n", T.IntegerType()), T.StructField("sig", T.ArrayType(T.LongType())),
+        T.StructField("wide", T.ArrayType(T.LongType())),
         T.StructField("bucket", T.IntegerType()), T.StructField("seen", T.LongType()),
     ])
 
@@ -152,12 +167,12 @@ def _describe(docs: DataFrame) -> DataFrame:
             value, begin = shingles(texts, powers)
             sid = identities(value, begin)
             ids, keys = batch.column(0), batch.column(1)
-            kinds = [ids.type, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+            kinds = [ids.type, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             none = [pa.nulls(len(batch), pa.int32()), pa.nulls(len(batch), pa.int64())]
             size = pa.array(np.diff(begin), pa.int32())
             sig = signatures(value, begin)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1) * sig.shape[1], pa.int32()), pa.array(sig.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([ids, keys, pa.array(sid), size, lists, *none], names=schema.names)
+            yield pa.RecordBatch.from_arrays([ids, keys, pa.array(sid), size, lists, _wide(value, begin), *none], names=schema.names)
             # Copies inside the slab count once, so that the levels say how many different sets hold a shingle.
             _, once = np.unique(sid, return_index=True)
             if len(once) < len(sid):
@@ -326,15 +341,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, sent: object) -> DataFrame:
 
 
 def _possible(pairs: DataFrame, described: DataFrame) -> DataFrame:
-    """The pairs (a, b) that their signatures don't rule out."""
+    """The pairs (a, b) that their signatures don't rule out, the wide ones of two large sets included."""
     known = described.where("n > 0").select("sid", "n", "sig").dropDuplicates(["sid"])
     side = lambda x: known.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"s_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    bits = F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    left = both.where(_may("s_a", "s_b")).select("a", "b", "n_a", "n_b")
+    large = described.where("wide is not null").select("sid", "wide").dropDuplicates(["sid"])
+    side = lambda x: large.select(F.col("sid").alias(x), F.col("wide").alias(f"w_{x}"))
+    both = left.join(side("b"), "b", "left").join(side("a"), "a", "left")
+    return both.where(F.coalesce(_may("w_a", "w_b"), F.lit(True))).select("a", "b")
+
+
+def _may(one: str, two: str) -> Column:
+    """Whether sets of n_a and n_b shingles with these signatures may be alike."""
+    bits = F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     differ = F.aggregate(bits, F.lit(0), lambda acc, x: acc + x)
     # |a & b| = (|a| + |b| - |a ^ b|) / 2, and 100 |a & b| >= ALIKE |a | b| needs (100 + ALIKE) |a & b| >= ALIKE (|a| + |b|).
     total = F.col("n_a") + F.col("n_b")
-    return both.where((total - differ) * (100 + ALIKE) >= total * (2 * ALIKE)).select("a", "b")
+    return (total - differ) * (100 + ALIKE) >= total * (2 * ALIKE)
 
 
 def _overlaps(pairs: DataFrame, docs: DataFrame, sent: object) -> DataFrame:

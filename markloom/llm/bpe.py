@@ -8,8 +8,12 @@ the whole text's encoding. A chunk join is repaired by encoding it anew from the
 it to the first one after it; a chunk without agreed places becomes part of that join, which so grows until
 both sides agree, over the whole text if need be.
 
-Encoding is narrow: nothing is shuffled, and a task holds ``KEPT_BYTES`` of known pieces at most. The
-tokenizer's file is read on the driver and sent once.
+New chunks and joins are put together from their words: what stands between the places where a byte-level
+pre-tokeniser starts a piece, or between agreed places if the tokenizer is no such one or the text holds an added
+token. A word is encoded once per task and looked up from then on.
+
+Encoding is narrow: nothing is shuffled, and a task holds ``KEPT_BYTES`` of known pieces and ``WORD_BYTES`` of known
+words at most. The tokenizer's file is read on the driver and sent once.
 
 Defined results: null and empty texts have no ids and decode to the empty text; repeated rows are encoded
 one by one; an empty table gives an empty one; ids that the vocabulary lacks decode to nothing; other
@@ -20,7 +24,8 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain, filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,7 @@ WINDOW = 16
 #: A chunk ends where so many low bits of the rolling hash are zero: about 1 KB.
 CHUNK_BITS = 10
 KEPT_BYTES = 32 << 20
+WORD_BYTES = 48 << 20
 _GEAR = mix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 _ALNUM = byte_class(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 
@@ -53,15 +59,42 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint32(15))
 
 
+def _starts() -> np.ndarray:
+    """Whether a piece starts between two bytes: ASCII letters, digits, punctuation, apostrophe, blank and line break are told apart.
+
+    A piece ends where letters, digits or punctuation end. Blanks join what follows, and so does an apostrophe before
+    letters; how white space is cut depends on what follows, so nothing ends behind it.
+    """
+    kind = np.zeros(256, np.uint8)
+    kind[33:127] = 3
+    kind[_ALNUM] = 1
+    kind[48:58] = 2
+    kind[ord("'")], kind[ord(" ")], kind[ord("\n")] = 4, 5, 6
+    ends = np.zeros((7, 7), bool)
+    ends[1, 2:], ends[2, [1, 3, 4, 5, 6]], ends[3, [1, 2, 5, 6]] = True, True, True
+    return ends[kind[:, None], kind[None, :]]
+
+
+_STARTS = _starts()
+
+
+def word_places(codes: np.ndarray) -> np.ndarray:
+    """Places where a byte-level pre-tokeniser starts a piece, whatever stands around them; not all of them."""
+    return np.flatnonzero(_STARTS[codes[:-1], codes[1:]]) + 1
+
+
+def agreed_places(codes: np.ndarray) -> np.ndarray:
+    plain = _ALNUM[codes]
+    return np.flatnonzero((codes[1:-1] == 32) & plain[:-2] & plain[2:]) + 1
+
+
 def cuts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Chunk ends and agreed places of some text."""
     codes = np.frombuffer(data, np.uint8)
     if len(codes) < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = np.flatnonzero(rolling(codes) & np.uint32((1 << CHUNK_BITS) - 1) == 0) + WINDOW
-    plain = _ALNUM[codes]
-    agreed = np.flatnonzero((codes[1:-1] == 32) & plain[:-2] & plain[2:]) + 1
-    return ends, agreed
+    return ends, agreed_places(codes)
 
 
 def pieces(data: bytes) -> list[bytes]:
@@ -77,10 +110,66 @@ def pieces(data: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip(edges[:-1], edges[1:]) if a < b]
 
 
+class Words:
+    """Ids of the words of chunks: numbered, with the ids of all numbers one after the other."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], special: list[bytes] | None):
+        """``special`` are texts that are found before the pre-tokeniser cuts; None says that it is no byte-level one."""
+        self.encode, self.special = encode, special
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.ids, self.begin, self.held = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        made = self.encode([p.decode() for p in fresh])
+        self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(made), np.int32)))
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum([len(ids) for ids in made])))
+        self.held += sum(map(len, fresh)) + 200 * len(fresh)
+
+    def ids_of(self, chunks: list[bytes]) -> list[np.ndarray]:
+        """The ids of each chunk, as if encoded alone."""
+        if self.held > WORD_BYTES:
+            self.forget()
+        if not chunks:
+            return []
+        data = b"".join(chunks)
+        starts = np.concatenate(([0], np.cumsum([len(c) for c in chunks])))
+        codes = np.frombuffer(data, np.uint8)
+        edge = np.zeros(len(data) + 1, bool)
+        if self.special is not None and not any(x in data for x in self.special):
+            edge[word_places(codes)] = True
+        else:
+            edge[agreed_places(codes)] = True
+            edge[starts[1:] - 1] = False  # a blank at the end of a chunk has no letter behind it
+        edge[starts] = True
+        edges = np.flatnonzero(edge)
+        words = [data[a:b] for a, b in pairwise(edges.tolist())]
+        if fresh := list(set(filterfalse(self.number.__contains__, words))):
+            self._learn(fresh)
+        row = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        size = np.diff(self.begin)[row]
+        total = np.concatenate(([0], np.cumsum(size)))
+        value = self.ids[np.arange(total[-1]) + np.repeat(self.begin[row] - total[:-1], size)]
+        cut = total[np.searchsorted(edges, starts)]
+        return [value[a:b].copy() for a, b in pairwise(cut.tolist())]
+
+
+def special_texts(tokenizer_json: str) -> list[bytes] | None:
+    """The added tokens of a tokenizer that cuts texts as byte-level ones do, None for another one."""
+    data = json.loads(tokenizer_json)
+    rule = data.get("pre_tokenizer") or {}
+    usual = rule.get("type") == "ByteLevel" and rule.get("use_regex", True) and not rule.get("add_prefix_space") and not data.get("normalizer")
+    return [a["content"].encode() for a in data.get("added_tokens", [])] if usual else None
+
+
 def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of the whole text as the column ``ids``."""
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as f:
-        sent = docs.sparkSession.sparkContext.broadcast(f.read())
+        made_of = f.read()
+    sent = docs.sparkSession.sparkContext.broadcast((made_of, special_texts(made_of)))
     schema = T.StructType([*(f for f in docs.schema if f.name != ids), T.StructField(ids, T.ArrayType(T.IntegerType()))])
     names = schema.names
 
@@ -88,16 +177,18 @@ def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", id
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_str(sent.value)
+        made_of, special = sent.value
+        made = Tokenizer.from_str(made_of)
         made.no_truncation()
         made.no_padding()
+        words = Words(lambda texts: [e.ids for e in made.encode_batch_fast(texts, add_special_tokens=False)], special)
         known: dict[bytes, np.ndarray] = {}
         held = 0
         for batch, texts in slabs(batches, text):
             cut = [pieces(t) for t in texts]
             fresh = list({p for ps in cut for p in ps if p not in known})
-            for p, e in zip(fresh, made.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)):
-                known[p] = np.array(e.ids, np.int32)
+            for p, found in zip(fresh, words.ids_of(fresh)):
+                known[p] = found
                 held += 200 + len(p) + known[p].nbytes
             flat = [known[p] for ps in cut for p in ps]
             sizes = [sum(len(known[p]) for p in ps) for ps in cut]

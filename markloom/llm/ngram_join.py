@@ -49,7 +49,7 @@ FREQUENT = 16
 FILTER_BITS = 1 << 22
 #: Bits of the parity signature of a set.
 SIGNATURE = 1024
-#: Shingles from which a set has a second signature of so many bits, which is an eighth of the set itself or less.
+#: Shingles from which a set has a second signature of so many bits, about a sixth of the set itself or less.
 LONG, WIDE = 1500, 1 << 14
 #: Rows of three numbers that are sent to all tasks; larger tables are shuffled.
 SENT = 500_000

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import py_strip
 from ..schemas import OUT_SCHEMA, PROPS_SCHEMA, QUERY_RESPONSE, RAW_SCHEMA
+from .folders import read_folders
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -56,6 +58,31 @@ def flatten_expand_response(responses: DataFrame, col: str = "response") -> Data
     return responses.withColumn("wikitext", text).drop(col)
 
 
+_PAGE = r"([^/]+)/[^/]+\z"
+
+
+def _read_props(spark: SparkSession, where: str) -> DataFrame:
+    files = read_folders(spark, where, is_json=True)
+    if files is None:
+        rows = spark.read.schema(PROPS_SCHEMA).json(where, multiLine=True)
+        return rows.withColumn("page", F.regexp_extract(F.input_file_name(), _PAGE, 1))
+    # Rows as the reader of files makes them: one of an object or of what is no JSON, several of a list, none of a blank text.
+    text, rows = F.col("value").cast("string"), T.ArrayType(PROPS_SCHEMA)
+    no_json = F.array(F.lit(None).cast(PROPS_SCHEMA))
+    listed = F.coalesce(F.from_json(text, rows), no_json)
+    single = F.array(F.from_json(text, PROPS_SCHEMA))
+    items = F.when(text.rlike(r"\A\s*\z"), F.array().cast(rows)).when(text.rlike(r"\A\s*\["), listed).otherwise(single)
+    return files.select("page", F.explode(items).alias("props")).select("props.*", "page")
+
+
+def _read_texts(spark: SparkSession, where: str, name: str) -> DataFrame:
+    files = read_folders(spark, where)
+    if files is None:
+        written = spark.read.text(where, wholetext=True)
+        return written.select(F.regexp_extract(F.input_file_name(), _PAGE, 1).alias("page"), F.col("value").alias(name))
+    return files.select("page", F.col("value").cast("string").alias(name))
+
+
 def read_goldens(
     spark: SparkSession,
     directory: str,
@@ -70,9 +97,7 @@ def read_goldens(
     markup as fetched (`*/raw.txt`) or as expanded (`*/wikitext.txt`). A page with some of its files has
     nulls for the others.
     """
-    page = F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+\z", 1)
-    rows = spark.read.schema(PROPS_SCHEMA).json(f"{directory}/{props}", multiLine=True).withColumn("page", page)
+    rows = _read_props(spark, f"{directory}/{props}")
     for name, where in {"markdown": texts, **(more or {})}.items():
-        written = spark.read.text(f"{directory}/{where}", wholetext=True)
-        rows = rows.join(written.select(page.alias("page"), F.col("value").alias(name)), "page", "full")
+        rows = rows.join(_read_texts(spark, f"{directory}/{where}", name), "page", "full")
     return rows

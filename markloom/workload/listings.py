@@ -13,6 +13,7 @@ from ..operators.quality import to_output
 from ..operators.ranking import peek
 from ..plans.fixtures import wiki_src
 from ..session import spread, work_dir
+from ..sources.folders import write_folders
 from ..sources.readers import (
     first_rows,
     flatten_expand_response,
@@ -119,11 +120,9 @@ def _(spark, sf_dir):
     base = work_dir(spark, "goldens")
     supplier = spread(table(spark, sf_dir, "supplier"), "s_suppkey")
     pages = supplier.withColumn("page", F.col("s_suppkey"))
-    # A folder a page: tasks put their own files in place, the driver does not move them one by one.
-    own = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
-    pages.select("page", F.concat(F.lit("# "), "s_name").alias("value")).write.options(**own).partitionBy("page").text(f"{base}/md")
+    write_folders(pages.select("page", F.concat(F.lit("# "), "s_name").alias("value")), f"{base}/md", "page")
     props = F.to_json(F.struct(F.col("s_suppkey").alias("pageid"), F.col("s_name").alias("title")))
-    pages.select("page", props.alias("value")).write.options(**own).partitionBy("page").text(f"{base}/props")
+    write_folders(pages.select("page", props.alias("value")), f"{base}/props", "page")
     found = read_goldens(spark, base, "md/*/*.txt", "props/*/*.txt")
     return found.select("pageid", "page", "title", "markdown")
 
